@@ -1,0 +1,442 @@
+"""Named queries over the driver tables, each with its DuckDB oracle text.
+
+``QUERIES[name](spark, sf_dir) -> DataFrame`` runs on Spark; ``ORACLE[name]``
+is the same question in DuckDB SQL over the same parquet tables (views
+``events``, ``documents``, ``labels`` ...).  Contacts come from the adapter
+(:mod:`callsight.sources.adapter`) in both engines.  Column names are
+identical on both sides; doubles that are sums of doubles are rounded to a
+fixed scale on both sides; timestamps are emitted as text.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import calendar as cal
+from .functions import scalar as sc
+from .functions import text as tx
+from .operators import agents, channels, clean, metrics, trends
+from .sources.adapter import raw_contacts, table, with_contacts
+
+QueryFn = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, QueryFn] = {}
+ORACLE: dict[str, str] = {}
+
+TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+TS_TEXT_SQL = "'%Y-%m-%d %H:%M:%S.%f'"
+
+
+def register(name: str, sql: str | None = None, raw_sql: str | None = None):
+    """Register a query; ``sql`` is wrapped with the contact CTEs, ``raw_sql`` is used as is."""
+    def deco(fn: QueryFn) -> QueryFn:
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLE[name] = with_contacts(sql)
+        elif raw_sql is not None:
+            ORACLE[name] = raw_sql
+        return fn
+    return deco
+
+
+def contacts(spark: SparkSession, sf_dir: str, notes: bool = False) -> DataFrame:
+    """Normalised contacts (P7 over the adapter)."""
+    return clean.normalize_contacts(raw_contacts(spark, sf_dir, notes=notes))
+
+
+# =============================================================================
+# Loading, cleaning, checks
+# =============================================================================
+
+@register("normalize_contacts", """
+SELECT interaction_id, client_id, agent_id, channel, agent_result,
+       strftime(contact_ts, '%Y-%m-%d %H:%M:%S.%f') AS contact_ts, note, has_order,
+       order_id, order_amount, product_category
+FROM contacts""")
+def q_normalize_contacts(spark, sf_dir):
+    df = contacts(spark, sf_dir, notes=True)
+    return df.withColumn("contact_ts", F.date_format("contact_ts", TS_TEXT))
+
+
+_F3_SQL = """
+SELECT count_if(has_order = 1 AND order_id = 'NA') AS order_without_id,
+       count_if(has_order = 0 AND order_amount <> 0) AS no_order_with_amount,
+       count_if(has_order = 0 AND product_category <> 'NA') AS no_order_with_category
+FROM {t}"""
+
+
+@register("rule_violations_raw", _F3_SQL.format(t="raw_contacts"))
+def q_rule_violations_raw(spark, sf_dir):
+    return clean.rule_violations(raw_contacts(spark, sf_dir, notes=False))
+
+
+@register("rule_violations_clean", _F3_SQL.format(t="contacts"))
+def q_rule_violations_clean(spark, sf_dir):
+    return clean.rule_violations(contacts(spark, sf_dir))
+
+
+_SCHEMA_CHECKS_SQL = {
+    "client_id_format": "NOT regexp_matches(client_id, '^C[0-9]{9}$')",
+    "agent_id_format": "NOT regexp_matches(agent_id, '^A[0-9]{9}$')",
+    "order_id_format": "NOT regexp_matches(order_id, '^(P[0-9]{9}|NA)$')",
+    "channel_domain": "channel NOT IN ('llamada', 'whatsapp')",
+    "agent_result_domain": "agent_result NOT IN ('interesado', 'no_interesado')",
+    "category_domain": "product_category NOT IN ('conectividad', 'movilidad', 'hogar', 'NA')",
+    "has_order_domain": "has_order NOT IN (0, 1)",
+    "amount_range": "NOT (order_amount BETWEEN 0.0 AND 34999.0)",
+    "contact_ts_range": "NOT (contact_ts BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2025-12-31 23:59:59')",
+    "hour_range": "NOT (hour(contact_ts) BETWEEN 9 AND 21)",
+}
+
+
+def _schema_violations_sql(t: str) -> str:
+    aggs = ",\n ".join(f"count_if({p}) AS {n}" for n, p in _SCHEMA_CHECKS_SQL.items())
+    names = list(_SCHEMA_CHECKS_SQL) + ["interaction_id_duplicates"]
+    union = "\nUNION ALL ".join(f"SELECT '{n}' AS rule_name, {n} AS n_violations FROM agg" for n in names)
+    return (f", agg AS (SELECT {aggs},\n count(interaction_id) - count(DISTINCT interaction_id)"
+            f" AS interaction_id_duplicates FROM {t})\n{union}")
+
+
+def _with_extra(cte_tail: str) -> str:
+    # cte_tail starts with ", name AS (...)" and continues the WITH list
+    return with_contacts("").rstrip() + cte_tail
+
+
+@register("schema_violations")
+def q_schema_violations(spark, sf_dir):
+    return clean.schema_violations(raw_contacts(spark, sf_dir, notes=False)) \
+        .withColumnRenamed("check", "rule_name")
+
+
+ORACLE["schema_violations"] = _with_extra(_schema_violations_sql("raw_contacts"))
+
+
+# =============================================================================
+# Scalar functions
+# =============================================================================
+
+_KEEP_COLLAPSE = "trim(regexp_replace(regexp_replace({x}, '[^{keep}\\s]', ' ', 'g'), '\\s+', ' ', 'g'))"
+
+
+@register("clean_basic", "SELECT interaction_id, " + _KEEP_COLLAPSE.format(
+    x="lower(note)", keep=tx.KEEP_BASIC) + " AS note_clean FROM contacts")
+def q_clean_basic(spark, sf_dir):
+    df = contacts(spark, sf_dir, notes=True)
+    return df.select("interaction_id", tx.clean_basic("note").alias("note_clean"))
+
+
+@register("clean_strict", "SELECT interaction_id, trim(regexp_replace(regexp_replace(regexp_replace("
+          "strip_accents(lower(note)), '[^a-zñ0-9\\s]', ' ', 'g'), '[0-9]+', ' ', 'g'), '\\s+', ' ', 'g'))"
+          " AS note_clean FROM contacts")
+def q_clean_strict(spark, sf_dir):
+    df = contacts(spark, sf_dir, notes=True)
+    return df.select("interaction_id", tx.clean_strict("note").alias("note_clean"))
+
+
+@register("clean_nb_nfd", "SELECT interaction_id, " + _KEEP_COLLAPSE.format(
+    x="strip_accents(lower(note))", keep=tx.KEEP_NOTEBOOK) + " AS note_clean FROM contacts")
+def q_clean_nb_nfd(spark, sf_dir):
+    df = contacts(spark, sf_dir, notes=True)
+    return df.select("interaction_id", tx.clean_nb_nfd("note").alias("note_clean"))
+
+
+@register("clean_nb_nfkd", "SELECT interaction_id, " + _KEEP_COLLAPSE.format(
+    x="strip_accents(lower(note))", keep=tx.KEEP_STRICT) + " AS note_clean FROM contacts")
+def q_clean_nb_nfkd(spark, sf_dir):
+    df = contacts(spark, sf_dir, notes=True)
+    return df.select("interaction_id", tx.clean_nb_nfkd("note").alias("note_clean"))
+
+
+@register("calendar_parts", """
+SELECT interaction_id,
+       CAST(year(contact_ts) AS INTEGER) AS year, CAST(month(contact_ts) AS INTEGER) AS month,
+       CAST(hour(contact_ts) AS INTEGER) AS hour,
+       CAST(dayofweek(contact_ts) + 1 AS INTEGER) AS weekday_sun1,
+       CAST(isodow(contact_ts) - 1 AS INTEGER) AS weekday_mon0,
+       CAST(day(contact_ts) AS INTEGER) AS day_of_month,
+       strftime(contact_ts, '%Y-%m') AS year_month,
+       (day(contact_ts) <= 3 OR day(contact_ts) BETWEEN 14 AND 17 OR day(contact_ts) >= 29) AS payday
+FROM contacts""")
+def q_calendar_parts(spark, sf_dir):
+    df = cal.with_calendar(contacts(spark, sf_dir))
+    return df.select("interaction_id", "year", "month", "hour", "weekday_sun1", "weekday_mon0",
+                     "day_of_month", cal.year_month("contact_ts").alias("year_month"),
+                     cal.payday_flag("contact_ts").alias("payday"))
+
+
+@register("format_ids", raw_sql="""
+SELECT event_id, printf('C%09d', user_id) AS client_ref, printf('P%09d', event_id) AS order_ref,
+       printf('A%09d', event_id % 37 + 1) AS agent_ref
+FROM events""")
+def q_format_ids(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return ev.select("event_id", sc.format_id("C", F.col("user_id")).alias("client_ref"),
+                     sc.format_id("P", F.col("event_id")).alias("order_ref"),
+                     sc.format_id("A", F.col("event_id") % 37 + 1).alias("agent_ref"))
+
+
+# Note templates for the rendering check (own wording).
+NOTE_TEMPLATES = (
+    "Cliente pregunta por planes de {cat} y pide seguimiento por {medio} .",
+    "Revisa la oferta de {cat} , volver a llamar !",
+    "Sin decision sobre {cat} ; contactar por {medio} ?",
+    "Interes general en servicios , enviar resumen por {medio} .",
+)
+
+
+def _render_sql() -> str:
+    case = "CASE interaction_id % 4 " + " ".join(
+        f"WHEN {i} THEN '{t}'" for i, t in enumerate(NOTE_TEMPLATES)) + " END"
+    return f"""
+, tpl AS (SELECT interaction_id, product_category, channel, has_order, {case} AS template FROM contacts),
+ r AS (SELECT interaction_id,
+   CASE WHEN has_order = 1 THEN replace(template, '{{cat}}', coalesce(product_category, ''))
+        ELSE trim(regexp_replace(regexp_replace(replace(template, ' de {{cat}}', ''), '\\{{cat\\}}', '', 'g'),
+                                 '\\s+', ' ', 'g')) END AS t1, channel FROM tpl)
+SELECT interaction_id,
+  trim(regexp_replace(regexp_replace(replace(t1, '{{medio}}', coalesce(channel, '')),
+       ' ([.,!?])', '\\1', 'g'), '\\s+', ' ', 'g')) AS note_text
+FROM r"""
+
+
+@register("render_notes")
+def q_render_notes(spark, sf_dir):
+    df = contacts(spark, sf_dir)
+    tpl = F.element_at(F.array(*[F.lit(t) for t in NOTE_TEMPLATES]),
+                       (F.col("interaction_id") % len(NOTE_TEMPLATES) + 1).cast("int"))
+    return df.select("interaction_id", tx.render_note(tpl, "product_category", "channel",
+                                                      "has_order").alias("note_text"))
+
+
+ORACLE["render_notes"] = _with_extra(_render_sql())
+
+
+# =============================================================================
+# Indicators and distributions
+# =============================================================================
+
+@register("kpis", """
+SELECT count(*) AS total_contacts, avg(has_order) AS order_rate,
+       count_if(has_order = 1) AS orders, count_if(has_order = 0) AS non_orders,
+       count_if(has_order IS NULL) AS unknown_flag,
+       count_if(has_order = 0) / count(*) AS non_order_rate
+FROM contacts""")
+def q_kpis(spark, sf_dir):
+    return metrics.kpis(contacts(spark, sf_dir))
+
+
+_RAW_COLS = ("interaction_id", "client_id", "agent_id", "channel", "agent_result", "contact_ts",
+             "note", "has_order", "order_id", "order_amount", "product_category")
+
+
+def _long_form_sql(agg_expr: str, value_name: str, t: str) -> str:
+    aggs = ", ".join(f"{agg_expr.format(c=c)} AS {c}" for c in _RAW_COLS)
+    union = "\nUNION ALL ".join(f"SELECT '{c}' AS column_name, {c} AS {value_name} FROM agg" for c in _RAW_COLS)
+    return f", agg AS (SELECT {aggs} FROM {t})\n{union}"
+
+
+@register("null_counts")
+def q_null_counts(spark, sf_dir):
+    return metrics.null_counts(raw_contacts(spark, sf_dir, notes=True)) \
+        .withColumnRenamed("column", "column_name")
+
+
+ORACLE["null_counts"] = _with_extra(_long_form_sql("count_if({c} IS NULL)", "n_nulls", "raw_contacts"))
+
+
+@register("null_fractions")
+def q_null_fractions(spark, sf_dir):
+    return metrics.null_fractions(raw_contacts(spark, sf_dir, notes=True)) \
+        .withColumnRenamed("column", "column_name")
+
+
+ORACLE["null_fractions"] = _with_extra(
+    _long_form_sql("avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END::DOUBLE)", "null_share", "raw_contacts"))
+
+
+@register("describe_numeric", """
+, v AS (SELECT 'has_order' AS column_name, CAST(has_order AS DOUBLE) AS v FROM raw_contacts
+        UNION ALL SELECT 'order_amount', order_amount FROM raw_contacts)
+SELECT column_name, count(v) AS count, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std,
+       min(v) AS min, round(quantile_cont(v, 0.25), 6) AS p25, round(quantile_cont(v, 0.5), 6) AS p50,
+       round(quantile_cont(v, 0.75), 6) AS p75, max(v) AS max
+FROM v GROUP BY column_name""")
+def q_describe_numeric(spark, sf_dir):
+    d = metrics.describe_numeric(raw_contacts(spark, sf_dir, notes=False))
+    return d.withColumnRenamed("column", "column_name").withColumns(
+        {c: F.round(c, 6) for c in ("mean", "std", "p25", "p50", "p75")})
+
+
+@register("top_values")
+def q_top_values(spark, sf_dir):
+    return metrics.top_values(raw_contacts(spark, sf_dir, notes=False)) \
+        .withColumnRenamed("column", "column_name")
+
+
+ORACLE["top_values"] = _with_extra("""
+, s AS (SELECT 'channel' AS column_name, channel AS value FROM raw_contacts
+        UNION ALL SELECT 'agent_result', agent_result FROM raw_contacts
+        UNION ALL SELECT 'product_category', product_category FROM raw_contacts),
+ c AS (SELECT column_name, value, count(*) AS n FROM s GROUP BY column_name, value),
+ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value ASC NULLS FIRST)
+                 AS INTEGER) AS rank FROM c)
+SELECT * FROM r WHERE rank <= 10""")
+
+
+@register("distribution", """
+SELECT channel, count(*) AS total, count(*) * 100.0::DOUBLE / (SELECT count(*) FROM contacts) AS percent
+FROM contacts GROUP BY channel""")
+def q_distribution(spark, sf_dir):
+    return metrics.distribution(contacts(spark, sf_dir), "channel")
+
+
+@register("class_balance", "SELECT has_order, count(*) AS count FROM contacts GROUP BY has_order")
+def q_class_balance(spark, sf_dir):
+    return metrics.class_balance(contacts(spark, sf_dir))
+
+
+# =============================================================================
+# Trends
+# =============================================================================
+
+_YM = "CAST(year(contact_ts) AS INTEGER) AS year, CAST(month(contact_ts) AS INTEGER) AS month"
+
+
+@register("monthly_summary", f"""
+SELECT {_YM}, count(*) AS total_contacts, CAST(sum(has_order) AS BIGINT) AS total_orders,
+       strftime(min(contact_ts), '%Y-%m') AS year_month
+FROM contacts GROUP BY ALL""")
+def q_monthly_summary(spark, sf_dir):
+    return trends.monthly_summary(contacts(spark, sf_dir))
+
+
+@register("monthly_conversion", f"""
+SELECT {_YM}, count(interaction_id) AS total_contacts, CAST(sum(has_order) AS BIGINT) AS total_orders,
+       sum(has_order) / count(interaction_id) AS order_rate
+FROM contacts GROUP BY ALL""")
+def q_monthly_conversion(spark, sf_dir):
+    return trends.monthly_conversion(contacts(spark, sf_dir))
+
+
+@register("monthly_interest", f"""
+SELECT {_YM}, count_if(agent_result = 'interesado') AS interested,
+       count_if(agent_result = 'no_interesado') AS not_interested
+FROM contacts GROUP BY ALL""")
+def q_monthly_interest(spark, sf_dir):
+    return trends.monthly_interest(contacts(spark, sf_dir))
+
+
+@register("interest_long", f"SELECT {_YM}, agent_result, count(*) AS total FROM contacts GROUP BY ALL")
+def q_interest_long(spark, sf_dir):
+    return trends.interest_long(contacts(spark, sf_dir))
+
+
+@register("interest_pivot", """
+SELECT CAST(month(contact_ts) AS INTEGER) AS month,
+       count_if(agent_result = 'interesado') AS interesado,
+       count_if(agent_result = 'no_interesado') AS no_interesado,
+       count_if(agent_result = 'no_especificado') AS no_especificado
+FROM contacts GROUP BY ALL""")
+def q_interest_pivot(spark, sf_dir):
+    return trends.interest_pivot(contacts(spark, sf_dir))
+
+
+@register("volume_by_hour", """
+SELECT CAST(hour(contact_ts) AS INTEGER) AS hour, count(*) AS total_contacts,
+       CAST(sum(has_order) AS BIGINT) AS total_orders
+FROM contacts GROUP BY ALL""")
+def q_volume_by_hour(spark, sf_dir):
+    return trends.volume_by_hour(contacts(spark, sf_dir))
+
+
+@register("volume_by_day", """
+SELECT CAST(contact_ts AS DATE) AS day, count(*) AS total_contacts,
+       CAST(sum(has_order) AS BIGINT) AS total_orders
+FROM contacts GROUP BY ALL""")
+def q_volume_by_day(spark, sf_dir):
+    return trends.volume_by_day(contacts(spark, sf_dir))
+
+
+@register("hour_weekday_matrix", "SELECT CAST(hour(contact_ts) AS INTEGER) AS hour, " + ", ".join(
+    f"count_if(dayofweek(contact_ts) + 1 = {i}) AS d{i}" for i in range(1, 8)) + " FROM contacts GROUP BY ALL")
+def q_hour_weekday_matrix(spark, sf_dir):
+    return trends.hour_weekday_matrix(contacts(spark, sf_dir))
+
+
+@register("interest_by_hour", """
+SELECT CAST(hour(contact_ts) AS INTEGER) AS hour, count(*) AS total_contacts,
+       count_if(agent_result = 'interesado') AS interested,
+       count_if(agent_result = 'no_interesado') AS not_interested,
+       count_if(agent_result = 'interesado') / count(*) AS interest_rate
+FROM contacts GROUP BY ALL""")
+def q_interest_by_hour(spark, sf_dir):
+    return trends.interest_by_hour(contacts(spark, sf_dir))
+
+
+# =============================================================================
+# Channels, categories, agents
+# =============================================================================
+
+@register("channel_category_orders", """
+SELECT channel, product_category, count(*) AS orders FROM contacts WHERE has_order = 1 GROUP BY ALL""")
+def q_channel_category_orders(spark, sf_dir):
+    return channels.channel_category_orders(contacts(spark, sf_dir))
+
+
+@register("channel_category_share", """
+, a AS (SELECT channel, coalesce(product_category, 'sin_categoria') AS product_category, count(*) AS orders
+        FROM contacts WHERE has_order = 1 GROUP BY ALL),
+ b AS (SELECT * FROM a WHERE product_category <> 'sin_categoria')
+SELECT channel, product_category, orders, CAST(sum(orders) OVER (PARTITION BY channel) AS BIGINT) AS channel_orders,
+       round(orders * 100.0::DOUBLE / sum(orders) OVER (PARTITION BY channel), 2) AS share_pct
+FROM b""")
+def q_channel_category_share(spark, sf_dir):
+    return channels.channel_category_share(contacts(spark, sf_dir))
+
+
+@register("channel_category_conversion", """
+SELECT channel, product_category, CAST(sum(has_order) AS BIGINT) AS orders, count(*) AS total_contacts,
+       sum(has_order) / count(*) AS order_rate
+FROM contacts GROUP BY ALL""")
+def q_channel_category_conversion(spark, sf_dir):
+    return channels.channel_category_conversion(contacts(spark, sf_dir))
+
+
+@register("conversion_by_channel", """
+SELECT channel, count(*) AS total_contacts, CAST(sum(has_order) AS BIGINT) AS orders,
+       avg(has_order) AS order_rate
+FROM contacts GROUP BY ALL""")
+def q_conversion_by_channel(spark, sf_dir):
+    return channels.conversion_by_channel(contacts(spark, sf_dir))
+
+
+@register("category_ranking", """
+SELECT product_category, count(*) AS orders, round(sum(order_amount), 4) AS amount
+FROM contacts WHERE has_order = 1 GROUP BY ALL""")
+def q_category_ranking(spark, sf_dir):
+    return channels.category_ranking(contacts(spark, sf_dir)).withColumn("amount", F.round("amount", 4))
+
+
+_AGENTS_SQL = """
+SELECT agent_id, CAST(sum(has_order) AS BIGINT) AS total_orders, count(*) AS total_contacts
+FROM contacts GROUP BY agent_id ORDER BY total_orders {dir} NULLS LAST, agent_id ASC LIMIT 10"""
+
+
+@register("top_agents", _AGENTS_SQL.format(dir="DESC"))
+def q_top_agents(spark, sf_dir):
+    return agents.top_agents(contacts(spark, sf_dir))
+
+
+@register("bottom_agents", _AGENTS_SQL.format(dir="ASC"))
+def q_bottom_agents(spark, sf_dir):
+    return agents.bottom_agents(contacts(spark, sf_dir))
+
+
+@register("agent_conversion", """
+SELECT agent_id, CAST(sum(has_order) AS BIGINT) AS total_orders, count(*) AS total_contacts,
+       sum(has_order) / count(*) AS order_rate
+FROM contacts GROUP BY agent_id""")
+def q_agent_conversion(spark, sf_dir):
+    return agents.agent_conversion(contacts(spark, sf_dir))
