@@ -1,49 +1,19 @@
-"""Named queries over the driver tables, each with its DuckDB oracle text.
-
-``QUERIES[name](spark, sf_dir) -> DataFrame`` runs on Spark; ``ORACLE[name]``
-is the same question in DuckDB SQL over the same parquet tables (views
-``events``, ``documents``, ``labels`` ...).  Contacts come from the adapter
-(:mod:`callsight.sources.adapter`) in both engines.  Column names are
-identical on both sides; doubles that are sums of doubles are rounded to a
-fixed scale on both sides; timestamps are emitted as text.
-"""
+"""Reports: loading and cleaning checks, scalar functions, indicators, trends,
+channels and agents."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import calendar as cal
-from .functions import scalar as sc
-from .functions import text as tx
-from .operators import agents, channels, clean, metrics, trends
-from .sources.adapter import raw_contacts, table, with_contacts
-
-QueryFn = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, QueryFn] = {}
-ORACLE: dict[str, str] = {}
-
-TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-TS_TEXT_SQL = "'%Y-%m-%d %H:%M:%S.%f'"
-
+from ..functions import calendar as cal
+from ..functions import scalar as sc
+from ..functions import text as tx
+from ..operators import agents, channels, clean, metrics, trends
+from ..sources.adapter import raw_contacts, table
 
-def register(name: str, sql: str | None = None, raw_sql: str | None = None):
-    """Register a query; ``sql`` is wrapped with the contact CTEs, ``raw_sql`` is used as is."""
-    def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = with_contacts(sql)
-        elif raw_sql is not None:
-            ORACLE[name] = raw_sql
-        return fn
-    return deco
-
-
-def contacts(spark: SparkSession, sf_dir: str, notes: bool = False) -> DataFrame:
-    """Normalised contacts (P7 over the adapter)."""
-    return clean.normalize_contacts(raw_contacts(spark, sf_dir, notes=notes))
+from .registry import (  # noqa: F401
+    ORACLE, QUERIES, TS_TEXT, contacts, register, with_extra as _with_extra,
+)
 
 
 # =============================================================================
@@ -99,11 +69,6 @@ def _schema_violations_sql(t: str) -> str:
             f" AS interaction_id_duplicates FROM {t})\n{union}")
 
 
-def _with_extra(cte_tail: str) -> str:
-    # cte_tail starts with ", name AS (...)" and continues the WITH list
-    return with_contacts("").rstrip() + cte_tail
-
-
 @register("schema_violations")
 def q_schema_violations(spark, sf_dir):
     return clean.schema_violations(raw_contacts(spark, sf_dir, notes=False)) \
