@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import stopwords as sw
 from ..functions import text as tx
 from ..operators import words as W
-from ..sources.adapter import table
+from ..sources.adapter import documents, table
 from .registry import contacts, register, with_extra
 
 # DuckDB text of the cleaners (same rules as functions.text)
@@ -23,7 +23,7 @@ TOKENS_SQL = "list_filter(string_split(" + CLEAN_BASIC_SQL + ", ' '), lambda t:
 
 
 def _doc_tokens(spark, sf_dir, pattern=W.UNICODE_NONWORD):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir)
     return docs.select("doc_id", W.tokenize(tx.clean_basic("text"), pattern).alias("tokens"))
 
 

@@ -38,6 +38,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-repartition an input that arrives in fewer splits than the
+    cluster has cores (e.g. one parquet row group), so CPU-heavy text work
+    runs in parallel.  Inputs that are already split are left alone: at
+    scale this adds no shuffle."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= par:
+        return df
+    return df.repartition(par, key)
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` (doc_id, text), spread over the cores when thin."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+
+
 def _null_at(eid, column: str, value):
     return F.when(eid % NULL_RESIDUES[column] == 0, F.lit(None)).otherwise(value)
 
@@ -52,7 +68,8 @@ def raw_contacts(spark: SparkSession, sf_dir: str, notes: bool = True) -> DataFr
     e = ev.select("event_id", "ts", "user_id", "event_type", "value",
                   k.alias("k"), ordered.alias("ord"))
     if notes:
-        docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+        e = spread(e, "event_id")
+        docs = documents(spark, sf_dir)
         n_docs = docs.select(F.count(F.lit(1))).scalar()
         # Equi-join on a derived key; AQE picks broadcast or sort-merge from
         # the measured size of the documents side at run time.
@@ -96,7 +113,7 @@ def orders_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def labelled_notes(spark: SparkSession, sf_dir: str, label: str = "quality") -> DataFrame:
     """Notes with a text label: ``documents`` joined with ``labels``."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("note"))
+    docs = documents(spark, sf_dir).withColumnRenamed("text", "note")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col(label).cast("string").alias("label"))
     return docs.join(labels, "doc_id", "inner")
 
