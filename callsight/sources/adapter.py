@@ -114,7 +114,7 @@ def orders_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def labelled_notes(spark: SparkSession, sf_dir: str, label: str = "quality") -> DataFrame:
     """Notes with a text label: ``documents`` joined with ``labels``."""
     docs = documents(spark, sf_dir).withColumnRenamed("text", "note")
-    labels = table(spark, sf_dir, "labels").select("doc_id", F.col(label).cast("string").alias("label"))
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col(label).cast("string").alias(label))
     return docs.join(labels, "doc_id", "inner")
 
 
