@@ -36,7 +36,7 @@ def text_pipeline(label_col: str = "agent_result", max_iter: int = 20, ascii_tok
                                     space_tokenizer=True)
     else:
         feats = text_feature_stages("note_clean", ascii_tokens=ascii_tokens)
-    return Pipeline(stages=[StringIndexer(inputCol=label_col, outputCol="label", handleInvalid="keep"), *feats,
+    return Pipeline(stages=[StringIndexer(inputCol=label_col, outputCol="label"), *feats,
                             LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter)])
 
 
@@ -61,7 +61,9 @@ def train_text_model(df: DataFrame, note_col: str = "note", label_col: str = "ag
     finally:
         train.unpersist()
     labels = list(model.stages[0].labels)
-    pred = model.transform(test)
+    # a label never seen in training has no index (the indexer would fail):
+    # such test rows are left out of the evaluation
+    pred = model.transform(test.where(F.col(label_col).isin(labels)))
     cm = confusion_matrix(pred)
     metrics = metrics_from_confusion(cm).unionByName(split_size_metrics(data, id_col))
     if model_path:
