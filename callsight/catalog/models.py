@@ -21,6 +21,15 @@ def q_train_text_model(spark, sf_dir):
     return metrics
 
 
+@register("train_text_model_notebook")
+def q_train_text_model_notebook(spark, sf_dir):
+    """Notebook pipeline (NFKD cleaner, space tokenizer, notebook stop
+    words, minDF 5), on all labelled notes."""
+    notes = labelled_notes(spark, sf_dir).withColumnRenamed("doc_id", "interaction_id")
+    metrics, _, _, _ = text_model.train_text_model(notes, "note", "quality", "interaction_id", notebook=True)
+    return metrics
+
+
 @register("classify_notes")
 def q_classify_notes(spark, sf_dir):
     """Fit on the training part of the labelled notes, classify the test part."""
@@ -36,6 +45,13 @@ def q_train_order_model(spark, sf_dir):
     return metrics
 
 
+@register("train_order_model_notebook")
+def q_train_order_model_notebook(spark, sf_dir):
+    """One pipeline, no 40 % sample, maxIter 20, on all contacts."""
+    metrics, _, _ = order_model.train_order_model(contacts(spark, sf_dir), sample_fraction=None, max_iter=20)
+    return metrics
+
+
 @register("predict_orders")
 def q_predict_orders(spark, sf_dir):
     df = contacts(spark, sf_dir)

@@ -29,9 +29,11 @@ def register(name: str, sql: str | None = None, raw_sql: str | None = None):
     return deco
 
 
-def contacts(spark: SparkSession, sf_dir: str, notes: bool = False) -> DataFrame:
-    """Normalised contacts (P7 over the adapter)."""
-    return clean.normalize_contacts(raw_contacts(spark, sf_dir, notes=notes))
+def contacts(spark: SparkSession, sf_dir: str, notes: bool = False, clean_note=None) -> DataFrame:
+    """Normalised contacts (P7 over the adapter); with ``clean_note`` also
+    ``note_clean``, cleaned once per document text (see the adapter)."""
+    return clean.normalize_contacts(raw_contacts(spark, sf_dir, notes=notes or clean_note is not None,
+                                                 clean_note=clean_note))
 
 
 def with_extra(cte_tail: str) -> str:

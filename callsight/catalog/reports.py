@@ -10,6 +10,7 @@ from ..functions import scalar as sc
 from ..functions import text as tx
 from ..operators import agents, channels, clean, metrics, trends
 from ..sources.adapter import raw_contacts, table
+from ..sources.contacts import preview, row_limit_sample
 
 from .registry import (  # noqa: F401
     ORACLE, QUERIES, TS_TEXT, contacts, register, with_extra as _with_extra,
@@ -37,6 +38,28 @@ SELECT count_if(has_order = 1 AND order_id = 'NA') AS order_without_id,
 FROM {t}"""
 
 
+@register("preview_contacts", """
+SELECT interaction_id, client_id, agent_id, channel, agent_result,
+       strftime(contact_ts, '%Y-%m-%d %H:%M:%S.%f') AS contact_ts, note, has_order,
+       order_id, order_amount, product_category
+FROM contacts ORDER BY interaction_id LIMIT 1000""")
+def q_preview_contacts(spark, sf_dir):
+    """The first 1000 contacts by id (the limit is the feature)."""
+    df = preview(contacts(spark, sf_dir, notes=True), 1000)
+    return df.withColumn("contact_ts", F.date_format("contact_ts", TS_TEXT))
+
+
+@register("row_limit_sample", """
+SELECT channel, agent_result, count(*) AS contacts, CAST(sum(has_order) AS BIGINT) AS orders
+FROM (SELECT * FROM contacts ORDER BY interaction_id LIMIT 5000) GROUP BY ALL""")
+def q_row_limit_sample(spark, sf_dir):
+    """The first 5000 contacts by id as a working sample (the sampling
+    operator itself), summarised per channel and result."""
+    s = row_limit_sample(contacts(spark, sf_dir), 5000)
+    return s.groupBy("channel", "agent_result").agg(F.count(F.lit(1)).alias("contacts"),
+                                                    F.sum("has_order").alias("orders"))
+
+
 @register("rule_violations_raw", _F3_SQL.format(t="raw_contacts"))
 def q_rule_violations_raw(spark, sf_dir):
     return clean.rule_violations(raw_contacts(spark, sf_dir, notes=False))
@@ -88,30 +111,30 @@ _KEEP_COLLAPSE = "trim(regexp_replace(regexp_replace({x}, '[^{keep}\\s]', ' ', '
 @register("clean_basic", "SELECT interaction_id, " + _KEEP_COLLAPSE.format(
     x="lower(note)", keep=tx.KEEP_BASIC) + " AS note_clean FROM contacts")
 def q_clean_basic(spark, sf_dir):
-    df = contacts(spark, sf_dir, notes=True)
-    return df.select("interaction_id", tx.clean_basic("note").alias("note_clean"))
+    df = contacts(spark, sf_dir, clean_note=tx.clean_basic)
+    return df.select("interaction_id", "note_clean")
 
 
 @register("clean_strict", "SELECT interaction_id, trim(regexp_replace(regexp_replace(regexp_replace("
           "strip_accents(lower(note)), '[^a-zñ0-9\\s]', ' ', 'g'), '[0-9]+', ' ', 'g'), '\\s+', ' ', 'g'))"
           " AS note_clean FROM contacts")
 def q_clean_strict(spark, sf_dir):
-    df = contacts(spark, sf_dir, notes=True)
-    return df.select("interaction_id", tx.clean_strict("note").alias("note_clean"))
+    df = contacts(spark, sf_dir, clean_note=tx.clean_strict)
+    return df.select("interaction_id", "note_clean")
 
 
 @register("clean_nb_nfd", "SELECT interaction_id, " + _KEEP_COLLAPSE.format(
     x="strip_accents(lower(note))", keep=tx.KEEP_NOTEBOOK) + " AS note_clean FROM contacts")
 def q_clean_nb_nfd(spark, sf_dir):
-    df = contacts(spark, sf_dir, notes=True)
-    return df.select("interaction_id", tx.clean_nb_nfd("note").alias("note_clean"))
+    df = contacts(spark, sf_dir, clean_note=tx.clean_nb_nfd)
+    return df.select("interaction_id", "note_clean")
 
 
 @register("clean_nb_nfkd", "SELECT interaction_id, " + _KEEP_COLLAPSE.format(
     x="strip_accents(lower(note))", keep=tx.KEEP_STRICT) + " AS note_clean FROM contacts")
 def q_clean_nb_nfkd(spark, sf_dir):
-    df = contacts(spark, sf_dir, notes=True)
-    return df.select("interaction_id", tx.clean_nb_nfkd("note").alias("note_clean"))
+    df = contacts(spark, sf_dir, clean_note=tx.clean_nb_nfkd)
+    return df.select("interaction_id", "note_clean")
 
 
 @register("calendar_parts", """
@@ -251,8 +274,9 @@ SELECT * FROM r WHERE rank <= 10""")
 
 
 @register("distribution", """
-SELECT channel, count(*) AS total, count(*) * 100.0::DOUBLE / (SELECT count(*) FROM contacts) AS percent
-FROM contacts GROUP BY channel""")
+, d AS (SELECT channel, count(*) AS total, count(*) * 100.0::DOUBLE / (SELECT count(*) FROM contacts) AS percent
+        FROM contacts GROUP BY channel)
+SELECT *, CAST(round(percent, 2) AS VARCHAR) || '%' AS percent_label FROM d""")
 def q_distribution(spark, sf_dir):
     return metrics.distribution(contacts(spark, sf_dir), "channel")
 
@@ -369,6 +393,15 @@ def q_channel_category_conversion(spark, sf_dir):
     return channels.channel_category_conversion(contacts(spark, sf_dir))
 
 
+@register("channel_category_conversion_raw", """
+SELECT channel, product_category, CAST(sum(has_order) AS BIGINT) AS orders, count(*) AS total_contacts,
+       sum(has_order) / count(*) AS order_rate
+FROM raw_contacts WHERE channel IS NOT NULL AND product_category IS NOT NULL GROUP BY ALL""")
+def q_channel_category_conversion_raw(spark, sf_dir):
+    """T1 parity: the notebook's table on raw rows where missing keys drop out."""
+    return channels.channel_category_conversion(raw_contacts(spark, sf_dir, notes=False), drop_null_keys=True)
+
+
 @register("conversion_by_channel", """
 SELECT channel, count(*) AS total_contacts, CAST(sum(has_order) AS BIGINT) AS orders,
        avg(has_order) AS order_rate

@@ -227,6 +227,23 @@ def q_confusion_pivot(spark, sf_dir):
     return evaluation.confusion_pivot(evaluation.confusion_matrix(rule_predictions(spark, sf_dir)))
 
 
+# Display texts of the confusion matrix.
+REAL_TEXT = {0.0: "Real: 0 (no generó pedido)", 1.0: "Real: 1 (sí generó pedido)"}
+PRED_TEXT = {0.0: "Predicho: 0 (no pedido)", 1.0: "Predicho: 1 (pedido)"}
+
+
+@register("confusion_labels", _CM_SQL + f"""
+SELECT CASE label WHEN 0.0 THEN '{REAL_TEXT[0.0]}' WHEN 1.0 THEN '{REAL_TEXT[1.0]}' END AS real_label,
+       CASE prediction WHEN 0.0 THEN '{PRED_TEXT[0.0]}' WHEN 1.0 THEN '{PRED_TEXT[1.0]}' END AS pred_label,
+       count
+FROM cm""")
+def q_confusion_labels(spark, sf_dir):
+    """The confusion counts with readable texts (unmapped -> NULL)."""
+    cm = evaluation.confusion_matrix(rule_predictions(spark, sf_dir))
+    return cm.select(sc.label_flags("label", REAL_TEXT).alias("real_label"),
+                     sc.label_flags("prediction", PRED_TEXT).alias("pred_label"), "count")
+
+
 @register("binary_metrics", _CM_SQL + """,
  tot AS (SELECT sum(count)::DOUBLE AS n FROM cm),
  lab AS (SELECT label AS cls, sum(count) AS support, sum(CASE WHEN label = prediction THEN count ELSE 0 END) AS tp

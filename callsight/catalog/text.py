@@ -12,6 +12,7 @@ from ..functions import stopwords as sw
 from ..functions import text as tx
 from ..operators import words as W
 from ..sources.adapter import documents, table
+from ..sources.contacts import materialize
 from .registry import contacts, register, with_extra
 
 # DuckDB text of the cleaners (same rules as functions.text)
@@ -89,7 +90,10 @@ def q_idf_weights(spark, sf_dir):
 @register("tfidf", raw_sql=_TF_SQL + """
 SELECT tf.doc_id, tf.word, tf.tf, round(tf.tf * idf.idf, 9) AS tfidf FROM tf JOIN idf USING (word)""")
 def q_tfidf(spark, sf_dir):
-    tf = _tf(spark, sf_dir)
+    # tf feeds both the vocabulary statistics and the join: materialise it
+    # once (reliable checkpoint in the shared folder) instead of tokenising
+    # every text twice
+    tf = materialize(_tf(spark, sf_dir))
     n_docs = table(spark, sf_dir, "documents").select(F.count(F.lit(1))).scalar()
     idf = W.idf_weights(W.term_counts(tf), n_docs)
     return W.tfidf(tf, idf).select("doc_id", "word", "tf", F.round("tfidf", 9).alias("tfidf"))
@@ -97,8 +101,8 @@ def q_tfidf(spark, sf_dir):
 
 @register("top_words")
 def q_top_words(spark, sf_dir):
-    df = contacts(spark, sf_dir, notes=True)
-    return W.top_words(df.withColumn("note_clean", tx.clean_nb_nfd("note")), "note_clean", n=30)
+    df = contacts(spark, sf_dir, clean_note=tx.clean_nb_nfd)
+    return W.top_words(df, "note_clean", n=30)
 
 
 from .registry import ORACLE  # noqa: E402
@@ -113,7 +117,7 @@ SELECT * FROM r WHERE rank <= 30""")
 
 @register("cloud_terms")
 def q_cloud_terms(spark, sf_dir):
-    df = contacts(spark, sf_dir, notes=True).withColumn("note_clean", tx.clean_basic("note"))
+    df = contacts(spark, sf_dir, clean_note=tx.clean_basic)
     stop = W.stopword_frame(spark, sw.cloud_stopwords())
     out = W.cloud_terms(df, "note_clean", stop, max_words=80)
     return out.withColumn("weight", F.round("weight", 9))

@@ -27,10 +27,13 @@ def channel_category_share(df: DataFrame) -> DataFrame:
                .withColumn("share_pct", F.round(F.col("orders") * F.lit(100.0) / F.col("channel_orders"), 2)))
 
 
-def channel_category_conversion(df: DataFrame) -> DataFrame:
+def channel_category_conversion(df: DataFrame, drop_null_keys: bool = False) -> DataFrame:
     """Orders, contacts and order rate per (channel, category), most
-    orders first.  On a table read with ``na_as_null`` the ``NA`` category
-    is NULL and stays a group of its own (unlike pandas, which drops it)."""
+    orders first.  ``drop_null_keys=True`` reproduces the pandas notebook
+    (T1): groups with a NULL key -- there, every ``NA`` category, i.e. all
+    non-orders -- disappear, and the rate is 1.0 everywhere."""
+    if drop_null_keys:
+        df = df.where(F.col("channel").isNotNull() & F.col("product_category").isNotNull())
     return (df.groupBy("channel", "product_category")
               .agg(F.sum("has_order").alias("orders"), F.count(F.lit(1)).alias("total_contacts"))
               .withColumn("order_rate", ratio("orders", "total_contacts"))

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import ratio
+from ..functions.scalar import percent_label, ratio
 
 CATEGORICAL = ("channel", "agent_result", "product_category")
 NUMERIC = ("has_order", "order_amount")
@@ -91,6 +91,7 @@ def distribution(df: DataFrame, column: str) -> DataFrame:
     total = df.select(F.count(F.lit(1))).scalar()
     return (df.groupBy(column).agg(F.count(F.lit(1)).alias("total"))
               .withColumn("percent", F.col("total") * F.lit(100.0) / total)
+              .withColumn("percent_label", percent_label("percent"))
               .orderBy(F.desc("total"), F.asc_nulls_first(column)))
 
 

@@ -50,10 +50,12 @@ def prepare_notes(df: DataFrame, note_col: str = "note", label_col: str = "agent
 
 def train_text_model(df: DataFrame, note_col: str = "note", label_col: str = "agent_result",
                      id_col: str = "interaction_id", max_iter: int = 20, ascii_tokens: bool = False,
-                     notebook: bool = False, model_path: str | None = None):
+                     notebook: bool = False, model_path: str | None = None, first_n: int | None = None):
     """Returns (metrics DataFrame (metric, value), confusion DataFrame,
     fitted PipelineModel, labels)."""
     data = prepare_notes(df, note_col, label_col, id_col, notebook)
+    if first_n is not None:                       # notebook variant: first rows by id (S11)
+        data = data.orderBy(id_col).limit(first_n)
     train, test = split_train_test(data, id_col, 80)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -12,9 +12,12 @@ note of event ``e`` is document ``e mod (number of documents)``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..schema import MISSING_NOTE
 from ..functions.scalar import format_id
 
 # Fixed values of the adapter: residues of event_id that become NULL.
@@ -58,9 +61,16 @@ def _null_at(eid, column: str, value):
     return F.when(eid % NULL_RESIDUES[column] == 0, F.lit(None)).otherwise(value)
 
 
-def raw_contacts(spark: SparkSession, sf_dir: str, notes: bool = True) -> DataFrame:
+def raw_contacts(spark: SparkSession, sf_dir: str, notes: bool = True,
+                 clean_note: Callable[[Column], Column] | None = None) -> DataFrame:
     """Raw (un-normalised) contacts.  ``notes=False`` leaves out the note
-    column and with it the join against ``documents``."""
+    column and with it the join against ``documents``.
+
+    ``clean_note`` adds ``note_clean``: the cleaner applied to the note
+    after the sentinel rule (what P10 adds after P7).  It is evaluated once
+    per document, before the join that hands each text to many contacts,
+    instead of once per contact; a missing note gets the cleaned sentinel
+    (a constant)."""
     ev = table(spark, sf_dir, "events")
     eid = F.col("event_id")
     k = F.regexp_extract("props", r"([0-9]+)", 1).try_cast("int")
@@ -68,8 +78,12 @@ def raw_contacts(spark: SparkSession, sf_dir: str, notes: bool = True) -> DataFr
     e = ev.select("event_id", "ts", "user_id", "event_type", "value",
                   k.alias("k"), ordered.alias("ord"))
     if notes:
+        # the event side streams through the join and carries the note text
+        # into CPU-heavy cleaning: spread it when it arrives thin
         e = spread(e, "event_id")
-        docs = documents(spark, sf_dir)
+        docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+        if clean_note is not None:
+            docs = docs.withColumn("text_clean", clean_note(F.coalesce(F.col("text"), F.lit(MISSING_NOTE))))
         n_docs = docs.select(F.count(F.lit(1))).scalar()
         # Equi-join on a derived key; AQE picks broadcast or sort-merge from
         # the measured size of the documents side at run time.
@@ -90,6 +104,9 @@ def raw_contacts(spark: SparkSession, sf_dir: str, notes: bool = True) -> DataFr
         "contact_ts": _null_at(eid, "contact_ts",
                                F.col("ts") + F.make_dt_interval(days=(eid % DAY_SPREAD).cast("int"))),
         "note": _null_at(eid, "note", F.col("text")) if notes else None,
+        "note_clean": (F.when((eid % NULL_RESIDUES["note"] == 0) | F.col("doc_id").isNull(),
+                              clean_note(F.lit(MISSING_NOTE))).otherwise(F.col("text_clean"))
+                       if notes and clean_note is not None else None),
         "has_order": _null_at(eid, "has_order", od),
         "order_id": F.when((eid % NULL_RESIDUES["order_id"] == 0) | (od == 0), F.lit(None))
                      .otherwise(F.concat(F.lit("P"), F.lpad(eid.cast("string"), 9, "0"))),

@@ -76,16 +76,24 @@ def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
 
 
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
-    A fallback is only set when the session has none (tests, local runs)."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
+
+    Only a local session without that setting (tests, a laptop) gets a
+    fallback folder; on a cluster the setting is required, never a
+    machine-local folder."""
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if d:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(d)
         return d
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
     if fallback is None:
         import tempfile
         fallback = tempfile.mkdtemp(prefix="callsight-ckpt-")
-    spark.sparkContext.setCheckpointDir(fallback)
-    return spark.sparkContext.getCheckpointDir() or fallback
+    sc.setCheckpointDir(fallback)
+    return sc.getCheckpointDir() or fallback
 
 
 def materialize(df: DataFrame) -> DataFrame:
