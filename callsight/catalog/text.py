@@ -25,7 +25,9 @@ TOKENS_SQL = "list_filter(string_split(" + CLEAN_BASIC_SQL + ", ' '), lambda t:
 
 def _doc_tokens(spark, sf_dir, pattern=W.UNICODE_NONWORD):
     docs = documents(spark, sf_dir)
-    return docs.select("doc_id", W.tokenize(tx.clean_basic("text"), pattern).alias("tokens"))
+    clean = tx.clean_basic("text")
+    toks = W.tokenize_cleaned(clean) if pattern == W.UNICODE_NONWORD else W.tokenize(clean, pattern, lower=False)
+    return docs.select("doc_id", toks.alias("tokens"))
 
 
 @register("tokens", raw_sql=f"""
@@ -59,9 +61,9 @@ def q_ngrams(spark, sf_dir):
 
 
 def _tf(spark, sf_dir):
-    t = _doc_tokens(spark, sf_dir)
-    words = W.explode_words(t, "doc_id", "tokens")
-    words = W.remove_stopwords(words, W.stopword_frame(spark, sw.text_model_stopwords()))
+    docs = documents(spark, sf_dir).select("doc_id", tx.clean_basic("text").alias("clean"))
+    words = W.explode_cleaned(docs, "clean", ["doc_id"], 2)
+    words = W.remove_stopwords(words, W.stopword_frame(spark, sw.text_model_stopwords()), case_sensitive=True)
     return W.term_frequencies(words, "doc_id")
 
 

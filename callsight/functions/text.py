@@ -80,25 +80,32 @@ def collapse_spaces(c) -> Column:
     return F.trim(F.regexp_replace(_col(c), r"(?U)\s+", " "))
 
 
+def _letters_only(s: Column, keep: str) -> Column:
+    """``keep_chars`` + (``drop_digits``) + ``collapse_spaces`` in one pass:
+    every maximal run of characters outside ``[keep]`` -- whitespace
+    included -- becomes one space, then the ends are trimmed.  Same output
+    as the step-by-step chain, one regex scan instead of two or three."""
+    return F.trim(F.regexp_replace(s, f"[^{keep}]+", " "))
+
+
 def clean_basic(c) -> Column:
     """Lower, keep letters/accents/ñ, collapse.  The cleaner the app uses."""
-    return collapse_spaces(keep_chars(lower_text(c), KEEP_BASIC))
+    return _letters_only(lower_text(c), KEEP_BASIC)
 
 
 def clean_strict(c, exact: bool = False) -> Column:
     """Lower, strip accents (NFD), keep [a-zñ0-9], drop digits, collapse."""
     if exact:
         return _exact_udf("strict")(_col(c))
-    s = strip_accents(lower_text(c), "NFD")
-    return collapse_spaces(drop_digits(keep_chars(s, KEEP_STRICT)))
+    # digits are kept by the class and then dropped: letters only remain
+    return _letters_only(strip_accents(lower_text(c), "NFD"), "a-zñ")
 
 
 def clean_nb_nfd(c, exact: bool = False) -> Column:
     """Notebook cleaner, NFD accent strip, digits kept."""
     if exact:
         return _exact_udf("nfd")(_col(c))
-    s = strip_accents(lower_text(c), "NFD")
-    return collapse_spaces(keep_chars(s, KEEP_NOTEBOOK))
+    return _letters_only(strip_accents(lower_text(c), "NFD"), KEEP_NOTEBOOK)
 
 
 def clean_nb_nfkd(c, exact: bool = True) -> Column:
@@ -107,8 +114,7 @@ def clean_nb_nfkd(c, exact: bool = True) -> Column:
     exact vectorised path is the default)."""
     if exact:
         return _exact_udf("nfkd")(_col(c))
-    s = strip_accents(lower_text(c), "NFKD")
-    return collapse_spaces(keep_chars(s, KEEP_STRICT))
+    return _letters_only(strip_accents(lower_text(c), "NFKD"), KEEP_STRICT)
 
 
 # --- exact path: small per-value helper, Arrow batches -----------------------
@@ -116,17 +122,24 @@ def clean_nb_nfkd(c, exact: bool = True) -> Column:
 _WS = re.compile(r"\s+")
 
 
+@lru_cache(maxsize=None)
+def _drop_table(kind: str) -> dict[int, None]:
+    """``str.translate`` table deleting every combining character
+    (``kind='combining'``) or every non-spacing mark (``kind='Mn'``)."""
+    if kind == "combining":
+        return {cp: None for cp in range(0x110000) if unicodedata.combining(chr(cp))}
+    return {cp: None for cp in range(0x110000) if unicodedata.category(chr(cp)) == "Mn"}
+
+
 def _py_clean(text, mode: str) -> str:
     if not isinstance(text, str):
         return ""
     t = text.lower()
     if mode == "nfkd":
-        t = unicodedata.normalize("NFKD", t)
-        t = "".join(ch for ch in t if not unicodedata.combining(ch))
+        t = unicodedata.normalize("NFKD", t).translate(_drop_table("combining"))
         t = re.sub(f"[^{KEEP_STRICT}\\s]", " ", t)
     else:
-        t = unicodedata.normalize("NFD", t)
-        t = "".join(ch for ch in t if unicodedata.category(ch) != "Mn")
+        t = unicodedata.normalize("NFD", t).translate(_drop_table("Mn"))
         t = re.sub(f"[^{KEEP_STRICT if mode == 'strict' else KEEP_NOTEBOOK}\\s]", " ", t)
         if mode == "strict":
             t = re.sub(r"\d+", " ", t)
@@ -144,9 +157,12 @@ def _exact_udf(mode: str):
 
 # --- words ----------------------------------------------------------------------
 
-def split_words(c) -> Column:
-    """Whitespace tokens (empty input gives no token)."""
-    return F.filter(F.split(_col(c), r"\s+"), lambda w: F.length(w) > 0)
+def split_words(c, cleaned: bool = False) -> Column:
+    """Whitespace tokens (empty input gives no token).  ``cleaned=True``
+    for the output of a cleaner (single spaces only): a plain one-character
+    split, which skips the regex engine."""
+    parts = F.split(_col(c), " ") if cleaned else F.split(_col(c), r"\s+")
+    return F.filter(parts, lambda w: F.length(w) > 0)
 
 
 def render_note(template, category, channel, has_order) -> Column:

@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import split_words
 
 UNICODE_NONWORD = r"(?U)\W+"
 ASCII_NONWORD = r"\W+"
@@ -32,6 +31,13 @@ def tokenize(c, pattern: str = UNICODE_NONWORD, min_len: int = 2, lower: bool =
     return F.filter(F.split(s, pattern), lambda t: F.length(t) >= min_len)
 
 
+def tokenize_cleaned(c, min_len: int = 2) -> Column:
+    """M8 with the default pattern on the output of ``clean_basic`` (lower
+    case letters and single spaces): the Unicode non-word runs are exactly
+    the single spaces, so a one-character split gives the same tokens."""
+    return F.filter(F.split(_col(c), " "), lambda t: F.length(t) >= min_len)
+
+
 def tokenize_space(c) -> Column:
     """M9: ``Tokenizer`` semantics, lower-case and split on single spaces
     (empty tokens are kept, as in MLlib)."""
@@ -62,7 +68,7 @@ def remove_stopwords(words: DataFrame, stop: DataFrame, case_sensitive: bool = F
     """J6/M11 in long form: left-anti join against a fixed stop-word list.
     The list is bounded, so it is broadcast."""
     key = F.col("word") if case_sensitive else F.lower(F.col("word"))
-    s = stop.select((F.col("word") if case_sensitive else F.lower("word")).alias("_stop")).distinct()
+    s = stop.select(F.lower("word").alias("_stop")).distinct()
     return words.join(F.broadcast(s), key == F.col("_stop"), "left_anti")
 
 
@@ -104,10 +110,18 @@ def top_k_per_group(counts: DataFrame, group: str, value: str = "frequency",
     return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def explode_cleaned(df: DataFrame, text_col: str, keep: Sequence[str], min_len: int = 1) -> DataFrame:
+    """One row per word of a cleaned text (single spaces only).  The length
+    filter runs after ``explode`` as a plain predicate, inside whole-stage
+    codegen (a lambda ``filter`` on the array would be interpreted)."""
+    return (df.select(*keep, F.explode(F.split(F.col(text_col), " ")).alias("word"))
+              .where(F.length("word") >= min_len))
+
+
 def top_words(df: DataFrame, text_col: str, class_col: str = "agent_result", n: int = 30) -> DataFrame:
-    """Per class the ``n`` most common whitespace tokens of an already
-    cleaned text column (word, frequency)."""
-    words = df.select(class_col, F.explode(split_words(text_col)).alias("word"))
+    """Per class the ``n`` most common whitespace tokens of a text
+    column already cleaned by one of the cleaners (word, frequency)."""
+    words = explode_cleaned(df, text_col, [class_col], 1)
     counts = words.groupBy(class_col, "word").agg(F.count(F.lit(1)).alias("frequency"))
     return top_k_per_group(counts, class_col, "frequency", n)
 
@@ -117,9 +131,8 @@ def cloud_terms(df: DataFrame, text_col: str, stop: DataFrame, class_col: str =
     """Term weights of a word cloud per class: tokens of at least
     ``min_len`` characters, stop words removed, the ``max_words`` most
     frequent, weight = frequency / largest frequency of the class."""
-    words = df.select(class_col, F.explode(split_words(text_col)).alias("word")) \
-        .where(F.length("word") >= min_len)
-    words = remove_stopwords(words, stop)
+    words = explode_cleaned(df, text_col, [class_col], min_len)
+    words = remove_stopwords(words, stop, case_sensitive=True)   # cleaned text is lower case
     counts = words.groupBy(class_col, "word").agg(F.count(F.lit(1)).alias("frequency"))
     top = top_k_per_group(counts, class_col, "frequency", max_words)
     w = Window.partitionBy(class_col)
