@@ -9,5 +9,5 @@ fixed scale on both sides; timestamps are emitted as text.  Queries without
 an oracle entry (fitted models) are checked by row counts and invariants.
 """
 
-from . import models, reports, scoring, text  # noqa: F401  (registration side effects)
+from . import reports, scoring, text, models  # noqa: F401  (registration side effects)
 from .registry import ORACLE, QUERIES, contacts  # noqa: F401

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluation
 from ..plans import order_model, recommend, text_model
+from ..plans.model_cache import fitted
 from ..sources.adapter import labelled_notes
 from .registry import contacts, register, with_extra, ORACLE
 from .scoring import propensity_sql
@@ -13,65 +14,72 @@ from .scoring import propensity_sql
 
 # ---- M15-M21, M27, M28, R7 (fitted: no SQL oracle) -----------------------------------
 
+def _notes(spark, sf_dir):
+    """Notes = whole document texts, label = the document quality flag."""
+    return labelled_notes(spark, sf_dir).withColumnRenamed("doc_id", "interaction_id")
+
+
+def _text_model(spark, sf_dir, notebook=False):
+    return fitted(spark, ("text", sf_dir, notebook), lambda: text_model.train_text_model(
+        _notes(spark, sf_dir), "note", "quality", "interaction_id", notebook=notebook))
+
+
+def _order_model(spark, sf_dir, classifier="lr", notebook=False):
+    kw = {"sample_fraction": None, "max_iter": 20} if notebook else {}
+    return fitted(spark, ("orders", sf_dir, classifier, notebook), lambda: order_model.train_order_model(
+        contacts(spark, sf_dir), classifier=classifier, **kw))
+
+
 @register("train_text_model")
 def q_train_text_model(spark, sf_dir):
-    """Notes = whole document texts, label = the document quality flag."""
-    notes = labelled_notes(spark, sf_dir).withColumnRenamed("doc_id", "interaction_id")
-    metrics, _, _, _ = text_model.train_text_model(notes, "note", "quality", "interaction_id")
-    return metrics
+    return _text_model(spark, sf_dir)[0]
 
 
 @register("train_text_model_notebook")
 def q_train_text_model_notebook(spark, sf_dir):
     """Notebook pipeline (NFKD cleaner, space tokenizer, notebook stop
     words, minDF 5), on all labelled notes."""
-    notes = labelled_notes(spark, sf_dir).withColumnRenamed("doc_id", "interaction_id")
-    metrics, _, _, _ = text_model.train_text_model(notes, "note", "quality", "interaction_id", notebook=True)
-    return metrics
+    return _text_model(spark, sf_dir, notebook=True)[0]
 
 
 @register("classify_notes")
 def q_classify_notes(spark, sf_dir):
-    """Fit on the training part of the labelled notes, classify the test part."""
-    notes = labelled_notes(spark, sf_dir).withColumnRenamed("doc_id", "interaction_id")
-    _, _, model, labels = text_model.train_text_model(notes, "note", "quality", "interaction_id")
-    _, test = evaluation.split_train_test(notes, "interaction_id")
+    """M28 in batch: the fitted note model classifies the test part."""
+    _, _, model, labels = _text_model(spark, sf_dir)
+    _, test = evaluation.split_train_test(_notes(spark, sf_dir), "interaction_id")
     return text_model.classify_notes(model, test, labels, "note", "interaction_id", "quality")
 
 
 @register("train_order_model")
 def q_train_order_model(spark, sf_dir):
-    metrics, _, _ = order_model.train_order_model(contacts(spark, sf_dir))
-    return metrics
+    return _order_model(spark, sf_dir)[0]
 
 
 @register("train_order_model_notebook")
 def q_train_order_model_notebook(spark, sf_dir):
     """One pipeline, no 40 % sample, maxIter 20, on all contacts."""
-    metrics, _, _ = order_model.train_order_model(contacts(spark, sf_dir), sample_fraction=None, max_iter=20)
-    return metrics
+    return _order_model(spark, sf_dir, notebook=True)[0]
 
 
 @register("predict_orders")
 def q_predict_orders(spark, sf_dir):
-    df = contacts(spark, sf_dir)
-    _, _, model = order_model.train_order_model(df)
-    return order_model.predict_orders(model, df)
+    """M27 in batch: every contact scored by the fitted order model."""
+    model = _order_model(spark, sf_dir)[2]
+    return order_model.predict_orders(model, contacts(spark, sf_dir))
 
 
 @register("random_forest_orders")
 def q_random_forest_orders(spark, sf_dir):
-    metrics, _, _ = order_model.train_order_model(contacts(spark, sf_dir), classifier="rf")
-    return metrics
+    """The order model with a random forest."""
+    return _order_model(spark, sf_dir, classifier="rf")[0]
 
 
 @register("recommend_actions_model")
 def q_recommend_actions_model(spark, sf_dir):
-    df = contacts(spark, sf_dir)
-    _, _, model = order_model.train_order_model(df)
-    reqs = recommend.requests_from_contacts(df)
-    out = recommend.recommend_actions(reqs, recommend.model_scorer(model))
-    return out
+    """H1-H5 scored by the fitted order model (one plan for all contacts)."""
+    model = _order_model(spark, sf_dir)[2]
+    reqs = recommend.requests_from_contacts(contacts(spark, sf_dir))
+    return recommend.recommend_actions(reqs, recommend.model_scorer(model))
 
 
 # ---- H1-H5, W4 with the fixed-coefficient propensity (SQL oracle) ----------------------

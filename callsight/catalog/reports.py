@@ -9,7 +9,7 @@ from ..functions import calendar as cal
 from ..functions import scalar as sc
 from ..functions import text as tx
 from ..operators import agents, channels, clean, metrics, trends
-from ..sources.adapter import raw_contacts, table
+from ..sources.adapter import attach_notes, raw_contacts, table
 from ..sources.contacts import preview, row_limit_sample
 
 from .registry import (  # noqa: F401
@@ -44,8 +44,10 @@ SELECT interaction_id, client_id, agent_id, channel, agent_result,
        order_id, order_amount, product_category
 FROM contacts ORDER BY interaction_id LIMIT 1000""")
 def q_preview_contacts(spark, sf_dir):
-    """The first 1000 contacts by id (the limit is the feature)."""
-    df = preview(contacts(spark, sf_dir, notes=True), 1000)
+    """The first 1000 contacts by id (the limit is the feature).  The
+    rows are chosen first; only their notes are then fetched."""
+    first = preview(raw_contacts(spark, sf_dir, notes=False), 1000)
+    df = clean.normalize_contacts(attach_notes(spark, sf_dir, first))
     return df.withColumn("contact_ts", F.date_format("contact_ts", TS_TEXT))
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..operators.evaluation import (
     auc_from_histogram, confusion_matrix, metrics_from_confusion, sample_rows, split_train_test,
 )
+from ..sources.contacts import materialize
 from .features import order_feature_pipeline, with_time_features
 from .text_model import split_size_metrics
 
@@ -52,16 +53,23 @@ def train_order_model(df: DataFrame, id_col: str = "interaction_id", sample_frac
         data = data.orderBy(id_col).limit(first_n)
     if sample_fraction is not None and sample_fraction < 1.0:
         data = sample_rows(data, id_col, sample_fraction)
-    train, test = split_train_test(data, id_col, 80)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        train, test = split_train_test(data, id_col, 80)
         model = order_model_pipeline(classifier, max_iter, hour_encoding).fit(train)
+        pred = model.transform(test).select(
+            "label", "prediction", vector_to_array("probability")[1].alias("p_order"))
+        pred = pred.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            cm = materialize(confusion_matrix(pred))
+            auc = auc_from_histogram(_histogram(pred)).select(F.lit("auc").alias("metric"),
+                                                              F.col("auc").alias("value"))
+            metrics = materialize(metrics_from_confusion(cm).unionByName(auc)
+                                  .unionByName(split_size_metrics(data, id_col)))
+        finally:
+            pred.unpersist()
     finally:
-        train.unpersist()
-    pred = model.transform(test).withColumn("p_order", vector_to_array("probability")[1])
-    cm = confusion_matrix(pred)
-    auc = auc_from_histogram(_histogram(pred)).select(F.lit("auc").alias("metric"), F.col("auc").alias("value"))
-    metrics = metrics_from_confusion(cm).unionByName(auc).unionByName(split_size_metrics(data, id_col))
+        data.unpersist()
     return metrics, cm, model
 
 

@@ -23,6 +23,7 @@ from ..functions.text import clean_basic, clean_nb_nfkd
 from ..operators.evaluation import (
     confusion_matrix, metrics_from_confusion, split_sizes, split_train_test,
 )
+from ..sources.contacts import materialize
 from ..sources.models import save_model
 from .features import text_feature_stages
 
@@ -56,18 +57,24 @@ def train_text_model(df: DataFrame, note_col: str = "note", label_col: str = "ag
     data = prepare_notes(df, note_col, label_col, id_col, notebook)
     if first_n is not None:                       # notebook variant: first rows by id (S11)
         data = data.orderBy(id_col).limit(first_n)
-    train, test = split_train_test(data, id_col, 80)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    # the cleaned notes feed the split, every fit pass and the sizes; the
+    # test predictions feed every metric: each is computed once
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        train, test = split_train_test(data, id_col, 80)
         model = text_pipeline(label_col, max_iter, ascii_tokens, notebook).fit(train)
+        labels = list(model.stages[0].labels)
+        # a label never seen in training has no index (the indexer would
+        # fail): such test rows are left out of the evaluation
+        pred = model.transform(test.where(F.col(label_col).isin(labels)))
+        pred = pred.select("label", "prediction").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            cm = materialize(confusion_matrix(pred))
+            metrics = materialize(metrics_from_confusion(cm).unionByName(split_size_metrics(data, id_col)))
+        finally:
+            pred.unpersist()
     finally:
-        train.unpersist()
-    labels = list(model.stages[0].labels)
-    # a label never seen in training has no index (the indexer would fail):
-    # such test rows are left out of the evaluation
-    pred = model.transform(test.where(F.col(label_col).isin(labels)))
-    cm = confusion_matrix(pred)
-    metrics = metrics_from_confusion(cm).unionByName(split_size_metrics(data, id_col))
+        data.unpersist()
     if model_path:
         save_model(model, model_path)
     return metrics, cm, model, labels

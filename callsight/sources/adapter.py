@@ -117,6 +117,23 @@ def raw_contacts(spark: SparkSession, sf_dir: str, notes: bool = True,
     return e.select(*[v.alias(n) for n, v in cols.items() if v is not None])
 
 
+def attach_notes(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
+    """Add the raw ``note`` to a small set of contact rows (e.g. a preview):
+    only the documents those rows reference are read into the join -- a
+    semi-join against the broadcast set of needed ids streams the documents
+    once, without shuffling them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    n_docs = docs.select(F.count(F.lit(1))).scalar()
+    keyed = rows.withColumn("_doc", F.col("interaction_id") % n_docs)
+    needed = keyed.select(F.col("_doc").alias("doc_id")).distinct()
+    wanted = docs.join(F.broadcast(needed), "doc_id", "left_semi")
+    out = keyed.join(wanted, keyed["_doc"] == wanted["doc_id"], "left")
+    note = _null_at(F.col("interaction_id"), "note", F.col("text"))
+    cols = [c for c in rows.columns]
+    pos = cols.index("contact_ts") + 1 if "contact_ts" in cols else len(cols)
+    return out.select(*cols[:pos], note.alias("note"), *cols[pos:])
+
+
 def orders_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders for the 24-hour attribution: every ``purchase`` event."""
     ev = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
