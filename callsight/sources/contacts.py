@@ -23,7 +23,7 @@ def read_contacts(spark: SparkSession, path: str, fmt: str = "csv",
         return spark.read.schema(schema).parquet(path)
     reader = (spark.read.schema(schema).option("header", True)
               .option("mode", "PERMISSIVE").option("multiLine", True)
-              .option("escape", '"').option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss"))
+              .option("escape", '"'))   # default time parsing: 'yyyy-MM-dd HH:mm:ss' and ISO 'T' forms
     if na_as_null:
         reader = reader.option("nullValue", "NA")
     return reader.csv(path)
