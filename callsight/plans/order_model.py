@@ -84,9 +84,6 @@ def predict_orders(model: PipelineModel, df: DataFrame, id_col: str = "interacti
                    ts_col: str = "contact_ts") -> DataFrame:
     """M27 in batch: predicted class and P(order) for every row of ``df``
     (any number of contacts or candidate times in one job)."""
-    x = with_time_features(df, ts_col)
-    if "label" not in x.columns:
-        x = x.withColumn("label", F.lit(None).cast("double"))
-    pred = model.transform(x)
+    pred = model.transform(with_time_features(df, ts_col))
     return pred.select(id_col, F.col("prediction").cast("int").alias("predicted_order"),
                        vector_to_array("probability")[1].alias("p_order"))

@@ -134,3 +134,17 @@ def test_attribution_windows_random(spark, hours):
     want = {cid: sum(1 for _, ocl, ot, _ in os_ if ocl == cl and t <= ot <= t + timedelta(hours=hours))
             for cid, cl, t in cs}
     assert got == want
+
+
+def test_recommend_margin_and_ties(spark):
+    """an uplift of exactly 0.03 is no action; equal probabilities -> later hour."""
+    def scorer(df):
+        return df.withColumn("p", F.when(F.col("hour").isin(11, 12), F.lit(0.53)).otherwise(F.lit(0.5)))
+    reqs = spark.createDataFrame([(1, "llamada", "interesado", 10), (2, "whatsapp", "interesado", 12)],
+                                 "request_id long, channel string, agent_result string, hour int")
+    out = {r.request_id: r for r in recommend.recommend_actions(reqs, scorer).collect()}
+    assert out[1].best_hour == 12                       # 11 and 12 tie: the later hour wins
+    assert abs(out[1].best_p - (out[1].p_current + 0.03)) < 1e-12
+    assert out[1].actions == "keep"                     # not strictly more than 0.03
+    assert out[2].best_hour == 12 and out[2].actions == "keep"
+    assert out[1].best_hours_text.startswith("12:00 (~53.0%), 11:00 (~53.0%)")
