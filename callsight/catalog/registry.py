@@ -29,11 +29,13 @@ def register(name: str, sql: str | None = None, raw_sql: str | None = None):
     return deco
 
 
-def contacts(spark: SparkSession, sf_dir: str, notes: bool = False, clean_note=None) -> DataFrame:
+def contacts(spark: SparkSession, sf_dir: str, notes: bool = False, clean_note=None,
+             note_ref: bool = False) -> DataFrame:
     """Normalised contacts (P7 over the adapter); with ``clean_note`` also
-    ``note_clean``, cleaned once per document text (see the adapter)."""
+    ``note_clean``, cleaned once per document text; with ``note_ref`` the
+    key of the note's text instead of the text (see the adapter)."""
     return clean.normalize_contacts(raw_contacts(spark, sf_dir, notes=notes or clean_note is not None,
-                                                 clean_note=clean_note))
+                                                 clean_note=clean_note, note_ref=note_ref))
 
 
 def with_extra(cte_tail: str) -> str:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import stopwords as sw
 from ..functions import text as tx
 from ..operators import words as W
-from ..sources.adapter import documents, table
+from ..sources.adapter import documents, note_texts, table
 from ..sources.contacts import materialize
 from .registry import contacts, register, with_extra
 
@@ -103,8 +103,9 @@ def q_tfidf(spark, sf_dir):
 
 @register("top_words")
 def q_top_words(spark, sf_dir):
-    df = contacts(spark, sf_dir, clean_note=tx.clean_nb_nfd)
-    return W.top_words(df, "note_clean", n=30)
+    refs = contacts(spark, sf_dir, note_ref=True)
+    counts = W.class_word_counts_by_ref(refs, note_texts(spark, sf_dir, tx.clean_nb_nfd))
+    return W.top_words(None, counts=counts, n=30)
 
 
 from .registry import ORACLE  # noqa: E402
@@ -119,9 +120,10 @@ SELECT * FROM r WHERE rank <= 30""")
 
 @register("cloud_terms")
 def q_cloud_terms(spark, sf_dir):
-    df = contacts(spark, sf_dir, clean_note=tx.clean_basic)
+    refs = contacts(spark, sf_dir, note_ref=True)
     stop = W.stopword_frame(spark, sw.cloud_stopwords())
-    out = W.cloud_terms(df, "note_clean", stop, max_words=80)
+    counts = W.class_word_counts_by_ref(refs, note_texts(spark, sf_dir, tx.clean_basic), min_len=2, stop=stop)
+    out = W.cloud_terms(None, None, None, max_words=80, counts=counts)
     return out.withColumn("weight", F.round("weight", 9))
 
 

@@ -94,10 +94,12 @@ def idf_weights(stats: DataFrame, n_docs) -> DataFrame:
 
 
 def tfidf(tf: DataFrame, idf: DataFrame) -> DataFrame:
-    """Long-form TF-IDF: one row per (document, term).  The join is on the
-    term; AQE broadcasts the vocabulary when its measured size allows and
-    otherwise splits the partitions of very frequent terms (skew join)."""
-    return tf.join(idf.select("word", "idf"), "word", "inner") \
+    """Long-form TF-IDF: one row per (document, term), joined on the term.
+    The vocabulary grows with the corpus and its size estimate (an
+    aggregate of exploded text) is unreliable, so it is never broadcast:
+    a shuffle hash join builds each partition's share of the vocabulary
+    (one row per term) and streams the (document, term) rows past it."""
+    return tf.join(idf.select("word", "idf").hint("shuffle_hash"), "word", "inner") \
         .withColumn("tfidf", F.col("tf") * F.col("idf"))
 
 
@@ -118,22 +120,62 @@ def explode_cleaned(df: DataFrame, text_col: str, keep: Sequence[str], min_len:
               .where(F.length("word") >= min_len))
 
 
-def top_words(df: DataFrame, text_col: str, class_col: str = "agent_result", n: int = 30) -> DataFrame:
+def class_word_counts(df: DataFrame, text_col: str, class_col: str = "agent_result",
+                      min_len: int = 1, stop: DataFrame | None = None) -> DataFrame:
+    """(class, word, frequency) over rows that carry their cleaned text."""
+    words = explode_cleaned(df, text_col, [class_col], min_len)
+    if stop is not None:
+        words = remove_stopwords(words, stop, case_sensitive=True)   # cleaned text is lower case
+    return words.groupBy(class_col, "word").agg(F.count(F.lit(1)).alias("frequency"))
+
+
+def class_word_counts_by_ref(refs: DataFrame, texts: DataFrame, class_col: str = "agent_result",
+                             ref_col: str = "note_ref", text_col: str = "note_clean",
+                             missing_ref: int = -1, min_len: int = 1,
+                             stop: DataFrame | None = None) -> DataFrame:
+    """(class, word, frequency) when rows reference shared texts by key.
+
+    Aggregation before the join: rows are counted per (text, class) first,
+    each text is tokenised and counted once, and the per-text word counts
+    are weighted by the row counts.  The work follows the number of
+    distinct texts, not the number of rows, and a key shared by a third of
+    all rows is one aggregated row here.  Rows whose key is NULL or not
+    among the texts count as ``missing_ref``."""
+    w = refs.groupBy(ref_col, class_col).agg(F.count(F.lit(1)).alias("_n"))
+    known = texts.select(F.col(ref_col).alias("_known"))
+    w = (w.join(known, w[ref_col] == known["_known"], "left")
+          .select(F.when(F.col("_known").isNull(), F.lit(missing_ref).cast("long"))
+                   .otherwise(F.col(ref_col)).alias(ref_col), class_col, "_n")
+          .groupBy(ref_col, class_col).agg(F.sum("_n").alias("_n")))
+    words = explode_cleaned(texts, text_col, [ref_col], min_len)
+    if stop is not None:
+        words = remove_stopwords(words, stop, case_sensitive=True)
+    per_text = words.groupBy(ref_col, "word").agg(F.count(F.lit(1)).alias("_k"))
+    # Shuffle hash join, built per partition from the aggregated row counts:
+    # the per-text word counts grow with the corpus and must not be
+    # broadcast, and the join output is produced in parallel over them.
+    return (w.hint("shuffle_hash").join(per_text, ref_col)
+             .groupBy(class_col, "word").agg(F.sum(F.col("_n") * F.col("_k")).alias("frequency")))
+
+
+def top_words(df: DataFrame, text_col: str | None = None, class_col: str = "agent_result", n: int = 30,
+              counts: DataFrame | None = None) -> DataFrame:
     """Per class the ``n`` most common whitespace tokens of a text
-    column already cleaned by one of the cleaners (word, frequency)."""
-    words = explode_cleaned(df, text_col, [class_col], 1)
-    counts = words.groupBy(class_col, "word").agg(F.count(F.lit(1)).alias("frequency"))
+    column already cleaned by one of the cleaners (word, frequency).
+    ``counts`` may be given precomputed (e.g. ``class_word_counts_by_ref``)."""
+    if counts is None:
+        counts = class_word_counts(df, text_col, class_col, 1)
     return top_k_per_group(counts, class_col, "frequency", n)
 
 
-def cloud_terms(df: DataFrame, text_col: str, stop: DataFrame, class_col: str = "agent_result",
-                max_words: int = 100, min_len: int = 2) -> DataFrame:
+def cloud_terms(df: DataFrame | None, text_col: str | None, stop: DataFrame | None,
+                class_col: str = "agent_result", max_words: int = 100, min_len: int = 2,
+                counts: DataFrame | None = None) -> DataFrame:
     """Term weights of a word cloud per class: tokens of at least
     ``min_len`` characters, stop words removed, the ``max_words`` most
     frequent, weight = frequency / largest frequency of the class."""
-    words = explode_cleaned(df, text_col, [class_col], min_len)
-    words = remove_stopwords(words, stop, case_sensitive=True)   # cleaned text is lower case
-    counts = words.groupBy(class_col, "word").agg(F.count(F.lit(1)).alias("frequency"))
+    if counts is None:
+        counts = class_word_counts(df, text_col, class_col, min_len, stop)
     top = top_k_per_group(counts, class_col, "frequency", max_words)
     w = Window.partitionBy(class_col)
     return top.withColumn("weight", F.col("frequency") / F.max("frequency").over(w))

@@ -61,8 +61,12 @@ def _null_at(eid, column: str, value):
     return F.when(eid % NULL_RESIDUES[column] == 0, F.lit(None)).otherwise(value)
 
 
+MISSING_NOTE_REF = -1
+
+
 def raw_contacts(spark: SparkSession, sf_dir: str, notes: bool = True,
-                 clean_note: Callable[[Column], Column] | None = None) -> DataFrame:
+                 clean_note: Callable[[Column], Column] | None = None,
+                 note_ref: bool = False) -> DataFrame:
     """Raw (un-normalised) contacts.  ``notes=False`` leaves out the note
     column and with it the join against ``documents``.
 
@@ -70,7 +74,10 @@ def raw_contacts(spark: SparkSession, sf_dir: str, notes: bool = True,
     after the sentinel rule (what P10 adds after P7).  It is evaluated once
     per document, before the join that hands each text to many contacts,
     instead of once per contact; a missing note gets the cleaned sentinel
-    (a constant)."""
+    (a constant).
+
+    ``note_ref=True`` adds ``note_ref``, the id of the document holding the
+    note (NULL when the note is missing), without reading any text."""
     ev = table(spark, sf_dir, "events")
     eid = F.col("event_id")
     k = F.regexp_extract("props", r"([0-9]+)", 1).try_cast("int")
@@ -89,6 +96,9 @@ def raw_contacts(spark: SparkSession, sf_dir: str, notes: bool = True,
         # the measured size of the documents side at run time.
         e = e.withColumn("_doc", eid % n_docs)
         e = e.join(docs, e["_doc"] == docs["doc_id"], "left")
+    if note_ref:
+        n_all = table(spark, sf_dir, "documents").select(F.count(F.lit(1))).scalar()
+        e = e.withColumn("note_ref", _null_at(eid, "note", eid % n_all))
     kk, od = F.col("k"), F.col("ord")
     interested = ((od == 1) & (kk % 10 < 8)) | ((F.col("event_type") == "click") & (kk % 10 < 3))
     category = (F.when(kk % 3 == 0, "conectividad").when(kk % 3 == 1, "movilidad")
@@ -114,9 +124,23 @@ def raw_contacts(spark: SparkSession, sf_dir: str, notes: bool = True,
         "product_category": F.when((eid % NULL_RESIDUES["product_category"] == 0) | (od == 0),
                                    F.lit(None)).otherwise(category),
     }
+    if note_ref:
+        cols["note_ref"] = F.col("note_ref")
     return e.select(*[v.alias(n) for n, v in cols.items() if v is not None])
 
 
+def note_texts(spark: SparkSession, sf_dir: str,
+               clean_note: Callable[[Column], Column]) -> DataFrame:
+    """The texts contacts refer to by ``note_ref``, cleaned once per text,
+    plus the cleaned missing-note sentinel under ``MISSING_NOTE_REF``."""
+    docs = documents(spark, sf_dir).select(
+        F.col("doc_id").alias("note_ref"),
+        clean_note(F.coalesce(F.col("text"), F.lit(MISSING_NOTE))).alias("note_clean"))
+    missing = spark.range(1).select(F.lit(MISSING_NOTE_REF).cast("long").alias("note_ref"),
+                                    clean_note(F.lit(MISSING_NOTE)).alias("note_clean"))
+    return docs.unionByName(missing)
+
+
 def attach_notes(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
     """Add the raw ``note`` to a small set of contact rows (e.g. a preview):
     only the documents those rows reference are read into the join -- a
