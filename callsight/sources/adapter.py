@@ -46,10 +46,14 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     cluster has cores (e.g. one parquet row group), so CPU-heavy text work
     runs in parallel.  Inputs that are already split are left alone: at
     scale this adds no shuffle."""
-    par = df.sparkSession.sparkContext.defaultParallelism
+    spark = df.sparkSession
+    par = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= par:
         return df
-    return df.repartition(par, key)
+    # the session's shuffle width, so a later join or aggregate on the same
+    # key reuses this partitioning instead of shuffling the text again
+    width = max(par, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(width, key)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,17 +89,17 @@ def raw_contacts(spark: SparkSession, sf_dir: str, notes: bool = True,
     e = ev.select("event_id", "ts", "user_id", "event_type", "value",
                   k.alias("k"), ordered.alias("ord"))
     if notes:
-        # the event side streams through the join and carries the note text
-        # into CPU-heavy cleaning: spread it when it arrives thin
-        e = spread(e, "event_id")
-        docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+        # the sort-merge join below shuffles the events by the document key;
+        # the documents are spread (when thin) before the per-text cleaning
+        docs = documents(spark, sf_dir)
         if clean_note is not None:
             docs = docs.withColumn("text_clean", clean_note(F.coalesce(F.col("text"), F.lit(MISSING_NOTE))))
-        n_docs = docs.select(F.count(F.lit(1))).scalar()
-        # Equi-join on a derived key; AQE picks broadcast or sort-merge from
-        # the measured size of the documents side at run time.
+        n_docs = table(spark, sf_dir, "documents").select(F.count(F.lit(1))).scalar()
+        # Equi-join on a derived key.  The planner's size estimate counts a
+        # text as a few bytes, so it would broadcast the whole corpus; a
+        # sort-merge join (spills, no size limit) is requested instead.
         e = e.withColumn("_doc", eid % n_docs)
-        e = e.join(docs, e["_doc"] == docs["doc_id"], "left")
+        e = e.join(docs.hint("merge"), e["_doc"] == docs["doc_id"], "left")
     if note_ref:
         n_all = table(spark, sf_dir, "documents").select(F.count(F.lit(1))).scalar()
         e = e.withColumn("note_ref", _null_at(eid, "note", eid % n_all))
