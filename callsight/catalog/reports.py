@@ -32,9 +32,9 @@ def q_normalize_contacts(spark, sf_dir):
 
 
 _F3_SQL = """
-SELECT count_if(has_order = 1 AND order_id = 'NA') AS order_without_id,
-       count_if(has_order = 0 AND order_amount <> 0) AS no_order_with_amount,
-       count_if(has_order = 0 AND product_category <> 'NA') AS no_order_with_category
+SELECT CAST(count_if(has_order = 1 AND order_id = 'NA') AS BIGINT) AS order_without_id,
+       CAST(count_if(has_order = 0 AND order_amount <> 0) AS BIGINT) AS no_order_with_amount,
+       CAST(count_if(has_order = 0 AND product_category <> 'NA') AS BIGINT) AS no_order_with_category
 FROM {t}"""
 
 
@@ -87,7 +87,7 @@ _SCHEMA_CHECKS_SQL = {
 
 
 def _schema_violations_sql(t: str) -> str:
-    aggs = ",\n ".join(f"count_if({p}) AS {n}" for n, p in _SCHEMA_CHECKS_SQL.items())
+    aggs = ",\n ".join(f"CAST(count_if({p}) AS BIGINT) AS {n}" for n, p in _SCHEMA_CHECKS_SQL.items())
     names = list(_SCHEMA_CHECKS_SQL) + ["interaction_id_duplicates"]
     union = "\nUNION ALL ".join(f"SELECT '{n}' AS rule_name, {n} AS n_violations FROM agg" for n in names)
     return (f", agg AS (SELECT {aggs},\n count(interaction_id) - count(DISTINCT interaction_id)"
@@ -209,9 +209,9 @@ ORACLE["render_notes"] = _with_extra(_render_sql())
 
 @register("kpis", """
 SELECT count(*) AS total_contacts, avg(has_order) AS order_rate,
-       count_if(has_order = 1) AS orders, count_if(has_order = 0) AS non_orders,
-       count_if(has_order IS NULL) AS unknown_flag,
-       count_if(has_order = 0) / count(*) AS non_order_rate
+       CAST(count_if(has_order = 1) AS BIGINT) AS orders, CAST(count_if(has_order = 0) AS BIGINT) AS non_orders,
+       CAST(count_if(has_order IS NULL) AS BIGINT) AS unknown_flag,
+       CAST(count_if(has_order = 0) AS BIGINT) / count(*) AS non_order_rate
 FROM contacts""")
 def q_kpis(spark, sf_dir):
     return metrics.kpis(contacts(spark, sf_dir))
@@ -233,7 +233,7 @@ def q_null_counts(spark, sf_dir):
         .withColumnRenamed("column", "column_name")
 
 
-ORACLE["null_counts"] = _with_extra(_long_form_sql("count_if({c} IS NULL)", "n_nulls", "raw_contacts"))
+ORACLE["null_counts"] = _with_extra(_long_form_sql("CAST(count_if({c} IS NULL) AS BIGINT)", "n_nulls", "raw_contacts"))
 
 
 @register("null_fractions")
@@ -312,8 +312,8 @@ def q_monthly_conversion(spark, sf_dir):
 
 
 @register("monthly_interest", f"""
-SELECT {_YM}, count_if(agent_result = 'interesado') AS interested,
-       count_if(agent_result = 'no_interesado') AS not_interested
+SELECT {_YM}, CAST(count_if(agent_result = 'interesado') AS BIGINT) AS interested,
+       CAST(count_if(agent_result = 'no_interesado') AS BIGINT) AS not_interested
 FROM contacts GROUP BY ALL""")
 def q_monthly_interest(spark, sf_dir):
     return trends.monthly_interest(contacts(spark, sf_dir))
@@ -326,9 +326,9 @@ def q_interest_long(spark, sf_dir):
 
 @register("interest_pivot", """
 SELECT CAST(month(contact_ts) AS INTEGER) AS month,
-       count_if(agent_result = 'interesado') AS interesado,
-       count_if(agent_result = 'no_interesado') AS no_interesado,
-       count_if(agent_result = 'no_especificado') AS no_especificado
+       CAST(count_if(agent_result = 'interesado') AS BIGINT) AS interesado,
+       CAST(count_if(agent_result = 'no_interesado') AS BIGINT) AS no_interesado,
+       CAST(count_if(agent_result = 'no_especificado') AS BIGINT) AS no_especificado
 FROM contacts GROUP BY ALL""")
 def q_interest_pivot(spark, sf_dir):
     return trends.interest_pivot(contacts(spark, sf_dir))
@@ -351,16 +351,16 @@ def q_volume_by_day(spark, sf_dir):
 
 
 @register("hour_weekday_matrix", "SELECT CAST(hour(contact_ts) AS INTEGER) AS hour, " + ", ".join(
-    f"count_if(dayofweek(contact_ts) + 1 = {i}) AS d{i}" for i in range(1, 8)) + " FROM contacts GROUP BY ALL")
+    f"CAST(count_if(dayofweek(contact_ts) + 1 = {i}) AS BIGINT) AS d{i}" for i in range(1, 8)) + " FROM contacts GROUP BY ALL")
 def q_hour_weekday_matrix(spark, sf_dir):
     return trends.hour_weekday_matrix(contacts(spark, sf_dir))
 
 
 @register("interest_by_hour", """
 SELECT CAST(hour(contact_ts) AS INTEGER) AS hour, count(*) AS total_contacts,
-       count_if(agent_result = 'interesado') AS interested,
-       count_if(agent_result = 'no_interesado') AS not_interested,
-       count_if(agent_result = 'interesado') / count(*) AS interest_rate
+       CAST(count_if(agent_result = 'interesado') AS BIGINT) AS interested,
+       CAST(count_if(agent_result = 'no_interesado') AS BIGINT) AS not_interested,
+       CAST(count_if(agent_result = 'interesado') AS BIGINT) / count(*) AS interest_rate
 FROM contacts GROUP BY ALL""")
 def q_interest_by_hour(spark, sf_dir):
     return trends.interest_by_hour(contacts(spark, sf_dir))

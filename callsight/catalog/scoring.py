@@ -137,7 +137,7 @@ def q_order_numbers(spark, sf_dir):
 
 
 @register("order_summary", """
-SELECT count_if(has_order = 1) AS orders, avg(CASE WHEN has_order = 1 THEN 1.0 ELSE 0.0 END::DOUBLE) AS order_share
+SELECT CAST(count_if(has_order = 1) AS BIGINT) AS orders, avg(CASE WHEN has_order = 1 THEN 1.0 ELSE 0.0 END::DOUBLE) AS order_share
 FROM contacts""")
 def q_order_summary(spark, sf_dir):
     return rules.order_summary(contacts(spark, sf_dir))
@@ -274,7 +274,7 @@ def q_binary_metrics(spark, sf_dir):
 , s AS (SELECT has_order, round({propensity_sql(client_factor=_factor_sql('client_id'),
                                                 agent_factor=_factor_sql('agent_id'))}, 4) AS score
         FROM contacts WHERE has_order IS NOT NULL),
- h AS (SELECT score, count_if(has_order = 1) AS pos, count_if(has_order = 0) AS neg FROM s GROUP BY score),
+ h AS (SELECT score, CAST(count_if(has_order = 1) AS BIGINT) AS pos, CAST(count_if(has_order = 0) AS BIGINT) AS neg FROM s GROUP BY score),
  c AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
                  AS neg_below FROM h)
 SELECT round(sum(pos * (neg_below + neg / 2.0::DOUBLE)) / (sum(pos)::DOUBLE * sum(neg)::DOUBLE), 9) AS auc,

@@ -7,7 +7,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from conftest import SF
-from tools.oracle_check import compare
+from tools.oracle_check import compare, compare_types
 
 NAMES = sorted(oracle_sql())
 
@@ -34,5 +34,5 @@ def test_entry(spark):
 def test_query_equals_oracle(spark, con, name):
     sdf = queries()[name](spark, SF)
     res = con.execute(oracle_sql()[name])
-    err = compare(sdf, res.fetchall(), [d[0] for d in res.description])
+    err = compare(sdf, res.fetchall(), [d[0] for d in res.description]) or compare_types(sdf, res.description)
     assert err is None, err
