@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.rules import propensity_score
+from ..sources.contacts import materialize
 from .features import with_time_features
 
 # Candidate hours, reference date, improvement margin, texts.
@@ -80,7 +81,9 @@ def recommend_actions(requests: DataFrame, scorer: Scorer = rule_scorer, id_col:
     """H3-H5 per request (``id_col, channel, agent_result, hour``): current
     probability, best hour, other channel's probability, the actions that
     would raise the probability by more than ``margin``, and the class text."""
-    profiles = requests.select("channel", "agent_result", "hour").distinct()
+    # the distinct profiles (bounded by the category domains x 24 hours)
+    # feed four branches below: computed once, not once per branch
+    profiles = materialize(requests.select("channel", "agent_result", "hour").distinct())
     prof = profiles.withColumn("other_channel", other_channel("channel"))
     cur = scorer(profiles).withColumnRenamed("p", "p_current")
     oth = scorer(prof.select(F.col("other_channel").alias("channel"), "agent_result", "hour").distinct()) \
