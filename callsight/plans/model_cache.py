@@ -21,7 +21,7 @@ _LOCK = Lock()
 
 def fitted(spark: SparkSession, key: tuple, fit: Callable[[], Any]) -> Any:
     """Return the cached result of ``fit()`` for ``key`` in this application."""
-    k = (spark.sparkContext.applicationId, *key)
+    k = (spark.conf.get("spark.app.id", None) or id(spark), *key)
     with _LOCK:
         if k in _CACHE:
             return _CACHE[k]

@@ -47,8 +47,11 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     runs in parallel.  Inputs that are already split are left alone: at
     scale this adds no shuffle."""
     spark = df.sparkSession
-    par = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= par:
+    try:
+        par = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= par:
+            return df
+    except Exception:  # noqa: BLE001  (no RDD access, e.g. a Spark Connect session)
         return df
     # the session's shuffle width, so a later join or aggregate on the same
     # key reuses this partitioning instead of shuffling the text again
