@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import percent_label, ratio
+from .quantiles import exact_quantiles
 
 CATEGORICAL = ("channel", "agent_result", "product_category")
 NUMERIC = ("has_order", "order_amount")
@@ -56,19 +57,20 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] = NUMERIC) -> DataFra
     """Count, mean, sample std, min, quartiles (linear interpolation,
     exact), max per numeric column; one row per column.
 
-    The quartiles use the exact ``percentile`` aggregate, whose buffer is a
-    value->count map: its size is the number of distinct values, bounded for
-    the flag (2) and for amounts with cents in a fixed range."""
+    The quartiles come from ``exact_quantiles`` (bucketed ranks, no column's
+    values gathered in one task), the moments from one aggregate."""
     longf = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns
     ])).alias("x")).select("x.column", "x.v")
-    q = F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return (longf.groupBy("column").agg(
+    stats = longf.groupBy("column").agg(
         F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), q.alias("q"), F.max("v").alias("max"))
-        .select("column", "count", "mean", "std", "min",
-                F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"),
-                "max"))
+        F.min("v").alias("min"), F.max("v").alias("max"))
+    probs = {0.25: "p25", 0.5: "p50", 0.75: "p75"}
+    q = (exact_quantiles(longf, "column", "v", list(probs))
+         .groupBy("column").pivot("p", list(probs)).agg(F.first("q")))
+    q = q.withColumnsRenamed({str(p): name for p, name in probs.items()})
+    return stats.join(q, "column", "left").select(
+        "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def top_values(df: DataFrame, columns: Sequence[str] = CATEGORICAL, k: int = 10) -> DataFrame:

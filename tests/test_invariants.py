@@ -148,3 +148,18 @@ def test_recommend_margin_and_ties(spark):
     assert out[1].actions == "keep"                     # not strictly more than 0.03
     assert out[2].best_hour == 12 and out[2].actions == "keep"
     assert out[1].best_hours_text.startswith("12:00 (~53.0%), 11:00 (~53.0%)")
+
+
+@pytest.mark.parametrize("values_per_bucket", [1_000_000, 500, 37])
+def test_exact_quantiles_equal_percentile(spark, values_per_bucket):
+    import random
+    from callsight.operators.quantiles import exact_quantiles
+    rnd = random.Random(7)
+    rows = ([("a", float(rnd.randint(0, 50))) for _ in range(3000)] + [("b", rnd.random() * 100) for _ in range(4000)]
+            + [("c", 7.0), ("d", None)])
+    df = spark.createDataFrame(rows, "k string, v double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+    ref = {(r.k, p): v for r in df.groupBy("k").agg(F.percentile("v", F.array(*[F.lit(p) for p in probs])).alias("q"))
+           .collect() if r.q for p, v in zip(probs, r.q)}
+    got = {(r.k, r.p): r.q for r in exact_quantiles(df, "k", "v", probs, values_per_bucket).collect()}
+    assert got == ref
