@@ -53,10 +53,10 @@ def spread(df: DataFrame, key: str) -> DataFrame:
             return df
     except Exception:  # noqa: BLE001  (no RDD access, e.g. a Spark Connect session)
         return df
-    # the session's shuffle width, so a later join or aggregate on the same
-    # key reuses this partitioning instead of shuffling the text again
-    width = max(par, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(width, key)
+    # by column only: the session's shuffle width, so a later join or
+    # aggregate on the same key reuses this partitioning, and AQE may
+    # coalesce the partitions by their measured size
+    return df.repartition(key)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
