@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import stopwords as sw
+from ..functions.scalar import decode_label
 from ..functions.text import clean_basic, clean_nb_nfkd
 from ..operators.evaluation import (
     confusion_matrix, metrics_from_confusion, split_sizes, split_train_test,
@@ -112,8 +113,7 @@ def classify_notes(model: PipelineModel, df: DataFrame, labels: Sequence[str],
     idx = F.col("prediction").cast("int")
     return pred.select(
         id_col,
-        F.when((idx >= 0) & (idx < len(labels)), F.element_at(lab, idx + 1))
-         .otherwise(F.col("prediction").cast("string")).alias("predicted_label"),
+        decode_label("prediction", labels).alias("predicted_label"),     # P12
         F.element_at(probs, idx + 1).alias("confidence"),
         ranked.alias("class_probabilities"),
     )

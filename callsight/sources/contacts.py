@@ -98,9 +98,17 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared checkpoint folder
-    (survives executor loss, unlike a local checkpoint)."""
+    (survives executor loss, unlike a local checkpoint).
+
+    A reliable checkpoint writes its files in a second job after the one that
+    computes the data; the data is persisted for the duration so that the
+    second job reads it instead of computing it again."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
 
 
 def with_ts_text(df: DataFrame, col: str = "contact_ts") -> DataFrame:
