@@ -33,11 +33,11 @@ def exact_quantiles(df: DataFrame, key: str, value: str, probs: Sequence[float],
         bounds = hist.groupBy(key).agg(F.percentile_approx("_v", cuts, 10000).alias("_b"))
         hist = hist.join(bounds, key).withColumn(
             "_bucket", F.size(F.filter("_b", lambda b: b < F.col("_v")))).drop("_b")
+        # one consistent bucketing for the branches below (sketch merges need
+        # not be repeatable, a recomputed branch must see the same buckets)
+        hist = materialize(hist)
     else:
         hist = hist.withColumn("_bucket", F.lit(0))
-    # one consistent bucketing for the branches below (sketch merges need not
-    # be repeatable, a recomputed branch must see the same buckets)
-    hist = materialize(hist)
     bc = hist.groupBy(key, "_bucket").agg(F.sum("_c").alias("_bn"))
     before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     bc = (bc.withColumn("_off", F.coalesce(F.sum("_bn").over(before), F.lit(0)))
