@@ -25,7 +25,9 @@ def _text_model(spark, sf_dir, notebook=False):
 
 
 def _order_model(spark, sf_dir, classifier="lr", notebook=False):
-    kw = {"sample_fraction": None, "max_iter": 20} if notebook else {}
+    # the registered queries train on the whole table; the studied code's
+    # 40 % memory-saving sample stays available as ``sample_fraction=0.4``
+    kw = {"sample_fraction": None, "max_iter": 20} if notebook else {"sample_fraction": None}
     return fitted(spark, ("orders", sf_dir, classifier, notebook), lambda: order_model.train_order_model(
         contacts(spark, sf_dir), classifier=classifier, **kw))
 
