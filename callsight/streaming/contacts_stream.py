@@ -38,11 +38,21 @@ def scored_stream(stream: DataFrame, model: PipelineModel) -> DataFrame:
     return predict_orders(model, normalize_contacts(stream))
 
 
+def wall_clock_as_utc(ts) -> F.Column:
+    """A naive wall-clock time as the instant it names in UTC (event time
+    needs a zoned timestamp; reading it as UTC keeps day windows equal to
+    wall-clock days whatever the session time zone)."""
+    t = F.col(ts) if isinstance(ts, str) else ts
+    sec = F.date_format(t, "ss.SSSSSS").cast("decimal(8,6)")
+    return F.make_timestamp(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t), sec, F.lit("UTC"))
+
+
 def daily_volume_stream(stream: DataFrame, watermark: str = "2 days") -> DataFrame:
     """R2 as a windowed streaming aggregate: contacts and orders per day,
     emitted once the watermark passes the end of the day."""
-    x = normalize_contacts(stream).withColumn("event_ts", F.col("contact_ts").cast("timestamp"))
+    x = normalize_contacts(stream).withColumn("event_ts", wall_clock_as_utc("contact_ts"))
+    day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("w.start")) / 86400).cast("int"))
     return (x.withWatermark("event_ts", watermark)
-             .groupBy(F.window("event_ts", "1 day").alias("day"))
+             .groupBy(F.window("event_ts", "1 day").alias("w"))
              .agg(F.count(F.lit(1)).alias("total_contacts"), F.sum("has_order").alias("total_orders"))
-             .select(F.to_date(F.col("day.start")).alias("day"), "total_contacts", "total_orders"))
+             .select(day.alias("day"), "total_contacts", "total_orders"))

@@ -28,3 +28,6 @@ def test_stream_matches_batch(spark):
     q.stop()
     total = spark.sql("SELECT sum(total_contacts) FROM daily_out").first()[0]
     assert total == 1000
+    streamed_days = {tuple(r) for r in spark.sql("SELECT day, total_contacts, total_orders FROM daily_out").collect()}
+    batch_days = {tuple(r) for r in QUERIES["volume_by_day"](spark, SF).collect()}
+    assert streamed_days == batch_days
