@@ -77,3 +77,17 @@ def test_frame_helpers(spark, golden):
     req = inputs_frame(spark, [(1, "llamada", "interesado", 10)],
                        "request_id long, channel string, agent_result string, hour int")
     assert req.count() == 1
+
+
+def test_small_helpers(golden):
+    """P8, P9, P11, P16, F1, F2, F4, F5."""
+    df = clean.normalize_contacts(golden)
+    assert clean.by_result(df, "interesado").count() == 7
+    assert clean.with_order(df).count() == 6 and clean.without_order(df).count() == 5
+    assert clean.is_empty(clean.by_result(df, "nadie")) and not clean.is_empty(df)
+    assert clean.require_nonblank_note(golden).count() == 10          # NULL note and '' dropped
+    assert clean.drop_incomplete(golden, ["has_order"]).count() == 11
+    assert clean.project(df, "interaction_id", "channel").columns == ["interaction_id", "channel"]
+    assert "medio" in clean.rename(df, {"channel": "medio"}).columns
+    flags = df.select(sc.flag_int(F.col("has_order") == 1).alias("f")).collect()
+    assert sorted({r.f for r in flags}, key=lambda v: (v is None, v)) == [0, 1, None]
