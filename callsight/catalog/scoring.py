@@ -7,7 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions import scalar as sc
-from ..operators import attribution, evaluation, numbering, rules
+from ..operators import agents, attribution, evaluation, numbering, rules
 from ..sources.adapter import orders_from_events
 from .registry import ORACLE, TS_TEXT, contacts, register, with_extra
 
@@ -100,6 +100,18 @@ def _weights_sql() -> str:
             " w_mov / (w_con + w_mov + w_hog) AS p_mov, w_hog / (w_con + w_mov + w_hog) AS p_hog FROM w)\n")
 
 
+@register("agent_factors", f"""
+SELECT agent_id, CAST(sum(has_order) AS BIGINT) AS total_orders, count(*) AS total_contacts,
+       {_factor_sql('agent_id')} AS agent_factor
+FROM contacts GROUP BY agent_id""")
+def q_agent_factors(spark, sf_dir):
+    """The per-agent summary with each agent's latent factor looked up
+    in the agent dimension (a join of two per-agent aggregates)."""
+    df = contacts(spark, sf_dir)
+    summary = agents.agent_summary(df)
+    return rules.lookup_factor(summary, rules.factor_table(summary, "agent_id"), "agent_id", "agent_factor")
+
+
 @register("category_weights")
 def q_category_weights(spark, sf_dir):
     out = rules.category_weights(contacts(spark, sf_dir))

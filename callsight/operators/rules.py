@@ -90,11 +90,14 @@ def propensity_score(result, channel, ts, client_factor=None, agent_factor=None,
 
 
 def rule_propensity(df: DataFrame, agent_dim: DataFrame | None = None) -> DataFrame:
-    """G1 over a contact table: client factor from the id hash (computed in
-    place: the client dimension is as large as the data), agent factor by
-    lookup in the (small) agent dimension."""
-    agent_dim = agent_dim if agent_dim is not None else factor_table(df, "agent_id")
-    x = lookup_factor(df, agent_dim, "agent_id", "agent_factor")
+    """G1 over a contact table.  The latent client and agent effects are
+    functions of the id, computed in place: one pass, no shuffle of the
+    contacts (a lookup join by agent would hash all contacts onto the few
+    agent keys).  An explicit ``agent_dim`` (J3 lookup) is used when given."""
+    if agent_dim is not None:
+        x = lookup_factor(df, agent_dim, "agent_id", "agent_factor")
+    else:
+        x = df.withColumn("agent_factor", latent_factor("agent_id"))
     x = x.withColumn("client_factor", latent_factor("client_id"))
     return x.withColumn("propensity", propensity_score(
         "agent_result", "channel", "contact_ts", "client_factor", "agent_factor"))

@@ -163,3 +163,14 @@ def test_exact_quantiles_equal_percentile(spark, values_per_bucket):
            .collect() if r.q for p, v in zip(probs, r.q)}
     got = {(r.k, r.p): r.q for r in exact_quantiles(df, "k", "v", probs, values_per_bucket).collect()}
     assert got == ref
+
+
+def test_lookup_factor_equals_in_place(spark):
+    """The lookup join gives the same propensities as the in-place factor."""
+    df = contacts(spark, SF)
+    inline = rules.rule_propensity(df).select("interaction_id", "propensity")
+    looked = rules.rule_propensity(df, rules.factor_table(df, "agent_id")).select(
+        "interaction_id", F.col("propensity").alias("p2"))
+    j = inline.join(looked, "interaction_id")
+    assert j.count() == df.count()
+    assert j.where(F.col("propensity") != F.col("p2")).count() == 0
