@@ -14,7 +14,6 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-TS_TEXT_SQL = "'%Y-%m-%d %H:%M:%S.%f'"
 
 
 def register(name: str, sql: str | None = None, raw_sql: str | None = None):

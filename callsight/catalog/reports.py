@@ -12,9 +12,8 @@ from ..operators import agents, channels, clean, metrics, trends
 from ..sources.adapter import attach_notes, raw_contacts, table
 from ..sources.contacts import preview, row_limit_sample
 
-from .registry import (  # noqa: F401
-    ORACLE, QUERIES, TS_TEXT, contacts, register, with_extra as _with_extra,
-)
+from .registry import ORACLE, TS_TEXT, contacts, register
+from .registry import with_extra as _with_extra
 
 
 # =============================================================================
