@@ -86,6 +86,10 @@ def raw_contacts(spark: SparkSession, sf_dir: str, notes: bool = True,
     ``note_ref=True`` adds ``note_ref``, the id of the document holding the
     note (NULL when the note is missing), without reading any text."""
     ev = table(spark, sf_dir, "events")
+    if not notes:
+        # without the note join (which shuffles the events anyway) a thin
+        # events input would run every per-contact expression in one task
+        ev = spread(ev, "event_id")
     eid = F.col("event_id")
     k = F.regexp_extract("props", r"([0-9]+)", 1).try_cast("int")
     ordered = F.when(F.col("event_type").isin(*ORDER_EVENTS), 1).otherwise(0)
