@@ -7,4 +7,10 @@ Layout: ``sources`` (readers, writers, driver-table adapter), ``functions``
 with their DuckDB oracle text).
 """
 
-__version__ = "0.1.0"
+from pyspark import cloudpickle as _cloudpickle
+
+__version__ = "0.2.0"
+
+# Python workers may not have this package on their path: the few functions
+# that run in tasks travel with the query instead of by module name.
+_cloudpickle.register_pickle_by_value(__import__(__name__))

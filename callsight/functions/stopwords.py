@@ -1,18 +1,19 @@
 """Stop-word lists.
 
 The base lists are MLlib's defaults (the files ``StopWordsRemover.
-loadDefaultStopWords`` reads), taken from the MLlib jar so they are
-available without a running JVM (e.g. to write oracle SQL).
+loadDefaultStopWords`` reads), kept unchanged as package data in
+``stopwords_data/`` so they are available without a JVM or Spark's jars
+(e.g. to write oracle SQL).
 """
 
 from __future__ import annotations
 
-import glob
 import os
-import zipfile
+import unicodedata
 from functools import lru_cache
 
-# Negations kept by the text model, and its extra words.
+# Fixed values (this tuple and the three below): negations kept by the text
+# model, and the extra words of the text model, the notebook and the cloud.
 KEEP_NEGATIONS = ("no", "nunca", "ni")
 TEXT_MODEL_EXTRAS = (
     "dijo", "comento", "menciono", "indico", "pidio", "mostro", "solicito", "confirmo",
@@ -52,11 +53,9 @@ CLOUD_EXTRAS = (
 @lru_cache(maxsize=None)
 def default_stopwords(language: str = "spanish") -> tuple[str, ...]:
     """MLlib's default list for ``language``, in file order."""
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jars[0]) as z:
-        raw = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
+    path = os.path.join(os.path.dirname(__file__), "stopwords_data", f"{language}.txt")
+    with open(path, encoding="utf-8") as f:
+        raw = f.read()
     return tuple(w for w in raw.split("\n") if w)
 
 

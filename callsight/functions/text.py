@@ -5,13 +5,11 @@ whole-stage codegen.  Accent stripping (Unicode NFD/NFKD followed by
 removal of combining marks) has no SQL function; the fast path uses a
 ``translate`` table derived once from :mod:`unicodedata` by rule (every
 code point whose decomposition, stripped of marks, is a single ASCII letter
-or digit).  ``exact=True`` switches to an Arrow-batched pandas UDF running
-the normalisation itself, for scripts outside that table.
+or digit).
 """
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from functools import lru_cache
 
@@ -93,10 +91,8 @@ def clean_basic(c) -> Column:
     return _letters_only(lower_text(c), KEEP_BASIC)
 
 
-def clean_strict(c, exact: bool = False) -> Column:
+def clean_strict(c) -> Column:
     """Lower, strip accents (NFD), keep [a-zñ0-9], drop digits, collapse."""
-    if exact:
-        return _exact_udf("strict")(_col(c))
     # digits are kept by the class and then dropped: letters only remain.
     # After accent stripping no ñ can be left (it decomposes to n + mark),
     # so the kept class is exactly [a-z] -- and Java's regex engine is far
@@ -104,60 +100,56 @@ def clean_strict(c, exact: bool = False) -> Column:
     return _letters_only(strip_accents(lower_text(c), "NFD"), "a-z")
 
 
-def clean_nb_nfd(c, exact: bool = False) -> Column:
+def clean_nb_nfd(c) -> Column:
     """Notebook cleaner, NFD accent strip, digits kept."""
-    if exact:
-        return _exact_udf("nfd")(_col(c))
     # ñ and the accented vowels of KEEP_NOTEBOOK cannot survive the accent
     # stripping: the class is exactly [a-z0-9] on the stripped text
     return _letters_only(strip_accents(lower_text(c), "NFD"), "a-z0-9")
 
 
-def clean_nb_nfkd(c, exact: bool = True) -> Column:
-    """Notebook UDF cleaner, NFKD (compatibility forms such as ligatures
-    expand to several letters, which ``translate`` cannot express, so the
-    exact vectorised path is the default)."""
-    if exact:
-        return _exact_udf("nfkd")(_col(c))
-    return _letters_only(strip_accents(lower_text(c), "NFKD"), "a-z0-9")   # ñ is stripped to n
-
-
-# --- exact path: small per-value helper, Arrow batches -----------------------
-
-_WS = re.compile(r"\s+")
+def clean_nb_nfkd(c) -> Column:
+    """Notebook cleaner with NFKD.  Native like the others; only a text
+    holding a character that NFKD expands to several letters (ligatures,
+    fractions: ``translate`` cannot express them) goes through a pandas UDF
+    running the normalisation itself.  All other texts reach it as NULL."""
+    s = lower_text(c)
+    native = _letters_only(strip_accents(s, "NFKD"), "a-z0-9")   # ñ is stripped to n
+    rare = s.rlike(f"[{expanding_class()}]")
+    return F.when(rare, _nfkd_udf()(F.when(rare, s))).otherwise(native)
 
 
 @lru_cache(maxsize=None)
-def _drop_table(kind: str) -> dict[int, None]:
-    """``str.translate`` table deleting every combining character
-    (``kind='combining'``) or every non-spacing mark (``kind='Mn'``)."""
-    if kind == "combining":
-        return {cp: None for cp in range(0x110000) if unicodedata.combining(chr(cp))}
-    return {cp: None for cp in range(0x110000) if unicodedata.category(chr(cp)) == "Mn"}
-
-
-def _py_clean(text, mode: str) -> str:
-    if not isinstance(text, str):
-        return ""
-    t = text.lower()
-    if mode == "nfkd":
-        t = unicodedata.normalize("NFKD", t).translate(_drop_table("combining"))
-        t = re.sub(f"[^{KEEP_STRICT}\\s]", " ", t)
-    else:
-        t = unicodedata.normalize("NFD", t).translate(_drop_table("Mn"))
-        t = re.sub(f"[^{KEEP_STRICT if mode == 'strict' else KEEP_NOTEBOOK}\\s]", " ", t)
-        if mode == "strict":
-            t = re.sub(r"\d+", " ", t)
-    return _WS.sub(" ", t).strip()
+def expanding_class() -> str:
+    """Regex class (ranges, built by rule) of the code points that NFKD turns
+    into text with an ASCII letter or digit and that ``accent_table`` does
+    not hold: several characters, or one from outside the BMP."""
+    held = set(accent_table("NFKD")[0])
+    cps = []
+    for cp in range(0x80, 0x110000):
+        ch = chr(cp)
+        if 0xD800 <= cp <= 0xDFFF or ch in held:
+            continue
+        dec = unicodedata.normalize("NFKD", ch)
+        if dec != ch and any(x.isascii() and x.isalnum() for x in dec):
+            cps.append(cp)
+    out, lo = [], None
+    for a, b in zip(cps, cps[1:] + [None]):
+        lo = a if lo is None else lo
+        if b != a + 1:
+            out.append(f"\\x{{{lo:x}}}-\\x{{{a:x}}}")
+            lo = None
+    return "".join(out)
 
 
 @lru_cache(maxsize=None)
-def _exact_udf(mode: str):
+def _nfkd_udf():
     @F.pandas_udf(T.StringType())
-    def _clean(s: pd.Series) -> pd.Series:
-        return s.map(lambda v: _py_clean(v, mode))
+    def clean(s: pd.Series) -> pd.Series:
+        dec = s.str.normalize("NFKD")
+        bare = dec.map(lambda v: "".join(x for x in v if not unicodedata.combining(x)), na_action="ignore")
+        return bare.str.replace("[^a-z0-9]+", " ", regex=True).str.strip()
 
-    return _clean
+    return clean
 
 
 # --- words ----------------------------------------------------------------------
@@ -168,17 +160,3 @@ def split_words(c, cleaned: bool = False) -> Column:
     split, which skips the regex engine."""
     parts = F.split(_col(c), " ") if cleaned else F.split(_col(c), r"\s+")
     return F.filter(parts, lambda w: F.length(w) > 0)
-
-
-def render_note(template, category, channel, has_order) -> Column:
-    """Fill ``{cat}`` and ``{medio}``; without an order the category
-    phrase is removed, spaces squeezed and the space before . , ! ? dropped."""
-    t = _col(template)
-    without = F.regexp_replace(F.replace(t, F.lit(" de {cat}"), F.lit("")), r"\{cat\}", "")
-    without = F.trim(F.regexp_replace(without, r"\s+", " "))
-    filled = F.when(_col(has_order) == 1,
-                    F.replace(t, F.lit("{cat}"), F.coalesce(_col(category), F.lit(""))))
-    filled = filled.otherwise(without)
-    filled = F.replace(filled, F.lit("{medio}"), F.coalesce(_col(channel), F.lit("")))
-    filled = F.regexp_replace(filled, r" ([.,!?])", "$1")
-    return F.trim(F.regexp_replace(filled, r"\s+", " "))
