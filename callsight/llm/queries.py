@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from .licenses import op5_licenses
+from .merkle import op10_fingerprints
 from .sharding import op1_sharding
 from .simhash import op9_simhash
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op5_licenses": op5_licenses,
     "op9_simhash": op9_simhash,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 # DuckDB SQL where the question is SQL-expressible (none: each of these needs
