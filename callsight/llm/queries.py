@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from .kdsearch import op7_search
 from .licenses import op5_licenses
 from .merkle import op10_fingerprints
 from .sharding import op1_sharding
 from .simhash import op9_simhash
+from .toxicity import op4_toxicity
+from .urlfilter import op8_urls
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op4_toxicity": op4_toxicity,
     "op5_licenses": op5_licenses,
+    "op7_search": op7_search,
+    "op8_urls": op8_urls,
     "op9_simhash": op9_simhash,
     "op10_fingerprints": op10_fingerprints,
 }
