@@ -5,6 +5,7 @@ from __future__ import annotations
 from .kdsearch import op7_search
 from .licenses import op5_licenses
 from .merkle import op10_fingerprints
+from .repeats import op2_repeats
 from .sharding import op1_sharding
 from .simhash import op9_simhash
 from .toxicity import op4_toxicity
@@ -12,6 +13,7 @@ from .urlfilter import op8_urls
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_repeats": op2_repeats,
     "op4_toxicity": op4_toxicity,
     "op5_licenses": op5_licenses,
     "op7_search": op7_search,
