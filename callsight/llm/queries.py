@@ -5,21 +5,31 @@ from __future__ import annotations
 from .kdsearch import op7_search
 from .licenses import op5_licenses
 from .merkle import op10_fingerprints
+from .packing import op6_packing
 from .repeats import op2_repeats
 from .sharding import op1_sharding
 from .simhash import op9_simhash
 from .toxicity import op4_toxicity
 from .urlfilter import op8_urls
 
+
+def pipeline(spark, sf_dir: str):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_repeats": op2_repeats,
     "op4_toxicity": op4_toxicity,
     "op5_licenses": op5_licenses,
+    "op6_packing": op6_packing,
     "op7_search": op7_search,
     "op8_urls": op8_urls,
     "op9_simhash": op9_simhash,
     "op10_fingerprints": op10_fingerprints,
+    "pipeline": pipeline,
 }
 
 # DuckDB SQL where the question is SQL-expressible (none: each of these needs
