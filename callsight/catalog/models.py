@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import evaluation
 from ..plans import order_model, recommend, text_model
 from ..plans.model_cache import fitted
-from ..sources.adapter import labelled_notes
+from ..sources.adapter import documents, labelled_notes, table
 from .registry import contacts, register, with_extra, ORACLE
-from .scoring import propensity_sql
+from .scoring import RATES_SQL
 
 
 # ---- M15-M21, M27, M28, R7 (fitted: no SQL oracle) -----------------------------------
@@ -19,8 +18,15 @@ def _notes(spark, sf_dir):
     return labelled_notes(spark, sf_dir).withColumnRenamed("doc_id", "interaction_id")
 
 
+def _stamp(spark, sf_dir, *names):
+    """Paths, sizes and times of the input files: rewritten data is fitted anew."""
+    files = [table(spark, sf_dir, n).select("_metadata.file_path", "_metadata.file_size",
+                                            "_metadata.file_modification_time").distinct() for n in names]
+    return tuple(f.agg(F.bit_xor(F.xxhash64(*f.columns))).first()[0] for f in files)
+
+
 def _text_model(spark, sf_dir, notebook=False):
-    return fitted(spark, ("text", sf_dir, notebook), lambda: text_model.train_text_model(
+    return fitted(spark, ("text", sf_dir, notebook, _stamp(spark, sf_dir, "documents", "labels")), lambda: text_model.train_text_model(
         _notes(spark, sf_dir), "note", "quality", "interaction_id", notebook=notebook))
 
 
@@ -28,7 +34,7 @@ def _order_model(spark, sf_dir, classifier="lr", notebook=False):
     # the registered queries train on the whole table; the studied code's
     # 40 % memory-saving sample stays available as ``sample_fraction=0.4``
     kw = {"sample_fraction": None, "max_iter": 20} if notebook else {"sample_fraction": None}
-    return fitted(spark, ("orders", sf_dir, classifier, notebook), lambda: order_model.train_order_model(
+    return fitted(spark, ("orders", sf_dir, classifier, notebook, _stamp(spark, sf_dir, "events")), lambda: order_model.train_order_model(
         contacts(spark, sf_dir), classifier=classifier, **kw))
 
 
@@ -46,10 +52,10 @@ def q_train_text_model_notebook(spark, sf_dir):
 
 @register("classify_notes")
 def q_classify_notes(spark, sf_dir):
-    """M28 in batch: the fitted note model classifies the test part."""
+    """M28 in batch: the fitted note model classifies every non-blank document."""
     _, _, model, labels = _text_model(spark, sf_dir)
-    _, test = evaluation.split_train_test(_notes(spark, sf_dir), "interaction_id")
-    return text_model.classify_notes(model, test, labels, "note", "interaction_id", "quality")
+    notes = documents(spark, sf_dir).withColumnsRenamed({"doc_id": "interaction_id", "text": "note"})
+    return text_model.classify_notes(model, notes, labels, "note", "interaction_id", "quality")
 
 
 @register("train_order_model")
@@ -84,40 +90,43 @@ def q_recommend_actions_model(spark, sf_dir):
     return recommend.recommend_actions(reqs, recommend.model_scorer(model))
 
 
-# ---- H1-H5, W4 with the fixed-coefficient propensity (SQL oracle) ----------------------
+# ---- H1-H5, W4 with measured order rates (SQL oracle) ----------------------
 
-_P = propensity_sql(result="agent_result", channel="{ch}", ts="make_timestamp(2025, 1, 1, {h}, 0, 0.0)")
-_PROFILES = """
+_PROFILES = RATES_SQL + """
 , req AS (SELECT interaction_id AS request_id, channel, agent_result, CAST(hour(contact_ts) AS INTEGER) AS hour
           FROM contacts),
  prof AS (SELECT DISTINCT channel, agent_result, hour FROM req),
  g AS (SELECT channel, agent_result, CAST(unnest(range(9, 22)) AS INTEGER) AS hour
        FROM (SELECT DISTINCT channel, agent_result FROM prof)),
- gs AS (SELECT *, {p} AS p FROM g),
+ gs AS (SELECT g.*, coalesce(rates.p, (SELECT o FROM overall)) AS p FROM g LEFT JOIN rates USING (channel, agent_result, hour)),
  rk AS (SELECT *, CAST(row_number() OVER (PARTITION BY channel, agent_result ORDER BY p DESC, hour DESC)
                   AS INTEGER) AS rank FROM gs),
  top AS (SELECT *, printf('%02d:00 (~%.1f%%)', hour, p * 100) AS label FROM rk WHERE rank <= 3)
-""".replace("{p}", _P.format(ch="channel", h="hour"))
+"""
+
+
+def _rates(spark, sf_dir):
+    return recommend.rate_scorer(contacts(spark, sf_dir).withColumn("hour", F.hour("contact_ts")))
 
 
 @register("score_hours", _PROFILES + "SELECT channel, agent_result, hour, round(p, 9) AS p FROM gs")
 def q_score_hours(spark, sf_dir):
     reqs = recommend.requests_from_contacts(contacts(spark, sf_dir))
-    out = recommend.score_hours(reqs)
+    out = recommend.score_hours(reqs, _rates(spark, sf_dir))
     return out.select("channel", "agent_result", "hour", F.round("p", 9).alias("p"))
 
 
 @register("best_hours", _PROFILES + "SELECT channel, agent_result, rank, hour, round(p, 9) AS p, label FROM top")
 def q_best_hours(spark, sf_dir):
     reqs = recommend.requests_from_contacts(contacts(spark, sf_dir))
-    out = recommend.best_hours(recommend.score_hours(reqs))
+    out = recommend.best_hours(recommend.score_hours(reqs, _rates(spark, sf_dir)))
     return out.select("channel", "agent_result", "rank", "hour", F.round("p", 9).alias("p"), "label")
 
 
 @register("recommend_actions")
 def q_recommend_actions(spark, sf_dir):
     reqs = recommend.requests_from_contacts(contacts(spark, sf_dir))
-    out = recommend.recommend_actions(reqs)
+    out = recommend.recommend_actions(reqs, _rates(spark, sf_dir))
     return out.withColumns({c: F.round(c, 9) for c in ("p_current", "p_other", "best_p")})
 
 
@@ -125,12 +134,13 @@ ORACLE["recommend_actions"] = with_extra(_PROFILES + f"""
 , summ AS (SELECT channel, agent_result, string_agg(label, ', ' ORDER BY rank) AS best_hours_text,
                   arg_min(hour, rank) AS best_hour, arg_min(p, rank) AS best_p FROM top GROUP BY ALL),
  pr AS (SELECT *, CASE WHEN channel = 'llamada' THEN 'whatsapp' ELSE 'llamada' END AS other_channel FROM prof),
- sc AS (SELECT *, {_P.format(ch='channel', h='hour')} AS p_current,
-               {_P.format(ch='other_channel', h='hour')} AS p_other FROM pr),
+ sc AS (SELECT pr.*, coalesce(a.p, (SELECT o FROM overall)) AS p_current, coalesce(b.p, (SELECT o FROM overall)) AS p_other
+        FROM pr LEFT JOIN rates a ON a.channel = pr.channel AND a.agent_result = pr.agent_result AND a.hour = pr.hour
+                LEFT JOIN rates b ON b.channel = pr.other_channel AND b.agent_result = pr.agent_result AND b.hour = pr.hour),
  j AS (SELECT sc.*, summ.best_hours_text, summ.best_hour, summ.best_p FROM sc LEFT JOIN summ USING (channel, agent_result)),
  a AS (SELECT *, list_filter([CASE WHEN best_hour <> hour AND best_p > p_current + 0.03::DOUBLE
-                                   THEN printf('reschedule to %02d:00', best_hour) END,
-                              CASE WHEN p_other > p_current + 0.03::DOUBLE THEN 'switch to ' || other_channel END],
+                                   THEN printf('reschedule to %02d:00 (~%.1f%%)', best_hour, best_p * 100) END,
+                              CASE WHEN p_other > p_current + 0.03::DOUBLE THEN printf('switch to %s (~%.1f%%)', other_channel, p_other * 100) END],
                              lambda x: x IS NOT NULL) AS acts FROM j)
 SELECT req.request_id, req.channel, req.agent_result, req.hour, a.other_channel,
        round(a.p_current, 9) AS p_current, round(a.p_other, 9) AS p_other, a.best_hours_text, a.best_hour,

@@ -52,11 +52,11 @@ def q_preview_contacts(spark, sf_dir):
 
 @register("row_limit_sample", """
 SELECT channel, agent_result, count(*) AS contacts, CAST(sum(has_order) AS BIGINT) AS orders
-FROM (SELECT * FROM contacts ORDER BY interaction_id LIMIT 5000) GROUP BY ALL""")
+FROM (SELECT * FROM contacts ORDER BY interaction_id LIMIT 50000) GROUP BY ALL""")
 def q_row_limit_sample(spark, sf_dir):
-    """The first 5000 contacts by id as a working sample (the sampling
+    """The first 50,000 contacts by id as a working sample (the sampling
     operator itself), summarised per channel and result."""
-    s = row_limit_sample(contacts(spark, sf_dir), 5000)
+    s = row_limit_sample(contacts(spark, sf_dir), 50000)
     return s.groupBy("channel", "agent_result").agg(F.count(F.lit(1)).alias("contacts"),
                                                     F.sum("has_order").alias("orders"))
 
@@ -166,42 +166,6 @@ def q_format_ids(spark, sf_dir):
                      sc.format_id("A", F.col("event_id") % 37 + 1).alias("agent_ref"))
 
 
-# Note templates for the rendering check (own wording).
-NOTE_TEMPLATES = (
-    "Cliente pregunta por planes de {cat} y pide seguimiento por {medio} .",
-    "Revisa la oferta de {cat} , volver a llamar !",
-    "Sin decision sobre {cat} ; contactar por {medio} ?",
-    "Interes general en servicios , enviar resumen por {medio} .",
-)
-
-
-def _render_sql() -> str:
-    case = "CASE interaction_id % 4 " + " ".join(
-        f"WHEN {i} THEN '{t}'" for i, t in enumerate(NOTE_TEMPLATES)) + " END"
-    return f"""
-, tpl AS (SELECT interaction_id, product_category, channel, has_order, {case} AS template FROM contacts),
- r AS (SELECT interaction_id,
-   CASE WHEN has_order = 1 THEN replace(template, '{{cat}}', coalesce(product_category, ''))
-        ELSE trim(regexp_replace(regexp_replace(replace(template, ' de {{cat}}', ''), '\\{{cat\\}}', '', 'g'),
-                                 '\\s+', ' ', 'g')) END AS t1, channel FROM tpl)
-SELECT interaction_id,
-  trim(regexp_replace(regexp_replace(replace(t1, '{{medio}}', coalesce(channel, '')),
-       ' ([.,!?])', '\\1', 'g'), '\\s+', ' ', 'g')) AS note_text
-FROM r"""
-
-
-@register("render_notes")
-def q_render_notes(spark, sf_dir):
-    df = contacts(spark, sf_dir)
-    tpl = F.element_at(F.array(*[F.lit(t) for t in NOTE_TEMPLATES]),
-                       (F.col("interaction_id") % len(NOTE_TEMPLATES) + 1).cast("int"))
-    return df.select("interaction_id", tx.render_note(tpl, "product_category", "channel",
-                                                      "has_order").alias("note_text"))
-
-
-ORACLE["render_notes"] = _with_extra(_render_sql())
-
-
 # =============================================================================
 # Indicators and distributions
 # =============================================================================

@@ -7,49 +7,22 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions import scalar as sc
-from ..operators import agents, attribution, evaluation, numbering, rules
+from ..operators import attribution, evaluation, numbering, rules
+from ..plans.recommend import rate_scorer
 from ..sources.adapter import orders_from_events
-from .registry import ORACLE, TS_TEXT, contacts, register, with_extra
+from .registry import ORACLE, TS_TEXT, contacts, register
 
 _MD5_U32 = "('0x' || substr(md5(CAST({x} AS VARCHAR)), 1, 8))::BIGINT"
 
 
-def _factor_sql(x: str) -> str:
-    return f"(CAST({_MD5_U32.format(x=x)} % 1001 - 500 AS DOUBLE) / 10000.0::DOUBLE)"
-
-
-def _terms_between_sql(x: str, terms) -> str:
-    out = "0.0::DOUBLE"
-    for lo, hi, v in terms:
-        out = f"({out} + CASE WHEN {x} BETWEEN {lo} AND {hi} THEN {v}::DOUBLE ELSE 0.0::DOUBLE END)"
-    return out
-
-
-def _terms_in_sql(x: str, terms) -> str:
-    out = "0.0::DOUBLE"
-    for values, v in terms:
-        vals = ", ".join(str(a) for a in values)
-        out = f"({out} + CASE WHEN {x} IN ({vals}) THEN {v}::DOUBLE ELSE 0.0::DOUBLE END)"
-    return out
-
-
-def propensity_sql(result="agent_result", channel="channel", ts="contact_ts",
-                   client_factor=None, agent_factor=None) -> str:
-    """G1 in DuckDB SQL, built from the same constants as the Spark expression."""
-    day = f"day({ts})"
-    s = (f"CASE WHEN {result} = 'interesado' THEN {rules.BASE_INTERESTED}::DOUBLE "
-         f"ELSE {rules.BASE_OTHER}::DOUBLE END")
-    s = f"({s} + CASE WHEN {channel} = 'whatsapp' THEN {rules.WHATSAPP_BONUS}::DOUBLE ELSE 0.0::DOUBLE END)"
-    s = f"({s} + {_terms_between_sql(f'hour({ts})', rules.HOUR_TERMS)})"
-    s = f"({s} + {_terms_in_sql(f'(isodow({ts}) - 1)', rules.WEEKDAY_TERMS)})"
-    s = f"({s} + {_terms_in_sql(f'month({ts})', rules.MONTH_TERMS)})"
-    s = (f"({s} + CASE WHEN ({day} <= 3 OR {day} BETWEEN 14 AND 17 OR {day} >= 29) "
-         f"THEN {rules.PAYDAY_BONUS}::DOUBLE ELSE 0.0::DOUBLE END)")
-    for f in (client_factor, agent_factor):
-        if f is not None:
-            s = f"({s} + coalesce({f}, 0.0::DOUBLE))"
-    lo, hi = rules.PROB_RANGE
-    return f"least(greatest({s}, {lo}::DOUBLE), {hi}::DOUBLE)"
+# Order rate per channel, result and hour, drawn towards the overall
+# rate by ten contacts; a profile without contacts has the overall rate
+RATES_SQL = """
+, overall AS (SELECT sum(has_order)::DOUBLE / count(has_order)::DOUBLE AS o FROM contacts),
+ rates AS (SELECT channel, agent_result, CAST(hour(contact_ts) AS INTEGER) AS hour,
+                  (sum(has_order)::DOUBLE + 10.0::DOUBLE * max(o)) / (count(has_order)::DOUBLE + 10.0::DOUBLE) AS p
+           FROM contacts, overall GROUP BY ALL)
+"""
 
 
 # ---- J4 ----------------------------------------------------------------------------
@@ -72,70 +45,7 @@ def q_attribute_orders(spark, sf_dir):
                             "orders_amount": F.round("orders_amount", 2)})
 
 
-# ---- G1-G5, J3, W5 -------------------------------------------------------------------
-
-@register("rule_propensity", f"""
-SELECT interaction_id, {_factor_sql('agent_id')} AS agent_factor, {_factor_sql('client_id')} AS client_factor,
-       round({propensity_sql(client_factor=_factor_sql('client_id'), agent_factor=_factor_sql('agent_id'))}, 9)
-         AS propensity
-FROM contacts""")
-def q_rule_propensity(spark, sf_dir):
-    out = rules.rule_propensity(contacts(spark, sf_dir))
-    return out.select("interaction_id", "agent_factor", "client_factor",
-                      F.round("propensity", 9).alias("propensity"))
-
-
-def _weights_sql() -> str:
-    h, d, m = "hour(contact_ts)", "(isodow(contact_ts) - 1)", "month(contact_ts)"
-
-    def add(cond, v):
-        return f" + CASE WHEN {cond} THEN {v}::DOUBLE ELSE 0.0::DOUBLE END"
-    work, night, weekend, sunday, novdec = (f"({h} BETWEEN 9 AND 17 AND {d} < 5)", f"{h} BETWEEN 18 AND 21",
-                                            f"{d} >= 5", f"{d} = 6", f"{m} IN (11, 12)")
-    con = f"((0.4::DOUBLE{add(work, 0.15)}){add(novdec, 0.03)})"
-    mov = f"((0.3::DOUBLE{add(night, 0.10)}){add(weekend, 0.05)})"
-    hog = f"((((0.3::DOUBLE{add(night, 0.05)}){add(weekend, 0.05)}){add(sunday, 0.08)}){add(novdec, 0.05)})"
-    return (f", w AS (SELECT interaction_id, {con} AS w_con, {mov} AS w_mov, {hog} AS w_hog FROM contacts),\n"
-            " p AS (SELECT interaction_id, w_con / (w_con + w_mov + w_hog) AS p_con,"
-            " w_mov / (w_con + w_mov + w_hog) AS p_mov, w_hog / (w_con + w_mov + w_hog) AS p_hog FROM w)\n")
-
-
-@register("agent_factors", f"""
-SELECT agent_id, CAST(sum(has_order) AS BIGINT) AS total_orders, count(*) AS total_contacts,
-       {_factor_sql('agent_id')} AS agent_factor
-FROM contacts GROUP BY agent_id""")
-def q_agent_factors(spark, sf_dir):
-    """The per-agent summary with each agent's latent factor looked up
-    in the agent dimension (a join of two per-agent aggregates)."""
-    df = contacts(spark, sf_dir)
-    summary = agents.agent_summary(df)
-    return rules.lookup_factor(summary, rules.factor_table(summary, "agent_id"), "agent_id", "agent_factor")
-
-
-@register("category_weights")
-def q_category_weights(spark, sf_dir):
-    out = rules.category_weights(contacts(spark, sf_dir))
-    return out.select("interaction_id", *[F.round(c, 9).alias(c) for c in ("p_con", "p_mov", "p_hog")])
-
-
-ORACLE["category_weights"] = with_extra(
-    _weights_sql() + "SELECT interaction_id, round(p_con, 9) AS p_con, round(p_mov, 9) AS p_mov, "
-    "round(p_hog, 9) AS p_hog FROM p")
-
-
-@register("threshold_category")
-def q_threshold_category(spark, sf_dir):
-    out = rules.category_weights(contacts(spark, sf_dir))
-    out = out.withColumn("u", rules.hash_unit("interaction_id", "category:"))
-    return out.select("interaction_id", "u", rules.threshold_category("p_con", "p_mov", "u").alias("category"))
-
-
-ORACLE["threshold_category"] = with_extra(
-    _weights_sql() + ", u AS (SELECT p.*, ('0x' || substr(md5('category:' || CAST(interaction_id AS VARCHAR)), 1, 8))"
-    "::BIGINT / 4294967296.0::DOUBLE AS u FROM p)\n"
-    "SELECT interaction_id, u, CASE WHEN u < p_con THEN 'conectividad' WHEN u < p_con + p_mov THEN 'movilidad' "
-    "ELSE 'hogar' END AS category FROM u")
-
+# ---- G5, W5 -------------------------------------------------------------------
 
 @register("order_numbers", f"""
 , o AS (SELECT interaction_id FROM contacts WHERE has_order = 1),
@@ -211,11 +121,12 @@ def q_one_hot_long(spark, sf_dir):
 # ---- A22, A23, M22-M26 (fixed-rule predictions) -------------------------------------------
 
 def rule_predictions(spark, sf_dir):
-    """Label = order flag (NULL dropped), prediction = 'interested', score = G1 propensity."""
-    df = rules.rule_propensity(contacts(spark, sf_dir)).where(F.col("has_order").isNotNull())
+    """Label = order flag (NULL dropped), prediction = 'interested', score = the measured order rate."""
+    all_rows = contacts(spark, sf_dir).withColumn("hour", F.hour("contact_ts"))
+    df = rate_scorer(all_rows)(all_rows).where(F.col("has_order").isNotNull())
     return df.select(F.col("has_order").cast("double").alias("label"),
                      (F.col("agent_result") == "interesado").cast("double").alias("prediction"),
-                     F.col("propensity"))
+                     F.col("p").alias("propensity"))
 
 
 _CM_SQL = """
@@ -282,10 +193,10 @@ def q_binary_metrics(spark, sf_dir):
     return evaluation.metrics_from_confusion(cm).withColumn("value", F.round("value", 9))
 
 
-@register("auc_rank", f"""
-, s AS (SELECT has_order, round({propensity_sql(client_factor=_factor_sql('client_id'),
-                                                agent_factor=_factor_sql('agent_id'))}, 4) AS score
-        FROM contacts WHERE has_order IS NOT NULL),
+@register("auc_rank", RATES_SQL + """
+, s AS (SELECT has_order, round(rates.p, 4) AS score
+        FROM contacts JOIN rates ON rates.channel = contacts.channel AND rates.agent_result = contacts.agent_result
+             AND rates.hour = hour(contacts.contact_ts) WHERE has_order IS NOT NULL),
  h AS (SELECT score, CAST(count_if(has_order = 1) AS BIGINT) AS pos, CAST(count_if(has_order = 0) AS BIGINT) AS neg FROM s GROUP BY score),
  c AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
                  AS neg_below FROM h)

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.contacts import materialize
 from .rules import hash_bucket
 
 
@@ -67,9 +66,8 @@ def metrics_from_confusion(cm: DataFrame, metric_label: float = 0.0) -> DataFram
                  F.lit(0).cast("long").alias("tp"), F.col("count").alias("predicted"))))
     cls = (cm.select(cell.alias("c")).select("c.*").groupBy("cls")
              .agg(F.sum("support").alias("support"), F.sum("tp").alias("tp"), F.sum("predicted").alias("predicted")))
-    # the class table (one row per class) feeds every metric row below:
-    # computed once, then read from the checkpoint by each branch
-    cls = materialize(cls.withColumn("n", F.sum("support").over(Window.partitionBy())))
+    # one row per class: every metric row below reuses its exchange
+    cls = cls.withColumn("n", F.sum("support").over(Window.partitionBy()))
     cls = cls.withColumns({
         "precision": F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0),
         "recall": F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0),

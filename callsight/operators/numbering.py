@@ -9,7 +9,6 @@ offsets come from a prefix sum over the per-bucket counts (a table of
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,12 +17,10 @@ _HASH_SPACE = 4294967296  # 16**8
 
 
 def assign_numbers(df: DataFrame, id_col: str, out: str = "number",
-                   rows_per_bucket: int = 2_000_000, salt: str = "") -> DataFrame:
-    """Number rows 1..N ordered by (md5 hash of ``salt || id``, id)."""
+                   buckets: int = 1024, salt: str = "") -> DataFrame:
+    """Number rows 1..N ordered by (md5 hash of ``salt || id``, id), one window per hash range (``buckets`` of them)."""
     key = F.conv(F.substring(F.md5(F.concat(F.lit(salt), F.col(id_col).cast("string"))), 1, 8),
                  16, 10).cast("long")
-    n = df.count()
-    buckets = max(1, min(1 << 16, math.ceil(n / rows_per_bucket)))
     keyed = df.withColumn("_key", key).withColumn(
         "_bucket", F.floor(F.col("_key") * F.lit(buckets) / F.lit(_HASH_SPACE)).cast("int"))
     counts = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))

@@ -11,7 +11,6 @@ bucket).  The result equals ``percentile`` (same interpolation formula).
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -21,23 +20,18 @@ from ..sources.contacts import materialize
 
 
 def exact_quantiles(df: DataFrame, key: str, value: str, probs: Sequence[float],
-                    values_per_bucket: int = 1_000_000) -> DataFrame:
+                    buckets: int = 64) -> DataFrame:
     """One row per (key, p) with the exact quantile ``q``."""
     hist = (df.where(F.col(value).isNotNull())
               .groupBy(key, F.col(value).cast("double").alias("_v"))
               .agg(F.count(F.lit(1)).alias("_c")))
-    distinct = hist.count()
-    buckets = max(1, min(4096, math.ceil(distinct / values_per_bucket)))
-    if buckets > 1:
-        cuts = [i / buckets for i in range(1, buckets)]
-        bounds = hist.groupBy(key).agg(F.percentile_approx("_v", cuts, 10000).alias("_b"))
-        hist = hist.join(bounds, key).withColumn(
-            "_bucket", F.size(F.filter("_b", lambda b: b < F.col("_v")))).drop("_b")
-        # one consistent bucketing for the branches below (sketch merges need
-        # not be repeatable, a recomputed branch must see the same buckets)
-        hist = materialize(hist)
-    else:
-        hist = hist.withColumn("_bucket", F.lit(0))
+    cuts = [i / buckets for i in range(1, buckets)]
+    bounds = hist.groupBy(key).agg(F.percentile_approx("_v", cuts, 10000).alias("_b"))      # one row per key
+    hist = hist.join(F.broadcast(bounds), key).withColumn(
+        "_bucket", F.size(F.filter("_b", lambda b: b < F.col("_v")))).drop("_b")
+    # one consistent bucketing for the branches below (sketch merges need
+    # not be repeatable, a recomputed branch must see the same buckets)
+    hist = materialize(hist)
     bc = hist.groupBy(key, "_bucket").agg(F.sum("_c").alias("_bn"))
     before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     bc = (bc.withColumn("_off", F.coalesce(F.sum("_bn").over(before), F.lit(0)))

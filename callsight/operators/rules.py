@@ -1,32 +1,10 @@
-"""Deterministic rule scores.
-
-The additive order propensity, the category weights and the cumulative
-category thresholds are the studied simulator's formulas, re-aimed as
-column expressions over any contact table.  Random draws of the simulator
-are replaced by a hash of the id (a deterministic uniform number).
-"""
+"""Deterministic hash buckets (splits, samples) and the order summary."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.calendar import payday_flag
-from ..functions.scalar import clip
-
-# The simulator's propensity terms.
-BASE_INTERESTED, BASE_OTHER = 0.55, 0.12
-WHATSAPP_BONUS = 0.05
-HOUR_TERMS = ((9, 9, -0.02), (10, 13, 0.06), (14, 16, -0.02), (17, 21, 0.07))
-WEEKDAY_TERMS = (((0, 1), -0.02), ((3, 4), 0.03), ((6,), 0.02))      # 0 = Monday
-MONTH_TERMS = (((1, 2), -0.03), ((5,), 0.05), ((11,), 0.07), ((12,), 0.05))
-PAYDAY_BONUS = 0.04
-PROB_RANGE = (0.01, 0.95)
-# The simulator's category weights.
-BASE_WEIGHTS = {"conectividad": 0.40, "movilidad": 0.30, "hogar": 0.30}
-# Latent factors: uniform in [-FACTOR_SPAN, FACTOR_SPAN] from a hash of the id.
-FACTOR_SPAN = 0.05
-
 
 def hash_unit(c, salt: str = "") -> Column:
     """Deterministic uniform number in [0, 1) from the md5 of ``salt || c``."""
@@ -42,98 +20,6 @@ def hash_bucket(c, buckets: int = 100, salt: str = "") -> Column:
     return F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("long") % buckets
 
 
-def latent_factor(c) -> Column:
-    """Latent effect of a client or agent id, on a 0.0001 grid in +-0.05."""
-    return (hash_bucket(c, 1001) - 500).cast("double") / F.lit(10000.0)
-
-
-def factor_table(df: DataFrame, key: str) -> DataFrame:
-    """J3 dimension: distinct ids with their latent factor."""
-    return df.select(key).distinct().withColumn("factor", latent_factor(key))
-
-
-def lookup_factor(df: DataFrame, dim: DataFrame, key: str, out: str, default: float = 0.0) -> DataFrame:
-    """Left lookup of ``dim.factor`` by ``key``; missing -> ``default``.
-    The planner broadcasts the dimension when its measured size allows."""
-    d = dim.select(F.col(key), F.col("factor").alias(out))
-    return df.join(d, key, "left").withColumn(out, F.coalesce(F.col(out), F.lit(default)))
-
-
-def _terms_between(x: Column, terms) -> Column:
-    out = F.lit(0.0)
-    for lo, hi, v in terms:
-        out = out + F.when(x.between(lo, hi), F.lit(v)).otherwise(F.lit(0.0))
-    return out
-
-
-def _terms_in(x: Column, terms) -> Column:
-    out = F.lit(0.0)
-    for values, v in terms:
-        out = out + F.when(x.isin(*values), F.lit(v)).otherwise(F.lit(0.0))
-    return out
-
-
-def propensity_score(result, channel, ts, client_factor=None, agent_factor=None,
-                     clip_range=PROB_RANGE) -> Column:
-    """G1: additive order propensity, clipped.  NULL parts count as 0."""
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    score = F.when(F.col(result) == "interesado", F.lit(BASE_INTERESTED)).otherwise(F.lit(BASE_OTHER))
-    score = score + F.when(F.col(channel) == "whatsapp", F.lit(WHATSAPP_BONUS)).otherwise(F.lit(0.0))
-    score = score + _terms_between(F.hour(ts), HOUR_TERMS)
-    score = score + _terms_in(F.weekday(ts), WEEKDAY_TERMS)
-    score = score + _terms_in(F.month(ts), MONTH_TERMS)
-    score = score + F.when(payday_flag(ts), F.lit(PAYDAY_BONUS)).otherwise(F.lit(0.0))
-    for f in (client_factor, agent_factor):
-        if f is not None:
-            score = score + F.coalesce(F.col(f) if isinstance(f, str) else f, F.lit(0.0))
-    return clip(score, *clip_range)
-
-
-def rule_propensity(df: DataFrame, agent_dim: DataFrame | None = None) -> DataFrame:
-    """G1 over a contact table.  The latent client and agent effects are
-    functions of the id, computed in place: one pass, no shuffle of the
-    contacts (a lookup join by agent would hash all contacts onto the few
-    agent keys).  An explicit ``agent_dim`` (J3 lookup) is used when given."""
-    if agent_dim is not None:
-        x = lookup_factor(df, agent_dim, "agent_id", "agent_factor")
-    else:
-        x = df.withColumn("agent_factor", latent_factor("agent_id"))
-    x = x.withColumn("client_factor", latent_factor("client_id"))
-    return x.withColumn("propensity", propensity_score(
-        "agent_result", "channel", "contact_ts", "client_factor", "agent_factor"))
-
-
-def category_weights(df: DataFrame, ts: str = "contact_ts") -> DataFrame:
-    """Category probabilities by hour, weekday and month, normalised."""
-    t = F.col(ts)
-    h, d, m = F.hour(t), F.weekday(t), F.month(t)
-    work = h.between(9, 17) & (d < 5)
-    night = h.between(18, 21)
-    weekend = d >= 5
-    sunday = d == 6
-    novdec = m.isin(11, 12)
-
-    def add(flag, v):
-        return F.when(flag, F.lit(v)).otherwise(F.lit(0.0))
-
-    w_con = F.lit(BASE_WEIGHTS["conectividad"]) + add(work, 0.15) + add(novdec, 0.03)
-    w_mov = F.lit(BASE_WEIGHTS["movilidad"]) + add(night, 0.10) + add(weekend, 0.05)
-    w_hog = (F.lit(BASE_WEIGHTS["hogar"]) + add(night, 0.05) + add(weekend, 0.05)
-             + add(sunday, 0.08) + add(novdec, 0.05))
-    total = w_con + w_mov + w_hog
-    return df.withColumns({"p_con": w_con / total, "p_mov": w_mov / total, "p_hog": w_hog / total})
-
-
-def threshold_category(p_con, p_mov, u) -> Column:
-    """``u < p_con`` -> conectividad, ``< p_con + p_mov`` -> movilidad,
-    else hogar."""
-    def c(x):
-        return F.col(x) if isinstance(x, str) else x
-    return (F.when(c(u) < c(p_con), F.lit("conectividad"))
-            .when(c(u) < c(p_con) + c(p_mov), F.lit("movilidad"))
-            .otherwise(F.lit("hogar")))
-
-
 def order_summary(df: DataFrame) -> DataFrame:
     """Number of orders and their share of all rows (NULL flag = no order)."""
     is_order = F.coalesce(F.col("has_order") == 1, F.lit(False))

@@ -8,8 +8,8 @@ with a per-profile window, turned into actions, and joined back to the
 requests.  The profile table is bounded by the category domains times 24
 hours, so the join back never moves the requests more than once.
 
-Scoring is pluggable: ``rule_scorer`` uses the fixed additive propensity
-(SQL-comparable), ``model_scorer`` a fitted order model.
+Scoring is pluggable: ``rate_scorer`` uses order rates measured on given
+contacts (SQL-comparable), ``model_scorer`` a fitted order model.
 """
 
 from __future__ import annotations
@@ -21,8 +21,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.rules import propensity_score
-from ..sources.contacts import materialize
 from .features import with_time_features
 
 # Candidate hours, reference date, improvement margin, texts.
@@ -30,6 +28,8 @@ HOURS = (9, 21)
 REFERENCE_DATE = (2025, 1, 1)
 MARGIN = 0.03
 TOP_K = 3
+PRIOR_CONTACTS = 10.0
+BROADCAST_PROFILES = 10_000
 CLASS_TEXT = {1: "Sí generaría pedido", 0: "No generaría pedido"}
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -46,9 +46,20 @@ def candidate_ts(hour_col: str = "hour") -> F.Column:
     return F.make_timestamp_ntz(F.lit(y), F.lit(m), F.lit(d), F.col(hour_col), F.lit(0), F.lit(0))
 
 
-def rule_scorer(df: DataFrame) -> DataFrame:
-    """Adds ``p``: fixed-coefficient propensity at (channel, result, hour)."""
-    return df.withColumn("p", propensity_score("agent_result", "channel", candidate_ts()))
+def rate_scorer(contacts: DataFrame, prior: float = PRIOR_CONTACTS) -> Scorer:
+    """Adds ``p``: the order rate of ``contacts`` (with ``hour`` and
+    ``has_order``) at (channel, result, hour), drawn towards the overall rate
+    by ``prior`` contacts; profiles without contacts have the overall rate."""
+    overall = contacts.select(F.sum("has_order").cast("double") / F.count("has_order").cast("double")).scalar()
+    rates = contacts.groupBy("channel", "agent_result", "hour").agg(
+        ((F.sum("has_order").cast("double") + F.lit(prior) * overall)
+         / (F.count("has_order").cast("double") + F.lit(prior))).alias("p"))
+
+    def score(df: DataFrame) -> DataFrame:
+        own = df.columns
+        return df.join(rates, ["channel", "agent_result", "hour"], "left").select(
+            *own, F.coalesce("p", overall).alias("p"))
+    return score
 
 
 def model_scorer(model: PipelineModel) -> Scorer:
@@ -60,7 +71,7 @@ def model_scorer(model: PipelineModel) -> Scorer:
     return score
 
 
-def score_hours(profiles: DataFrame, scorer: Scorer = rule_scorer) -> DataFrame:
+def score_hours(profiles: DataFrame, scorer: Scorer) -> DataFrame:
     """Every (channel, result) profile at every candidate hour."""
     lo, hi = HOURS
     grid = profiles.select("channel", "agent_result").distinct() \
@@ -76,14 +87,12 @@ def best_hours(scored: DataFrame, k: int = TOP_K) -> DataFrame:
     return top.withColumn("label", F.format_string("%02d:00 (~%.1f%%)", F.col("hour"), F.col("p") * 100))
 
 
-def recommend_actions(requests: DataFrame, scorer: Scorer = rule_scorer, id_col: str = "request_id",
+def recommend_actions(requests: DataFrame, scorer: Scorer, id_col: str = "request_id",
                       margin: float = MARGIN) -> DataFrame:
     """H3-H5 per request (``id_col, channel, agent_result, hour``): current
     probability, best hour, other channel's probability, the actions that
     would raise the probability by more than ``margin``, and the class text."""
-    # the distinct profiles (bounded by the category domains x 24 hours)
-    # feed four branches below: computed once, not once per branch
-    profiles = materialize(requests.select("channel", "agent_result", "hour").distinct())
+    profiles = requests.select("channel", "agent_result", "hour").distinct()
     prof = profiles.withColumn("other_channel", other_channel("channel"))
     cur = scorer(profiles).withColumnRenamed("p", "p_current")
     oth = scorer(prof.select(F.col("other_channel").alias("channel"), "agent_result", "hour").distinct()) \
@@ -100,13 +109,16 @@ def recommend_actions(requests: DataFrame, scorer: Scorer = rule_scorer, id_col:
     resched = (F.col("best_hour") != F.col("hour")) & (F.col("best_p") > F.col("p_current") + F.lit(margin))
     switch = F.col("p_other") > F.col("p_current") + F.lit(margin)
     actions = F.array_compact(F.array(
-        F.when(resched, F.format_string("reschedule to %02d:00", F.col("best_hour"))),
-        F.when(switch, F.concat(F.lit("switch to "), F.col("other_channel")))))
+        F.when(resched, F.format_string("reschedule to %02d:00 (~%.1f%%)", F.col("best_hour"), F.col("best_p") * 100)),
+        F.when(switch, F.format_string("switch to %s (~%.1f%%)", F.col("other_channel"), F.col("p_other") * 100))))
     prof = prof.withColumns({
         "actions": F.when(F.size(actions) > 0, F.array_join(actions, "; ")).otherwise(F.lit("keep")),
         "predicted_text": F.when(F.col("p_current") > 0.5, F.lit(CLASS_TEXT[1])).otherwise(F.lit(CLASS_TEXT[0])),
     })
-    # the profile table is bounded by the category domains x 24 hours
+    # domains x 24 hours if channel and result are categories: then no request
+    # is shuffled; free-text values beyond the checked bound join by shuffle
+    if profiles.count() <= BROADCAST_PROFILES:
+        prof = F.broadcast(prof)
     return requests.select(id_col, "channel", "agent_result", "hour").join(
         prof, ["channel", "agent_result", "hour"], "left")
 

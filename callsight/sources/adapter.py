@@ -41,27 +41,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-repartition an input that arrives in fewer splits than the
-    cluster has cores (e.g. one parquet row group), so CPU-heavy text work
-    runs in parallel.  Inputs that are already split are left alone: at
-    scale this adds no shuffle."""
-    spark = df.sparkSession
-    try:
-        par = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= par:
-            return df
-    except Exception:  # noqa: BLE001  (no RDD access, e.g. a Spark Connect session)
-        return df
-    # by column only: the session's shuffle width, so a later join or
-    # aggregate on the same key reuses this partitioning, and AQE may
-    # coalesce the partitions by their measured size
-    return df.repartition(key)
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` (doc_id, text), spread over the cores when thin."""
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    """``documents`` (doc_id, text); small files are split by reader settings of the session, not by a shuffle."""
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def _null_at(eid, column: str, value):
@@ -86,18 +68,12 @@ def raw_contacts(spark: SparkSession, sf_dir: str, notes: bool = True,
     ``note_ref=True`` adds ``note_ref``, the id of the document holding the
     note (NULL when the note is missing), without reading any text."""
     ev = table(spark, sf_dir, "events")
-    if not notes:
-        # without the note join (which shuffles the events anyway) a thin
-        # events input would run every per-contact expression in one task
-        ev = spread(ev, "event_id")
     eid = F.col("event_id")
     k = F.regexp_extract("props", r"([0-9]+)", 1).try_cast("int")
     ordered = F.when(F.col("event_type").isin(*ORDER_EVENTS), 1).otherwise(0)
     e = ev.select("event_id", "ts", "user_id", "event_type", "value",
                   k.alias("k"), ordered.alias("ord"))
     if notes:
-        # the sort-merge join below shuffles the events by the document key;
-        # the documents are spread (when thin) before the per-text cleaning
         docs = documents(spark, sf_dir)
         if clean_note is not None:
             docs = docs.withColumn("text_clean", clean_note(F.coalesce(F.col("text"), F.lit(MISSING_NOTE))))
@@ -105,11 +81,11 @@ def raw_contacts(spark: SparkSession, sf_dir: str, notes: bool = True,
         # Equi-join on a derived key.  The planner's size estimate counts a
         # text as a few bytes, so it would broadcast the whole corpus; a
         # sort-merge join (spills, no size limit) is requested instead.
-        e = e.withColumn("_doc", eid % n_docs)
+        e = e.withColumn("_doc", F.try_mod(eid, n_docs))
         e = e.join(docs.hint("merge"), e["_doc"] == docs["doc_id"], "left")
     if note_ref:
         n_all = table(spark, sf_dir, "documents").select(F.count(F.lit(1))).scalar()
-        e = e.withColumn("note_ref", _null_at(eid, "note", eid % n_all))
+        e = e.withColumn("note_ref", _null_at(eid, "note", F.try_mod(eid, n_all)))
     kk, od = F.col("k"), F.col("ord")
     interested = ((od == 1) & (kk % 10 < 8)) | ((F.col("event_type") == "click") & (kk % 10 < 3))
     category = (F.when(kk % 3 == 0, "conectividad").when(kk % 3 == 1, "movilidad")
@@ -117,9 +93,9 @@ def raw_contacts(spark: SparkSession, sf_dir: str, notes: bool = True,
     cols = {
         "interaction_id": eid,
         "client_id": _null_at(eid, "client_id",
-                              F.concat(F.lit("C"), F.lpad(F.col("user_id").cast("string"), 9, "0"))),
+                              format_id("C", F.col("user_id"))),
         "agent_id": _null_at(eid, "agent_id",
-                             F.concat(F.lit("A"), F.lpad((eid % AGENT_POOL + 1).cast("string"), 9, "0"))),
+                             format_id("A", eid % AGENT_POOL + 1)),
         "channel": _null_at(eid, "channel", F.when(kk % 20 < 11, "llamada").otherwise("whatsapp")),
         "agent_result": F.when(interested, "interesado").otherwise("no_interesado"),
         "contact_ts": _null_at(eid, "contact_ts",
@@ -130,7 +106,7 @@ def raw_contacts(spark: SparkSession, sf_dir: str, notes: bool = True,
                        if notes and clean_note is not None else None),
         "has_order": _null_at(eid, "has_order", od),
         "order_id": F.when((eid % NULL_RESIDUES["order_id"] == 0) | (od == 0), F.lit(None))
-                     .otherwise(F.concat(F.lit("P"), F.lpad(eid.cast("string"), 9, "0"))),
+                     .otherwise(format_id("P", eid)),
         "order_amount": _null_at(eid, "order_amount", F.col("value")),
         "product_category": F.when((eid % NULL_RESIDUES["product_category"] == 0) | (od == 0),
                                    F.lit(None)).otherwise(category),
@@ -159,7 +135,7 @@ def attach_notes(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame
     once, without shuffling them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     n_docs = docs.select(F.count(F.lit(1))).scalar()
-    keyed = rows.withColumn("_doc", F.col("interaction_id") % n_docs)
+    keyed = rows.withColumn("_doc", F.try_mod(F.col("interaction_id"), n_docs))
     needed = keyed.select(F.col("_doc").alias("doc_id")).distinct()
     wanted = docs.join(F.broadcast(needed), "doc_id", "left_semi")
     out = keyed.join(wanted, keyed["_doc"] == wanted["doc_id"], "left")
@@ -195,8 +171,8 @@ def _nul(col: str, expr: str) -> str:
 
 RAW_CONTACTS_SQL = f"""
 SELECT e.event_id AS interaction_id,
-  {_nul('client_id', "concat('C', lpad(CAST(e.user_id AS VARCHAR), 9, '0'))")} AS client_id,
-  {_nul('agent_id', f"concat('A', lpad(CAST(e.event_id % {AGENT_POOL} + 1 AS VARCHAR), 9, '0'))")} AS agent_id,
+  {_nul('client_id', "printf('C%09d', e.user_id)")} AS client_id,
+  {_nul('agent_id', f"printf('A%09d', e.event_id % {AGENT_POOL} + 1)")} AS agent_id,
   {_nul('channel', "CASE WHEN e.k % 20 < 11 THEN 'llamada' ELSE 'whatsapp' END")} AS channel,
   CASE WHEN (e.ord = 1 AND e.k % 10 < 8) OR (e.event_type = 'click' AND e.k % 10 < 3)
        THEN 'interesado' ELSE 'no_interesado' END AS agent_result,
@@ -204,7 +180,7 @@ SELECT e.event_id AS interaction_id,
   {_nul('note', 'd.text')} AS note,
   {_nul('has_order', 'e.ord')} AS has_order,
   CASE WHEN e.event_id % {NULL_RESIDUES['order_id']} = 0 OR e.ord = 0 THEN NULL
-       ELSE concat('P', lpad(CAST(e.event_id AS VARCHAR), 9, '0')) END AS order_id,
+       ELSE printf('P%09d', e.event_id) END AS order_id,
   {_nul('order_amount', 'e.value')} AS order_amount,
   CASE WHEN e.event_id % {NULL_RESIDUES['product_category']} = 0 OR e.ord = 0 THEN NULL
        WHEN e.k % 3 = 0 THEN 'conectividad' WHEN e.k % 3 = 1 THEN 'movilidad' ELSE 'hogar' END

@@ -94,7 +94,7 @@ def test_weekdays(golden):
 def test_cleaners(golden):
     rows = by_id(golden.select("interaction_id", tx.clean_basic("note").alias("b"),
                                tx.clean_strict("note").alias("s"),
-                               tx.clean_strict("note", exact=True).alias("se")))
+                               tx.clean_strict("note").alias("se")))
     assert rows[1].b == "mostró más interés en conectividad"
     assert rows[5].b == "mañana compra equipos"
     assert rows[7].b == "cliente ocupado"

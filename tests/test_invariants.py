@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from callsight.catalog import QUERIES, contacts
-from callsight.operators import attribution, evaluation, metrics, numbering, rules
+from callsight.operators import attribution, evaluation, metrics, numbering
 from callsight.plans import recommend
 from conftest import SF
 
@@ -46,19 +46,11 @@ def test_split_independent_of_partitioning(spark):
     assert a == b
 
 
-def test_category_weights_sum_to_one(spark):
-    w = rules.category_weights(contacts(spark, SF)).select((F.col("p_con") + F.col("p_mov") + F.col("p_hog")).alias("s"))
-    assert all(abs(r.s - 1.0) < 1e-12 for r in w.collect())
-
-
-def test_propensity_in_range(spark):
-    p = rules.rule_propensity(contacts(spark, SF)).agg(F.min("propensity"), F.max("propensity")).first()
-    assert 0.01 <= p[0] <= p[1] <= 0.95
 
 
 def test_numbering_dense(spark):
     df = spark.range(0, 5000).withColumnRenamed("id", "k")
-    out = numbering.assign_numbers(df, "k", "n", rows_per_bucket=700)
+    out = numbering.assign_numbers(df, "k", "n", buckets=7)
     rows = out.collect()
     assert sorted(r.n for r in rows) == list(range(1, 5001))
     # same order as a global sort by (hash, id)
@@ -150,8 +142,8 @@ def test_recommend_margin_and_ties(spark):
     assert out[1].best_hours_text.startswith("12:00 (~53.0%), 11:00 (~53.0%)")
 
 
-@pytest.mark.parametrize("values_per_bucket", [1_000_000, 500, 37])
-def test_exact_quantiles_equal_percentile(spark, values_per_bucket):
+@pytest.mark.parametrize("buckets", [1, 64, 300])
+def test_exact_quantiles_equal_percentile(spark, buckets):
     import random
     from callsight.operators.quantiles import exact_quantiles
     rnd = random.Random(7)
@@ -161,16 +153,5 @@ def test_exact_quantiles_equal_percentile(spark, values_per_bucket):
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
     ref = {(r.k, p): v for r in df.groupBy("k").agg(F.percentile("v", F.array(*[F.lit(p) for p in probs])).alias("q"))
            .collect() if r.q for p, v in zip(probs, r.q)}
-    got = {(r.k, r.p): r.q for r in exact_quantiles(df, "k", "v", probs, values_per_bucket).collect()}
+    got = {(r.k, r.p): r.q for r in exact_quantiles(df, "k", "v", probs, buckets).collect()}
     assert got == ref
-
-
-def test_lookup_factor_equals_in_place(spark):
-    """The lookup join gives the same propensities as the in-place factor."""
-    df = contacts(spark, SF)
-    inline = rules.rule_propensity(df).select("interaction_id", "propensity")
-    looked = rules.rule_propensity(df, rules.factor_table(df, "agent_id")).select(
-        "interaction_id", F.col("propensity").alias("p2"))
-    j = inline.join(looked, "interaction_id")
-    assert j.count() == df.count()
-    assert j.where(F.col("propensity") != F.col("p2")).count() == 0
