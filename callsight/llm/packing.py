@@ -8,9 +8,9 @@ into partitions by hash; each partition runs best-fit decreasing and a
 dual-feasible-function bound (for every threshold t: sizes above capacity - t
 count as a whole bin, sizes below t as nothing) certifies how many bins it
 needs at least.  A certified partition keeps its bins except the emptiest
-one; a partition with a gap gives up every bin with more than 1/16 free.  The
-pieces given up are dealt into new, fewer partitions and packed again, for
-``rounds`` rounds.
+one; a partition with a gap gives up its pieces.  What is given up is dealt
+into new partitions, four times as large each round, and packed again, for at
+most ``rounds`` rounds.
 
 Defined cases: a NULL text is empty (one token, id 0); repeated rows are
 packed each; an empty table gives an empty result; only the kept columns and
@@ -35,8 +35,6 @@ from pyspark.sql import types as T
 
 from .common import as_rows, checkpointed, row_schema
 
-SPECIAL = "<|endoftext|>"
-
 
 def load_encoding(path: str | None = None):
     """The byte-level BPE of a ``tokenizers`` file as a tiktoken encoding."""
@@ -44,11 +42,12 @@ def load_encoding(path: str | None = None):
     import tiktoken
 
     with open(path or public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
-        vocab = json.load(f)["model"]["vocab"]
+        file = json.load(f)
+    vocab = file["model"]["vocab"]
+    special = {t["content"]: t["id"] for t in file.get("added_tokens", []) if t.get("special")}
     # byte-level BPE writes bytes as printable characters: those as they are, the others from 256 on
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
-    special = {SPECIAL: vocab[SPECIAL]} if SPECIAL in vocab else {}
     ranks = {bytes(byte_of[c] for c in t): i for t, i in vocab.items() if t not in special}
     return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
@@ -121,8 +120,8 @@ def _filler(capacity: int, last: bool):
         bound = lower_bound(sizes, capacity)
         keep = np.ones(len(free), bool)
         if not last and len(free) > bound:
-            keep = free <= capacity // 16                      # a gap: these pieces meet other partitions'
-        elif not last and free.max() > capacity // 16:
+            keep[:] = False                                    # a gap: its pieces meet other partitions'
+        elif not last and free.max() > capacity // 64:
             keep[np.argmax(free)] = False
         return pa.table([t.column("uid"), t.column("length"), t.column("part"), pa.array(bins), pa.array(offsets),
                          pa.array(keep[bins]), pa.array(np.full(len(sizes), bound)), pa.array(np.full(len(sizes), len(free)))],
@@ -141,7 +140,7 @@ def pack(items: DataFrame, *, capacity: int = 2048, rounds: int = 4, per_partiti
         if not waiting:
             break
         last = n == rounds - 1
-        parts = max(1, waiting // per_partition)
+        parts = max(1, waiting // (per_partition << 2 * n))
         last = last or parts == 1
 
         dealt = left.withColumn("part", F.pmod(F.xxhash64("uid", F.lit(n)), F.lit(parts)))
