@@ -28,7 +28,7 @@ def exact_quantiles(df: DataFrame, key: str, value: str, probs: Sequence[float],
     cuts = [i / buckets for i in range(1, buckets)]
     bounds = hist.groupBy(key).agg(F.percentile_approx("_v", cuts, 10000).alias("_b"))      # one row per key
     hist = hist.join(F.broadcast(bounds), key).withColumn(
-        "_bucket", F.size(F.filter("_b", lambda b: b < F.col("_v")))).drop("_b")
+        "_bucket", F.coalesce(F.size(F.filter("_b", lambda b: b < F.col("_v"))), F.lit(0))).drop("_b")
     # one consistent bucketing for the branches below (sketch merges need
     # not be repeatable, a recomputed branch must see the same buckets)
     hist = materialize(hist)

@@ -73,9 +73,14 @@ def test_recommend_fixture(spark):
     reqs = spark.createDataFrame([(1, "llamada", "interesado", 21), (2, "llamada", "interesado", 9),
                                   (3, "desconocido", "no_interesado", 12)],
                                  "request_id long, channel string, agent_result string, hour int")
-    out = {r.request_id: r for r in recommend.recommend_actions(reqs).collect()}
-    assert out[1].best_hour == 21 and out[1].actions == "switch to whatsapp"   # hour already best
-    assert out[2].actions == "reschedule to 21:00; switch to whatsapp"
+    seen = [(c, "interesado", h, int(k < orders)) for c, h, orders in
+            (("llamada", 21, 60), ("whatsapp", 21, 90), ("whatsapp", 9, 90), ("llamada", 9, 10)) for k in range(100)]
+    scorer = recommend.rate_scorer(spark.createDataFrame(seen, "channel string, agent_result string, hour int, has_order int"))
+    out = {r.request_id: r for r in recommend.recommend_actions(reqs, scorer).collect()}
+    # hours without contacts have the overall rate, 250 / 400; 21 h is within the margin of it
+    assert out[1].best_hour == 20 and out[1].actions == "switch to whatsapp (~87.5%)"
+    assert out[2].actions == "reschedule to 20:00 (~62.5%); switch to whatsapp (~87.5%)"
+    assert abs(out[1].p_current - (60 + 10 * 0.625) / 110) < 1e-12 and out[3].p_current == 0.625
     assert out[3].other_channel == "llamada"
 
 
