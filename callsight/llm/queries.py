@@ -7,6 +7,7 @@ from .licenses import op5_licenses
 from .merkle import op10_fingerprints
 from .packing import op6_packing
 from .repeats import op2_repeats
+from .sentencepieces import op3_sentencepiece
 from .sharding import op1_sharding
 from .simhash import op9_simhash
 from .toxicity import op4_toxicity
@@ -22,6 +23,7 @@ def pipeline(spark, sf_dir: str):
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_repeats": op2_repeats,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_toxicity": op4_toxicity,
     "op5_licenses": op5_licenses,
     "op6_packing": op6_packing,

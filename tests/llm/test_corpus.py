@@ -259,3 +259,26 @@ def test_pipeline_stages(spark, tmp_path):
     got = {r.doc_id: r for r in cut.collect()}
     assert cut.columns == cp.COLUMNS and got[0].text is None and got[99].text == "éé" and got[8].text == ""
     assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in got.values())
+
+
+def test_sentencepieces_viterbi_and_round_trip(odd, none):
+    from callsight.llm import sentencepieces
+    got = {r.row.doc_id: r for r in sentencepieces.encode(odd).collect()}
+    assert all(r.round_trip for r in got.values()) and got[0].ids == [] == got[1].ids
+    codec = sentencepieces.Codec()
+    known = {p: codec.score[i] for i, p in enumerate(codec.pieces) if i not in codec.byte_of and i > 2}
+
+    def best(w):           # every way to cut the word
+        if not w:
+            return 0.0
+        cuts = [known[w[:k]] + best(w[k:]) for k in range(1, len(w) + 1) if w[:k] in known]
+        size = len(w.decode()[0].encode())
+        return max(cuts + [codec.low * size + best(w[size:])])
+
+    for word in ("the", "hello", "ñandú", "\U0001f600a", "zqxj"):
+        w = ("\u2581" + word).encode()
+        total = sum(codec.low if i in codec.byte_of else codec.score[i] for i in codec.word(w))
+        assert abs(total - best(w)) < 1e-6
+    for text in (" a  b ", "x\u2581y", "\n\t", " "):
+        assert codec.decode(codec.encode(text)) == text
+    assert sentencepieces.encode(none).count() == 0
