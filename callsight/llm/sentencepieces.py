@@ -29,7 +29,8 @@ MARK = "▁"
 
 
 class DoubleArray:
-    """Byte trie: from state s the byte c leads to base[s] + c + 1 if check there is s."""
+    """Byte trie: from state s the byte c leads to t = base[s] + c + 1 if check[t] is s.
+    Leaves point at free cells behind the last one, so a walk needs no test for an end."""
 
     def __init__(self, pieces: dict[bytes, int]):
         tree: dict = {}
@@ -38,7 +39,8 @@ class DoubleArray:
             for c in p:
                 node = node.setdefault(c, {})
             node[-1] = i
-        self.base, self.check, self.value = [0], [-2], [-1]
+        self.base, self.check, self.value = [-1], [-2], [-1]
+        used = bytearray(b"\1")
         todo = [(0, tree)]
         while todo:
             s, node = todo.pop()
@@ -46,29 +48,30 @@ class DoubleArray:
             codes = sorted(c + 1 for c in node if c >= 0)
             if not codes:
                 continue
-            b = max(1, len(self.check) - 512)          # search the last cells only: quick, a few holes stay
-            while any(b + c < len(self.check) and self.check[b + c] != -1 for c in codes):
-                b += 1
-            grow = b + codes[-1] + 1 - len(self.check)
+            cell = max(codes[0], len(used) - 512)      # search the last cells only: quick, a few holes stay
+            while True:
+                cell = used.find(0, cell)
+                if cell < 0:
+                    cell = max(codes[0], len(used))
+                    break
+                if not any(used[cell - codes[0] + c] for c in codes if cell - codes[0] + c < len(used)):
+                    break
+                cell += 1
+            b = cell - codes[0]
+            grow = b + codes[-1] + 1 - len(used)
             if grow > 0:
-                self.base += [0] * grow
+                self.base += [-1] * grow
                 self.check += [-1] * grow
                 self.value += [-1] * grow
+                used += bytes(grow)
             self.base[s] = b
             for c in codes:
                 self.check[b + c] = s
+                used[b + c] = 1
                 todo.append((b + c, node[c - 1]))
-
-    def prefixes(self, text: bytes, start: int):
-        """(end, piece id) of every piece that starts at ``start``."""
-        s = 0
-        for k in range(start, len(text)):
-            t = self.base[s] + text[k] + 1
-            if not self.base[s] or t >= len(self.check) or self.check[t] != s:
-                return
-            s = t
-            if self.value[s] >= 0:
-                yield k + 1, self.value[s]
+        free = len(self.check)
+        self.base = [free if b < 0 else b for b in self.base]
+        self.check += [-1] * 257
 
 
 class Codec:
@@ -82,29 +85,49 @@ class Codec:
         self.pieces = [sp.id_to_piece(i).encode() for i in range(n)]
         self.byte_ids = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.byte_of = {i: b for b, i in enumerate(self.byte_ids)}
+        self.plain = [p.replace(MARK.encode(), b" ") for p in self.pieces]      # each piece as text
+        for i, b in self.byte_of.items():
+            self.plain[i] = bytes([b])
         self.score = [sp.get_score(i) for i in range(n)]
         self.low = min(self.score[i] for i in normal) - 10.0
         self.trie = DoubleArray({self.pieces[i]: i for i in normal})
-        self.seen: dict[bytes, list[int]] = {}
+        self.seen: dict[str, list[int]] = {}
         self.cache = cache
 
     def word(self, w: bytes) -> list[int]:
         """Viterbi over one marked word."""
-        best, back = [0.0] + [None] * len(w), [None] * (len(w) + 1)
-        for k in range(len(w)):
-            if best[k] is None:
+        base, check, value, score, low = self.trie.base, self.trie.check, self.trie.value, self.score, self.low
+        n = len(w)
+        best, start, piece = [None] * (n + 1), [0] * (n + 1), [-1] * (n + 1)      # piece -1: bytes
+        best[0] = 0.0
+        for k in range(n):
+            so_far = best[k]
+            if so_far is None:
                 continue
+            s = 0
+            for e in range(k, n):
+                t = base[s] + w[e] + 1
+                if check[t] != s:
+                    break
+                s = t
+                i = value[s]
+                if i >= 0:
+                    x = so_far + score[i]
+                    if best[e + 1] is None or x > best[e + 1]:
+                        best[e + 1], start[e + 1], piece[e + 1] = x, k, i
             size = 1 if w[k] < 0x80 else 2 if w[k] < 0xE0 else 3 if w[k] < 0xF0 else 4
-            end = min(k + size, len(w))
-            options = [(e, [i], self.score[i]) for e, i in self.trie.prefixes(w, k)]
-            options.append((end, [self.byte_ids[b] for b in w[k:end]], self.low * (end - k)))
-            for e, ids, s in options:
-                if best[e] is None or best[k] + s > best[e]:
-                    best[e], back[e] = best[k] + s, (k, ids)
-        out, k = [], len(w)
+            end = min(k + size, n)
+            x = so_far + low * (end - k)
+            if best[end] is None or x > best[end]:
+                best[end], start[end], piece[end] = x, k, -1
+        out, k = [], n
         while k:
-            k, ids = back[k]
-            out[:0] = ids
+            if piece[k] >= 0:
+                out.append(piece[k])
+            else:
+                out += [self.byte_ids[b] for b in reversed(w[start[k]:k])]
+            k = start[k]
+        out.reverse()
         return out
 
     def encode(self, text: str) -> list[int]:
@@ -114,22 +137,19 @@ class Codec:
         mark = MARK.encode()
         # a marker character of the text itself goes as bytes, so decoding is exact
         for part in (" " + text).split(" ")[1:]:
-            w = mark + part.encode()
-            ids = self.seen.get(w)
+            ids = self.seen.get(part)
             if ids is None:
                 own = part.split(MARK)
                 ids = self.word(mark + own[0].encode())
                 for rest in own[1:]:
                     ids = ids + [self.byte_ids[b] for b in mark] + self.word(rest.encode())
                 if len(self.seen) < self.cache:
-                    self.seen[w] = ids
+                    self.seen[part] = ids
             out += ids
         return out
 
     def decode(self, ids: list[int]) -> str:
-        mark = MARK.encode()
-        raw = b"".join(bytes([self.byte_of[i]]) if i in self.byte_of else self.pieces[i].replace(mark, b" ") for i in ids)
-        return raw.decode("utf-8", "replace")[1:]
+        return b"".join([self.plain[i] for i in ids]).decode("utf-8", "replace")[1:]
 
 
 def encode(docs: DataFrame, *, keep=None, text_col: str = "text", model_file: str | None = None) -> DataFrame:
