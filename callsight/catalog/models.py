@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.text import clean_basic
+from ..operators.evaluation import split_train_test
 from ..plans import order_model, recommend, text_model
 from ..plans.model_cache import fitted
 from ..sources.adapter import documents, labelled_notes, table
 from .registry import contacts, register, with_extra, ORACLE
-from .scoring import RATES_SQL
+from .scoring import _BUCKET, RATES_SQL
+from .text import CLEAN_BASIC_SQL
 
 
 # ---- M15-M21, M27, M28, R7 (fitted: no SQL oracle) -----------------------------------
@@ -90,6 +93,59 @@ def q_recommend_actions_model(spark, sf_dir):
     return recommend.recommend_actions(reqs, recommend.model_scorer(model))
 
 
+@register("train_text_model_contacts")
+def q_train_text_model_contacts(spark, sf_dir):
+    """M18 on the contact table: the agent's verdict from the note."""
+    key = ("text", sf_dir, "contacts", _stamp(spark, sf_dir, "documents", "events"))
+    return fitted(spark, key, lambda: text_model.train_text_model(contacts(spark, sf_dir, clean_note=clean_basic)))[0]
+
+
+# ---- what the fitted queries read and return, without the fitted values (SQL oracle) ----
+
+def _supports(data, label):
+    """Rows per split and class."""
+    train, test = split_train_test(data, "interaction_id", 80)
+    both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    return both.groupBy("split", F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+_SPLIT_SQL = f"CASE WHEN {_BUCKET.format(x='{id}')} < 80 THEN 'train' ELSE 'test' END AS split"
+
+
+@register("text_model_supports", raw_sql=f"""
+SELECT {_SPLIT_SQL.format(id='d.doc_id')}, CAST(l.quality AS VARCHAR) AS label, count(*) AS rows
+FROM documents d JOIN labels l USING (doc_id) WHERE l.quality IS NOT NULL GROUP BY ALL""")
+def q_text_model_supports(spark, sf_dir):
+    return _supports(text_model.prepare_notes(_notes(spark, sf_dir), "note", "quality"), "quality")
+
+
+@register("contact_model_supports", f"""
+SELECT {_SPLIT_SQL.format(id='interaction_id')}, agent_result AS label, count(*) AS rows
+FROM contacts GROUP BY ALL""")
+def q_contact_model_supports(spark, sf_dir):
+    return _supports(contacts(spark, sf_dir), "agent_result")
+
+
+@register("order_model_supports", f"""
+SELECT {_SPLIT_SQL.format(id='interaction_id')}, CAST(has_order AS DOUBLE) AS label, count(*) AS rows
+FROM contacts WHERE has_order IS NOT NULL GROUP BY ALL""")
+def q_order_model_supports(spark, sf_dir):
+    return _supports(order_model.prepare_orders(contacts(spark, sf_dir)), "label")
+
+
+@register("classified_note_ids", raw_sql=f"""
+SELECT doc_id AS interaction_id FROM documents WHERE length({CLEAN_BASIC_SQL.format(x='text')}) > 0""")
+def q_classified_note_ids(spark, sf_dir):
+    """The notes that M28 scores: every non-blank one."""
+    return q_classify_notes(spark, sf_dir).select("interaction_id")
+
+
+@register("predicted_order_ids", "SELECT interaction_id FROM contacts")
+def q_predicted_order_ids(spark, sf_dir):
+    """The contacts that M27 scores: all of them."""
+    return q_predict_orders(spark, sf_dir).select("interaction_id")
+
+
 # ---- H1-H5, W4 with measured order rates (SQL oracle) ----------------------
 
 _PROFILES = RATES_SQL + """

@@ -30,6 +30,20 @@ def q_normalize_contacts(spark, sf_dir):
     return df.withColumn("contact_ts", F.date_format("contact_ts", TS_TEXT))
 
 
+@register("csv_round_trip", """
+SELECT interaction_id, client_id, agent_id, channel, agent_result,
+       strftime(contact_ts, '%Y-%m-%d %H:%M:%S.%f') AS contact_ts, has_order,
+       order_id, order_amount, product_category
+FROM contacts""")
+def q_csv_round_trip(spark, sf_dir):
+    """Contacts as CSV lines and back with the fixed schema."""
+    df = contacts(spark, sf_dir)
+    how = {"escape": '"', "timestampFormat": TS_TEXT, "timestampNTZFormat": TS_TEXT}
+    line = df.select(F.to_csv(F.struct(*df.columns), how).alias("line"))
+    back = line.select(F.from_csv("line", df.schema.toDDL(), how).alias("c")).select("c.*")
+    return back.withColumn("contact_ts", F.date_format("contact_ts", TS_TEXT))
+
+
 _F3_SQL = """
 SELECT CAST(count_if(has_order = 1 AND order_id = 'NA') AS BIGINT) AS order_without_id,
        CAST(count_if(has_order = 0 AND order_amount <> 0) AS BIGINT) AS no_order_with_amount,
@@ -192,7 +206,7 @@ def _long_form_sql(agg_expr: str, value_name: str, t: str) -> str:
 
 @register("null_counts")
 def q_null_counts(spark, sf_dir):
-    return metrics.null_counts(raw_contacts(spark, sf_dir, notes=True)) \
+    return metrics.null_counts(raw_contacts(spark, sf_dir, note_text=False)) \
         .withColumnRenamed("column", "column_name")
 
 
@@ -201,7 +215,7 @@ ORACLE["null_counts"] = _with_extra(_long_form_sql("CAST(count_if({c} IS NULL) A
 
 @register("null_fractions")
 def q_null_fractions(spark, sf_dir):
-    return metrics.null_fractions(raw_contacts(spark, sf_dir, notes=True)) \
+    return metrics.null_fractions(raw_contacts(spark, sf_dir, note_text=False)) \
         .withColumnRenamed("column", "column_name")
 
 

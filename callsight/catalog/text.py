@@ -62,13 +62,15 @@ def q_ngrams(spark, sf_dir):
 def _tf(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", tx.clean_basic("text").alias("clean"))
     words = W.explode_cleaned(docs, "clean", ["doc_id"], 2)
-    words = W.remove_stopwords(words, W.stopword_frame(spark, sw.text_model_stopwords()), case_sensitive=True)
+    words = W.remove_stopwords(words, W.stopword_frame(spark, sw.text_model_stopwords()), case_sensitive=True,
+                               fold_accents=True)
     return W.term_frequencies(words, "doc_id")
 
 
 _TF_SQL = f"""
 WITH tok AS (SELECT doc_id, unnest({TOKENS_SQL.format(x='text')}) AS word FROM documents),
- f AS (SELECT * FROM tok WHERE NOT list_contains({sw.sql_list(sw.text_model_stopwords())}, lower(word))),
+ f AS (SELECT * FROM tok
+       WHERE NOT list_contains({sw.sql_list(sw.folded(sw.text_model_stopwords()))}, strip_accents(lower(word)))),
  tf AS (SELECT doc_id, word, count(*) AS tf FROM f GROUP BY ALL),
  st AS (SELECT word, CAST(sum(tf) AS BIGINT) AS term_freq, count(*) AS doc_freq FROM tf GROUP BY word),
  idf AS (SELECT word, doc_freq,

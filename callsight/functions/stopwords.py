@@ -80,6 +80,28 @@ def cloud_stopwords() -> tuple[str, ...]:
     return tuple(sorted(set(default_stopwords("english")) | set(CLOUD_EXTRAS)))
 
 
+def fold_accents(word: str) -> str:
+    """The word without combining marks (NFD), as ``text.strip_accents`` gives it."""
+    return "".join(c for c in unicodedata.normalize("NFD", word) if unicodedata.category(c) != "Mn")
+
+
+def folded(words) -> tuple[str, ...]:
+    """Words without accents, de-duplicated and sorted."""
+    return tuple(sorted({fold_accents(w) for w in words}))
+
+
+def accent_variants(words) -> tuple[str, ...]:
+    """Every folded word, with no accent or with one accented letter: for matchers
+    that compare words as they stand (``StopWordsRemover``)."""
+    marks = dict(zip("aeioun", "áéíóúñ"))
+    out = set(words)
+    for w in folded(words):
+        out.add(w)
+        out.update(w[:i] + marks[c] + w[i + 1:] for i, c in enumerate(w) if c in marks)
+        out.update(w[:i] + "ü" + w[i + 1:] for i, c in enumerate(w) if c == "u")
+    return tuple(sorted(out))
+
+
 def sql_list(words) -> str:
     """Words as a SQL list literal."""
     return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"

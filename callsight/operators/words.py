@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import strip_accents
 
 UNICODE_NONWORD = r"(?U)\W+"
 ASCII_NONWORD = r"\W+"
@@ -64,11 +65,16 @@ def explode_words(df: DataFrame, id_col: str, tokens, extra: Sequence[str] = ())
     return df.select(id_col, *extra, F.explode(_col(tokens)).alias("word"))
 
 
-def remove_stopwords(words: DataFrame, stop: DataFrame, case_sensitive: bool = False) -> DataFrame:
+def remove_stopwords(words: DataFrame, stop: DataFrame, case_sensitive: bool = False,
+                     fold_accents: bool = False) -> DataFrame:
     """J6/M11 in long form: left-anti join against a fixed stop-word list.
-    The list is bounded, so it is broadcast."""
+    The list is bounded, so it is broadcast.  ``fold_accents`` compares both
+    sides without accents (T3); the words themselves keep theirs."""
     key = F.col("word") if case_sensitive else F.lower(F.col("word"))
-    s = stop.select(F.lower("word").alias("_stop")).distinct()
+    listed = F.lower("word")
+    if fold_accents:
+        key, listed = strip_accents(key), strip_accents(listed)
+    s = stop.select(listed.alias("_stop")).distinct()
     return words.join(F.broadcast(s), key == F.col("_stop"), "left_anti")
 
 
@@ -93,14 +99,19 @@ def idf_weights(stats: DataFrame, n_docs) -> DataFrame:
     return stats.withColumn("idf", F.ln((n.cast("double") + 1.0) / (F.col("doc_freq").cast("double") + 1.0)))
 
 
-def tfidf(tf: DataFrame, idf: DataFrame) -> DataFrame:
+def tfidf(tf: DataFrame, idf: DataFrame, hot: int = 1000) -> DataFrame:
     """Long-form TF-IDF: one row per (document, term), joined on the term.
-    The vocabulary grows with the corpus and its size estimate (an
-    aggregate of exploded text) is unreliable, so it is never broadcast:
-    a shuffle hash join builds each partition's share of the vocabulary
-    (one row per term) and streams the (document, term) rows past it."""
-    return tf.join(idf.select("word", "idf").hint("shuffle_hash"), "word", "inner") \
-        .withColumn("tfidf", F.col("tf") * F.col("idf"))
+    A common term has a row in most documents, so the ``hot`` terms of the
+    largest ``doc_freq`` (at most that many rows) are broadcast and their
+    rows never meet in one task.  The rest of the vocabulary grows with the
+    corpus and is never broadcast: a shuffle hash join builds each
+    partition's share of it (one row per term) and streams the (document,
+    term) rows past it."""
+    weights = idf.select("word", "idf")
+    top = F.broadcast(idf.orderBy(F.desc("doc_freq"), "word").limit(hot).select("word", "idf"))
+    often = tf.join(top, "word")
+    seldom = tf.join(top.select("word"), "word", "left_anti").join(weights.hint("shuffle_hash"), "word")
+    return often.unionByName(seldom).withColumn("tfidf", F.col("tf") * F.col("idf"))
 
 
 def top_k_per_group(counts: DataFrame, group: str, value: str = "frequency",

@@ -58,20 +58,27 @@ def order_feature_pipeline(hour_encoding: str = "numeric") -> Pipeline:
 
 def text_feature_stages(text_col: str = "note_clean", ascii_tokens: bool = False,
                         stop_words: Sequence[str] | None = None, ngram_n: int = 1,
-                        min_df: float = 1.0, space_tokenizer: bool = False) -> list:
+                        min_df: float = 1.0, space_tokenizer: bool = False, vocab_size: int = 1 << 18) -> list:
     """M8/M9 -> M11 -> M12 -> M13 -> M14: tokens, stop words, n-grams,
-    term counts, TF-IDF ``features``."""
+    term counts, TF-IDF ``features``.
+
+    The default stop words also match with accents left out or added (T3;
+    not with ``ascii_tokens``, which reproduces the studied model).
+    ``vocab_size`` bounds the model: the most frequent terms only (MLlib's
+    default number); the long form ``term_counts`` has no such bound."""
     if space_tokenizer:
         tok = Tokenizer(inputCol=text_col, outputCol="tokens")
     else:
         tok = RegexTokenizer(inputCol=text_col, outputCol="tokens", minTokenLength=2,
                              pattern=ASCII_NONWORD if ascii_tokens else UNICODE_NONWORD)
-    stop = list(stop_words if stop_words is not None else sw.text_model_stopwords())
+    if stop_words is None:
+        stop_words = sw.text_model_stopwords() if ascii_tokens else sw.accent_variants(sw.text_model_stopwords())
+    stop = list(stop_words)
     stages = [tok, StopWordsRemover(inputCol="tokens", outputCol="tokens_clean", stopWords=stop)]
     last = "tokens_clean"
     if ngram_n != 1 or not space_tokenizer:
         stages.append(NGram(n=ngram_n, inputCol="tokens_clean", outputCol="tokens_ngram"))
         last = "tokens_ngram"
-    stages += [CountVectorizer(inputCol=last, outputCol="tf", minDF=min_df),
+    stages += [CountVectorizer(inputCol=last, outputCol="tf", minDF=min_df, vocabSize=vocab_size),
                IDF(inputCol="tf", outputCol="features")]
     return stages

@@ -55,9 +55,11 @@ MISSING_NOTE_REF = -1
 
 def raw_contacts(spark: SparkSession, sf_dir: str, notes: bool = True,
                  clean_note: Callable[[Column], Column] | None = None,
-                 note_ref: bool = False) -> DataFrame:
+                 note_ref: bool = False, note_text: bool = True) -> DataFrame:
     """Raw (un-normalised) contacts.  ``notes=False`` leaves out the note
-    column and with it the join against ``documents``.
+    column and with it the join against ``documents``; ``note_text=False``
+    keeps only whether there is a note (empty or NULL), so that no text is
+    shuffled.
 
     ``clean_note`` adds ``note_clean``: the cleaner applied to the note
     after the sentinel rule (what P10 adds after P7).  It is evaluated once
@@ -77,6 +79,8 @@ def raw_contacts(spark: SparkSession, sf_dir: str, notes: bool = True,
         docs = documents(spark, sf_dir)
         if clean_note is not None:
             docs = docs.withColumn("text_clean", clean_note(F.coalesce(F.col("text"), F.lit(MISSING_NOTE))))
+        if not note_text:
+            docs = docs.withColumn("text", F.when(F.col("text").isNotNull(), F.lit("")))
         n_docs = table(spark, sf_dir, "documents").select(F.count(F.lit(1))).scalar()
         # Equi-join on a derived key.  The planner's size estimate counts a
         # text as a few bytes, so it would broadcast the whole corpus; a

@@ -39,7 +39,8 @@ def write_contacts(df: DataFrame, path: str, fmt: str = "parquet",
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).option("escape", '"').csv(path)
+        whole = "yyyy-MM-dd HH:mm:ss.SSSSSS"          # the default forms stop at milliseconds
+        w.option("header", True).option("escape", '"').options(timestampFormat=whole, timestampNTZFormat=whole).csv(path)
     else:
         w.parquet(path)
 

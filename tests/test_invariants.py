@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from callsight.catalog import QUERIES, contacts
+from callsight.functions import stopwords as sw
 from callsight.operators import attribution, evaluation, metrics, numbering
+from callsight.operators import words as W
 from callsight.plans import recommend
 from conftest import SF
 
@@ -160,3 +162,21 @@ def test_exact_quantiles_equal_percentile(spark, buckets):
            .collect() if r.q for p, v in zip(probs, r.q)}
     got = {(r.k, r.p): r.q for r in exact_quantiles(df, "k", "v", probs, buckets).collect()}
     assert got == ref
+
+
+def test_tfidf_of_frequent_and_other_terms(spark):
+    """The broadcast share and the shuffled share together are all rows, whatever their border."""
+    rows = [(d, w, d + 1) for d in range(20) for w in ["all", f"w{d % 5}", f"own{d}"]]
+    tf = spark.createDataFrame(rows, "doc_id long, word string, tf long")
+    idf = W.idf_weights(W.term_counts(tf), 20)
+    got = [sorted(map(tuple, W.tfidf(tf, idf, hot=k).select("doc_id", "word", "tfidf").collect())) for k in (0, 1, 4, 1000)]
+    assert len(got[0]) == 60 and all(g == got[0] for g in got)
+
+
+def test_stop_words_match_without_accents(spark):
+    words = spark.createDataFrame([(1, w) for w in ["mencionó", "menciono", "más", "casa", "niñó"]], "doc_id long, word string")
+    stop = W.stopword_frame(spark, ["menciono", "mas", "niño"])
+    left = {r.word for r in W.remove_stopwords(words, stop, fold_accents=True).collect()}
+    assert left == {"casa"}
+    assert {r.word for r in W.remove_stopwords(words, stop).collect()} == {"mencionó", "más", "casa", "niñó"}
+    assert {"mencionó", "menciono", "niño", "nino"} <= set(sw.accent_variants(["menciono", "niño"]))
