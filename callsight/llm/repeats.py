@@ -9,7 +9,9 @@ strings share an anchor at the same place (a sparse suffix array: about one
 position in 16).  Batches of documents send their distinct anchor hashes to
 hash buckets; only anchors of two or more documents come back.  For those a
 batch sends each distinct context (the bytes that strings around the anchor
-can cover) once, with its occurrences.
+can cover) once, with its smallest and largest document.  Occurrences never
+leave their batch: it gets back the smallest document of each group and looks
+its own places up again.
 
 A bucket builds an enhanced suffix array over its distinct contexts: suffixes
 sorted from the anchor on, with their common-prefix lengths.  The scan opens
@@ -23,7 +25,10 @@ neighbours; the smallest document of each group decides.
 Sizes: a batch is about ``batch_bytes`` of text and a bucket about
 ``bucket_bytes``; both numbers follow the input.  In a batch an anchor or a
 context counts once however many documents share it, so a hot passage sends
-one entry per batch, not one per occurrence.
+one entry per batch, not one per occurrence.  An anchor that stands at more
+than ``dense`` places (a common short line, say, in ever different
+surroundings) is dealt out again: each string around it goes to the bucket of
+its own bytes, so what meets in a bucket is equal as a whole.
 
 Defined cases: a NULL text is empty; texts shorter than ``size`` stay whole;
 rows with a NULL id are neither source nor target; rows that share an id do
@@ -147,6 +152,38 @@ def _unpack(raw: bytes, kind, count: int) -> np.ndarray:
     return np.frombuffer(pa.decompress(raw, decompressed_size=count * np.dtype(kind).itemsize, codec="zstd", asbytes=True), kind)
 
 
+NONE = np.iinfo(np.int64).max
+
+
+def _table(rows: list[tuple], kinds: list[tuple]) -> pa.Table:
+    cols = list(zip(*rows)) if rows else [()] * len(kinds)
+    return pa.table([pa.array(c, t) for c, (_, t) in zip(cols, kinds)], [name for name, _ in kinds])
+
+
+def _distinct(rec: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows of bytes and which of them each row is."""
+    width = rec.shape[1]
+    uniq, which = np.unique(np.ascontiguousarray(rec).view(np.dtype((np.void, width))).reshape(-1), return_inverse=True)
+    return uniq.view(np.uint8).reshape(-1, width), which
+
+
+def _extremes(which, low, high, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest and largest value per class."""
+    a, z = np.full(n, NONE), np.full(n, np.iinfo(np.int64).min)
+    np.minimum.at(a, which, low)
+    np.maximum.at(z, which, high)
+    return a, z
+
+
+def _row_hash(rec: np.ndarray) -> np.ndarray:
+    """64-bit hash of every row of bytes."""
+    pad = np.zeros((len(rec), -rec.shape[1] % 8), np.uint8)
+    h = np.zeros(len(rec), np.uint64)
+    for col in np.ascontiguousarray(np.concatenate([rec, pad], axis=1)).view(np.uint64).T:
+        h = mix64(h * np.uint64(MULTIPLIER) + col)
+    return h
+
+
 def _ordered(table: pa.Table):
     """A batch's ids, row numbers and texts in an order that does not depend on how it arrived."""
     table = table.sort_by([("id", "ascending"), ("tie", "ascending")])
@@ -157,7 +194,7 @@ def _ordered(table: pa.Table):
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 50, anchor: int = 20,
-                   batch_bytes: int = 8 << 20, bucket_bytes: int = 16 << 20, keep=None) -> DataFrame:
+                   batch_bytes: int = 8 << 20, bucket_bytes: int = 16 << 20, dense: int = 10000, keep=None) -> DataFrame:
     """``row`` (the kept columns), ``n_bytes``, ``kept`` (remaining bytes), ``spans`` (removed start, end)."""
     left_width = size - anchor
     names = docs.columns if keep is None else keep
@@ -183,105 +220,157 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         new = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
         start = np.flatnonzero(new)
         end = np.concatenate([start[1:], [len(h)]]) - 1 if len(start) else start
-        many = (d[start] != d[end]).astype(np.uint8)           # two documents of this batch already
+        many = d[start] != d[end]                              # two documents of this batch already
+        info = ((end - start + 1) * 2 + many).astype(np.uint32)
         h = h[start]
         b = (h % np.uint64(buckets)).astype(np.int64)
         by = np.argsort(b, kind="stable")
         cut = np.searchsorted(b[by], np.arange(buckets + 1))
-        out = [(k, g, int(z - a), h[by[a:z]].tobytes(), _pack(many[by[a:z]])) for k, (a, z) in enumerate(zip(cut, cut[1:])) if z > a]
-        cols = list(zip(*out)) if out else [()] * 5
-        return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))],
-                        ["b", "g", "n", "h", "many"])
+        out = [(k, g, int(z - a), h[by[a:z]].tobytes(), _pack(info[by[a:z]])) for k, (a, z) in enumerate(zip(cut, cut[1:])) if z > a]
+        return _table(out, [("b", pa.int32()), ("g", pa.int32()), ("n", pa.int32()), ("h", pa.binary()), ("info", pa.binary())])
 
     def shared(table: pa.Table) -> pa.Table:
-        parts = [(g, np.frombuffer(h, np.uint64), _unpack(m, np.uint8, n)) for g, n, h, m in
-                 zip(*[table.column(c).to_pylist() for c in ("g", "n", "h", "many")])]
-        h = np.concatenate([p[1] for p in parts])
-        value, count = np.unique(h, return_counts=True)
+        parts = [(g, np.frombuffer(h, np.uint64), _unpack(i, np.uint32, n)) for g, n, h, i in
+                 zip(*[table.column(c).to_pylist() for c in ("g", "n", "h", "info")])]
+        value, inv = np.unique(np.concatenate([p[1] for p in parts]), return_inverse=True)
+        count = np.bincount(inv)
+        times = np.bincount(inv, np.concatenate([p[2] >> 1 for p in parts]))
         out = []
-        for g, own, many in parts:
-            hit = own[(count[np.searchsorted(value, own)] > 1) | (many > 0)]
-            if len(hit):
-                out.append((g, hit.tobytes()))
-        cols = list(zip(*out)) if out else [(), ()]
-        return pa.table([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.binary())], ["g2", "h"])
+        for g, own, info in parts:
+            at = np.searchsorted(value, own)
+            hit = (count[at] > 1) | ((info & 1) > 0)
+            if hit.any():
+                out.append((g, own[hit].tobytes(), (times[at[hit]] > dense).astype(np.uint8).tobytes()))
+        return _table(out, [("g2", pa.int32()), ("h", pa.binary()), ("hot", pa.binary())])
+
+    width = 10 + left_width + size
+    reach = np.arange(-left_width, size)
+
+    def records(data, off, pos, h, row):
+        """Bucket by bucket: (bucket, its anchors, their distinct context records, which record each anchor has)."""
+        n_left = np.minimum(pos - off[row], left_width).astype(np.uint8)
+        n_right = np.minimum(off[row + 1] - pos, size).astype(np.uint8)
+        b = (h % np.uint64(buckets)).astype(np.int64)
+        by = np.argsort(b, kind="stable")
+        cut = np.searchsorted(b[by], np.arange(buckets + 1))
+        for k, (a, z) in enumerate(zip(cut, cut[1:])):
+            if z > a:
+                me = by[a:z]
+                real = (reach >= -n_left[me, None].astype(np.int64)) & (reach < n_right[me, None])
+                c = np.where(real, data[np.clip(pos[me, None] + reach, 0, len(data) - 1)], 0).astype(np.uint8)
+                head = h[me].astype(">u8").view(np.uint8).reshape(-1, 8)
+                yield (k, me, *_distinct(np.concatenate([head, n_left[me, None], n_right[me, None], c], axis=1)))
+
+    def one_string(rec, o):
+        """(places, records) of the contexts that hold the string starting ``o`` bytes before the anchor, all else blanked."""
+        some = np.flatnonzero((rec[:, 8] >= o) & (rec[:, 9] >= size - o))
+        out = np.zeros((len(some), width), np.uint8)
+        out[:, :8], out[:, 8], out[:, 9] = rec[some, :8], o, size - o
+        at = 10 + left_width - o
+        out[:, at:at + size] = rec[some, at:at + size]
+        return some, out
 
     def contexts(table: pa.Table, hits: pa.Table) -> pa.Table:
-        kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+        kinds = [("b", pa.int32()), ("g", pa.int32()), ("o", pa.int32()), ("n", pa.int32()), ("ctx", pa.binary()), ("low", pa.binary()),
+                 ("high", pa.binary())]
         out = []
         if table.num_rows and hits.num_rows:
             g = table.column("g")[0].as_py()
             _, ids, known, data, off = _ordered(table)
             pos, h, row = anchors_of(data, off, known)
-            want = np.sort(np.concatenate([np.frombuffer(x, np.uint64) for x in hits.column("h").to_pylist()]))
+            want = np.concatenate([np.frombuffer(x, np.uint64) for x in hits.column("h").to_pylist()])
+            hot = np.concatenate([np.frombuffer(x, np.uint8) for x in hits.column("hot").to_pylist()])
+            by = np.argsort(want)
+            want, hot = want[by], hot[by] > 0
             at = np.minimum(np.searchsorted(want, h), len(want) - 1)
             ok = want[at] == h
-            pos, h, row = pos[ok], h[ok], row[ok]
-            n_left = np.minimum(pos - off[row], left_width).astype(np.uint8)
-            n_right = np.minimum(off[row + 1] - pos, size).astype(np.uint8)
-            b = (h % np.uint64(buckets)).astype(np.int64)
-            by = np.argsort(b, kind="stable")
-            cut = np.searchsorted(b[by], np.arange(buckets + 1))
-            reach = np.arange(-left_width, size)
-            for k, (a, z) in enumerate(zip(cut, cut[1:])):
-                if z <= a:
-                    continue
-                me = by[a:z]
-                where = pos[me, None] + reach
-                real = (reach >= -n_left[me, None].astype(np.int64)) & (reach < n_right[me, None])
-                c = np.where(real, data[np.clip(where, 0, len(data) - 1)], 0).astype(np.uint8)
-                rec = np.concatenate([h[me].astype(">u8").view(np.uint8).reshape(-1, 8), n_left[me, None], n_right[me, None], c], axis=1)
-                rec = np.ascontiguousarray(rec).view(np.dtype((np.void, rec.shape[1]))).reshape(-1)
-                uniq, inv = np.unique(rec, return_inverse=True)
-                out.append((k, g, len(uniq), len(me), _pack(uniq.view(np.uint8)), _pack(inv.astype(np.uint32)), _pack(ids[row[me]]),
-                            _pack(row[me].astype(np.uint32)), _pack((pos[me] - off[row[me]]).astype(np.uint32))))
-        cols = list(zip(*out)) if out else [()] * 9
-        return pa.table([pa.array(c, t) for c, t in zip(cols, kinds)], ["b", "g", "n", "m", "ctx", "which", "doc", "row", "pos"])
-
-    width = 10 + left_width + size
+            pos, h, row, hot = pos[ok], h[ok], row[ok], hot[at[ok]]
+            for k, me, rec, which in records(data, off, pos, h, row):
+                low, high = _extremes(which, ids[row[me]], ids[row[me]], len(rec))
+                dealt = np.zeros(len(rec), bool)
+                dealt[which] = hot[me]
+                calm = ~dealt
+                if calm.any():
+                    out.append((k, g, -1, int(calm.sum()), _pack(rec[calm]), _pack(low[calm]), _pack(high[calm])))
+                rec, low, high = rec[dealt], low[dealt], high[dealt]
+                for o in range(left_width + 1) if len(rec) else ():
+                    some, part = one_string(rec, o)
+                    if not len(some):
+                        continue
+                    part, of = _distinct(part)
+                    lo, hi = _extremes(of, low[some], high[some], len(part))
+                    to = (_row_hash(part) % np.uint64(buckets)).astype(np.int64)
+                    for b in np.unique(to).tolist():
+                        here = to == b
+                        out.append((b, g, o, int(here.sum()), _pack(part[here]), _pack(lo[here]), _pack(hi[here])))
+        return _table(out, kinds)
 
     def decide(table: pa.Table) -> pa.Table:
-        gs, ns, ms, recs, which, doc, row, pos = [table.column(c).to_pylist() for c in ("g", "n", "m", "ctx", "which", "doc", "row", "pos")]
-        recs = [_unpack(r, np.uint8, n * width).reshape(n, width) for r, n in zip(recs, ns)]
-        all_recs = np.ascontiguousarray(np.concatenate(recs)).view(np.dtype((np.void, width))).reshape(-1)
-        uniq, inv = np.unique(all_recs, return_inverse=True)
-        start = np.concatenate([[0], np.cumsum(ns)])
-        docs_ = [_unpack(d, np.int64, m) for d, m in zip(doc, ms)]
-        at = [inv[start[x] + _unpack(w, np.uint32, m).astype(np.int64)] for x, (w, m) in enumerate(zip(which, ms))]
-        least = np.full(len(uniq), np.iinfo(np.int64).max)
-        for c, d in zip(at, docs_):
-            np.minimum.at(least, c, d)
-        raw = uniq.view(np.uint8).reshape(-1, width)
-        key = np.ascontiguousarray(raw[:, :8]).view(">u8").reshape(-1).astype(np.uint64)
-        n_left, n_right = raw[:, 8].astype(np.int64), raw[:, 9].astype(np.int64)
-        smallest = repeat_spans(key, left_width, raw[:, 10:], n_left, n_right, least, size)
-        out = []
-        for x, g in enumerate(gs):
-            r, p = _unpack(row[x], np.uint32, ms[x]), _unpack(pos[x], np.uint32, ms[x]).astype(np.int64)
-            for a in range(0, ms[x], 1 << 16):
-                hit = smallest[at[x][a:a + (1 << 16)]] < docs_[x][a:a + (1 << 16), None]
+        gs, os_, ns, recs, low, high = [table.column(c).to_pylist() for c in ("g", "o", "n", "ctx", "low", "high")]
+        uniq, at = _distinct(np.concatenate([_unpack(r, np.uint8, n * width).reshape(n, width) for r, n in zip(recs, ns)]))
+        least = np.full(len(uniq), NONE)
+        np.minimum.at(least, at, np.concatenate([_unpack(x, np.int64, n) for x, n in zip(low, ns)]))
+        key = np.ascontiguousarray(uniq[:, :8]).view(">u8").reshape(-1).astype(np.uint64)
+        smallest = repeat_spans(key, left_width, uniq[:, 10:], uniq[:, 8].astype(np.int64), uniq[:, 9].astype(np.int64), least, size)
+        out, start = [], 0
+        for g, o, n, last in zip(gs, os_, ns, high):
+            own = at[start:start + n]
+            start += n
+            found = smallest[own] if o < 0 else smallest[own, o:o + 1]
+            some = (found < _unpack(last, np.int64, n)[:, None]).any(axis=1)     # some document of the batch loses bytes
+            if some.any():
+                out.append((g, o, int(some.sum()), _pack(uniq[own[some]]), _pack(found[some])))
+        return _table(out, [("g2", pa.int32()), ("o", pa.int32()), ("n", pa.int32()), ("ctx", pa.binary()), ("found", pa.binary())])
+
+    def removed(ids, known, data, off, hits: pa.Table):
+        """(row, start, end) of what goes, from the groups' smallest documents."""
+        back = {}
+        for o, n, ctx, found in zip(*[hits.column(c).to_pylist() for c in ("o", "n", "ctx", "found")]):
+            back.setdefault(o, []).append((_unpack(ctx, np.uint8, n * width).reshape(n, width),
+                                           _unpack(found, np.int64, n * (left_width + 1 if o < 0 else 1)).reshape(n, -1)))
+        back = {o: [np.concatenate(x) for x in zip(*parts)] for o, parts in back.items()}
+        if not back:
+            return
+        keys = {o: np.ascontiguousarray(c[:, :8]).view(">u8").reshape(-1).astype(np.uint64) for o, (c, _) in back.items()}
+        pos, h, row = anchors_of(data, off, known)
+        ok = np.isin(h, np.concatenate(list(keys.values())))
+        pos, h, row = pos[ok], h[ok], row[ok]
+        for k, me, rec, which in records(data, off, pos, h, row):
+            small = np.full((len(rec), left_width + 1), NONE)
+            own = np.ascontiguousarray(rec[:, :8]).view(">u8").reshape(-1).astype(np.uint64)
+            for o, (ctx, found) in back.items():
+                mine = keys[o] % np.uint64(buckets) == np.uint64(k)
+                n = int(mine.sum())
+                near = np.flatnonzero(np.isin(own, keys[o][mine]))
+                some, part = (np.arange(len(near)), rec[near]) if o < 0 else one_string(rec[near], o)
+                some = near[some]
+                if not len(some):
+                    continue
+                uniq, of = _distinct(np.concatenate([ctx[mine], part]))
+                got = np.full((len(uniq), found.shape[1]), NONE)
+                got[of[:n]] = found[mine]
+                col = slice(None) if o < 0 else o
+                small[some, col] = got[of[n:]] if o < 0 else got[of[n:], 0]
+            for a in range(0, len(me), 1 << 16):
+                x = me[a:a + (1 << 16)]
+                hit = small[which[a:a + (1 << 16)]] < ids[row[x]][:, None]
                 some = np.flatnonzero(hit.any(axis=1))
                 if len(some):
-                    lo = p[a + some] - (left_width - hit[some][:, ::-1].argmax(axis=1))
-                    hi = p[a + some] + size - hit[some].argmax(axis=1)
-                    out.append((g, len(some), _pack(r[a + some]), _pack(lo), _pack(hi)))
-        cols = list(zip(*out)) if out else [()] * 5
-        return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
-                        ["g2", "n", "row_at", "lo", "hi"])
+                    at = pos[x[some]]
+                    yield row[x[some]], at - (left_width - hit[some][:, ::-1].argmax(axis=1)), at + size - hit[some].argmax(axis=1)
 
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     schema = T.StructType([base.schema["row"], T.StructField("n_bytes", T.LongType()), T.StructField("kept", T.BinaryType()),
                            T.StructField("spans", T.ArrayType(span))])
 
     def cut_out(table: pa.Table, hits: pa.Table) -> pa.Table:
-        table, _, _, data, off = _ordered(table)
+        table, ids, known, data, off = _ordered(table)
         data = data[off[0]:off[-1]]
         off = off - off[0]
         edge = np.zeros(len(data) + 1, np.int64)
-        for n, r, lo, hi in zip(*[hits.column(c).to_pylist() for c in ("n", "row_at", "lo", "hi")]):
-            first = off[_unpack(r, np.uint32, n)]
-            np.add.at(edge, first + _unpack(lo, np.int64, n), 1)
-            np.add.at(edge, first + _unpack(hi, np.int64, n), -1)
+        for _, lo, hi in removed(ids, known, data, off, hits):
+            np.add.at(edge, lo, 1)
+            np.add.at(edge, hi, -1)
         gone = np.cumsum(edge)[:-1] > 0
         mark = np.zeros(len(data) + 1, bool)
         mark[off] = True
@@ -297,11 +386,11 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         return pa.table([table.column("row"), pa.array(off[1:] - off[:-1]), kept, spans], ["row", "n_bytes", "kept", "spans"])
 
     texts = base.select("id", "tie", "text", "g")
-    sent = texts.groupBy("g").applyInArrow(send, "b int, g int, n int, h binary, many binary")
-    back = sent.groupBy("b").applyInArrow(shared, "g2 int, h binary")
+    sent = texts.groupBy("g").applyInArrow(send, "b int, g int, n int, h binary, info binary")
+    back = sent.groupBy("b").applyInArrow(shared, "g2 int, h binary, hot binary")
     ctx = (texts.groupBy("g").cogroup(back.groupBy("g2"))
-           .applyInArrow(contexts, "b int, g int, n int, m int, ctx binary, which binary, doc binary, row binary, pos binary"))
-    found = ctx.groupBy("b").applyInArrow(decide, "g2 int, n int, row_at binary, lo binary, hi binary")
+           .applyInArrow(contexts, "b int, g int, o int, n int, ctx binary, low binary, high binary"))
+    found = ctx.groupBy("b").applyInArrow(decide, "g2 int, o int, n int, ctx binary, found binary")
     return base.groupBy("g").cogroup(found.groupBy("g2")).applyInArrow(cut_out, schema)
 
 

@@ -82,6 +82,21 @@ def test_repeats_equal_brute_force(odd, none, batch):
     assert repeats.remove_repeats(none).count() == 0
 
 
+@pytest.mark.parametrize("dense", [0, 2, 10000])
+def test_repeats_of_dense_anchors(spark, dense):
+    rng = np.random.default_rng(5)
+    line, other = "a line of thirty-nine bytes, very common", PASSAGE
+    rows = []
+    for i in range(60):
+        own = "".join(rng.choice(list("abcd "), 40))
+        rows.append((i, f"{own[:20]}{line}{own[20:]}{line}" + (other if i % 7 == 0 else "") + own[i % 3:i % 3 + 8] * (i % 5)))
+    rows += [(60 + i, rows[i][1][i:]) for i in range(0, 30, 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r.row.doc_id: (bytes(r.kept), len(r.spans)) for r in
+           repeats.remove_repeats(df, batch_bytes=900, bucket_bytes=1500, dense=dense).collect()}
+    assert got == removed(rows)
+
+
 def test_repeats_null_and_shared_ids(spark):
     df = spark.createDataFrame([(None, PASSAGE), (3, PASSAGE), (3, PASSAGE), (5, PASSAGE)], "doc_id long, text string")
     got = sorted((r.row.doc_id or -1, len(r.kept)) for r in repeats.remove_repeats(df).collect())
