@@ -12,13 +12,14 @@ log-likelihoods, over the whole text and over its strongest window of
 ``window`` words (1: its strongest word in context); a logistic curve over these two, fitted on labelled rows kept
 apart from the counts, gives the score.
 
-Bounds (documented parameters): the models learn from at most
+Bounds (a documented parameter): the models learn from at most
 ``train_per_class`` labelled documents of each class (smallest hashes first),
-keep the ``vocabulary`` most widely used words and the ``bigrams`` most
-frequent pairs that stand in at least ``min_docs`` of them (``min_share`` of a
-class); other words share one unknown symbol.  Left contexts of the shared counts are told apart by a hash
-into 256 classes, so the table stays one row per vocabulary word.  The shared
-counts and the scoring cover all documents and whole texts.
+and keep every word that stands in at least ``min_docs`` of them (and in
+``min_share`` of a class) and every pair as frequent as that, so the tables
+are bounded by the sample alone; other words share one unknown symbol.  The
+shared counts are exact distinct left contexts over all documents: their
+(word, left word) pairs grow with the corpus and are counted by Spark, one
+number per vocabulary word comes back.  Scoring covers whole texts.
 
 Defined cases: a NULL or empty text has no words and gets the score of zero
 evidence; without both classes in the training labels every score is 0; rows
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import as_rows, blocks, bytes_view, checkpointed, lower_ascii, row_schema, span_hashes, word_bytes, word_spans
+from .common import MULTIPLIER, as_rows, blocks, bytes_view, checkpointed, lower_ascii, mix64, row_schema, span_hashes, word_bytes, word_spans
 
 IS_WORD = word_bytes(lambda b: b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122)
 LOWER = lower_ascii()
@@ -140,8 +141,7 @@ def _fit_curve(x: np.ndarray, y: np.ndarray, ordinary: float) -> tuple[float, ..
 
 
 def train(docs: DataFrame, labels: DataFrame, corpus: DataFrame, *, train_per_class: int = 10000,
-          vocabulary: int = 50000, bigrams: int = 200000, min_docs: int = 8, min_share: float = 0.005,
-          window: int = 1) -> Model | None:
+          min_docs: int = 8, min_share: float = 0.005, window: int = 1) -> Model | None:
     """Learn from ``labels`` (doc_id, toxic; fold 0 left out) over ``docs``; shared counts over ``corpus``."""
     usable = labels.where("doc_id is not null and toxic is not null").where(fold() != 0).select("doc_id", "toxic")
     usable = usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -157,7 +157,7 @@ def train(docs: DataFrame, labels: DataFrame, corpus: DataFrame, *, train_per_cl
         return None
     learn, tune = texts.where("part <> 1").select("text", "toxic"), texts.where("part = 1").select("text", "toxic")
     words = (learn.mapInArrow(_word_counts, "c long, w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
-             .where(F.col("n") >= least).orderBy(F.desc("n"), "w").limit(vocabulary))
+             .where(F.col("n") >= least))
     vocab = np.sort(np.array([r["w"] for r in words.select("w").collect()], np.int64).view(np.uint64))
     if not len(vocab):
         return None
@@ -181,25 +181,20 @@ def train(docs: DataFrame, labels: DataFrame, corpus: DataFrame, *, train_per_cl
         cont[r["c"], r["w"]] = r["t"]
 
     def contexts(batches):
-        bits = np.zeros((size, 32), np.uint8)
         for b in batches:
             for _, row, h in _tokens(b.column("text")):
-                ids = _ids(vocab, h)
                 prev = np.zeros(len(h), np.uint64)
                 if len(h) > 1:
                     prev[1:] = np.where(row[1:] == row[:-1], h[:-1], np.uint64(0))
-                cls = (prev >> np.uint64(56)).astype(np.int64)
-                np.bitwise_or.at(bits.reshape(-1), ids * 32 + (cls >> 3), (1 << (cls & 7)).astype(np.uint8))
-        four = bits.view(np.int64)
-        used = np.flatnonzero(four.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(used), *[pa.array(np.ascontiguousarray(four[used, k])) for k in range(4)]],
-                                         ["w", "a", "b", "c", "d"])
+                ids = _ids(vocab, h)
+                _, one = np.unique(mix64(prev * np.uint64(MULTIPLIER) + ids.astype(np.uint64)), return_index=True)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[one]), pa.array(prev[one].view(np.int64))], ["w", "u"])
 
     all_texts = as_rows(corpus, [], "text").select("text")
-    merged = (all_texts.mapInArrow(contexts, "w long, a long, b long, c long, d long").groupBy("w")
-              .agg(*[F.bit_count(F.bit_or(k)).alias(k) for k in "abcd"]))
+    merged = (all_texts.mapInArrow(contexts, "w long, u long").groupBy("w", "u").agg(F.lit(1))
+              .groupBy("w").agg(F.count(F.lit(1)).alias("t")))
     shared = np.ones(size)
-    for r in merged.select("w", (F.col("a") + F.col("b") + F.col("c") + F.col("d")).alias("t")).collect():
+    for r in merged.collect():
         shared[r["w"]] += r["t"]                               # at most one row per vocabulary word
     shared /= shared.sum()
     lower = np.zeros((2, size))
@@ -211,8 +206,7 @@ def train(docs: DataFrame, labels: DataFrame, corpus: DataFrame, *, train_per_cl
     beta = np.log(lower[1]) - np.log(lower[0])
     frequent = (seen.groupBy("u", "w").agg(*[F.sum(F.when(F.col("c") == c, F.col("n")).otherwise(0)).alias(f"n{c}")
                                              for c in (0, 1)])
-                .where(F.col("n0") + F.col("n1") >= least)
-                .orderBy(F.desc(F.col("n0") + F.col("n1")), "u", "w").limit(bigrams).toPandas())
+                .where(F.col("n0") + F.col("n1") >= least).toPandas())
     u, w = frequent["u"].to_numpy(np.int64), frequent["w"].to_numpy(np.int64)
     logs = []
     for c in (0, 1):
