@@ -167,6 +167,11 @@ def _distinct(rec: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return uniq.view(np.uint8).reshape(-1, width), which
 
 
+def _keys(rec: np.ndarray) -> np.ndarray:
+    """The anchor hashes at the head of context records."""
+    return np.ascontiguousarray(rec[:, :8]).view(">u8").reshape(-1).astype(np.uint64)
+
+
 def _extremes(which, low, high, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Smallest and largest value per class."""
     a, z = np.full(n, NONE), np.full(n, np.iinfo(np.int64).min)
@@ -194,7 +199,7 @@ def _ordered(table: pa.Table):
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 50, anchor: int = 20,
-                   batch_bytes: int = 8 << 20, bucket_bytes: int = 16 << 20, dense: int = 10000, keep=None) -> DataFrame:
+                   batch_bytes: int = 8 << 20, bucket_bytes: int = 16 << 20, dense: int = 100000, keep=None) -> DataFrame:
     """``row`` (the kept columns), ``n_bytes``, ``kept`` (remaining bytes), ``spans`` (removed start, end)."""
     left_width = size - anchor
     names = docs.columns if keep is None else keep
@@ -261,17 +266,21 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 head = h[me].astype(">u8").view(np.uint8).reshape(-1, 8)
                 yield (k, me, *_distinct(np.concatenate([head, n_left[me, None], n_right[me, None], c], axis=1)))
 
-    def one_string(rec, o):
-        """(places, records) of the contexts that hold the string starting ``o`` bytes before the anchor, all else blanked."""
-        some = np.flatnonzero((rec[:, 8] >= o) & (rec[:, 9] >= size - o))
-        out = np.zeros((len(some), width), np.uint8)
-        out[:, :8], out[:, 8], out[:, 9] = rec[some, :8], o, size - o
-        at = 10 + left_width - o
-        out[:, at:at + size] = rec[some, at:at + size]
-        return some, out
+    def strings(rec):
+        """Every string around the anchors on its own: (place of its context, record with all else blanked)."""
+        places, parts = [], []
+        for o in range(left_width + 1):
+            some = np.flatnonzero((rec[:, 8] >= o) & (rec[:, 9] >= size - o))
+            out = np.zeros((len(some), width), np.uint8)
+            out[:, :8], out[:, 8], out[:, 9] = rec[some, :8], o, size - o
+            at = 10 + left_width - o
+            out[:, at:at + size] = rec[some, at:at + size]
+            places.append(some)
+            parts.append(out)
+        return np.concatenate(places), np.concatenate(parts)
 
     def contexts(table: pa.Table, hits: pa.Table) -> pa.Table:
-        kinds = [("b", pa.int32()), ("g", pa.int32()), ("o", pa.int32()), ("n", pa.int32()), ("ctx", pa.binary()), ("low", pa.binary()),
+        kinds = [("b", pa.int32()), ("g", pa.int32()), ("alone", pa.bool_()), ("n", pa.int32()), ("ctx", pa.binary()), ("low", pa.binary()),
                  ("high", pa.binary())]
         out = []
         if table.num_rows and hits.num_rows:
@@ -291,66 +300,62 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 dealt[which] = hot[me]
                 calm = ~dealt
                 if calm.any():
-                    out.append((k, g, -1, int(calm.sum()), _pack(rec[calm]), _pack(low[calm]), _pack(high[calm])))
+                    out.append((k, g, False, int(calm.sum()), _pack(rec[calm]), _pack(low[calm]), _pack(high[calm])))
                 rec, low, high = rec[dealt], low[dealt], high[dealt]
-                for o in range(left_width + 1) if len(rec) else ():
-                    some, part = one_string(rec, o)
-                    if not len(some):
-                        continue
+                for a in range(0, len(rec), 10000):
+                    some, part = strings(rec[a:a + 10000])
                     part, of = _distinct(part)
-                    lo, hi = _extremes(of, low[some], high[some], len(part))
+                    lo, hi = _extremes(of, low[a + some], high[a + some], len(part))
                     to = (_row_hash(part) % np.uint64(buckets)).astype(np.int64)
                     for b in np.unique(to).tolist():
                         here = to == b
-                        out.append((b, g, o, int(here.sum()), _pack(part[here]), _pack(lo[here]), _pack(hi[here])))
+                        out.append((b, g, True, int(here.sum()), _pack(part[here]), _pack(lo[here]), _pack(hi[here])))
         return _table(out, kinds)
 
     def decide(table: pa.Table) -> pa.Table:
-        gs, os_, ns, recs, low, high = [table.column(c).to_pylist() for c in ("g", "o", "n", "ctx", "low", "high")]
+        gs, alone, ns, recs, low, high = [table.column(c).to_pylist() for c in ("g", "alone", "n", "ctx", "low", "high")]
         uniq, at = _distinct(np.concatenate([_unpack(r, np.uint8, n * width).reshape(n, width) for r, n in zip(recs, ns)]))
         least = np.full(len(uniq), NONE)
         np.minimum.at(least, at, np.concatenate([_unpack(x, np.int64, n) for x, n in zip(low, ns)]))
-        key = np.ascontiguousarray(uniq[:, :8]).view(">u8").reshape(-1).astype(np.uint64)
-        smallest = repeat_spans(key, left_width, uniq[:, 10:], uniq[:, 8].astype(np.int64), uniq[:, 9].astype(np.int64), least, size)
+        smallest = repeat_spans(_keys(uniq), left_width, uniq[:, 10:], uniq[:, 8].astype(np.int64), uniq[:, 9].astype(np.int64), least, size)
         out, start = [], 0
-        for g, o, n, last in zip(gs, os_, ns, high):
+        for g, one, n, last in zip(gs, alone, ns, high):
             own = at[start:start + n]
             start += n
-            found = smallest[own] if o < 0 else smallest[own, o:o + 1]
+            found = smallest[own, uniq[own, 8]][:, None] if one else smallest[own]
             some = (found < _unpack(last, np.int64, n)[:, None]).any(axis=1)     # some document of the batch loses bytes
             if some.any():
-                out.append((g, o, int(some.sum()), _pack(uniq[own[some]]), _pack(found[some])))
-        return _table(out, [("g2", pa.int32()), ("o", pa.int32()), ("n", pa.int32()), ("ctx", pa.binary()), ("found", pa.binary())])
+                out.append((g, one, int(some.sum()), _pack(uniq[own[some]]), _pack(found[some])))
+        return _table(out, [("g2", pa.int32()), ("alone", pa.bool_()), ("n", pa.int32()), ("ctx", pa.binary()), ("found", pa.binary())])
 
     def removed(ids, known, data, off, hits: pa.Table):
         """(row, start, end) of what goes, from the groups' smallest documents."""
-        back = {}
-        for o, n, ctx, found in zip(*[hits.column(c).to_pylist() for c in ("o", "n", "ctx", "found")]):
-            back.setdefault(o, []).append((_unpack(ctx, np.uint8, n * width).reshape(n, width),
-                                           _unpack(found, np.int64, n * (left_width + 1 if o < 0 else 1)).reshape(n, -1)))
-        back = {o: [np.concatenate(x) for x in zip(*parts)] for o, parts in back.items()}
+        back = {False: [], True: []}
+        for one, n, ctx, found in zip(*[hits.column(c).to_pylist() for c in ("alone", "n", "ctx", "found")]):
+            back[one].append((_unpack(ctx, np.uint8, n * width).reshape(n, width), _unpack(found, np.int64, n * (1 if one else left_width + 1)).reshape(n, -1)))
+        back = {one: [np.concatenate(x) for x in zip(*parts)] for one, parts in back.items() if parts}
         if not back:
             return
-        keys = {o: np.ascontiguousarray(c[:, :8]).view(">u8").reshape(-1).astype(np.uint64) for o, (c, _) in back.items()}
+        keys = {one: _keys(c) for one, (c, _) in back.items()}
         pos, h, row = anchors_of(data, off, known)
         ok = np.isin(h, np.concatenate(list(keys.values())))
         pos, h, row = pos[ok], h[ok], row[ok]
         for k, me, rec, which in records(data, off, pos, h, row):
             small = np.full((len(rec), left_width + 1), NONE)
-            own = np.ascontiguousarray(rec[:, :8]).view(">u8").reshape(-1).astype(np.uint64)
-            for o, (ctx, found) in back.items():
-                mine = keys[o] % np.uint64(buckets) == np.uint64(k)
-                n = int(mine.sum())
-                near = np.flatnonzero(np.isin(own, keys[o][mine]))
-                some, part = (np.arange(len(near)), rec[near]) if o < 0 else one_string(rec[near], o)
-                some = near[some]
-                if not len(some):
-                    continue
-                uniq, of = _distinct(np.concatenate([ctx[mine], part]))
-                got = np.full((len(uniq), found.shape[1]), NONE)
-                got[of[:n]] = found[mine]
-                col = slice(None) if o < 0 else o
-                small[some, col] = got[of[n:]] if o < 0 else got[of[n:], 0]
+            own = _keys(rec)
+            for one, (ctx, found) in back.items():
+                mine = np.flatnonzero(keys[one] % np.uint64(buckets) == np.uint64(k))
+                near = np.flatnonzero(np.isin(own, keys[one][mine]))
+                step = 10000 if one else max(1, len(near))
+                for a in range(0, len(near), step):
+                    some, part = strings(rec[near[a:a + step]]) if one else (np.arange(len(near)), rec[near])
+                    uniq, of = _distinct(np.concatenate([ctx[mine], part]))
+                    got = np.full((len(uniq), found.shape[1]), NONE)
+                    got[of[:len(mine)]] = found[mine]
+                    if one:
+                        small[near[a + some], part[:, 8]] = got[of[len(mine):], 0]
+                    else:
+                        small[near] = got[of[len(mine):]]
             for a in range(0, len(me), 1 << 16):
                 x = me[a:a + (1 << 16)]
                 hit = small[which[a:a + (1 << 16)]] < ids[row[x]][:, None]
@@ -385,12 +390,11 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                                                                                  pa.py_buffer(data[~gone])]).cast(pa.binary())
         return pa.table([table.column("row"), pa.array(off[1:] - off[:-1]), kept, spans], ["row", "n_bytes", "kept", "spans"])
 
-    texts = base.select("id", "tie", "text", "g")
-    sent = texts.groupBy("g").applyInArrow(send, "b int, g int, n int, h binary, info binary")
+    sent = base.groupBy("g").applyInArrow(send, "b int, g int, n int, h binary, info binary")
     back = sent.groupBy("b").applyInArrow(shared, "g2 int, h binary, hot binary")
-    ctx = (texts.groupBy("g").cogroup(back.groupBy("g2"))
-           .applyInArrow(contexts, "b int, g int, o int, n int, ctx binary, low binary, high binary"))
-    found = ctx.groupBy("b").applyInArrow(decide, "g2 int, o int, n int, ctx binary, found binary")
+    ctx = (base.groupBy("g").cogroup(back.groupBy("g2"))
+           .applyInArrow(contexts, "b int, g int, alone boolean, n int, ctx binary, low binary, high binary"))
+    found = ctx.groupBy("b").applyInArrow(decide, "g2 int, alone boolean, n int, ctx binary, found binary")
     return base.groupBy("g").cogroup(found.groupBy("g2")).applyInArrow(cut_out, schema)
 
 

@@ -82,7 +82,7 @@ def test_repeats_equal_brute_force(odd, none, batch):
     assert repeats.remove_repeats(none).count() == 0
 
 
-@pytest.mark.parametrize("dense", [0, 2, 10000])
+@pytest.mark.parametrize("dense", [0, 2, 100000])
 def test_repeats_of_dense_anchors(spark, dense):
     rng = np.random.default_rng(5)
     line, other = "a line of thirty-nine bytes, very common", PASSAGE
