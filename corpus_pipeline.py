@@ -39,9 +39,10 @@ def near_duplicate_documents(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 def repeated_passages(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 50 bytes that a document with a smaller id holds are cut out; bytes of a character cut in
     part go with it.  ``n_chars`` follows; a NULL text stays NULL."""
-    cut = remove_repeats(docs.select(COLUMNS))
-    text = F.when(F.col("row.text").isNotNull(), F.try_validate_utf8("kept"))
-    mended = F.when(F.col("row.text").isNotNull(), F.regexp_replace(F.make_valid_utf8("kept"), "�", ""))
+    some = docs.select(COLUMNS).withColumn("has_text", F.col("text").isNotNull())
+    cut = remove_repeats(some, keep=["doc_id", "lang", "source", "has_text"])
+    text = F.when(F.col("row.has_text"), F.try_validate_utf8("kept"))
+    mended = F.when(F.col("row.has_text"), F.regexp_replace(F.make_valid_utf8("kept"), "�", ""))
     out = cut.select("row.doc_id", F.coalesce(text, mended).alias("text"), "row.lang", "row.source")
     return out.withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
