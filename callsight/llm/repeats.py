@@ -172,6 +172,11 @@ def _keys(rec: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(rec[:, :8]).view(">u8").reshape(-1).astype(np.uint64)
 
 
+def _rank(keys: np.ndarray) -> np.ndarray:
+    """Place of each entry among its equals in a sorted array."""
+    return np.arange(len(keys)) - np.searchsorted(keys, keys)
+
+
 def _extremes(which, low, high, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Smallest and largest value per class."""
     a, z = np.full(n, NONE), np.full(n, np.iinfo(np.int64).min)
@@ -231,12 +236,14 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         b = (h % np.uint64(buckets)).astype(np.int64)
         by = np.argsort(b, kind="stable")
         cut = np.searchsorted(b[by], np.arange(buckets + 1))
-        out = [(k, g, int(z - a), h[by[a:z]].tobytes(), _pack(info[by[a:z]])) for k, (a, z) in enumerate(zip(cut, cut[1:])) if z > a]
+        short = (h[by] >> np.uint64(32)).astype(np.uint32)     # a filter only: equal by chance costs work, not rightness
+        out = [(k, g, int(z - a), short[a:z].tobytes(), _pack(info[by[a:z]])) for k, (a, z) in enumerate(zip(cut, cut[1:])) if z > a]
         return _table(out, [("b", pa.int32()), ("g", pa.int32()), ("n", pa.int32()), ("h", pa.binary()), ("info", pa.binary())])
 
     def shared(table: pa.Table) -> pa.Table:
-        parts = [(g, np.frombuffer(h, np.uint64), _unpack(i, np.uint32, n)) for g, n, h, i in
+        parts = [(g, np.frombuffer(h, np.uint32), _unpack(i, np.uint32, n)) for g, n, h, i in
                  zip(*[table.column(c).to_pylist() for c in ("g", "n", "h", "info")])]
+        b = table.column("b")[0].as_py()
         value, inv = np.unique(np.concatenate([p[1] for p in parts]), return_inverse=True)
         count = np.bincount(inv)
         times = np.bincount(inv, np.concatenate([p[2] >> 1 for p in parts]))
@@ -245,8 +252,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             at = np.searchsorted(value, own)
             hit = (count[at] > 1) | ((info & 1) > 0)
             if hit.any():
-                out.append((g, own[hit].tobytes(), (times[at[hit]] > dense).astype(np.uint8).tobytes()))
-        return _table(out, [("g2", pa.int32()), ("h", pa.binary()), ("hot", pa.binary())])
+                out.append((g, b, own[hit].tobytes(), (times[at[hit]] > dense).astype(np.uint8).tobytes()))
+        return _table(out, [("g2", pa.int32()), ("b", pa.int32()), ("h", pa.binary()), ("hot", pa.binary())])
 
     width = 10 + left_width + size
     reach = np.arange(-left_width, size)
@@ -281,18 +288,20 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     def contexts(table: pa.Table, hits: pa.Table) -> pa.Table:
         kinds = [("b", pa.int32()), ("g", pa.int32()), ("alone", pa.bool_()), ("n", pa.int32()), ("ctx", pa.binary()), ("low", pa.binary()),
-                 ("high", pa.binary())]
+                 ("more", pa.binary())]
         out = []
         if table.num_rows and hits.num_rows:
             g = table.column("g")[0].as_py()
             _, ids, known, data, off = _ordered(table)
             pos, h, row = anchors_of(data, off, known)
-            want = np.concatenate([np.frombuffer(x, np.uint64) for x in hits.column("h").to_pylist()])
+            want = np.concatenate([np.frombuffer(x, np.uint32).astype(np.uint64) | np.uint64(b << 32) for b, x in
+                                   zip(hits.column("b").to_pylist(), hits.column("h").to_pylist())])
+            code = h % np.uint64(buckets) << np.uint64(32) | h >> np.uint64(32)
             hot = np.concatenate([np.frombuffer(x, np.uint8) for x in hits.column("hot").to_pylist()])
             by = np.argsort(want)
             want, hot = want[by], hot[by] > 0
-            at = np.minimum(np.searchsorted(want, h), len(want) - 1)
-            ok = want[at] == h
+            at = np.minimum(np.searchsorted(want, code), len(want) - 1)
+            ok = want[at] == code
             pos, h, row, hot = pos[ok], h[ok], row[ok], hot[at[ok]]
             for k, me, rec, which in records(data, off, pos, h, row):
                 low, high = _extremes(which, ids[row[me]], ids[row[me]], len(rec))
@@ -300,7 +309,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 dealt[which] = hot[me]
                 calm = ~dealt
                 if calm.any():
-                    out.append((k, g, False, int(calm.sum()), _pack(rec[calm]), _pack(low[calm]), _pack(high[calm])))
+                    out.append((k, g, False, int(calm.sum()), _pack(rec[calm]), _pack(low[calm]), _pack(high[calm] - low[calm])))
                 rec, low, high = rec[dealt], low[dealt], high[dealt]
                 for a in range(0, len(rec), 10000):
                     some, part = strings(rec[a:a + 10000])
@@ -309,30 +318,36 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                     to = (_row_hash(part) % np.uint64(buckets)).astype(np.int64)
                     for b in np.unique(to).tolist():
                         here = to == b
-                        out.append((b, g, True, int(here.sum()), _pack(part[here]), _pack(lo[here]), _pack(hi[here])))
+                        out.append((b, g, True, int(here.sum()), _pack(part[here]), _pack(lo[here]), _pack(hi[here] - lo[here])))
         return _table(out, kinds)
 
     def decide(table: pa.Table) -> pa.Table:
-        gs, alone, ns, recs, low, high = [table.column(c).to_pylist() for c in ("g", "alone", "n", "ctx", "low", "high")]
+        gs, alone, ns, recs, low, more = [table.column(c).to_pylist() for c in ("g", "alone", "n", "ctx", "low", "more")]
         uniq, at = _distinct(np.concatenate([_unpack(r, np.uint8, n * width).reshape(n, width) for r, n in zip(recs, ns)]))
+        low, more = [np.concatenate([_unpack(x, np.int64, n) for x, n in zip(c, ns)]) for c in (low, more)]
+        high = low + more
         least = np.full(len(uniq), NONE)
-        np.minimum.at(least, at, np.concatenate([_unpack(x, np.int64, n) for x, n in zip(low, ns)]))
+        np.minimum.at(least, at, low)
         smallest = repeat_spans(_keys(uniq), left_width, uniq[:, 10:], uniq[:, 8].astype(np.int64), uniq[:, 9].astype(np.int64), least, size)
         out, start = [], 0
-        for g, one, n, last in zip(gs, alone, ns, high):
-            own = at[start:start + n]
+        for g, one, n in zip(gs, alone, ns):
+            own, last = at[start:start + n], high[start:start + n]
             start += n
             found = smallest[own, uniq[own, 8]][:, None] if one else smallest[own]
-            some = (found < _unpack(last, np.int64, n)[:, None]).any(axis=1)     # some document of the batch loses bytes
+            some = (found < last[:, None]).any(axis=1)     # some document of the batch loses bytes
             if some.any():
-                out.append((g, one, int(some.sum()), _pack(uniq[own[some]]), _pack(found[some])))
+                ctx = uniq[own]
+                if not one:                                    # its anchor and which of the anchor's contexts it is
+                    ctx = np.concatenate([ctx[:, :8], _rank(_keys(ctx)).astype(np.uint32)[:, None].view(np.uint8)], axis=1)
+                out.append((g, one, int(some.sum()), _pack(ctx[some]), _pack(found[some].T)))
         return _table(out, [("g2", pa.int32()), ("alone", pa.bool_()), ("n", pa.int32()), ("ctx", pa.binary()), ("found", pa.binary())])
 
     def removed(ids, known, data, off, hits: pa.Table):
         """(row, start, end) of what goes, from the groups' smallest documents."""
         back = {False: [], True: []}
         for one, n, ctx, found in zip(*[hits.column(c).to_pylist() for c in ("alone", "n", "ctx", "found")]):
-            back[one].append((_unpack(ctx, np.uint8, n * width).reshape(n, width), _unpack(found, np.int64, n * (1 if one else left_width + 1)).reshape(n, -1)))
+            back[one].append((_unpack(ctx, np.uint8, n * (width if one else 12)).reshape(n, -1),
+                              _unpack(found, np.int64, n * (1 if one else left_width + 1)).reshape(-1, n).T))
         back = {one: [np.concatenate(x) for x in zip(*parts)] for one, parts in back.items() if parts}
         if not back:
             return
@@ -345,17 +360,17 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             own = _keys(rec)
             for one, (ctx, found) in back.items():
                 mine = np.flatnonzero(keys[one] % np.uint64(buckets) == np.uint64(k))
+                if not one:
+                    rank = np.ascontiguousarray(ctx[mine, 8:12]).view(np.uint32).reshape(-1)
+                    small[np.searchsorted(own, keys[one][mine]) + rank] = found[mine]
+                    continue
                 near = np.flatnonzero(np.isin(own, keys[one][mine]))
-                step = 10000 if one else max(1, len(near))
-                for a in range(0, len(near), step):
-                    some, part = strings(rec[near[a:a + step]]) if one else (np.arange(len(near)), rec[near])
+                for a in range(0, len(near), 10000):
+                    some, part = strings(rec[near[a:a + 10000]])
                     uniq, of = _distinct(np.concatenate([ctx[mine], part]))
-                    got = np.full((len(uniq), found.shape[1]), NONE)
-                    got[of[:len(mine)]] = found[mine]
-                    if one:
-                        small[near[a + some], part[:, 8]] = got[of[len(mine):], 0]
-                    else:
-                        small[near] = got[of[len(mine):]]
+                    got = np.full(len(uniq), NONE)
+                    got[of[:len(mine)]] = found[mine, 0]
+                    small[near[a + some], part[:, 8]] = got[of[len(mine):]]
             for a in range(0, len(me), 1 << 16):
                 x = me[a:a + (1 << 16)]
                 hit = small[which[a:a + (1 << 16)]] < ids[row[x]][:, None]
@@ -391,9 +406,9 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         return pa.table([table.column("row"), pa.array(off[1:] - off[:-1]), kept, spans], ["row", "n_bytes", "kept", "spans"])
 
     sent = base.groupBy("g").applyInArrow(send, "b int, g int, n int, h binary, info binary")
-    back = sent.groupBy("b").applyInArrow(shared, "g2 int, h binary, hot binary")
+    back = sent.groupBy("b").applyInArrow(shared, "g2 int, b int, h binary, hot binary")
     ctx = (base.groupBy("g").cogroup(back.groupBy("g2"))
-           .applyInArrow(contexts, "b int, g int, alone boolean, n int, ctx binary, low binary, high binary"))
+           .applyInArrow(contexts, "b int, g int, alone boolean, n int, ctx binary, low binary, more binary"))
     found = ctx.groupBy("b").applyInArrow(decide, "g2 int, alone boolean, n int, ctx binary, found binary")
     return base.groupBy("g").cogroup(found.groupBy("g2")).applyInArrow(cut_out, schema)
 
