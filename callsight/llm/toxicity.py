@@ -3,9 +3,17 @@
 One bigram model per class (toxic, ordinary) over a shared vocabulary:
 absolute discounting on bigrams, backed off to continuation counts of the
 class (in how many distinct left contexts a word stands), backed off to
-continuation counts shared by both classes and gathered over *all* documents.
-A word therefore needs many different contexts, not many copies of one
-passage, to count as evidence, and rare words fall back on the shared counts.
+continuation counts shared by both classes and gathered over *all* documents,
+and those to a uniform base.  A word therefore needs many different contexts,
+not many copies of one passage, to count as evidence.
+
+Every word and bigram of the learning sample is kept, however rare.  What a
+rare one says is drawn towards no evidence by constants of every size of
+table: the uniform base counts as ``WORD_WEIGHT`` contexts a word, and a
+bigram's discounted occurrences in either class stand beside ``PAIR_WEIGHT``
+occurrences split as the back-off says.  A word without any of these learning
+documents has no class counts, so its shared count would be the same on both
+sides: it shares the symbol 0, which has the uniform base alone.
 
 A text's evidence is the length-normalised difference of the two
 log-likelihoods, over the whole text and over its strongest window of
@@ -13,11 +21,10 @@ log-likelihoods, over the whole text and over its strongest window of
 apart from the counts, gives the score.
 
 Bounds (a documented parameter): the models learn from at most
-``train_per_class`` labelled documents of each class (smallest hashes first),
-and keep every word that stands in at least ``min_docs`` of them (and in
-``min_share`` of a class) and every pair as frequent as that, so the tables
-are bounded by the sample alone; other words share one unknown symbol.  The
-shared counts are exact distinct left contexts over all documents: their
+``train_per_class`` labelled documents of each class (smallest hashes first);
+the tables hold all their words and pairs, pass through the driver and are
+sent to the tasks, so memory follows the sample's text and not the corpus.
+The shared counts are exact distinct left contexts over all documents: their
 (word, left word) pairs grow with the corpus and are counted by Spark, one
 number per vocabulary word comes back.  Scoring covers whole texts.
 
@@ -40,6 +47,7 @@ from .common import MULTIPLIER, as_rows, blocks, bytes_view, checkpointed, lower
 IS_WORD = word_bytes(lambda b: b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122)
 LOWER = lower_ascii()
 DISCOUNT = 0.75
+WORD_WEIGHT, PAIR_WEIGHT = 1.0, 32.0
 
 
 def fold(id_col="doc_id"):
@@ -77,18 +85,15 @@ def _count(values: np.ndarray, names: list[str]):
     return pa.RecordBatch.from_arrays([*cols, pa.array(n.astype(np.int64))], [*names, "n"])
 
 
-def _word_counts(batches):
+def _words(batches):
+    """Each block's distinct words."""
     for b in batches:
-        label = b.column("toxic").to_numpy(zero_copy_only=False)
-        done = 0
-        for n, row, h in _tokens(b.column("text")):
-            pair = np.unique(np.stack([row, h.view(np.int64)], 1), axis=0)
-            yield _count(np.stack([label[done + pair[:, 0]].astype(np.int64), pair[:, 1]], 1), ["c", "w"])
-            done += n
+        for _, _, h in _tokens(b.column("text")):
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(h).view(np.int64))], ["w"])
 
 
 class Model:
-    """Tables of per-bigram and per-word log ratios (bounded by the vocabulary and bigram limits)."""
+    """Tables of per-bigram and per-word log ratios (bounded by the learning sample)."""
 
     def __init__(self, vocab, alpha, beta, keys, delta, window, curve=(0.0, 0.0, 0.0)):
         self.vocab, self.alpha, self.beta, self.keys, self.delta = vocab, alpha, beta, keys, delta
@@ -141,13 +146,12 @@ def _fit_curve(x: np.ndarray, y: np.ndarray, ordinary: float) -> tuple[float, ..
 
 
 def train(docs: DataFrame, labels: DataFrame, corpus: DataFrame, *, train_per_class: int = 10000,
-          min_docs: int = 8, min_share: float = 0.005, window: int = 1) -> Model | None:
+          window: int = 1) -> Model | None:
     """Learn from ``labels`` (doc_id, toxic; fold 0 left out) over ``docs``; shared counts over ``corpus``."""
     usable = labels.where("doc_id is not null and toxic is not null").where(fold() != 0).select("doc_id", "toxic")
     usable = usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     have = {r["toxic"]: r["n"] for r in usable.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     each = min(train_per_class, have.get(0, 0), have.get(1, 0))      # as many of either class: like back-off weights
-    least = max(min_docs, int(min_share * each))
     some = [usable.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(each) for c in (0, 1)]
     picked = F.broadcast(some[0].unionAll(some[1]))      # bound: 2 x train_per_class ids
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
@@ -156,9 +160,8 @@ def train(docs: DataFrame, labels: DataFrame, corpus: DataFrame, *, train_per_cl
     if len(count) < 2:
         return None
     learn, tune = texts.where("part <> 1").select("text", "toxic"), texts.where("part = 1").select("text", "toxic")
-    words = (learn.mapInArrow(_word_counts, "c long, w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
-             .where(F.col("n") >= least))
-    vocab = np.sort(np.array([r["w"] for r in words.select("w").collect()], np.int64).view(np.uint64))
+    words = learn.mapInArrow(_words, "w long").distinct()
+    vocab = np.sort(words.toArrow()["w"].to_numpy().view(np.uint64))
     if not len(vocab):
         return None
     size = len(vocab) + 1
@@ -175,10 +178,10 @@ def train(docs: DataFrame, labels: DataFrame, corpus: DataFrame, *, train_per_cl
     seen = checkpointed(learn.mapInArrow(pairs, "c long, u long, w long, n long")
                         .groupBy("c", "u", "w").agg(F.sum("n").alias("n")))
     left, cont = np.zeros((2, size + 1, 2)), np.zeros((2, size))
-    for r in seen.groupBy("c", "u").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("t")).collect():
-        left[r["c"], r["u"]] = r["n"], r["t"]
-    for r in seen.groupBy("c", "w").agg(F.count(F.lit(1)).alias("t")).collect():
-        cont[r["c"], r["w"]] = r["t"]
+    got = seen.groupBy("c", "u").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("t")).toArrow().to_pandas()
+    left[got["c"], got["u"]] = got[["n", "t"]]
+    got = seen.groupBy("c", "w").agg(F.count(F.lit(1)).alias("t")).toArrow().to_pandas()
+    cont[got["c"], got["w"]] = got["t"]
 
     def contexts(batches):
         for b in batches:
@@ -187,34 +190,37 @@ def train(docs: DataFrame, labels: DataFrame, corpus: DataFrame, *, train_per_cl
                 if len(h) > 1:
                     prev[1:] = np.where(row[1:] == row[:-1], h[:-1], np.uint64(0))
                 ids = _ids(vocab, h)
+                ids, prev = ids[ids > 0], prev[ids > 0]
                 _, one = np.unique(mix64(prev * np.uint64(MULTIPLIER) + ids.astype(np.uint64)), return_index=True)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[one]), pa.array(prev[one].view(np.int64))], ["w", "u"])
 
     all_texts = as_rows(corpus, [], "text").select("text")
     merged = (all_texts.mapInArrow(contexts, "w long, u long").groupBy("w", "u").agg(F.lit(1))
               .groupBy("w").agg(F.count(F.lit(1)).alias("t")))
-    shared = np.ones(size)
-    for r in merged.collect():
-        shared[r["w"]] += r["t"]                               # at most one row per vocabulary word
-    shared /= shared.sum()
+    shared = np.zeros(size)
+    merged = merged.toArrow()                                  # at most one row per vocabulary word
+    shared[merged["w"].to_numpy()] = merged["t"].to_numpy()
+    shared /= max(shared.sum(), 1)
     lower = np.zeros((2, size))
     for c in (0, 1):
-        m = cont[c].sum()
-        lower[c] = (np.maximum(cont[c] - DISCOUNT, 0) + DISCOUNT * (cont[c] > 0).sum() * shared) / m
-    lam = np.where(left[..., 0] > 0, DISCOUNT * left[..., 1] / np.maximum(left[..., 0], 1), 1.0)
+        rest = DISCOUNT * (cont[c] > 0).sum() * shared + WORD_WEIGHT
+        lower[c] = (np.maximum(cont[c] - DISCOUNT, 0) + rest) / (cont[c].sum() + WORD_WEIGHT * size)
+    lam = (DISCOUNT * left[..., 1] + PAIR_WEIGHT) / (left[..., 0] + PAIR_WEIGHT)
     alpha = np.log(lam[1]) - np.log(lam[0])
     beta = np.log(lower[1]) - np.log(lower[0])
-    frequent = (seen.groupBy("u", "w").agg(*[F.sum(F.when(F.col("c") == c, F.col("n")).otherwise(0)).alias(f"n{c}")
-                                             for c in (0, 1)])
-                .where(F.col("n0") + F.col("n1") >= least).toPandas())
-    u, w = frequent["u"].to_numpy(np.int64), frequent["w"].to_numpy(np.int64)
+    both = (seen.groupBy("u", "w").agg(*[F.sum(F.when(F.col("c") == c, F.col("n")).otherwise(0)).cast("int").alias(f"n{c}")
+                                         for c in (0, 1)])
+            .select(F.col("u").cast("int"), F.col("w").cast("int"), "n0", "n1").toArrow())   # every pair of the sample
+    u, w = (both[x].to_numpy().astype(np.int64) for x in ("u", "w"))
+    back = alpha[u] + beta[w]
+    total = left[..., 0].sum(1)
     logs = []
-    for c in (0, 1):
-        n = frequent[f"n{c}"].to_numpy(float)
-        logs.append(np.log(np.maximum(n - DISCOUNT, 0) / np.maximum(left[c, u, 0], 1) + lam[c, u] * lower[c, w]))
+    for c, sign in ((0, -0.5), (1, 0.5)):                      # occurrences as if either class had as many words
+        n = np.maximum(both[f"n{c}"].to_numpy() - DISCOUNT, 0) * total.mean() / total[c]
+        logs.append(np.log(n + PAIR_WEIGHT * np.exp(sign * back)))
     key = u * size + w
     by = np.argsort(key)
-    model = Model(vocab, alpha, beta, key[by], (logs[1] - logs[0])[by], window)
+    model = Model(vocab, alpha, beta, key[by], (logs[1] - logs[0])[by].astype(np.float32), window)
 
     def tuned(batches):
         for b in batches:

@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -152,6 +153,21 @@ def test_toxicity_holds_out_and_scores_everything(spark, odd, none):
     assert [r.score for r in toxicity.score(odd.limit(1), None).collect()] == [0.0]
 
 
+def test_toxicity_rare_words_and_pairs_give_graded_evidence(spark):
+    ids = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 5 > 0][:400]
+    rows, left = [], 7                            # seven toxic learning documents hold a word and a pair that no other has
+    for k, i in enumerate(ids):
+        few = int(k % 2 == 1 and left > 0 and zlib.crc32(str(i).encode()) % 5 > 1)
+        left -= few
+        rows.append((i, f"a{k % 7} red b{left if few else k % 5}{' zorg' * few} moon c{k % 3}{' red moon' * few}", k % 2))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(df.select("doc_id", "text"), df.select("doc_id", "toxic"), df)
+    plain, word, pair, new = model.evidence(pa.array([b"red b1 moon", b"red zorg moon", b"red moon", b"unheard"]))[:, 1]
+    assert word > max(plain, new) + 0.5 and pair > plain + 0.1 and abs(new) < 0.3, (plain, word, pair, new)
+    held = {w for _, t, _ in rows for w in t.split()}
+    assert len(model.vocab) == len(held)
+
+
 def test_licenses_equal_brute_force(odd, none):
     got = {r.row.doc_id: r for r in licenses.scan(odd).collect()}
     for d, t, *_ in odd_rows():
