@@ -29,7 +29,11 @@ The shared counts are exact distinct left contexts over all documents: their
 number per vocabulary word comes back.  Scoring covers whole texts.
 
 Defined cases: a NULL or empty text has no words and gets the score of zero
-evidence; without both classes in the training labels every score is 0; rows
+evidence; without both classes among the labelled texts with words every score
+is 0; the curve is fitted on the first of the folds 1 to 4 that has ``LEAST_TUNED``
+texts of either class and leaves both to the counts, and if none does, all
+four are counted and the score's log odds are the mean log ratio plus the log of
+the toxic labels' share (smoothed, so a text of zero evidence stays below 0.5); rows
 with NULL labels or ids are not learned from; repeated rows are scored each;
 an empty table gives an empty result; extra columns are ignored or passed on.
 """
@@ -48,6 +52,7 @@ IS_WORD = word_bytes(lambda b: b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122)
 LOWER = lower_ascii()
 DISCOUNT = 0.75
 WORD_WEIGHT, PAIR_WEIGHT = 1.0, 32.0
+LEAST_TUNED = 10        # texts of either class from which the curve is fitted
 
 
 def fold(id_col="doc_id"):
@@ -85,6 +90,17 @@ def _count(values: np.ndarray, names: list[str]):
     return pa.RecordBatch.from_arrays([*cols, pa.array(n.astype(np.int64))], [*names, "n"])
 
 
+def _worded(batches):
+    """Class and fold of every text that has a word."""
+    for b in batches:
+        some, done = [np.zeros(0, np.int64)], 0
+        for n, row, _ in _tokens(b.column("text")):
+            some.append(done + np.unique(row))
+            done += n
+        rows = pa.array(np.concatenate(some))
+        yield pa.RecordBatch.from_arrays([b.column("toxic").take(rows), b.column("part").take(rows)], ["toxic", "part"])
+
+
 def _words(batches):
     """Each block's distinct words."""
     for b in batches:
@@ -156,14 +172,16 @@ def train(docs: DataFrame, labels: DataFrame, corpus: DataFrame, *, train_per_cl
     picked = F.broadcast(some[0].unionAll(some[1]))      # bound: 2 x train_per_class ids
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
     texts = checkpointed(texts.join(picked, "doc_id").withColumn("part", fold()))
-    count = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(count) < 2:
+    worded = (texts.select("text", "toxic", F.col("part").cast("int")).mapInArrow(_worded, "toxic int, part int")
+              .groupBy("toxic", "part").agg(F.count(F.lit(1)).alias("n")).collect())          # at most 8 rows
+    folds = [{r["part"]: r["n"] for r in worded if r["toxic"] == c} for c in (0, 1)]
+    if not (folds[0] and folds[1]):
         return None
-    learn, tune = texts.where("part <> 1").select("text", "toxic"), texts.where("part = 1").select("text", "toxic")
+    part = next((p for p in range(1, 5) if all(f.get(p, 0) >= LEAST_TUNED and len(f) > 1 for f in folds)), None)
+    learn = texts.where(F.lit(True) if part is None else F.col("part") != part).select("text", "toxic")
+    tune = texts.where(F.lit(False) if part is None else F.col("part") == part).select("text", "toxic")
     words = learn.mapInArrow(_words, "w long").distinct()
     vocab = np.sort(words.toArrow()["w"].to_numpy().view(np.uint64))
-    if not len(vocab):
-        return None
     size = len(vocab) + 1
 
     def pairs(batches):
@@ -228,7 +246,9 @@ def train(docs: DataFrame, labels: DataFrame, corpus: DataFrame, *, train_per_cl
             yield pa.RecordBatch.from_arrays([pa.array(e[:, 0]), pa.array(e[:, 1]), b.column("toxic")], ["a", "b", "y"])
 
     fit = tune.mapInArrow(tuned, "a double, b double, y int").toPandas()   # at most 2 x train_per_class rows
-    if fit["y"].nunique() == 2:
+    if part is None:                                           # the smoothed share of toxic labels is below 1
+        model.curve = (float(np.log((have[1] + 1) / (have[0] + have[1] + 2))), 1.0, 0.0)
+    else:
         model.curve = _fit_curve(fit[["a", "b"]].to_numpy(), fit["y"].to_numpy(float), have[0] / have[1])
     return model
 

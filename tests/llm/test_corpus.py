@@ -168,6 +168,23 @@ def test_toxicity_rare_words_and_pairs_give_graded_evidence(spark):
     assert len(model.vocab) == len(held)
 
 
+def test_toxicity_few_labels_keep_clean_documents(spark):
+    by = {f: [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == f] for f in range(5)}
+    # toxic ids: none in the tuning fold, all in it, one alone
+    for toxic in (by[2][:1] + by[3][:1] + by[4][:1], by[1][:3], by[3][:1]):
+        rows = [(i, "vile hateful slur filth" if i in toxic else f"a calm text number n{i % 9} of the day", int(i in toxic))
+                for f in by for i in by[f][:12]] + [(1000, None, None), (1001, "something new", None)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+        model = toxicity.train(df.select("doc_id", "text"), df.select("doc_id", "toxic"), df)
+        got = {r.doc_id: r.score for r in toxicity.score(df, model).select("row.doc_id", "score").collect()}
+        assert all(got[i] < 0.5 for i, _, y in rows if not y) and len(got) == len(rows)
+        assert min(got[i] for i in toxic) > max(got[i] for i, _, y in rows if not y)
+    # toxic labels on texts without words: no model
+    rows = [(i, "" if i in by[2] else "a calm text", int(i in by[2])) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    assert toxicity.train(df.select("doc_id", "text"), df.select("doc_id", "toxic"), df) is None
+
+
 def test_licenses_equal_brute_force(odd, none):
     got = {r.row.doc_id: r for r in licenses.scan(odd).collect()}
     for d, t, *_ in odd_rows():
