@@ -3,9 +3,11 @@
 The text gets a leading blank, blanks become the marker U+2581, and the
 segmentation with the largest sum of piece scores wins (ties: the longest
 last piece).  Characters that no piece covers are written as their UTF-8 bytes'
-pieces ``<0x00>``..``<0xFF>`` with a score below every piece.  Pieces hold
-the marker only at their start, so words are segmented on their own and a
-word seen before in the task is looked up (a cache of ``cache`` words).
+pieces ``<0x00>``..``<0xFF>`` with a score below every piece.  No piece holds
+a marker behind another character, but some are runs of markers, so the text
+is cut before each run of blanks: a run and the word behind it are segmented
+as one, and those seen before in the task are looked up (a cache of ``cache``
+of them).
 
 Pieces and scores come from a public model file (a parameter); nothing is
 trained.  The file's scores are used as log scores as they stand: the public
@@ -18,6 +20,8 @@ an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import re
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +30,7 @@ from pyspark.sql import types as T
 from .common import as_rows, bytes_view, row_schema
 
 MARK = "▁"
+UNIT = re.compile(" +[^ ]*")
 
 
 class DoubleArray:
@@ -95,7 +100,7 @@ class Codec:
         self.cache = cache
 
     def word(self, w: bytes) -> list[int]:
-        """Viterbi over one marked word."""
+        """Viterbi over one run of markers and the word behind it."""
         base, check, value, score, low = self.trie.base, self.trie.check, self.trie.value, self.score, self.low
         n = len(w)
         best, start, piece = [None] * (n + 1), [0] * (n + 1), [-1] * (n + 1)      # piece -1: bytes
@@ -136,11 +141,11 @@ class Codec:
         out: list[int] = []
         mark = MARK.encode()
         # a marker character of the text itself goes as bytes, so decoding is exact
-        for part in (" " + text).split(" ")[1:]:
+        for part in UNIT.findall(" " + text):
             ids = self.seen.get(part)
             if ids is None:
                 own = part.split(MARK)
-                ids = self.word(mark + own[0].encode())
+                ids = self.word(own[0].replace(" ", MARK).encode())
                 for rest in own[1:]:
                     ids = ids + [self.byte_ids[b] for b in mark] + self.word(rest.encode())
                 if len(self.seen) < self.cache:

@@ -330,3 +330,36 @@ def test_sentencepieces_viterbi_and_round_trip(odd, none):
     for text in (" a  b ", "x\u2581y", "\n\t", " "):
         assert codec.decode(codec.encode(text)) == text
     assert sentencepieces.encode(none).count() == 0
+
+
+def test_sentencepieces_runs_of_blanks_as_unsplit_viterbi():
+    from callsight.llm import sentencepieces
+    codec = sentencepieces.Codec()
+    known = {p: i for i, p in enumerate(codec.pieces) if i not in codec.byte_of and i > 2}
+    assert not any("\u2581" in p.decode().lstrip("\u2581") for p in known)
+    longest = max(map(len, known))
+
+    def whole(text):       # the whole text at once; ties: the longest last piece
+        w = (" " + text).replace(" ", "\u2581").encode()
+        best, how = [0.0] + [None] * len(w), [None] * (len(w) + 1)
+        for e in range(1, len(w) + 1):
+            for k in range(max(0, e - longest), e):
+                if best[k] is None:
+                    continue
+                ways = [(best[k] + codec.score[known[w[k:e]]], [known[w[k:e]]])] if w[k:e] in known else []
+                if (w[k] & 0xC0) != 0x80 and (e == len(w) or (w[e] & 0xC0) != 0x80) and len(w[k:e].decode()) == 1:
+                    ways.append((best[k] + codec.low * (e - k), [codec.byte_ids[b] for b in w[k:e]]))
+                for x, ids in ways:
+                    if best[e] is None or x > best[e]:
+                        best[e], how[e] = x, (k, ids)
+        out, e = [], len(w)
+        while e:
+            e, ids = how[e]
+            out = ids + out
+        return out
+
+    for text in ("def f(x):\n    if x:\n        return  x", "a" + " " * 40 + "b", "   ", " a  b ", "| col   | \u00f1and\u00fa |\t  end  ",
+                 "plain words only", "  \U0001f600   \n   "):
+        ids = codec.encode(text)
+        assert ids == whole(text) and codec.decode(ids) == text
+    assert len(codec.encode(" " * 15 + "x")) < 15
