@@ -6,9 +6,10 @@ fitting rule decides.  URLs with a rule are the labelled ones: the trees learn
 allow/block from their lexical features (length, depth, digit ratio, entropy,
 parameter counts, suffix statistics) and decide the URLs without a rule.
 
-The trees learn from at most ``train_rows`` labelled URLs (smallest hashes of
-the URL first); the suffix statistics are counted over all rows.  Without
-both classes among them every other URL is allowed.  Defined cases: a NULL
+The trees learn from at most ``train_rows`` distinct labelled URLs of each class
+(smallest hashes of the URL first), weighted by their copies; the suffix
+statistics are counted over all rows and all suffixes.  Without both classes
+among the labelled URLs every other URL is allowed.  Defined cases: a NULL
 URL or one without ``://`` has empty host and path and no rule; repeated rows
 are judged each; an empty table gives an empty result; only id and URL are read.
 """
@@ -48,6 +49,21 @@ def with_rule(urls: DataFrame, rules=RULES) -> DataFrame:
     return urls.withColumn("rule", rule).withColumn("decided", decided)
 
 
+def with_suffix_share(urls: DataFrame) -> DataFrame:
+    """Adds ``suffix_share``, the share of the rows with the host's suffix: the 1000 most frequent suffixes are
+    broadcast, so that none meets in one task; rows of the others go to their counts by a shuffle."""
+    urls = urls.withColumn("suffix", F.substring_index("host", ".", -1))
+    counts = checkpointed(urls.groupBy("suffix").agg(F.count(F.lit(1)).alias("n")))
+    total = counts.agg(F.sum("n")).first()[0] or 1
+    shares = counts.select("suffix", (F.col("n") / total).alias("suffix_share"))
+    common = F.broadcast(shares.orderBy(F.desc("suffix_share"), "suffix").limit(1000))
+    out = urls.join(common, "suffix")
+    if counts.count() > 1000:
+        rare = urls.join(common, "suffix", "left_anti").join(shares.hint("shuffle_hash"), "suffix")
+        out = out.unionByName(rare)
+    return out.drop("suffix")
+
+
 def with_features(urls: DataFrame) -> DataFrame:
     u = F.coalesce("url", F.lit(""))
     n = F.greatest(F.length(u), F.lit(1)).cast("double")
@@ -59,33 +75,34 @@ def with_features(urls: DataFrame) -> DataFrame:
     def number(pattern, of=u):
         return F.length(of) - F.length(F.regexp_replace(of, pattern, ""))
 
-    suffix = F.substring_index("host", ".", -1)
-    total = urls.agg(F.count(F.lit(1))).first()[0] or 1
-    # bound: the 1000 most frequent suffixes; others have share 0
-    shares = (urls.groupBy(suffix.alias("suffix")).agg((F.count(F.lit(1)) / total).alias("suffix_share"))
-              .orderBy(F.desc("suffix_share"), "suffix").limit(1000))
-    out = urls.select(
+    return urls.select(
         "*", F.length(u).alias("url_length"), F.length("host").alias("host_length"), F.length("path").alias("path_length"),
         number("/", F.col("path")).alias("depth"), number("[.]", F.col("host")).alias("labels"),
         (number("[0-9]") / n).alias("digit_ratio"), entropy.alias("entropy"),
         F.when(u.contains("?"), number("[&]") + 1).otherwise(0).alias("params"),
         u.contains("#").cast("int").alias("fragment"), F.col("path").rlike(r"\.[a-z]+$").cast("int").alias("extension"),
-        number("-").alias("hyphens"), suffix.alias("suffix"))
-    return out.join(F.broadcast(shares), "suffix", "left").fillna(0.0, ["suffix_share"])
+        number("-").alias("hyphens"))
 
 
 def judge(urls: DataFrame, *, rules=RULES, train_rows: int = 20000, trees: int = 10, depth: int = 4) -> DataFrame:
     """``urls`` (id columns and ``url``) plus host, path, rule, verdict and ``block_score`` (NULL where a rule decides)."""
     known = with_rule(with_parts(urls), rules)
-    ready = checkpointed(VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(with_features(known))
-                         .drop(*FEATURES, "suffix"))
-    labelled = ready.where("decided is not null").select(
-        "features", (F.col("decided") == "block").cast("double").alias("label"), F.xxhash64("url").alias("h"))
-    sample = checkpointed(labelled.orderBy("h").limit(train_rows).select("features", "label"))
-    if sample.select("label").distinct().count() < 2:
+    assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
+    shared = with_suffix_share(known)
+    ready = checkpointed(assembler.transform(with_features(shared)).drop(*FEATURES))
+    labelled = checkpointed(shared.where("decided is not null").groupBy("url", "decided", "suffix_share")
+                            .agg(F.count(F.lit(1)).alias("n"))
+                            .withColumn("label", (F.col("decided") == "block").cast("double")))
+    rows = {r["label"]: r["rows"] for r in labelled.groupBy("label").agg(F.sum("n").alias("rows")).collect()}
+    if len(rows) < 2:
         out = ready.withColumn("block_score", F.lit(0.0))
     else:
-        model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7).fit(sample)
+        some = [checkpointed(labelled.where(F.col("label") == c).orderBy(F.xxhash64("url"), "url").limit(train_rows)) for c in rows]
+        # a class weighs as many rows as it has, however many of its URLs are in the sample
+        part = [s.withColumn("weight", F.col("n") * F.lit(rows[c] / s.agg(F.sum("n")).first()[0])) for c, s in zip(rows, some)]
+        sample = checkpointed(assembler.transform(with_features(with_parts(part[0].unionByName(part[1]))))
+                              .select("features", "label", "weight"))
+        model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7, weightCol="weight").fit(sample)
         from pyspark.ml.functions import vector_to_array
         out = model.transform(ready).withColumn("block_score", vector_to_array("probability")[1])
     learned = F.when(F.col("block_score") >= 0.5, "block").otherwise("allow")

@@ -271,6 +271,19 @@ def test_url_rules(spark):
     assert {v[3] for v in got.values()} <= {"allow", "block"} and urlfilter.judge(df.limit(0)).count() == 0
 
 
+def test_urls_copies_and_rare_suffixes(spark):
+    urls = [f"x://a.org/{'p' * k}" for k in (1, 2, 3)] * 50 + [f"x://b.com/de/{'9' * k}?a=1&b=2" for k in (21, 22, 23)] * 50
+    new = ["x://c.net/pp", "x://c.net/de/9999999999999999999999?a=1&b=2"]
+    df = spark.createDataFrame(list(enumerate(urls + new)), "page_id long, url string")
+    got = {r.page_id: r for r in urlfilter.judge(df, train_rows=5).collect()}
+    assert len(got) == 302 and [got[i].verdict for i in (300, 301)] == ["allow", "block"]
+    many = spark.createDataFrame([(i, f"x://h.s{i % 1100}/{i}") for i in range(2200)], "page_id long, url string")
+    judged = urlfilter.judge(many)
+    assert judged.count() == 2200 and judged.select("page_id").distinct().count() == 2200
+    shares = urlfilter.with_suffix_share(urlfilter.with_parts(many)).collect()
+    assert len(shares) == 2200 and all(abs(r.suffix_share - 2 / 2200) < 1e-12 for r in shares)
+
+
 def test_merkle_neighbours_and_likeness(odd, none):
     got = {r.doc_id: r for r in merkle.with_following(odd, rows_per_bucket=2).collect()}
     texts = [r[1] or "" for r in odd_rows()]
