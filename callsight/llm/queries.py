@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from .hardnegatives import OP11_SQL, op11_hardnegatives
 from .kdsearch import op7_search
+from .lexical import OP12_SQL, op12_lexical
 from .licenses import op5_licenses
+from .linequality import op13_quality
 from .merkle import op10_fingerprints
 from .packing import op6_packing
 from .repeats import op2_repeats
@@ -31,10 +34,13 @@ QUERIES = {
     "op8_urls": op8_urls,
     "op9_simhash": op9_simhash,
     "op10_fingerprints": op10_fingerprints,
+    "op11_hardnegatives": op11_hardnegatives,
+    "op12_lexical": op12_lexical,
+    "op13_quality": op13_quality,
     "pipeline": pipeline,
 }
 
-# DuckDB SQL where the question is SQL-expressible (none: each of these needs
-# an iterative placement, a fitted model, a tokenizer, a hash or a byte-level
+# DuckDB SQL where the question is SQL-expressible (the others need an
+# iterative placement, a fitted model, a tokenizer, a hash or a byte-level
 # step that DuckDB lacks; tests hold them against brute force)
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_hardnegatives": OP11_SQL, "op12_lexical": OP12_SQL}
