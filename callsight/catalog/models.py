@@ -8,7 +8,7 @@ from ..functions.text import clean_basic
 from ..operators.evaluation import split_train_test
 from ..plans import order_model, recommend, text_model
 from ..plans.model_cache import fitted
-from ..sources.adapter import documents, labelled_notes, table
+from ..sources.adapter import documents, labelled_notes, note_texts, table
 from .registry import contacts, register, with_extra, ORACLE
 from .scoring import _BUCKET, RATES_SQL
 from .text import CLEAN_BASIC_SQL
@@ -97,7 +97,8 @@ def q_recommend_actions_model(spark, sf_dir):
 def q_train_text_model_contacts(spark, sf_dir):
     """M18 on the contact table: the agent's verdict from the note."""
     key = ("text", sf_dir, "contacts", _stamp(spark, sf_dir, "documents", "events"))
-    return fitted(spark, key, lambda: text_model.train_text_model(contacts(spark, sf_dir, clean_note=clean_basic)))[0]
+    return fitted(spark, key, lambda: text_model.train_text_model_by_ref(
+        contacts(spark, sf_dir, note_ref=True), note_texts(spark, sf_dir, clean_basic)))[0]
 
 
 # ---- what the fitted queries read and return, without the fitted values (SQL oracle) ----

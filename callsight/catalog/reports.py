@@ -3,14 +3,18 @@ channels and agents."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import calendar as cal
 from ..functions import scalar as sc
 from ..functions import text as tx
 from ..operators import agents, channels, clean, metrics, trends
-from ..sources.adapter import attach_notes, raw_contacts, table
-from ..sources.contacts import preview, row_limit_sample
+from ..sources.adapter import attach_notes, documents, raw_contacts, table
+from ..sources.contacts import CORRUPT, VERBATIM, checkpoint_dir, preview, row_limit_sample
+from ..sources.csv_records import read_csv_records
 
 from .registry import ORACLE, TS_TEXT, contacts, register
 from .registry import with_extra as _with_extra
@@ -94,7 +98,7 @@ _SCHEMA_CHECKS_SQL = {
     "category_domain": "product_category NOT IN ('conectividad', 'movilidad', 'hogar', 'NA')",
     "has_order_domain": "has_order NOT IN (0, 1)",
     "amount_range": "NOT (order_amount BETWEEN 0.0 AND 34999.0)",
-    "contact_ts_range": "NOT (contact_ts BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2025-12-31 23:59:59')",
+    "contact_ts_range": "NOT (contact_ts BETWEEN TIMESTAMP '2025-01-01 00:00:00' AND TIMESTAMP '2025-12-31 23:59:59')",
     "hour_range": "NOT (hour(contact_ts) BETWEEN 9 AND 21)",
 }
 
@@ -116,6 +120,55 @@ def q_schema_violations(spark, sf_dir):
 ORACLE["schema_violations"] = _with_extra(_schema_violations_sql("raw_contacts"))
 
 
+@register("rejected_rows")
+def q_rejected_rows(spark, sf_dir):
+    """Every row that fails a check, once per check it fails."""
+    _, rejected = clean.split_conforming(raw_contacts(spark, sf_dir, notes=False))
+    return rejected.select("interaction_id", F.explode("failed_checks").alias("rule_name"))
+
+
+ORACLE["rejected_rows"] = _with_extra(", r AS (" + "\nUNION ALL ".join(
+    f"SELECT interaction_id, '{n}' AS rule_name FROM raw_contacts WHERE {p}" for n, p in _SCHEMA_CHECKS_SQL.items())
+    + ")\nSELECT * FROM r")
+
+
+# Fixed values of the query: residues of the contact's number whose CSV lines are damaged.
+CUT_LINE, BAD_AMOUNT = 211, 223
+
+
+@register("csv_rejects", f"""
+SELECT interaction_id, rule_name FROM (
+  SELECT interaction_id, CASE WHEN interaction_id % {CUT_LINE} = 0 OR interaction_id % {BAD_AMOUNT} = 0 THEN 'malformed_record'
+         WHEN {' OR '.join(p for p in _SCHEMA_CHECKS_SQL.values())} THEN 'other' END AS rule_name FROM contacts)
+WHERE rule_name IS NOT NULL""")
+def q_csv_rejects(spark, sf_dir):
+    """Contacts as CSV lines, some cut short and some with an amount that is no number; the parser keeps
+    the text of every line it cannot read, the row is rejected for it."""
+    df = contacts(spark, sf_dir)
+    how = {"escape": '"', "timestampFormat": TS_TEXT, "timestampNTZFormat": TS_TEXT}
+    i = F.col("interaction_id")
+    line = F.to_csv(F.struct(*df.columns), how)
+    line = F.when(i % CUT_LINE == 0, F.substring_index(line, ",", 5)).when(
+        i % BAD_AMOUNT == 0, F.regexp_replace(line, ",([^,]*),([^,]*)$", ",x$1,$2")).otherwise(line)
+    schema = T.StructType([*df.schema.fields, T.StructField(CORRUPT, T.StringType())])
+    back = df.select(F.from_csv(line, schema.toDDL(), {**how, "columnNameOfCorruptRecord": CORRUPT}).alias("c")).select("c.*")
+    _, rejected = clean.split_conforming(back, CORRUPT)
+    number = F.coalesce("interaction_id", F.regexp_extract(CORRUPT, "^([0-9]+)", 1).cast("long"))
+    first = F.when(F.col("failed_checks")[0] == "malformed_record", "malformed_record").otherwise("other")
+    return rejected.select(number.alias("interaction_id"), first.alias("rule_name"))
+
+
+@register("csv_documents", raw_sql="""
+SELECT doc_id, CAST(length(text) AS INTEGER) AS n_chars, md5(text) AS text_md5 FROM documents""")
+def q_csv_documents(spark, sf_dir):
+    """S1-S3 on files: whole texts with their line breaks and quotes written as CSV and read back by splits."""
+    docs = documents(spark, sf_dir)
+    path = f"{checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
+    docs.write.options(header=True, escape='"', **VERBATIM).csv(path)
+    back = read_csv_records(spark, path, docs.schema)
+    return back.select("doc_id", F.length("text").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
 # =============================================================================
 # Scalar functions
 # =============================================================================
@@ -417,3 +470,63 @@ SELECT agent_id, CAST(sum(has_order) AS BIGINT) AS total_orders, count(*) AS tot
 FROM contacts GROUP BY agent_id""")
 def q_agent_conversion(spark, sf_dir):
     return agents.agent_conversion(contacts(spark, sf_dir))
+
+
+# =============================================================================
+# Small operators on their own: P8, F1, F5, J1, J2, X11, X14, X18
+# =============================================================================
+
+_RAW_COLUMNS = ("interaction_id", "client_id", "agent_id", "channel", "agent_result", "contact_ts", "has_order", "order_id",
+                "order_amount", "product_category")
+
+
+@register("complete_rows", "SELECT interaction_id, channel FROM raw_contacts WHERE "
+          + " AND ".join(f"{c} IS NOT NULL" for c in _RAW_COLUMNS))
+def q_complete_rows(spark, sf_dir):
+    """Raw contacts without a NULL in any column."""
+    return clean.drop_incomplete(raw_contacts(spark, sf_dir, notes=False)).select("interaction_id", "channel")
+
+
+@register("interested_contacts", "SELECT interaction_id, channel FROM contacts WHERE agent_result = 'interesado'")
+def q_interested_contacts(spark, sf_dir):
+    """F1."""
+    return clean.by_result(contacts(spark, sf_dir), "interesado").select("interaction_id", "channel")
+
+
+@register("nonblank_notes", raw_sql="SELECT doc_id, CAST(length(text) AS INTEGER) AS n_chars FROM documents WHERE length(trim(text)) > 0")
+def q_nonblank_notes(spark, sf_dir):
+    """F5 on the texts that are the contacts' notes."""
+    return clean.require_nonblank_note(documents(spark, sf_dir), "text").select("doc_id", F.length("text").alias("n_chars"))
+
+
+@register("joined_months", f"""
+SELECT {_YM}, count(*) AS total_contacts, CAST(sum(has_order) AS BIGINT) AS total_orders FROM contacts GROUP BY ALL""")
+def q_joined_months(spark, sf_dir):
+    """Contacts and orders per month, each an aggregate of its own."""
+    df = contacts(spark, sf_dir)
+    return trends.join_monthly(trends.monthly_volume(df), trends.monthly_orders(df))
+
+
+@register("joined_agents", """
+SELECT agent_id, CAST(sum(has_order) AS BIGINT) AS total_orders, count(*) AS total_contacts FROM contacts GROUP BY agent_id""")
+def q_joined_agents(spark, sf_dir):
+    """Orders and contacts per agent, each an aggregate of its own."""
+    df = contacts(spark, sf_dir)
+    orders = df.groupBy("agent_id").agg(F.sum("has_order").alias("total_orders"))
+    return agents.join_agents(orders, df.groupBy("agent_id").agg(F.count(F.lit(1)).alias("total_contacts")))
+
+
+@register("parsed_times", """
+SELECT interaction_id, CASE WHEN interaction_id % 5 = 0 THEN NULL ELSE strftime(date_trunc('second', contact_ts), '%Y-%m-%d %H:%M:%S') END AS parsed,
+       strftime(date_trunc('day', contact_ts) + to_hours(9 + interaction_id % 13), '%Y-%m-%d %H:%M:%S') AS at_hour,
+       round(order_amount / 7, 2) AS part
+FROM contacts""")
+def q_parsed_times(spark, sf_dir):
+    """Times written as text (every fifth damaged) and parsed, a day plus an hour, two decimals."""
+    df, i = contacts(spark, sf_dir), F.col("interaction_id")
+    text = F.date_format("contact_ts", "yyyy-MM-dd HH:mm:ss")
+    text = F.when(i % 5 == 0, F.concat(F.lit("on "), text)).otherwise(text)
+    hour = cal.ts_from_parts(F.to_date("contact_ts"), (9 + i % 13).cast("int"))
+    return df.select("interaction_id", F.date_format(cal.parse_ts(text), "yyyy-MM-dd HH:mm:ss").alias("parsed"),
+                     F.date_format(hour, "yyyy-MM-dd HH:mm:ss").alias("at_hour"),
+                     sc.round2(F.col("order_amount") / 7).alias("part"))

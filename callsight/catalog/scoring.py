@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -9,7 +11,8 @@ from pyspark.sql import functions as F
 from ..functions import scalar as sc
 from ..operators import attribution, evaluation, numbering, rules
 from ..plans.recommend import rate_scorer
-from ..sources.adapter import orders_from_events
+from ..sources.adapter import orders_from_events, raw_contacts
+from ..sources.contacts import checkpoint_dir
 from .registry import ORACLE, TS_TEXT, contacts, register
 
 _MD5_U32 = "('0x' || substr(md5(CAST({x} AS VARCHAR)), 1, 8))::BIGINT"
@@ -27,24 +30,39 @@ RATES_SQL = """
 
 # ---- J4 ----------------------------------------------------------------------------
 
-@register("attribute_orders", """
+_ATTRIBUTE_SQL = """
 , c AS (SELECT interaction_id, client_id, contact_ts FROM contacts),
  m AS (SELECT c.interaction_id, c.client_id, c.contact_ts, count(o.order_id) AS n_orders,
               round(sum(o.order_amount), 2) AS orders_amount,
               min(CASE WHEN o.order_id IS NOT NULL THEN {'t': o.order_ts, 'id': o.order_id} END).id
                 AS first_order_id
        FROM c LEFT JOIN orders_24h o ON c.client_id = o.client_id AND c.client_id <> 'C000000000'
-            AND o.order_ts >= c.contact_ts AND o.order_ts <= c.contact_ts + INTERVAL 24 HOUR
+            AND c.contact_ts <> TIMESTAMP '2025-01-01 00:00:00' AND o.order_ts >= c.contact_ts AND o.order_ts <= c.contact_ts + INTERVAL 24 HOUR
        GROUP BY ALL)
 SELECT interaction_id, client_id, strftime(contact_ts, '%Y-%m-%d %H:%M:%S.%f') AS contact_ts,
        n_orders, orders_amount, first_order_id, CAST(n_orders > 0 AS INTEGER) AS attributed
-FROM m""")
-def q_attribute_orders(spark, sf_dir):
-    out = attribution.attribute_orders(contacts(spark, sf_dir), orders_from_events(spark, sf_dir), 24)
+FROM m"""
+
+
+def _readable(out):
     return out.withColumns({"contact_ts": F.date_format("contact_ts", TS_TEXT),
                             "orders_amount": F.round("orders_amount", 2)})
 
 
+@register("attribute_orders", _ATTRIBUTE_SQL)
+def q_attribute_orders(spark, sf_dir):
+    return _readable(attribution.attribute_orders(contacts(spark, sf_dir), orders_from_events(spark, sf_dir), 24))
+
+
+@register("attribute_orders_bucketed", _ATTRIBUTE_SQL)
+def q_attribute_orders_bucketed(spark, sf_dir):
+    """J4 over contacts stored once by the join's key: they are read without an exchange."""
+    name = f"contacts_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = attribution.bucketed_contacts(contacts(spark, sf_dir), name, f"{checkpoint_dir(spark)}/{name}", buckets)
+    return _readable(attribution.attribute_orders(stored, orders_from_events(spark, sf_dir), 24))
+
+
 # ---- G5, W5 -------------------------------------------------------------------
 
 @register("order_numbers", f"""
@@ -207,3 +225,18 @@ def q_auc_rank(spark, sf_dir):
     pred = rule_predictions(spark, sf_dir)
     hist = evaluation.score_histogram(pred, "label", "propensity", decimals=4)
     return evaluation.auc_from_histogram(hist).withColumn("auc", F.round("auc", 9))
+
+
+@register("auc_continuous", """
+, s AS (SELECT has_order, coalesce(order_amount, 0.0::DOUBLE) + CAST(interaction_id AS DOUBLE) / 1e9::DOUBLE AS score
+        FROM raw_contacts WHERE has_order IS NOT NULL),
+ r AS (SELECT has_order, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0::DOUBLE AS r, score FROM s),
+ n AS (SELECT count_if(has_order = 1)::DOUBLE AS p, count_if(has_order = 0)::DOUBLE AS q FROM s)
+SELECT round((sum(r) FILTER (WHERE has_order = 1) - max(p) * (max(p) + 1) / 2) / (max(p) * max(q)), 9) AS auc,
+       CAST(max(p) AS BIGINT) AS positives, CAST(max(q) AS BIGINT) AS negatives, count(DISTINCT score) AS distinct_scores
+FROM r, n""")
+def q_auc_continuous(spark, sf_dir):
+    """M25 for a score with as many values as rows: the amount, told apart by the contact's number."""
+    df = raw_contacts(spark, sf_dir, notes=False)
+    score = F.coalesce("order_amount", F.lit(0.0)) + F.col("interaction_id").cast("double") / 1e9
+    return evaluation.auc_from_histogram(evaluation.score_histogram(df, "has_order", score)).withColumn("auc", F.round("auc", 9))

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from ..functions import stopwords as sw
 from ..functions import text as tx
+from ..operators import collocations as coll
 from ..operators import words as W
 from ..sources.adapter import documents, note_texts, table
+from ..sources.contacts import materialize
 from .registry import contacts, register, with_extra
 
 # DuckDB text of the cleaners (same rules as functions.text)
@@ -93,12 +95,25 @@ def q_idf_weights(spark, sf_dir):
 @register("tfidf", raw_sql=_TF_SQL + """
 SELECT tf.doc_id, tf.word, tf.tf, round(tf.tf * idf.idf, 9) AS tfidf FROM tf JOIN idf USING (word)""")
 def q_tfidf(spark, sf_dir):
-    tf = _tf(spark, sf_dir)
+    tf = materialize(_tf(spark, sf_dir))           # read by the weights, the frequent and the other terms: one scan of the texts
     n_docs = table(spark, sf_dir, "documents").select(F.count(F.lit(1))).scalar()
     idf = W.idf_weights(W.term_counts(tf), n_docs)
     return W.tfidf(tf, idf).select("doc_id", "word", "tf", F.round("tfidf", 9).alias("tfidf"))
 
 
+_COVERED = (1000, 1 << 18)      # a small vocabulary, and the text model's
+
+
+@register("vocabulary_coverage", raw_sql=_TF_SQL + ", r AS (SELECT *, row_number() OVER (ORDER BY term_freq DESC, word) AS r FROM st)\n"
+          + "\nUNION ALL ".join(f"""SELECT CAST({v} AS BIGINT) AS vocab_size, '{name}_left_out' AS metric,
+       coalesce({total} FILTER (WHERE r > {v}), 0)::DOUBLE AS value FROM r"""
+                                for v in _COVERED for name, total in (("terms", "count(*)"), ("occurrences", "sum(term_freq)"))))
+def q_vocabulary_coverage(spark, sf_dir):
+    stats = materialize(W.term_counts(_tf(spark, sf_dir)))         # counted once for both sizes
+    small, large = (W.vocabulary_coverage(stats, v).select(F.lit(v).cast("long").alias("vocab_size"), "metric", "value") for v in _COVERED)
+    return small.unionByName(large)
+
+
 @register("top_words")
 def q_top_words(spark, sf_dir):
     refs = contacts(spark, sf_dir, note_ref=True)
@@ -135,3 +150,57 @@ ORACLE["cloud_terms"] = with_extra(f"""
                  AS INTEGER) AS rank FROM c),
  t AS (SELECT * FROM r WHERE rank <= 80)
 SELECT *, round(frequency / max(frequency) OVER (PARTITION BY agent_result), 9) AS weight FROM t""")
+
+
+@register("cloud_pairs")
+def q_cloud_pairs(spark, sf_dir):
+    refs = contacts(spark, sf_dir, note_ref=True)
+    pairs = coll.class_pairs(refs, note_texts(spark, sf_dir, tx.clean_basic))
+    out = coll.cloud_pairs(pairs, sw.cloud_stopwords(), max_words=100)
+    return out.withColumn("weight", F.round("weight", 9))
+
+
+def _llr_sql(c12: str, c1: str, c2: str, n: str) -> str:
+    def part(k, m, x):
+        return f"(ln(greatest({x}, 1e-10::DOUBLE)) * {k} + ln(greatest(1 - ({x}), 1e-10::DOUBLE)) * ({m} - {k}))"
+    p, p1, p2 = f"{c2} / {n}", f"{c12} / {c1}", f"({c2} - {c12}) / nullif({n} - {c1}, 0)"
+    return (f"CASE WHEN {n} <= {c1} OR {n} <= {c2} THEN 0 ELSE -2 * ({part(c12, c1, p)} + {part(f'({c2} - {c12})', f'({n} - {c1})', p)}"
+            f" - {part(c12, c1, p1)} - {part(f'({c2} - {c12})', f'({n} - {c1})', p2)}) END")
+
+
+ORACLE["cloud_pairs"] = with_extra(f"""
+, t AS (SELECT agent_result, {TOKENS_SQL.format(x='note')} AS w FROM contacts),
+ r AS (SELECT agent_result, unnest(w) AS word, unnest(list_append(w[2:], NULL)) AS next FROM t),
+ s AS (SELECT unnest({sw.sql_list(sw.cloud_stopwords())}) AS stop),
+ g AS MATERIALIZED (
+   SELECT agent_result, word, CASE WHEN next NOT IN (SELECT stop FROM s) THEN next END AS next, count(*) AS n
+   FROM r WHERE word NOT IN (SELECT stop FROM s) GROUP BY ALL),
+ u AS MATERIALIZED (SELECT agent_result, word, sum(n) AS n FROM g GROUP BY ALL),
+ f AS MATERIALIZED (
+   SELECT u.agent_result, u.word, coalesce(v.word, u.word) AS form, u.n FROM u
+   LEFT JOIN (SELECT agent_result || '|' || word || 's' AS plural, word FROM u WHERE word NOT LIKE '%s') v
+   ON v.plural = u.agent_result || '|' || u.word),
+ c AS MATERIALIZED (SELECT agent_result, form, sum(n) AS c FROM f GROUP BY ALL),
+ tot AS MATERIALIZED (SELECT agent_result, sum(n) AS total FROM u GROUP BY ALL),
+ wf AS MATERIALIZED (
+   SELECT f.agent_result || '|' || f.word AS key, f.form, k.c FROM f
+   JOIN (SELECT agent_result || '|' || form AS key, c FROM c) k ON k.key = f.agent_result || '|' || f.form),
+ b AS MATERIALIZED (SELECT agent_result, word, next, sum(n) AS n FROM g WHERE next IS NOT NULL GROUP BY ALL),
+ bf AS MATERIALIZED (
+   SELECT b.agent_result, b.word, coalesce(v.next, b.next) AS second, sum(b.n) AS n FROM b
+   LEFT JOIN (SELECT agent_result || '|' || word || '|' || next || 's' AS plural, next FROM b WHERE next NOT LIKE '%s') v
+   ON v.plural = b.agent_result || '|' || b.word || '|' || b.next GROUP BY ALL),
+ one AS MATERIALIZED (SELECT bf.*, wf.form AS form1, CAST(wf.c AS DOUBLE) AS c1 FROM bf JOIN wf ON wf.key = bf.agent_result || '|' || bf.word),
+ x AS MATERIALIZED (
+   SELECT one.*, wf.form AS form2, CAST(wf.c AS DOUBLE) AS c2, CAST(one.n AS DOUBLE) AS c12,
+          (SELECT max(CAST(total AS DOUBLE)) FROM tot WHERE tot.agent_result = one.agent_result) AS nn
+   FROM one JOIN wf ON wf.key = one.agent_result || '|' || one.second),
+ strong AS MATERIALIZED (SELECT * FROM x WHERE {_llr_sql('c12', 'c1', 'c2', 'nn')} > 30),
+ taken AS (SELECT agent_result, form, sum(n) AS n FROM (SELECT agent_result, unnest([form1, form2]) AS form, n FROM strong) GROUP BY ALL),
+ terms AS (SELECT c.agent_result, c.form AS term, FALSE AS is_pair, CAST(c.c - coalesce(taken.n, 0) AS BIGINT) AS frequency
+           FROM c LEFT JOIN taken ON taken.agent_result = c.agent_result AND taken.form = c.form
+           UNION ALL SELECT agent_result, word || ' ' || second, TRUE, CAST(n AS BIGINT) FROM strong),
+ k AS (SELECT *, CAST(row_number() OVER (PARTITION BY agent_result ORDER BY frequency DESC, term ASC) AS INTEGER) AS rank
+       FROM terms WHERE frequency > 0),
+ top AS (SELECT * FROM k WHERE rank <= 100)
+SELECT *, round(frequency / max(frequency) OVER (PARTITION BY agent_result), 9) AS weight FROM top""")

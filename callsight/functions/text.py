@@ -13,10 +13,8 @@ from __future__ import annotations
 import unicodedata
 from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Character classes kept by the cleaners.
 KEEP_BASIC = "a-záéíóúüñ"          # lower-case letters, accents and ñ kept
@@ -107,56 +105,50 @@ def clean_nb_nfd(c) -> Column:
     return _letters_only(strip_accents(lower_text(c), "NFD"), "a-z0-9")
 
 
+MARK = "\ue000"         # a private character: stands for any that NFKD expands
+
+
 def clean_nb_nfkd(c) -> Column:
-    """Notebook cleaner with NFKD.  Native like the others; only a text
-    holding a character that NFKD expands to several letters (ligatures,
-    fractions: ``translate`` cannot express them) goes through a pandas UDF
-    running the normalisation itself.  All other texts reach it as NULL."""
+    """Notebook cleaner with NFKD.  Characters that NFKD expands to
+    several letters (ligatures, fractions) have no place in a ``translate``
+    table, so the same pass that strips accents turns them into a mark; only
+    a text that then holds one replaces the few such characters it has by
+    their letters, looked up in a constant map."""
     s = lower_text(c)
-    native = _letters_only(strip_accents(s, "NFKD"), "a-z0-9")   # ñ is stripped to n
-    rare = s.rlike(f"[{expanding_class()}]")
-    return F.when(rare, _nfkd_udf()(F.when(rare, s))).otherwise(native)
+    src, dst = accent_table("NFKD")
+    rare = expansions()
+    bare = F.translate(s, src + "".join(rare), dst + MARK * len(rare))
+    letters, full = (F.split(F.lit("\x01".join(x)), "\x01") for x in (rare.keys(), rare.values()))
+    found = F.array_distinct(F.regexp_extract_all(s, F.lit(f"([{expanding_class()}])")))
+    wide = F.aggregate(found, s, lambda text, ch: F.replace(text, ch, F.element_at(F.map_from_arrays(letters, full), ch)))
+    native = _letters_only(F.regexp_replace(bare, r"[\p{Mn}\p{Me}]", ""), "a-z0-9")          # ñ is stripped to n
+    return F.when(F.contains(bare, F.lit(MARK)), _letters_only(strip_accents(wide, "NFKD"), "a-z0-9")).otherwise(native)
 
 
 @lru_cache(maxsize=None)
-def expanding_class() -> str:
-    """Regex class (ranges, built by rule) of the code points that NFKD turns
-    into text with an ASCII letter or digit and that ``accent_table`` does
-    not hold: several characters, or one from outside the BMP."""
+def expansions() -> dict[str, str]:
+    """The code points that NFKD turns into text with an ASCII letter or
+    digit and that ``accent_table`` does not hold (several characters, or one
+    from outside the BMP), with that text less its marks.  Built by rule."""
     held = set(accent_table("NFKD")[0])
-    cps = []
+    out = {}
     for cp in range(0x80, 0x110000):
         ch = chr(cp)
         if 0xD800 <= cp <= 0xDFFF or ch in held:
             continue
         dec = unicodedata.normalize("NFKD", ch)
         if dec != ch and any(x.isascii() and x.isalnum() for x in dec):
-            cps.append(cp)
-    out, lo = [], None
+            out[ch] = "".join(x for x in dec if not unicodedata.combining(x))
+    return out
+
+
+@lru_cache(maxsize=None)
+def expanding_class() -> str:
+    """Regex class (ranges) of the code points of :func:`expansions`."""
+    cps, out, lo = [ord(c) for c in expansions()], [], None
     for a, b in zip(cps, cps[1:] + [None]):
         lo = a if lo is None else lo
         if b != a + 1:
             out.append(f"\\x{{{lo:x}}}-\\x{{{a:x}}}")
             lo = None
     return "".join(out)
-
-
-@lru_cache(maxsize=None)
-def _nfkd_udf():
-    @F.pandas_udf(T.StringType())
-    def clean(s: pd.Series) -> pd.Series:
-        dec = s.str.normalize("NFKD")
-        bare = dec.map(lambda v: "".join(x for x in v if not unicodedata.combining(x)), na_action="ignore")
-        return bare.str.replace("[^a-z0-9]+", " ", regex=True).str.strip()
-
-    return clean
-
-
-# --- words ----------------------------------------------------------------------
-
-def split_words(c, cleaned: bool = False) -> Column:
-    """Whitespace tokens (empty input gives no token).  ``cleaned=True``
-    for the output of a cleaner (single spaces only): a plain one-character
-    split, which skips the regex engine."""
-    parts = F.split(_col(c), " ") if cleaned else F.split(_col(c), r"\s+")
-    return F.filter(parts, lambda w: F.length(w) > 0)

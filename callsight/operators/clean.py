@@ -6,12 +6,13 @@ a single ``Project``); checks are one aggregate each, never one job per rule.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..functions.scalar import category_or_default
 from ..functions.text import clean_basic
 
 
@@ -93,8 +94,7 @@ def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
 def category_without_default(df: DataFrame, col: str = "product_category",
                              default: str = "sin_categoria") -> DataFrame:
     """NULL category -> ``default``, then rows with ``default`` removed."""
-    return (df.withColumn(col, F.coalesce(F.col(col), F.lit(default)))
-              .where(F.col(col) != default))
+    return df.withColumn(col, category_or_default(col, default)).where(F.col(col) != default)
 
 
 # --- filters F1-F5 ----------------------------------------------------------------
@@ -168,10 +168,18 @@ def schema_violations(df: DataFrame) -> DataFrame:
     return wide.unpivot([], names, "check", "n_violations")
 
 
-def schema_report(schema=S.CONTACT_SCHEMA):
-    """Declared columns with type and description (a tiny driver-side table)."""
-    return S.describe_schema(schema)
+def failed_checks(corrupt_col: str | None = None) -> Column:
+    """The names of the checks a row fails, in the order of :func:`schema_checks`; a record that did not parse
+    (``corrupt_col`` holds its text) fails ``malformed_record`` first."""
+    checks = schema_checks()
+    if corrupt_col:
+        checks = {"malformed_record": F.col(corrupt_col).isNotNull(), **checks}
+    return F.array_compact(F.array(*[F.when(p, F.lit(n)) for n, p in checks.items()]))
 
 
-def null_counts_cols(columns: Iterable[str]):
-    return [F.count_if(F.col(c).isNull()).alias(c) for c in columns]
+def split_conforming(df: DataFrame, corrupt_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """S8 row by row: the rows that pass every check (without ``corrupt_col``) and the rejected ones with
+    ``failed_checks``.  Both are filters over the same rows, nothing is shuffled."""
+    judged = df.withColumn("failed_checks", failed_checks(corrupt_col))
+    passed = judged.where(F.size("failed_checks") == 0).drop("failed_checks", *([corrupt_col] if corrupt_col else []))
+    return passed, judged.where(F.size("failed_checks") > 0)

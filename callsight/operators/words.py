@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_accents
@@ -39,12 +39,6 @@ def tokenize_cleaned(c, min_len: int = 2) -> Column:
     return F.filter(F.split(_col(c), " "), lambda t: F.length(t) >= min_len)
 
 
-def tokenize_space(c) -> Column:
-    """M9: ``Tokenizer`` semantics, lower-case and split on single spaces
-    (empty tokens are kept, as in MLlib)."""
-    return F.split(F.lower(_col(c)), " ")
-
-
 def ngrams(tokens, n: int = 2) -> Column:
     """N-grams joined by a space; n = 1 is the identity; fewer than n
     tokens give an empty array."""
@@ -61,10 +55,6 @@ def stopword_frame(spark: SparkSession, words: Sequence[str]) -> DataFrame:
     return spark.createDataFrame([(w,) for w in sorted(set(words))], "word string")
 
 
-def explode_words(df: DataFrame, id_col: str, tokens, extra: Sequence[str] = ()) -> DataFrame:
-    return df.select(id_col, *extra, F.explode(_col(tokens)).alias("word"))
-
-
 def remove_stopwords(words: DataFrame, stop: DataFrame, case_sensitive: bool = False,
                      fold_accents: bool = False) -> DataFrame:
     """J6/M11 in long form: left-anti join against a fixed stop-word list.
@@ -72,8 +62,9 @@ def remove_stopwords(words: DataFrame, stop: DataFrame, case_sensitive: bool = F
     sides without accents (T3); the words themselves keep theirs."""
     key = F.col("word") if case_sensitive else F.lower(F.col("word"))
     listed = F.lower("word")
-    if fold_accents:
-        key, listed = strip_accents(key), strip_accents(listed)
+    if fold_accents:                               # a word of ASCII letters is its own folded form
+        key = F.when(F.octet_length(key) == F.length(key), key).otherwise(strip_accents(key))
+        listed = strip_accents(listed)
     s = stop.select(listed.alias("_stop")).distinct()
     return words.join(F.broadcast(s), key == F.col("_stop"), "left_anti")
 
@@ -93,6 +84,18 @@ def term_counts(tf: DataFrame, min_df: float = 1.0) -> DataFrame:
     return stats.where(F.col("doc_freq") >= F.lit(min_df))
 
 
+def vocabulary_coverage(stats: DataFrame, vocab_size: int, min_df: float = 1.0) -> DataFrame:
+    """What a vocabulary of the ``vocab_size`` most frequent terms (in at least ``min_df`` texts) leaves out of
+    ``stats`` (:func:`term_counts`), as metric rows: terms and occurrences.  The totals are observed in the pass
+    that picks the kept terms."""
+    seen = Observation()
+    watched = stats.observe(seen, F.count(F.lit(1)).alias("terms"), F.coalesce(F.sum("term_freq"), F.lit(0)).alias("occurrences"))
+    kept = (watched.where(F.col("doc_freq") >= min_df).orderBy(F.desc("term_freq"), "word").limit(vocab_size)
+            .agg(F.count(F.lit(1)).alias("terms"), F.coalesce(F.sum("term_freq"), F.lit(0)).alias("occurrences")).first())
+    rows = [(f"{name}_left_out", float(seen.get[name] - kept[name])) for name in ("terms", "occurrences")]
+    return stats.sparkSession.createDataFrame(rows, "metric string, value double")
+
+
 def idf_weights(stats: DataFrame, n_docs) -> DataFrame:
     """``ln((N + 1) / (df + 1))`` per term (MLlib's smoothing)."""
     n = n_docs if isinstance(n_docs, Column) else F.lit(n_docs)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import stopwords as sw
-from ..functions.calendar import weekday_sun1
+from ..functions.calendar import parse_ts, weekday_sun1
 from ..operators.words import ASCII_NONWORD, UNICODE_NONWORD
 
 
@@ -31,7 +31,9 @@ def label_index_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def with_time_features(df: DataFrame, ts: str = "contact_ts") -> DataFrame:
-    """Hour, weekday (1 = Sunday, as the studied model) and month."""
+    """Hour, weekday (1 = Sunday, as the studied model) and month; a time given as text is parsed (X11)."""
+    if dict(df.dtypes)[ts] == "string":
+        df = df.withColumn(ts, parse_ts(ts))
     return df.withColumns({"hour": F.hour(ts), "weekday": weekday_sun1(ts), "month": F.month(ts)})
 
 

@@ -11,14 +11,15 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import prob_at
 from ..operators.evaluation import (
     auc_from_histogram, confusion_matrix, metrics_from_confusion, sample_rows, split_train_test,
 )
-from ..sources.contacts import materialize
+from ..sources.contacts import as_literals
+from ..sources.models import save_model
 from .features import order_feature_pipeline, with_time_features
 from .text_model import split_size_metrics
 
@@ -43,7 +44,7 @@ def prepare_orders(df: DataFrame, id_col: str = "interaction_id") -> DataFrame:
 
 def train_order_model(df: DataFrame, id_col: str = "interaction_id", sample_fraction: float | None = 0.4,
                       classifier: str = "lr", max_iter: int = 30, hour_encoding: str = "numeric",
-                      first_n: int | None = None):
+                      first_n: int | None = None, model_path: str | None = None):
     """M19 (M20: ``sample_fraction=None, max_iter=20``, optionally ``first_n``):
     returns (metrics (metric, value), confusion, fitted PipelineModel).
     Metrics: accuracy, weighted F1, precision/recall of class 0 (the
@@ -58,18 +59,20 @@ def train_order_model(df: DataFrame, id_col: str = "interaction_id", sample_frac
         train, test = split_train_test(data, id_col, 80)
         model = order_model_pipeline(classifier, max_iter, hour_encoding).fit(train)
         pred = model.transform(test).select(
-            "label", "prediction", vector_to_array("probability")[1].alias("p_order"))
+            "label", "prediction", prob_at("probability", 1).alias("p_order"))
         pred = pred.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            cm = materialize(confusion_matrix(pred))
+            cm = as_literals(confusion_matrix(pred))
             auc = auc_from_histogram(_histogram(pred)).select(F.lit("auc").alias("metric"),
                                                               F.col("auc").alias("value"))
-            metrics = materialize(metrics_from_confusion(cm).unionByName(auc)
+            metrics = as_literals(metrics_from_confusion(cm).unionByName(auc)
                                   .unionByName(split_size_metrics(data, id_col)))
         finally:
             pred.unpersist()
     finally:
         data.unpersist()
+    if model_path:
+        save_model(model, model_path, data.drop(id_col, "label").schema, [0.0, 1.0])
     return metrics, cm, model
 
 
@@ -86,4 +89,4 @@ def predict_orders(model: PipelineModel, df: DataFrame, id_col: str = "interacti
     (any number of contacts or candidate times in one job)."""
     pred = model.transform(with_time_features(df, ts_col))
     return pred.select(id_col, F.col("prediction").cast("int").alias("predicted_order"),
-                       vector_to_array("probability")[1].alias("p_order"))
+                       prob_at("probability", 1).alias("p_order"))

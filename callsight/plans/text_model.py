@@ -12,9 +12,9 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import StringIndexer
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, StringIndexer, StringIndexerModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,15 +22,16 @@ from ..functions import stopwords as sw
 from ..functions.scalar import decode_label
 from ..functions.text import clean_basic, clean_nb_nfkd
 from ..operators.evaluation import (
-    confusion_matrix, metrics_from_confusion, split_sizes, split_train_test,
+    confusion_matrix, metrics_from_confusion, split_column, split_sizes, split_train_test,
 )
-from ..sources.contacts import materialize
+from ..operators.words import idf_weights
+from ..sources.contacts import as_literals, materialize
 from ..sources.models import save_model
 from .features import text_feature_stages
 
 
 def text_pipeline(label_col: str = "agent_result", max_iter: int = 20, ascii_tokens: bool = False,
-                  notebook: bool = False) -> Pipeline:
+                  notebook: bool = False, lr: dict | None = None) -> Pipeline:
     """M15 (app) or M16 (notebook: space tokenizer, notebook stop words,
     minDF 5): label index -> tokens -> stop words -> [n-grams] -> TF -> IDF -> LR."""
     if notebook:
@@ -39,7 +40,7 @@ def text_pipeline(label_col: str = "agent_result", max_iter: int = 20, ascii_tok
     else:
         feats = text_feature_stages("note_clean", ascii_tokens=ascii_tokens)
     return Pipeline(stages=[StringIndexer(inputCol=label_col, outputCol="label"), *feats,
-                            LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter)])
+                            LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter, **(lr or {}))])
 
 
 def prepare_notes(df: DataFrame, note_col: str = "note", label_col: str = "agent_result",
@@ -52,9 +53,10 @@ def prepare_notes(df: DataFrame, note_col: str = "note", label_col: str = "agent
 
 def train_text_model(df: DataFrame, note_col: str = "note", label_col: str = "agent_result",
                      id_col: str = "interaction_id", max_iter: int = 20, ascii_tokens: bool = False,
-                     notebook: bool = False, model_path: str | None = None, first_n: int | None = None):
+                     notebook: bool = False, model_path: str | None = None, first_n: int | None = None,
+                     lr: dict | None = None):
     """Returns (metrics DataFrame (metric, value), confusion DataFrame,
-    fitted PipelineModel, labels)."""
+    fitted PipelineModel, labels).  ``lr``: further parameters of the regression."""
     data = prepare_notes(df, note_col, label_col, id_col, notebook)
     if first_n is not None:                       # notebook variant: first rows by id (S11)
         data = data.orderBy(id_col).limit(first_n)
@@ -63,39 +65,81 @@ def train_text_model(df: DataFrame, note_col: str = "note", label_col: str = "ag
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         train, test = split_train_test(data, id_col, 80)
-        model = text_pipeline(label_col, max_iter, ascii_tokens, notebook).fit(train)
+        model = text_pipeline(label_col, max_iter, ascii_tokens, notebook, lr).fit(train)
         labels = list(model.stages[0].labels)
         # a label never seen in training has no index (the indexer would
         # fail): such test rows are left out of the evaluation
         pred = model.transform(test.where(F.col(label_col).isin(labels)))
         pred = pred.select("label", "prediction").persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            cm = materialize(confusion_matrix(pred))
-            metrics = materialize(metrics_from_confusion(cm).unionByName(split_size_metrics(data, id_col)))
+            cm = as_literals(confusion_matrix(pred))
+            metrics = as_literals(metrics_from_confusion(cm).unionByName(split_size_metrics(data, id_col)))
         finally:
             pred.unpersist()
     finally:
         data.unpersist()
     if model_path:
-        save_model(model, model_path)
+        save_model(model, model_path, data.select("note_clean", label_col).schema, labels)
     return metrics, cm, model, labels
 
 
+def train_text_model_by_ref(refs: DataFrame, texts: DataFrame, label_col: str = "agent_result", id_col: str = "interaction_id",
+                            ref_col: str = "note_ref", missing_ref: int = -1, max_iter: int = 20, ascii_tokens: bool = False,
+                            vocab_size: int = 1 << 18, lr: dict | None = None):
+    """M18 where rows refer to shared texts by key: the same results as ``train_text_model`` over the rows with
+    their texts, without repeating a text.
+
+    Rows are counted per (text, class, part) first.  Each text becomes tokens and term counts once; vocabulary and
+    document frequencies are sums of its counts times its rows, the regression takes (text, class) rows with the
+    count as ``weightCol``, and the confusion counts are sums of it.  Rows whose key is NULL or unknown refer to
+    ``missing_ref``."""
+    known = texts.select(F.col(ref_col).alias("_known"))
+    rows = refs.where(F.col(label_col).isNotNull()).select(ref_col, label_col, split_column(id_col).alias("part"))
+    rows = rows.groupBy(ref_col, label_col, "part").agg(F.count(F.lit(1)).alias("w"))
+    rows = (rows.join(known, rows[ref_col] == known["_known"], "left")
+            .select(F.coalesce("_known", F.lit(missing_ref).cast("long")).alias(ref_col), label_col, "part", "w")
+            .groupBy(ref_col, label_col, "part").agg(F.sum("w").cast("double").alias("w")))
+    rows = materialize(rows)
+    *words, counter, _ = text_feature_stages("note_clean", ascii_tokens=ascii_tokens, vocab_size=vocab_size)
+    tokens = PipelineModel(words).transform(texts.select(ref_col, "note_clean").where(F.col("note_clean").isNotNull()))
+    tokens = tokens.select(ref_col, counter.getInputCol()).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        in_train = rows.where("part = 'train'")
+        labels = [r[label_col] for r in in_train.groupBy(label_col).agg(F.sum("w").alias("n"))
+                  .orderBy(F.desc("n"), label_col).collect()]                                  # one row a class
+        total = in_train.select(F.sum("w")).scalar()
+        per_text = tokens.select(ref_col, F.explode(counter.getInputCol()).alias("word")).groupBy(ref_col, "word").agg(
+            F.count(F.lit(1)).alias("tf"))
+        weight = in_train.groupBy(ref_col).agg(F.sum("w").alias("w"))
+        stats = per_text.join(weight.hint("shuffle_hash"), ref_col).groupBy("word").agg(
+            F.sum(F.col("tf") * F.col("w")).alias("term_freq"), F.sum("w").alias("doc_freq"))
+        top = idf_weights(stats, total).orderBy(F.desc("term_freq"), "word").limit(vocab_size).select("word", "idf").toArrow()
+        terms = top["word"].to_pylist()                          # the vocabulary, as every fitted model holds it
+        vocabulary = CountVectorizerModel.from_vocabulary(terms or [""], inputCol=counter.getInputCol(), outputCol="tf")
+        weigh = ElementwiseProduct(inputCol="tf", outputCol="features", scalingVec=Vectors.dense(top["idf"].to_pylist() or [0.0]))
+        indexer = StringIndexerModel.from_labels(labels, inputCol=label_col, outputCol="label")
+        vectors = weigh.transform(vocabulary.transform(tokens)).select(ref_col, "features")
+        data = indexer.transform(rows.where(F.col(label_col).isin(labels))).join(vectors, ref_col)
+        fit = data.where("part = 'train'").select("label", "features", "w").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            model = LogisticRegression(featuresCol="features", labelCol="label", weightCol="w", maxIter=max_iter, **(lr or {})).fit(fit)
+        finally:
+            fit.unpersist()
+        scored = model.transform(data.where("part = 'test'")).select("label", "prediction", "w")
+        cm = as_literals(confusion_matrix(scored, weight="w"))
+        sizes = rows.groupBy(F.concat(F.lit("num_"), F.col("part")).alias("metric")).agg(F.sum("w").alias("value"))
+        metrics = as_literals(metrics_from_confusion(cm).unionByName(sizes))
+    finally:
+        tokens.unpersist()
+    return metrics, cm, PipelineModel([indexer, *words, vocabulary, weigh, model]), labels
+
+
 def split_size_metrics(data: DataFrame, id_col: str) -> DataFrame:
     """A27 as metric rows ``num_train`` / ``num_test`` (one aggregate)."""
     return split_sizes(data, id_col).select(F.concat(F.lit("num_"), F.col("split")).alias("metric"),
                                             F.col("rows").cast("double").alias("value"))
 
 
-def evaluator_metrics(pred: DataFrame) -> dict[str, float]:
-    """MLlib evaluator values (accuracy, weighted F1), for cross-checks."""
-    out = {}
-    for m in ("accuracy", "f1"):
-        out[m] = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction",
-                                                   metricName=m).evaluate(pred)
-    return out
-
-
 def classify_notes(model: PipelineModel, df: DataFrame, labels: Sequence[str],
                    note_col: str = "note", id_col: str = "interaction_id",
                    label_col: str = "agent_result") -> DataFrame:

@@ -27,7 +27,7 @@ RESULTS = ("interesado", "no_interesado")
 CATEGORIES = ("conectividad", "movilidad", "hogar")
 ID_PATTERNS = {"client_id": r"^C[0-9]{9}$", "agent_id": r"^A[0-9]{9}$",
                "order_id": r"^(P[0-9]{9}|NA)$"}
-TS_RANGE = ("2024-01-01 00:00:00", "2025-12-31 23:59:59")
+TS_RANGE = ("2025-01-01 00:00:00", "2025-12-31 23:59:59")
 AMOUNT_RANGE = (0.0, 34999.0)
 WORK_HOURS = (9, 21)
 # ---------------------------------------------------------------------------

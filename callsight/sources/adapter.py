@@ -135,13 +135,13 @@ def note_texts(spark: SparkSession, sf_dir: str,
 def attach_notes(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
     """Add the raw ``note`` to a small set of contact rows (e.g. a preview):
     only the documents those rows reference are read into the join -- a
-    semi-join against the broadcast set of needed ids streams the documents
-    once, without shuffling them."""
+    semi-join against the needed ids; where they are few (a preview) the
+    planner broadcasts them and streams the documents without shuffling them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     keyed = rows.withColumn("_doc", F.try_mod(F.col("interaction_id"), n_docs))
     needed = keyed.select(F.col("_doc").alias("doc_id")).distinct()
-    wanted = docs.join(F.broadcast(needed), "doc_id", "left_semi")
+    wanted = docs.join(needed, "doc_id", "left_semi")
     out = keyed.join(wanted, keyed["_doc"] == wanted["doc_id"], "left")
     note = _null_at(F.col("interaction_id"), "note", F.col("text"))
     cols = [c for c in rows.columns]

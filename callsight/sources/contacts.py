@@ -8,27 +8,55 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schema as S
+from .csv_records import read_csv_records
 
 
-def read_contacts(spark: SparkSession, path: str, fmt: str = "csv",
-                  na_as_null: bool = False, schema=S.CONTACT_SCHEMA) -> DataFrame:
+CORRUPT = "malformed_record"
+VERBATIM = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}     # the CSV writer trims fields by default
+
+
+def read_contacts(spark: SparkSession, path: str, fmt: str = "csv", na_as_null: bool = False, schema=S.CONTACT_SCHEMA,
+                  records: str = "splits", corrupt_col: str | None = None) -> DataFrame:
     """Read a contact table with the fixed schema (no inference pass).
 
+    ``records`` says how CSV records are found: ``splits`` (quoted line breaks
+    allowed, any number of tasks a file), ``multiline`` (Spark's own reader
+    for them: one task a file) or ``lines`` (no line breaks in fields).
     ``na_as_null=True`` reproduces the notebook reader where the literal
     ``NA`` and empty fields become NULL.  Rows whose values do not parse are
-    kept with NULLs (PERMISSIVE), the cleaning rules decide about them."""
+    kept with NULLs (PERMISSIVE), the cleaning rules decide about them;
+    ``corrupt_col`` adds the text of such a record, NULL for all others."""
     if fmt == "parquet":
         return spark.read.schema(schema).parquet(path)
-    reader = (spark.read.schema(schema).option("header", True)
-              .option("mode", "PERMISSIVE").option("multiLine", True)
-              .option("escape", '"'))   # default time parsing: 'yyyy-MM-dd HH:mm:ss' and ISO 'T' forms
-    if na_as_null:
-        reader = reader.option("nullValue", "NA")
+    options = {"nullValue": "NA"} if na_as_null else {}
+    if records == "splits":
+        return read_csv_records(spark, path, schema, corrupt_col, **options)
+    full = schema if corrupt_col is None else T.StructType([*schema.fields, T.StructField(corrupt_col, T.StringType())])
+    reader = (spark.read.schema(full).option("header", True)
+              .option("mode", "PERMISSIVE").option("multiLine", records == "multiline")
+              .option("escape", '"').options(**options))   # default time parsing: 'yyyy-MM-dd HH:mm:ss' and ISO 'T' forms
+    if corrupt_col:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
     return reader.csv(path)
 
 
+def write_rejected(rejected: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Rows that fail a check, apart from the accepted ones: parquet, one folder per check that failed first."""
+    first = F.col("failed_checks")[0]
+    rejected.withColumn("first_failed", first).write.mode(mode).partitionBy("first_failed").parquet(path)
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int, sort_by: Sequence[str] = ()) -> DataFrame:
+    """A table whose files are bucketed by ``keys`` and sorted within: joins and aggregates on these keys read it
+    without an exchange.  ``path`` is a folder that all executors share."""
+    w = df.write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, *keys).sortBy(*keys, *sort_by)
+    w.saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def write_contacts(df: DataFrame, path: str, fmt: str = "parquet",
                    partition_by: Sequence[str] | None = None, mode: str = "overwrite") -> None:
     """S3: fixed column order; CSV with header or parquet (optionally
@@ -40,7 +68,7 @@ def write_contacts(df: DataFrame, path: str, fmt: str = "parquet",
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
         whole = "yyyy-MM-dd HH:mm:ss.SSSSSS"          # the default forms stop at milliseconds
-        w.option("header", True).option("escape", '"').options(timestampFormat=whole, timestampNTZFormat=whole).csv(path)
+        w.options(header=True, escape='"', timestampFormat=whole, timestampNTZFormat=whole, **VERBATIM).csv(path)
     else:
         w.parquet(path)
 
@@ -112,6 +140,6 @@ def materialize(df: DataFrame) -> DataFrame:
         df.unpersist()
 
 
-def with_ts_text(df: DataFrame, col: str = "contact_ts") -> DataFrame:
-    """Timestamp as ``yyyy-MM-dd HH:mm:ss`` text (stable across engines)."""
-    return df.withColumn(col, F.date_format(col, "yyyy-MM-dd HH:mm:ss"))
+def as_literals(df: DataFrame) -> DataFrame:
+    """A table of a few rows (metrics, a confusion matrix) computed once and held as literal rows of the plan."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)

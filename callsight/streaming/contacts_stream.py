@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..operators.attribution import matchable
 from ..operators.clean import normalize_contacts
 from ..plans.order_model import predict_orders
 
@@ -56,3 +57,39 @@ def daily_volume_stream(stream: DataFrame, watermark: str = "2 days") -> DataFra
              .groupBy(F.window("event_ts", "1 day").alias("w"))
              .agg(F.count(F.lit(1)).alias("total_contacts"), F.sum("has_order").alias("total_orders"))
              .select(day.alias("day"), "total_contacts", "total_orders"))
+
+
+def order_stream(spark: SparkSession, path: str, fmt: str = "parquet", max_files_per_trigger: int | None = None) -> DataFrame:
+    """Orders arriving as files under ``path`` (fixed schema)."""
+    r = spark.readStream.schema(S.ORDER_SCHEMA).format(fmt)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.load(path)
+
+
+def attributed_stream(contact_stream: DataFrame, orders: DataFrame, window_hours: int = 24, lateness: str = "2 days") -> DataFrame:
+    """J4 on two streams: the columns of ``attribute_orders``, one row per contact once no order can match it any more.
+
+    A left outer interval join with a watermark on either side keeps a
+    contact until orders up to ``window_hours`` after it (and ``lateness``
+    more) must have arrived, an order until no earlier contact can; a contact
+    without an order comes out when its state expires.  The orders of a
+    contact are then summed per contact, closed by the same watermark.
+    Contacts without a known client or time need no state and pass at once.
+    Rows later than the watermark are dropped, as in every watermarked query."""
+    c = normalize_contacts(contact_stream).select("interaction_id", "client_id", "contact_ts")
+    can = matchable()
+    known = c.where(can).withColumn("at", wall_clock_as_utc("contact_ts")).withWatermark("at", lateness)
+    o = (orders.where(F.col("client_id").isNotNull() & F.col("order_ts").isNotNull())
+         .select("order_id", F.col("client_id").alias("o_client"), "order_ts", "order_amount", wall_clock_as_utc("order_ts").alias("o_at"))
+         .withWatermark("o_at", lateness))
+    cond = ((F.col("client_id") == F.col("o_client")) & (F.col("o_at") >= F.col("at"))
+            & (F.col("o_at") <= F.col("at") + F.expr(f"INTERVAL {window_hours} HOURS")))
+    j = known.join(o, cond, "leftOuter")
+    first = F.min(F.when(F.col("order_id").isNotNull(), F.struct("order_ts", "order_id")))
+    matched = (j.groupBy("at", "client_id", "interaction_id", "contact_ts")
+               .agg(F.count("order_id").alias("n_orders"), F.sum("order_amount").alias("orders_amount"),
+                    first["order_id"].alias("first_order_id")).drop("at"))
+    rest = c.where(~can).select("client_id", "interaction_id", "contact_ts", F.lit(0).cast("long").alias("n_orders"),
+                                F.lit(None).cast("double").alias("orders_amount"), F.lit(None).cast("string").alias("first_order_id"))
+    return matched.unionByName(rest).withColumn("attributed", (F.col("n_orders") > 0).cast("int"))
