@@ -17,6 +17,13 @@ def test_entry_imports_without_jars(tmp_path):
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, check=True, timeout=120)
 
 
+def test_entry_imports_without_a_package_of_the_corpus_operators(tmp_path):
+    code = (f"import sys; sys.modules['xxhash'] = None; sys.path.insert(0, {ROOT!r}); import __spark_entry__ as e; "
+            "assert len(e.queries()) > 80 and 'monthly_conversion' in e.queries()")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, check=True, timeout=120)
+
+
 def test_stopwords_equal_mllib(spark):
     for language in ("spanish", "english"):
         assert list(stopwords.default_stopwords(language)) == list(StopWordsRemover.loadDefaultStopWords(language))
