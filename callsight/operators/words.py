@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_accents
@@ -86,14 +86,13 @@ def term_counts(tf: DataFrame, min_df: float = 1.0) -> DataFrame:
 
 def vocabulary_coverage(stats: DataFrame, vocab_size: int, min_df: float = 1.0) -> DataFrame:
     """What a vocabulary of the ``vocab_size`` most frequent terms (in at least ``min_df`` texts) leaves out of
-    ``stats`` (:func:`term_counts`), as metric rows: terms and occurrences.  The totals are observed in the pass
-    that picks the kept terms."""
-    seen = Observation()
-    watched = stats.observe(seen, F.count(F.lit(1)).alias("terms"), F.coalesce(F.sum("term_freq"), F.lit(0)).alias("occurrences"))
-    kept = (watched.where(F.col("doc_freq") >= min_df).orderBy(F.desc("term_freq"), "word").limit(vocab_size)
-            .agg(F.count(F.lit(1)).alias("terms"), F.coalesce(F.sum("term_freq"), F.lit(0)).alias("occurrences")).first())
-    rows = [(f"{name}_left_out", float(seen.get[name] - kept[name])) for name in ("terms", "occurrences")]
-    return stats.sparkSession.createDataFrame(rows, "metric string, value double")
+    ``stats`` (:func:`term_counts`), as metric rows: terms and occurrences.  The kept terms are a distributed top-k;
+    of them and of all terms one row each is added up."""
+    sums = (F.count(F.lit(1)).alias("terms"), F.coalesce(F.sum("term_freq"), F.lit(0)).cast("long").alias("occurrences"))
+    kept = stats.where(F.col("doc_freq") >= min_df).orderBy(F.desc("term_freq"), "word").limit(vocab_size).agg(*sums)
+    both = stats.agg(*sums).select(F.lit(1).alias("sign"), "*").unionByName(kept.select(F.lit(-1).alias("sign"), "*"))
+    left = both.agg(*[F.sum(F.col("sign") * F.col(c)).cast("double").alias(f"{c}_left_out") for c in ("terms", "occurrences")])
+    return left.unpivot([], ["terms_left_out", "occurrences_left_out"], "metric", "value")
 
 
 def idf_weights(stats: DataFrame, n_docs) -> DataFrame:
