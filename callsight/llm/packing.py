@@ -52,17 +52,36 @@ def load_encoding(path: str | None = None):
     return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
+class Encoder:
+    """Ids of whole texts.  The pattern of ``tiktoken`` gives up on very long runs of white space; such a text is
+    encoded by ``tokenizers`` itself, which takes longer and gives the same ids."""
+
+    def __init__(self, path: str | None = None):
+        self.path, self.fast, self.plain = path, load_encoding(path), None
+
+    def ids(self, text: str) -> list[int]:
+        try:
+            return self.fast.encode(text, allowed_special="all")
+        except ValueError:
+            if self.plain is None:
+                import public_tokenizers
+                from tokenizers import Tokenizer
+
+                self.plain = Tokenizer.from_file(self.path or public_tokenizers.path("byte_bpe_50k.json"))
+            return self.plain.encode(text, add_special_tokens=False).ids
+
+
 def pieces(docs: DataFrame, *, keep=None, text_col: str = "text", capacity: int = 2048, vocabulary: str | None = None) -> DataFrame:
     """``row`` (kept columns), ``piece``, ``start``, ``length``, ``ids_crc32``: one row per piece."""
     src = as_rows(docs, keep, text_col)
     schema = row_schema(src, piece=T.IntegerType(), start=T.LongType(), length=T.LongType(), ids_crc32=T.LongType())
 
     def run(batches):
-        enc = load_encoding(vocabulary)
+        enc = Encoder(vocabulary)
         for b in batches:
             out, of = [], []
             for i, text in enumerate(b.column("text")):
-                ids = enc.encode(text.as_py().decode("utf-8", "replace"), allowed_special="all")
+                ids = enc.ids(text.as_py().decode("utf-8", "replace"))
                 ids.append(0)
                 a = np.array(ids, "<u4")
                 cuts = [0, *range(len(a) % capacity or capacity, len(a) + 1, capacity)]
