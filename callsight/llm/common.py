@@ -9,6 +9,7 @@ of about ``BLOCK_BYTES`` of text, so memory does not follow the table.
 from __future__ import annotations
 
 import tempfile
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -122,16 +123,20 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     n = len(data)
     if n == 0 or len(starts) == 0:
         return np.zeros(len(starts), np.uint64)
-    power = np.full(n, MULTIPLIER, np.uint64)
-    power[0] = 1
-    np.multiply.accumulate(power, out=power)
-    inverse = np.full(n, INVERSE, np.uint64)
-    inverse[0] = 1
-    np.multiply.accumulate(inverse, out=inverse)
+    power, inverse = _block_powers() if n <= BLOCK_BYTES else (_powers(MULTIPLIER, n), _powers(INVERSE, n))
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power, out=sums[1:])
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:n], out=sums[1:])
     return mix64((sums[ends] - sums[starts]) * inverse[starts])
 
 
-def struct_array(batch, keep: str = "row"):
-    return batch.column(batch.schema.get_field_index(keep))
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out, out=out)
+
+
+@lru_cache(maxsize=1)
+def _block_powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers for a block of text, made once a process."""
+    return _powers(MULTIPLIER, BLOCK_BYTES), _powers(INVERSE, BLOCK_BYTES)
+

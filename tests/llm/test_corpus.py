@@ -153,6 +153,76 @@ def test_toxicity_holds_out_and_scores_everything(spark, odd, none):
     assert [r.score for r in toxicity.score(odd.limit(1), None).collect()] == [0.0]
 
 
+def plain_kneser_ney(rows, corpus):
+    """p(w|u) per class over plain dictionaries; words outside the sample are None."""
+    words = lambda t: re.findall("[0-9a-z\x80-\U0010ffff]+", (t or "").translate({i: i + 32 for i in range(65, 91)}))
+    n, right, left, total = ({0: {}, 1: {}} for _ in range(4))
+    for text, c in rows:
+        w = words(text)
+        for u, x in zip(["<"] + w, w):
+            n[c][u, x] = n[c].get((u, x), 0) + 1
+            total[c][u] = total[c].get(u, 0) + 1
+            right[c].setdefault(u, set()).add(x)
+            left[c].setdefault(x, set()).add(u)
+    vocab = {x for c in (0, 1) for x in left[c]} | {None}
+    shared = {}
+    for text in corpus:
+        w = words(text)
+        for u, x in zip(["<"] + w, w):
+            if x in vocab:
+                shared.setdefault(x, set()).add(u)
+    s = {x: len(shared.get(x, ())) for x in vocab}
+    d, weight, pair, v = toxicity.DISCOUNT, toxicity.WORD_WEIGHT, toxicity.PAIR_WEIGHT, len(vocab)
+    r = {x: (s[x] + 1) / (sum(s.values()) + v) for x in vocab}
+    k = {c: {x: len(left[c].get(x, ())) for x in vocab} for c in (0, 1)}
+    base = weight * v / (weight * v + (sum(k[0].values()) + sum(k[1].values())) / 2)
+    q = {c: {x: (1 - base) * (max(k[c][x] - d, 0) + d * sum(y > 0 for y in k[c].values()) * r[x]) / sum(k[c].values()) + base / v
+             for x in vocab} for c in (0, 1)}
+
+    def p(c, u, x):
+        t = len(right[c].get(u, ()))
+        return (max(n[c].get((u, x), 0) - d, 0) + (pair * v + d * t) * q[c][x]) / (total[c].get(u, 0) + pair * v)
+
+    return words, vocab, p
+
+
+def test_toxicity_equals_a_dictionary_implementation(spark):
+    rng = np.random.default_rng(7)
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 > 1][:40]           # nothing to fit the curve on
+    vocabulary = [f"w{i}" for i in range(30)] + ["Ñandú", "Loser"]
+    rows = [(i, " ".join(rng.choice(vocabulary, rng.integers(0, 20))) + (" you loser" if j % 2 else "!"), j % 2) for j, i in enumerate(ids)]
+    more = [(1000 + i, " ".join(rng.choice(vocabulary + ["new", "other"], 15)), None) for i in range(40)] + [(2000, None, None), (2001, "", None)]
+    df = spark.createDataFrame(rows + more, "doc_id long, text string, toxic int").repartition(3)
+    model = toxicity.train(df.select("doc_id", "text"), df.select("doc_id", "toxic"), df)
+    words, vocab, p = plain_kneser_ney([(t, c) for _, t, c in rows], [t for _, t, _ in rows + more])
+    for c in (0, 1):
+        for u in ("<", "w3", "you", "unheard"):
+            assert abs(sum(p(c, u, x) for x in vocab) - 1) < 1e-9
+    texts = [t for _, t, _ in rows[:10] + more] + ["you LOSER unheard w3 w3", "unheard of"]
+    got = model.evidence(pa.array([(t or "").encode() for t in texts], pa.binary()))
+    for (mean, best), t in zip(got, texts):
+        w = [x if x in vocab else None for x in words(t)]
+        x = [np.log(p(1, u, b) / p(0, u, b)) for u, b in zip(["<"] + w, w)]
+        assert abs(mean - (np.mean(x) if x else 0)) < 1e-5 and abs(best - (max(x) if x else 0)) < 1e-5
+    counts = toxicity.shared_contexts(df, model.vocab)
+    pairs = {(u, x) for _, t, _ in rows + more for w in [words(t)] for u, x in zip(["<"] + w, w) if x in vocab}
+    assert counts.sum() == len(pairs) and counts[0] == 0
+
+
+def test_toxicity_places():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 2, 1000):
+        held = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+        asked = np.concatenate([held, rng.integers(0, 1 << 64, 500, dtype=np.uint64), held[:1] + np.uint64(1)])
+        where = {int(h): i for i, h in enumerate(held)}
+        assert toxicity.Places(held).find(asked).tolist() == [where.get(int(h), -1) for h in asked]
+
+
+def test_toxicity_packed_keys():
+    keys = np.unique(np.random.default_rng(1).integers(0, 1 << 62, 5000, dtype=np.uint64))
+    assert (toxicity._unpacked(toxicity._packed(keys)) == keys).all() and len(toxicity._unpacked(toxicity._packed(keys[:0]))) == 0
+
+
 def test_toxicity_rare_words_and_pairs_give_graded_evidence(spark):
     ids = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 5 > 0][:400]
     rows, left = [], 7                            # seven toxic learning documents hold a word and a pair that no other has
@@ -221,6 +291,21 @@ def test_packing_ids_pieces_and_bound(odd, none):
     assert packing.pack_documents(none).count() == 0
 
 
+def test_packing_very_long_white_space(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a" + c * 1000000 + "b" for c in ("\n", " ")] + ["c \t" * 20]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = packing.pack_documents(df).toPandas()
+    got["doc_id"] = [r["doc_id"] for r in got["row"]]
+    for d, t in enumerate(texts):
+        ids = np.array(tok.encode(t, add_special_tokens=False).ids + [0], "<u4")
+        mine = got[got.doc_id == d]
+        assert mine.length.sum() == len(ids)
+        assert all(zlib.crc32(ids[p.start:p.start + p.length].tobytes()) == p.ids_crc32 for p in mine.itertuples())
+
+
 def test_bound_and_best_fit():
     rng = np.random.default_rng(2)
     for _ in range(30):
@@ -376,3 +461,51 @@ def test_sentencepieces_runs_of_blanks_as_unsplit_viterbi():
         ids = codec.encode(text)
         assert ids == whole(text) and codec.decode(ids) == text
     assert len(codec.encode(" " * 15 + "x")) < 15
+
+
+def test_characters_cut_in_part_go_and_others_stay():
+    import corpus_pipeline as cp
+    text = "a\ufffdé€\U0001f600ñ\ufffdz"
+    b = text.encode()
+    starts = [len(text[:i].encode()) for i in range(len(text) + 1)]
+    for lo in range(len(b) + 1):
+        for hi in range(lo + 1, len(b) + 1):
+            whole = "".join(c for i, c in enumerate(text) if starts[i + 1] <= lo or starts[i] >= hi)
+            assert cp.whole_characters(b[:lo] + b[hi:], [lo]).decode() == whole
+            for end in range(hi + 1, len(b)):
+                kept = b[:lo] + b[hi:end] + b[end + 1:]
+                two = "".join(c for i, c in enumerate(text) if (starts[i + 1] <= lo or starts[i] >= hi)
+                              and (starts[i + 1] <= end or starts[i] > end))
+                assert cp.whole_characters(kept, [lo, lo + end - hi]).decode() == two
+
+
+def test_pipeline_keeps_shared_ids_and_replacement_characters(spark):
+    import corpus_pipeline as cp
+    other = "another text with words of its own that nobody else has written down anywhere at all"
+    rows = [(1, f"\ufffd{PASSAGE}", "en", "s", 1), (1, other, "en", "s", 1), (1, other, "en", "s", 1), (2, other, "en", "s", 1),
+            (3, f"é{PASSAGE}\ufffdé", "en", "s", 1), (None, other, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    near = sorted((r.doc_id or 0, r.text) for r in cp.near_duplicate_documents(spark, docs, "").collect())
+    assert near == [(0, other), (1, other), (1, f"\ufffd{PASSAGE}"), (3, f"é{PASSAGE}\ufffdé")]
+    cut = {(r.doc_id, r.text) for r in cp.repeated_passages(spark, docs.where("doc_id <> 2"), "").collect()}
+    assert (3, "é\ufffdé") in cut and (1, f"\ufffd{PASSAGE}") in cut
+
+
+def test_pipeline_runs_whole(spark, tmp_path):
+    import corpus_pipeline as cp
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 > 0]
+    bad = "vile hateful slur filth"
+    rows = [(i, f"{bad} n{i}" if k % 4 == 0 else f"calm words {i} of day {i * 7} and more {i * 13} for each reader {i * 31}", "en", "s", 0)
+            for k, i in enumerate(ids)]
+    rows += [(r[0] + 1000, r[1], "en", "s", 0) for r in odd_rows()] + [(None, None, None, None, None), (None, PASSAGE, "en", None, 3)]
+    labels = [(i, 1, int(k % 4 == 0)) for k, i in enumerate(ids)]
+    for part, some in (("full", 1), ("none", 0)):
+        d = f"{tmp_path}/{part}"
+        spark.createDataFrame(rows * some, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{d}/documents.parquet")
+        spark.createDataFrame(labels * some, "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    out = cp.run(spark, f"{tmp_path}/full").toPandas()
+    assert cp.run(spark, f"{tmp_path}/none").count() == 0
+    kept = set(out.doc_id.dropna().astype(int))
+    assert not kept & {i for k, i in enumerate(ids) if k % 4 == 0} and {i for k, i in enumerate(ids) if k % 4} <= kept
+    assert out.doc_id.isna().sum() == 2 and {1007} <= kept and 1008 not in kept
+    assert out.groupby("sequence_id").length.sum().max() <= 2048
