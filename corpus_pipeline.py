@@ -9,8 +9,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from callsight.llm.packing import pack_documents
 from callsight.llm.repeats import remove_repeats
@@ -23,27 +25,57 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def toxicity(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score of 0.5 or more go; ids, texts and all else stay as they are."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = score(docs.select(COLUMNS), train(docs, labels, docs))
-    return scored.where("score < 0.5").select("row.*")
+    some = docs.select(COLUMNS).withColumn("has_text", F.col("text").isNotNull())
+    scored = score(some, train(docs, labels, docs), keep=["doc_id", "lang", "source", "n_chars", "has_text"], with_text=True)
+    text = F.when(F.col("row.has_text"), F.col("text").cast("string")).alias("text")
+    return scored.where("score < 0.5").select("row.doc_id", text, "row.lang", "row.source", "row.n_chars")
 
 
 def near_duplicate_documents(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked at 3 or fewer fingerprint bits the document with the smallest id stays, once;
-    documents with a NULL id are in no group and stay."""
-    found = near_duplicates(docs.where("doc_id is not null"), shingle_words=3, max_bits=3)
-    first = found.groupBy("component_id").agg(F.lit(1)).select(F.col("component_id").alias("doc_id"))
-    kept = docs.select(COLUMNS).join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """Of each group linked at 3 or fewer fingerprint bits the document with the smallest id stays, once; rows that
+    share an id but not the text are told apart by the text's hash.  Documents with a NULL id are in no group and stay."""
+    key = F.struct("doc_id", F.coalesce(F.length("text"), F.lit(-1)).alias("n"), F.xxhash64("text").alias("h"))
+    keyed = docs.select(COLUMNS).withColumn("key", key)
+    found = near_duplicates(keyed.where("doc_id is not null"), id_col="key", shingle_words=3, max_bits=3)
+    first = found.groupBy("component_id").agg(F.lit(1)).select(F.col("component_id").alias("key"))
+    kept = keyed.join(first, "key", "left_semi").dropDuplicates(["key"]).select(COLUMNS)
     return kept.unionByName(docs.select(COLUMNS).where("doc_id is null"))
 
 
+def whole_characters(kept: bytes, cuts: list[int]) -> bytes:
+    """``kept`` without the bytes of UTF-8 characters that a cut (a place in ``kept``) has split."""
+    out = []
+    for begin, end in zip([0, *cuts], [*cuts, len(kept)]):
+        if begin in cuts:                                              # a cut lies before this part
+            while begin < end and kept[begin] & 0xC0 == 0x80:
+                begin += 1
+        if end in cuts:                                                # and after it
+            lead = next((i for i in range(end - 1, max(end - 5, begin - 1), -1) if kept[i] & 0xC0 != 0x80), None)
+            if lead is not None and kept[lead] >= 0xC0 and end - lead < (2 if kept[lead] < 0xE0 else 3 if kept[lead] < 0xF0 else 4):
+                end = lead
+        out.append(kept[begin:end])
+    return b"".join(out)
+
+
+def _mended(batches):
+    for b in batches:
+        texts = []
+        for kept, spans in zip(b.column("kept").to_pylist(), b.column("spans").to_pylist()):
+            gone, cuts = 0, []
+            for s in spans:
+                cuts.append(s["start"] - gone)
+                gone += s["end"] - s["start"]
+            texts.append(whole_characters(kept, cuts) if cuts else kept)
+        yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(texts, pa.binary())], ["row", "text"])
+
+
 def repeated_passages(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 50 bytes that a document with a smaller id holds are cut out; bytes of a character cut in
-    part go with it.  ``n_chars`` follows; a NULL text stays NULL."""
+    part go with it, all others stay as they are.  ``n_chars`` follows; a NULL text stays NULL."""
     some = docs.select(COLUMNS).withColumn("has_text", F.col("text").isNotNull())
-    cut = remove_repeats(some, keep=["doc_id", "lang", "source", "has_text"])
-    text = F.when(F.col("row.has_text"), F.try_validate_utf8("kept"))
-    mended = F.when(F.col("row.has_text"), F.regexp_replace(F.make_valid_utf8("kept"), "�", ""))
-    out = cut.select("row.doc_id", F.coalesce(text, mended).alias("text"), "row.lang", "row.source")
+    cut = remove_repeats(some, keep=["doc_id", "lang", "source", "has_text"]).select("row", "kept", "spans")
+    whole = cut.mapInArrow(_mended, T.StructType([cut.schema["row"], T.StructField("text", T.BinaryType())]))
+    out = whole.select("row.doc_id", F.when(F.col("row.has_text"), F.col("text").cast("string")).alias("text"), "row.lang", "row.source")
     return out.withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
 
