@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BLOCK_BYTES = 1 << 20
+SMALL_BLOCK = 1 << 18           # where a task holds large tables beside its texts
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -123,7 +124,10 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     n = len(data)
     if n == 0 or len(starts) == 0:
         return np.zeros(len(starts), np.uint64)
-    power, inverse = _block_powers() if n <= BLOCK_BYTES else (_powers(MULTIPLIER, n), _powers(INVERSE, n))
+    if n <= BLOCK_BYTES:
+        power, inverse = _block_powers(SMALL_BLOCK if n <= SMALL_BLOCK else BLOCK_BYTES)
+    else:
+        power, inverse = _powers(MULTIPLIER, n), _powers(INVERSE, n)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:n], out=sums[1:])
     return mix64((sums[ends] - sums[starts]) * inverse[starts])
@@ -135,8 +139,8 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out, out=out)
 
 
-@lru_cache(maxsize=1)
-def _block_powers() -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(maxsize=2)
+def _block_powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers for a block of text, made once a process."""
-    return _powers(MULTIPLIER, BLOCK_BYTES), _powers(INVERSE, BLOCK_BYTES)
+    return _powers(MULTIPLIER, size), _powers(INVERSE, size)
 

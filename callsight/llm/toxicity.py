@@ -53,7 +53,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import as_rows, blocks, bytes_view, checkpointed, lower_ascii, mix64, row_schema, span_hashes, word_bytes, word_spans
+from .common import SMALL_BLOCK, as_rows, blocks, bytes_view, checkpointed, lower_ascii, mix64, row_schema, span_hashes, word_bytes, word_spans
 
 IS_WORD = word_bytes(lambda b: b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122)
 LOWER = lower_ascii()
@@ -71,7 +71,7 @@ def fold(id_col="doc_id"):
 def _tokens(column):
     """Blocks of (rows, row of each word, hash of each word)."""
     data, off = bytes_view(column)
-    for i, j in blocks(off):
+    for i, j in blocks(off, SMALL_BLOCK):
         part, o = LOWER[data[off[i]:off[j]]], off[i:j + 1] - off[i]
         s, e, row = word_spans(part, o, IS_WORD)
         yield j - i, row, span_hashes(part, s, e)
