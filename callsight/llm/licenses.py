@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from .common import as_rows, blocks, bytes_view, lower_ascii, row_schema, span_hashes, word_bytes, word_spans
 
 # The phrases of the contract.
-BASE = (("the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
+BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
 # Notices from the public licence texts: label, words, mandatory key phrases.
 NOTICES = (
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and"

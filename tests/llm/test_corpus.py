@@ -267,6 +267,15 @@ def test_licenses_equal_brute_force(odd, none):
     assert licenses.scan(none).count() == 0
 
 
+def test_license_base_phrases_are_whole(spark):
+    texts = ["released Under the MIT License", "the MIT license", "under the mit license, under THE mit-license; cc by NC",
+             "Apache License, Version 2.0 and apache license 2", "under the mit", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.row.doc_id: (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in licenses.scan(df).collect()}
+    assert got == {0: (5, 1, 1, 1, "mit"), 1: (3, 0, None, None, ""), 2: (11, 3, 0, 8, "cc-by-nc,mit"),
+                   3: (9, 1, 0, 0, "apache-2"), 4: (3, 0, None, None, ""), 5: (0, 0, None, None, "")}
+
+
 def test_license_notice_needs_its_key_phrase(spark):
     text = licenses.NOTICES[2][1]
     df = spark.createDataFrame([(1, "x " + text), (2, text.replace("source", "sauce"))], "doc_id long, text string")
