@@ -13,7 +13,7 @@ from ..functions import text as tx
 from ..operators import collocations as coll
 from ..operators import words as W
 from ..sources.adapter import documents, note_texts, table
-from ..sources.contacts import materialize
+from ..sources.contacts import materialize, materialize_files
 from .registry import contacts, register, with_extra
 
 # DuckDB text of the cleaners (same rules as functions.text)
@@ -95,7 +95,7 @@ def q_idf_weights(spark, sf_dir):
 @register("tfidf", raw_sql=_TF_SQL + """
 SELECT tf.doc_id, tf.word, tf.tf, round(tf.tf * idf.idf, 9) AS tfidf FROM tf JOIN idf USING (word)""")
 def q_tfidf(spark, sf_dir):
-    tf = materialize(_tf(spark, sf_dir))           # read by the weights, the frequent and the other terms: one scan of the texts
+    tf = materialize_files(_tf(spark, sf_dir))           # read by the weights, the frequent and the other terms: one scan of the texts
     n_docs = table(spark, sf_dir, "documents").select(F.count(F.lit(1))).scalar()
     idf = W.idf_weights(W.term_counts(tf), n_docs)
     return W.tfidf(tf, idf).select("doc_id", "word", "tf", F.round("tfidf", 9).alias("tfidf"))
@@ -155,7 +155,7 @@ SELECT *, round(frequency / max(frequency) OVER (PARTITION BY agent_result), 9)
 @register("cloud_pairs")
 def q_cloud_pairs(spark, sf_dir):
     refs = contacts(spark, sf_dir, note_ref=True)
-    pairs = coll.class_pairs(refs, note_texts(spark, sf_dir, tx.clean_basic))
+    pairs = coll.pair_rows(refs, note_texts(spark, sf_dir, tx.clean_basic))
     out = coll.cloud_pairs(pairs, sw.cloud_stopwords(), max_words=100)
     return out.withColumn("weight", F.round("weight", 9))
 

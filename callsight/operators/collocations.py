@@ -20,32 +20,29 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.contacts import materialize
+from ..sources.contacts import materialize_files
+from .words import weighted_texts
 
 CLASS = "agent_result"
 
 
-def text_pairs(texts: DataFrame, ref_col: str = "note_ref", text_col: str = "note_clean", min_len: int = 2) -> DataFrame:
-    """(ref, word, next, k) of cleaned texts: how often each word stands before each next word of its text (NULL:
-    at the end); words shorter than ``min_len`` are left out before neighbours are looked for."""
+def pair_rows(refs: DataFrame, texts: DataFrame, class_col: str = CLASS, ref_col: str = "note_ref",
+              text_col: str = "note_clean", missing_ref: int = -1, min_len: int = 2) -> DataFrame:
+    """(class, word, next, n) of cleaned texts that rows refer to by key (NULL or unknown keys: ``missing_ref``): one
+    row per place of a word and class, with the next word of its text (NULL: at the end) and the class's rows; words
+    shorter than ``min_len`` are left out before neighbours are looked for."""
     words = F.filter(F.split(F.col(text_col), " "), lambda w: F.length(w) >= min_len)
-    rows = texts.select(ref_col, words.alias("w")).where(F.size("w") > 0)
+    rows = weighted_texts(refs, texts, class_col, ref_col, text_col, missing_ref).select("_classes", words.alias("w")).where(F.size("w") > 0)
     pair = F.arrays_zip(F.col("w").alias("word"), F.slice("w", 2, F.size("w")).alias("next"))
-    return (rows.select(ref_col, F.explode(pair).alias("p")).groupBy(ref_col, F.col("p.word").alias("word"), F.col("p.next").alias("next"))
-                .agg(F.count(F.lit(1)).alias("k")))
+    each = rows.select("_classes", F.explode(pair).alias("p")).select("p.word", "p.next", F.explode("_classes").alias("c"))
+    return each.select(F.col("c.c").alias(class_col), "word", "next", F.col("c._n").alias("n"))
 
 
 def class_pairs(refs: DataFrame, texts: DataFrame, class_col: str = CLASS, ref_col: str = "note_ref",
                 text_col: str = "note_clean", missing_ref: int = -1, min_len: int = 2) -> DataFrame:
-    """(class, word, next, n) over rows that refer to texts by key (NULL or unknown keys: ``missing_ref``)."""
-    known = texts.select(F.col(ref_col).alias("_known"))
-    weights = refs.groupBy(ref_col, class_col).agg(F.count(F.lit(1)).alias("_n"))
-    weights = (weights.join(known, weights[ref_col] == known["_known"], "left")
-               .select(F.coalesce("_known", F.lit(missing_ref).cast("long")).alias(ref_col), class_col, "_n")
-               .groupBy(ref_col, class_col).agg(F.sum("_n").alias("_n")))
-    per_text = text_pairs(texts, ref_col, text_col, min_len)
-    return (weights.hint("shuffle_hash").join(per_text, ref_col)
-            .groupBy(class_col, "word", "next").agg(F.sum(F.col("_n") * F.col("k")).alias("n")))
+    """:func:`pair_rows` added up: one row per (class, word, next)."""
+    return (pair_rows(refs, texts, class_col, ref_col, text_col, missing_ref, min_len)
+            .groupBy(class_col, "word", "next").agg(F.sum("n").alias("n")))
 
 
 def log_likelihood_ratio(both, first, second, total) -> Column:
@@ -66,49 +63,49 @@ def _singular(c: str) -> Column:
     return F.when(F.col(c).endswith("s") & ~F.col(c).endswith("ss"), F.substring(c, F.lit(1), F.length(c) - 1))
 
 
-def fold_plurals(counts: DataFrame, keys: Sequence[str], word: str, out: str) -> DataFrame:
-    """``counts`` with ``out``: the singular where ``word`` is its plural and the singular occurs under the same
-    ``keys``, else the word itself."""
-    here = counts.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col(word).alias("_singular"))
-    one = _singular(word)
-    cond = one == F.col("_singular")
-    for k in keys:
-        cond = cond & (F.col(k) == F.col(f"_{k}"))
-    return counts.join(here, cond, "left").withColumn(out, F.coalesce("_singular", word)).drop("_singular", *[f"_{k}" for k in keys])
+def _stem(c: str) -> Column:
+    """What a plural and its singular share: the word without its plural s, or the word itself.  Two words at most
+    have the same stem, since no plural is a singular."""
+    return F.coalesce(_singular(c), F.col(c))
+
+
+def _form(stem: str = "stem", single: str = "single") -> Column:
+    """The word that stands for a stem: the stem where it occurs as a word (``single``), else its plural."""
+    return F.when(F.col(single), F.col(stem)).otherwise(F.concat(F.col(stem), F.lit("s")))
 
 
 def join_words(rows: DataFrame, words: DataFrame, class_col: str, on: str, hot: int = 1000) -> DataFrame:
-    """``rows`` with the values of ``words`` (class, word, ..., frequency) for the word in column ``on``.  A frequent
+    """``rows`` with the values of ``words`` (class, stem, form, frequency) for the word in column ``on``.  A frequent
     word stands in many rows, so the ``hot`` most frequent of all classes are broadcast (at most that many rows) and
     their rows never meet in one task; the others build each partition's share of a shuffle hash join."""
-    words = words.withColumnRenamed("word", on)
-    top = words.orderBy(F.desc("frequency"), on, class_col).limit(hot)
-    often = rows.join(F.broadcast(top), [class_col, on])
-    seldom = rows.join(F.broadcast(top.select(class_col, on)), [class_col, on], "left_anti")
-    return often.unionByName(seldom.join(words.hint("shuffle_hash"), [class_col, on]))
+    rows = rows.withColumn("stem", _stem(on))
+    top = words.orderBy(F.desc("frequency"), "stem", class_col).limit(hot)
+    often = rows.join(F.broadcast(top), [class_col, "stem"])
+    seldom = rows.join(F.broadcast(top.select(class_col, "stem")), [class_col, "stem"], "left_anti")
+    return often.unionByName(seldom.join(words.hint("shuffle_hash"), [class_col, "stem"])).drop("stem")
 
 
 def cloud_words_and_pairs(pairs: DataFrame, stop: Sequence[str], class_col: str = CLASS, threshold: float = 30.0,
                           hot: int = 1000) -> DataFrame:
-    """(class, term, is_pair, frequency) of all terms with a positive frequency."""
-    pairs = materialize(pairs.where(~F.col("word").isin(*stop)).withColumn(
-        "next", F.when(~F.col("next").isin(*stop), F.col("next"))))          # read by the words, the pairs and the totals
-    seen = pairs.groupBy(class_col, "word").agg(F.sum("n").alias("n"))
-    words = fold_plurals(seen, [class_col], "word", "form")
-    forms = materialize(words.groupBy(class_col, "word", "form").agg(F.sum("n").alias("n")))
-    folded = forms.groupBy(class_col, "form").agg(F.sum("n").alias("frequency"))
-    table = (forms.select(class_col, "word", "form").join(folded.hint("shuffle_hash"), [class_col, "form"]))
-    totals = F.broadcast(seen.groupBy(class_col).agg(F.sum("n").alias("total")))      # bound: one row a class
-    two = pairs.where(F.col("next").isNotNull()).select(class_col, "word", "next", "n")
-    two = (fold_plurals(two, [class_col, "word"], "next", "second").groupBy(class_col, "word", "second")
-           .agg(F.sum("n").alias("n")))
-    left = join_words(two, table, class_col, "word", hot).withColumnsRenamed({"form": "form1", "frequency": "c1"})
-    both = join_words(left, table, class_col, "second", hot).withColumnsRenamed({"form": "form2", "frequency": "c2"})
-    strong = materialize(both.join(totals, class_col).where(log_likelihood_ratio("n", "c1", "c2", "total") > threshold)
-                         .select(class_col, "word", "second", "form1", "form2", "n"))
+    """(class, term, is_pair, frequency) of all terms with a positive frequency.  ``pairs`` may hold a pair in
+    several rows, which add up: they are counted here, at once by the second word's stem, in one exchange."""
+    rows = pairs.where(~F.col("word").isin(*stop)).withColumn("next", F.when(~F.col("next").isin(*stop), F.col("next")))
+    rows = rows.withColumn("stem", _stem("next"))
+    pairs = materialize_files(rows.groupBy(class_col, "word", "stem").agg(                # read by the words and the pairs
+        F.sum("n").alias("n"), F.bool_or(F.col("next") == F.col("stem")).alias("single")))
+    stem = F.when(F.col(class_col).isNull(), F.col("word")).otherwise(_stem("word"))      # words without a class are not folded
+    words = pairs.select(class_col, "word", stem.alias("stem"), "n").groupBy(class_col, "stem").agg(
+        F.sum("n").alias("frequency"), F.bool_or(F.col("word") == F.col("stem")).alias("single"))
+    words = materialize_files(words.select(class_col, "stem", _form().alias("form"), "frequency"))
+    totals = F.broadcast(words.groupBy(class_col).agg(F.sum("frequency").alias("total")))      # bound: one row a class
+    two = pairs.where(F.col("stem").isNotNull()).select(class_col, "word", _form().alias("second"), "n")
+    left = join_words(two, words, class_col, "word", hot).withColumnsRenamed({"form": "form1", "frequency": "c1"})
+    both = join_words(left, words, class_col, "second", hot).withColumnsRenamed({"form": "form2", "frequency": "c2"})
+    strong = materialize_files(both.join(totals, class_col).where(log_likelihood_ratio("n", "c1", "c2", "total") > threshold)
+                               .select(class_col, "word", "second", "form1", "form2", "n"))
     taken = strong.select(class_col, F.explode(F.array("form1", "form2")).alias("form"), "n").groupBy(class_col, "form").agg(
         F.sum("n").alias("taken"))
-    single = (folded.join(taken, [class_col, "form"], "left")
+    single = (words.join(taken, [class_col, "form"], "left")
               .select(class_col, F.col("form").alias("term"), F.lit(False).alias("is_pair"),
                       (F.col("frequency") - F.coalesce("taken", F.lit(0))).alias("frequency")))
     double = strong.select(class_col, F.concat_ws(" ", "word", "second").alias("term"), F.lit(True).alias("is_pair"),

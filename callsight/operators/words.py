@@ -142,33 +142,37 @@ def class_word_counts(df: DataFrame, text_col: str, class_col: str = "agent_resu
     return words.groupBy(class_col, "word").agg(F.count(F.lit(1)).alias("frequency"))
 
 
-def class_word_counts_by_ref(refs: DataFrame, texts: DataFrame, class_col: str = "agent_result",
-                             ref_col: str = "note_ref", text_col: str = "note_clean",
-                             missing_ref: int = -1, min_len: int = 1,
-                             stop: DataFrame | None = None) -> DataFrame:
-    """(class, word, frequency) when rows reference shared texts by key.
-
-    Aggregation before the join: rows are counted per (text, class) first,
-    each text is tokenised and counted once, and the per-text word counts
-    are weighted by the row counts.  The work follows the number of
-    distinct texts, not the number of rows, and a key shared by a third of
-    all rows is one aggregated row here.  Rows whose key is NULL or not
-    among the texts count as ``missing_ref``."""
+def weighted_texts(refs: DataFrame, texts: DataFrame, class_col: str = "agent_result", ref_col: str = "note_ref",
+                   text_col: str = "note_clean", missing_ref: int = -1) -> DataFrame:
+    """(text, ``_classes``) of the texts that rows refer to by key: per class the number of rows, as (class, ``_n``).
+
+    Aggregation before the join: rows are counted per (text, class) first, so a key shared by a third of all rows is
+    one aggregated row here.  The join takes whole texts, so each is shuffled once, as text and not as its words.
+    Rows whose key is NULL or not among the texts count as ``missing_ref``."""
     w = refs.groupBy(ref_col, class_col).agg(F.count(F.lit(1)).alias("_n"))
     known = texts.select(F.col(ref_col).alias("_known"))
     w = (w.join(known, w[ref_col] == known["_known"], "left")
-          .select(F.when(F.col("_known").isNull(), F.lit(missing_ref).cast("long"))
-                   .otherwise(F.col(ref_col)).alias(ref_col), class_col, "_n")
+          .select(F.coalesce("_known", F.lit(missing_ref).cast("long")).alias(ref_col), class_col, "_n")
           .groupBy(ref_col, class_col).agg(F.sum("_n").alias("_n")))
-    words = explode_cleaned(texts, text_col, [ref_col], min_len)
+    # bound: one entry a class.  Shuffle hash join, built per partition from the row counts; they grow with the corpus
+    # and must not be broadcast.
+    w = w.groupBy(ref_col).agg(F.collect_list(F.struct(F.col(class_col).alias("c"), "_n")).alias("_classes"))
+    some = texts.where(F.col(ref_col).isNotNull()).select(ref_col, text_col)
+    return some.join(w.hint("shuffle_hash"), ref_col).select(text_col, "_classes")
+
+
+def class_word_counts_by_ref(refs: DataFrame, texts: DataFrame, class_col: str = "agent_result",
+                             ref_col: str = "note_ref", text_col: str = "note_clean",
+                             missing_ref: int = -1, min_len: int = 1,
+                             stop: DataFrame | None = None) -> DataFrame:
+    """(class, word, frequency) when rows reference shared texts by key: every word of a text counts as often as
+    rows of the class refer to it (:func:`weighted_texts`).  The work follows the number of distinct texts, not the
+    number of rows."""
+    words = explode_cleaned(weighted_texts(refs, texts, class_col, ref_col, text_col, missing_ref), text_col, ["_classes"], min_len)
     if stop is not None:
         words = remove_stopwords(words, stop, case_sensitive=True)
-    per_text = words.groupBy(ref_col, "word").agg(F.count(F.lit(1)).alias("_k"))
-    # Shuffle hash join, built per partition from the aggregated row counts:
-    # the per-text word counts grow with the corpus and must not be
-    # broadcast, and the join output is produced in parallel over them.
-    return (w.hint("shuffle_hash").join(per_text, ref_col)
-             .groupBy(class_col, "word").agg(F.sum(F.col("_n") * F.col("_k")).alias("frequency")))
+    each = words.select("word", F.explode("_classes").alias("_c"))
+    return each.groupBy(F.col("_c.c").alias(class_col), "word").agg(F.sum("_c._n").alias("frequency"))
 
 
 def top_words(df: DataFrame, text_col: str | None = None, class_col: str = "agent_result", n: int = 30,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 from contextlib import contextmanager
 
@@ -140,6 +141,15 @@ def materialize(df: DataFrame) -> DataFrame:
         df.unpersist()
 
 
+def materialize_files(df: DataFrame) -> DataFrame:
+    """Like :func:`materialize` for a large frame: Parquet files in the shared checkpoint folder, which hold rows in a
+    fraction of a checkpoint's bytes and are read by column."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/rows-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def as_literals(df: DataFrame) -> DataFrame:
     """A table of a few rows (metrics, a confusion matrix) computed once and held as literal rows of the plan."""
     return df.sparkSession.createDataFrame(df.collect(), df.schema)

@@ -78,6 +78,21 @@ def test_cloud_pairs_equal_plain_computation(spark):
     assert [x.frequency for x in top] == sorted((x.frequency for x in top), reverse=True)
 
 
+def test_pairs_are_counted_from_texts_in_one_exchange_and_held_as_files(spark):
+    texts, refs = corpus()
+    t = spark.createDataFrame(texts, "note_ref long, note_clean string")
+    r = spark.createDataFrame(refs, "note_ref long, agent_result string")
+    rows, summed = coll.pair_rows(r, t), coll.class_pairs(r, t)
+    plan = summed._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(note_ref#" in plan
+    assert not [x for x in plan.splitlines() if "hashpartitioning(note_ref" in x and "word" in x]       # texts are shuffled, not their words
+    for pairs in (rows, summed):
+        terms = coll.cloud_words_and_pairs(pairs, STOP)
+        assert "Scan ExistingRDD" not in terms._jdf.queryExecution().executedPlan().toString()            # no row checkpoint
+    a, b = (sorted(map(str, coll.cloud_words_and_pairs(x, STOP).collect())) for x in (rows, summed))
+    assert a == b and a
+
+
 def test_cloud_pairs_of_nothing(spark):
     t = spark.createDataFrame([(1, ""), (2, "de la"), (-1, "")], "note_ref long, note_clean string")
     r = spark.createDataFrame([(1, "si"), (2, "si"), (3, "no")], "note_ref long, agent_result string")
