@@ -58,7 +58,8 @@ def strip_accents(c, form: str = "NFD") -> Column:
     """Decompose and drop combining marks (maps ñ to n)."""
     src, dst = accent_table(form)
     mark = r"\p{Mn}" if form == "NFD" else r"[\p{Mn}\p{Me}]"
-    return F.regexp_replace(F.translate(_col(c), src, dst), mark, "")
+    s = _col(c)                                    # a text of ASCII only has nothing to strip
+    return F.when(F.octet_length(s) == F.length(s), s).otherwise(F.regexp_replace(F.translate(s, src, dst), mark, ""))
 
 
 def keep_chars(c, keep: str) -> Column:
