@@ -153,6 +153,7 @@ def _unpack(raw: bytes, kind, count: int) -> np.ndarray:
 
 
 NONE = np.iinfo(np.int64).max
+SLICE = 8192            # records worked on at a time
 
 
 def _table(rows: list[tuple], kinds: list[tuple]) -> pa.Table:
@@ -204,7 +205,7 @@ def _ordered(table: pa.Table):
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 50, anchor: int = 20,
-                   batch_bytes: int = 8 << 20, bucket_bytes: int = 16 << 20, dense: int = 100000, keep=None) -> DataFrame:
+                   batch_bytes: int = 4 << 20, bucket_bytes: int = 16 << 20, dense: int = 100000, keep=None) -> DataFrame:
     """``row`` (the kept columns), ``n_bytes``, ``kept`` (remaining bytes), ``spans`` (removed start, end)."""
     left_width = size - anchor
     names = docs.columns if keep is None else keep
@@ -268,10 +269,14 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         for k, (a, z) in enumerate(zip(cut, cut[1:])):
             if z > a:
                 me = by[a:z]
-                real = (reach >= -n_left[me, None].astype(np.int64)) & (reach < n_right[me, None])
-                c = np.where(real, data[np.clip(pos[me, None] + reach, 0, len(data) - 1)], 0).astype(np.uint8)
-                head = h[me].astype(">u8").view(np.uint8).reshape(-1, 8)
-                yield (k, me, *_distinct(np.concatenate([head, n_left[me, None], n_right[me, None], c], axis=1)))
+                rec = np.empty((len(me), width), np.uint8)
+                for x in range(0, len(me), SLICE):             # places take eight times a record's bytes
+                    at = me[x:x + SLICE]
+                    real = (reach >= -n_left[at, None].astype(np.int64)) & (reach < n_right[at, None])
+                    rec[x:x + SLICE, :8] = h[at].astype(">u8").view(np.uint8).reshape(-1, 8)
+                    rec[x:x + SLICE, 8], rec[x:x + SLICE, 9] = n_left[at], n_right[at]
+                    rec[x:x + SLICE, 10:] = np.where(real, data[np.clip(pos[at, None] + reach, 0, len(data) - 1)], 0)
+                yield (k, me, *_distinct(rec))
 
     def strings(rec):
         """Every string around the anchors on its own: (place of its context, record with all else blanked)."""
@@ -321,6 +326,16 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                         out.append((b, g, True, int(here.sum()), _pack(part[here]), _pack(lo[here]), _pack(hi[here] - lo[here])))
         return _table(out, kinds)
 
+    def spans_by_key(uniq, least):
+        """:func:`repeat_spans` of sorted records, some anchors at a time: no group has two."""
+        keys = _keys(uniq)
+        out = np.empty((len(uniq), left_width + 1), np.int64)
+        starts = np.unique(np.searchsorted(keys, keys[::SLICE]))
+        for a, z in zip(starts, [*starts[1:], len(keys)]):
+            rec = uniq[a:z]
+            out[a:z] = repeat_spans(keys[a:z], left_width, rec[:, 10:], rec[:, 8].astype(np.int64), rec[:, 9].astype(np.int64), least[a:z], size)
+        return out
+
     def decide(table: pa.Table) -> pa.Table:
         gs, alone, ns, recs, low, more = [table.column(c).to_pylist() for c in ("g", "alone", "n", "ctx", "low", "more")]
         uniq, at = _distinct(np.concatenate([_unpack(r, np.uint8, n * width).reshape(n, width) for r, n in zip(recs, ns)]))
@@ -328,7 +343,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         high = low + more
         least = np.full(len(uniq), NONE)
         np.minimum.at(least, at, low)
-        smallest = repeat_spans(_keys(uniq), left_width, uniq[:, 10:], uniq[:, 8].astype(np.int64), uniq[:, 9].astype(np.int64), least, size)
+        smallest = spans_by_key(uniq, least)
         out, start = [], 0
         for g, one, n in zip(gs, alone, ns):
             own, last = at[start:start + n], high[start:start + n]
