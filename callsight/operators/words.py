@@ -84,6 +84,16 @@ def term_counts(tf: DataFrame, min_df: float = 1.0) -> DataFrame:
     return stats.where(F.col("doc_freq") >= F.lit(min_df))
 
 
+def vocabulary_counts(texts: DataFrame, tokens: str = "tokens", weight: str = "w") -> DataFrame:
+    """``word``, ``term_freq`` and ``doc_freq`` over weighted token lists.  In a sorted list a word's first place is the
+    one after another word, so lists become counts without an exchange of (text, word) rows."""
+    words = F.sort_array(tokens)
+    place = F.arrays_zip(words.alias("word"), F.concat(F.array(F.lit(None).cast("string")), words).alias("before"))
+    each = texts.select(weight, F.explode(place).alias("p")).select(weight, "p.word", "p.before").where(F.col("word").isNotNull())
+    first = F.col("before").isNull() | (F.col("before") != F.col("word"))
+    return each.groupBy("word").agg(F.sum(weight).alias("term_freq"), F.coalesce(F.sum(F.when(first, F.col(weight))), F.lit(0)).alias("doc_freq"))
+
+
 def vocabulary_coverage(stats: DataFrame, vocab_size: int, min_df: float = 1.0) -> DataFrame:
     """What a vocabulary of the ``vocab_size`` most frequent terms (in at least ``min_df`` texts) leaves out of
     ``stats`` (:func:`term_counts`), as metric rows: terms and occurrences.  The kept terms are a distributed top-k;

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, StringIndexer, StringIndexerModel
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, ElementwiseProduct, StringIndexer, StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
@@ -24,7 +25,7 @@ from ..functions.text import clean_basic, clean_nb_nfkd
 from ..operators.evaluation import (
     confusion_matrix, metrics_from_confusion, split_column, split_sizes, split_train_test,
 )
-from ..operators.words import idf_weights
+from ..operators.words import idf_weights, vocabulary_counts
 from ..sources.contacts import as_literals, materialize
 from ..sources.models import save_model
 from .features import text_feature_stages
@@ -40,7 +41,39 @@ def text_pipeline(label_col: str = "agent_result", max_iter: int = 20, ascii_tok
     else:
         feats = text_feature_stages("note_clean", ascii_tokens=ascii_tokens)
     return Pipeline(stages=[StringIndexer(inputCol=label_col, outputCol="label"), *feats,
-                            LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter, **(lr or {}))])
+                            LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter,
+                                               **{"aggregationDepth": DEPTH, **(lr or {})})])
+
+
+# levels of the sums over tasks (vectors as long as the vocabulary): with three, few reach the driver from many tasks
+DEPTH = 3
+FIT_ROWS = 100000           # rows of a partition in the regression's passes
+
+
+def fit_terms(counter: CountVectorizer, terms: DataFrame) -> CountVectorizerModel:
+    """A model whose vocabulary is the column ``word`` of ``terms`` (each once), of which only these reach the driver."""
+    return counter.copy({counter.minDF: 1.0}).fit(terms.select(F.array("word").alias(counter.getInputCol())))
+
+
+def top_terms(stats: DataFrame, vocab_size: int) -> DataFrame:
+    """The ``vocab_size`` most frequent words of ``stats`` (ties by word)."""
+    return stats.orderBy(F.desc("term_freq"), "word").limit(vocab_size)
+
+
+def fit_stages(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
+    """``pipeline.fit`` with the vocabulary found by :func:`top_terms`; ``CountVectorizer.fit`` sends every task's
+    share of all terms, which grows with the corpus, to the driver."""
+    done = []
+    for stage in pipeline.getStages():
+        if isinstance(stage, CountVectorizer):
+            stats = vocabulary_counts(df.select(F.col(stage.getInputCol()).alias("tokens"), F.lit(1).cast("long").alias("w")))
+            least = stage.getMinDF() if stage.getMinDF() >= 1.0 else stage.getMinDF() * df.count()
+            stage = fit_terms(stage, top_terms(stats.where(F.col("doc_freq") >= least), stage.getVocabSize()))
+        elif isinstance(stage, Estimator):
+            stage = stage.fit(df)
+        df = stage.transform(df)
+        done.append(stage)
+    return PipelineModel(done)
 
 
 def prepare_notes(df: DataFrame, note_col: str = "note", label_col: str = "agent_result",
@@ -65,7 +98,7 @@ def train_text_model(df: DataFrame, note_col: str = "note", label_col: str = "ag
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         train, test = split_train_test(data, id_col, 80)
-        model = text_pipeline(label_col, max_iter, ascii_tokens, notebook, lr).fit(train)
+        model = fit_stages(text_pipeline(label_col, max_iter, ascii_tokens, notebook, lr), train)
         labels = list(model.stages[0].labels)
         # a label never seen in training has no index (the indexer would
         # fail): such test rows are left out of the evaluation
@@ -89,8 +122,9 @@ def train_text_model_by_ref(refs: DataFrame, texts: DataFrame, label_col: str =
     """M18 where rows refer to shared texts by key: the same results as ``train_text_model`` over the rows with
     their texts, without repeating a text.
 
-    Rows are counted per (text, class, part) first.  Each text becomes tokens and term counts once; vocabulary and
-    document frequencies are sums of its counts times its rows, the regression takes (text, class) rows with the
+    Rows are counted per (text, class, part) first.  The texts are dealt by key once, as text; all that follows finds
+    them, their tokens and their term counts where they are.  Vocabulary and
+    document frequencies are sums of a text's counts times its rows, the regression takes (text, class) rows with the
     count as ``weightCol``, and the confusion counts are sums of it.  Rows whose key is NULL or unknown refer to
     ``missing_ref``."""
     known = texts.select(F.col(ref_col).alias("_known"))
@@ -101,26 +135,28 @@ def train_text_model_by_ref(refs: DataFrame, texts: DataFrame, label_col: str =
             .groupBy(ref_col, label_col, "part").agg(F.sum("w").cast("double").alias("w")))
     rows = materialize(rows)
     *words, counter, _ = text_feature_stages("note_clean", ascii_tokens=ascii_tokens, vocab_size=vocab_size)
-    tokens = PipelineModel(words).transform(texts.select(ref_col, "note_clean").where(F.col("note_clean").isNotNull()))
+    some = texts.select(ref_col, "note_clean").where(F.col("note_clean").isNotNull() & F.col(ref_col).isNotNull())
+    tokens = PipelineModel(words).transform(some.repartition(ref_col))
     tokens = tokens.select(ref_col, counter.getInputCol()).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         in_train = rows.where("part = 'train'")
         labels = [r[label_col] for r in in_train.groupBy(label_col).agg(F.sum("w").alias("n"))
                   .orderBy(F.desc("n"), label_col).collect()]                                  # one row a class
         total = in_train.select(F.sum("w")).scalar()
-        per_text = tokens.select(ref_col, F.explode(counter.getInputCol()).alias("word")).groupBy(ref_col, "word").agg(
-            F.count(F.lit(1)).alias("tf"))
         weight = in_train.groupBy(ref_col).agg(F.sum("w").alias("w"))
-        stats = per_text.join(weight.hint("shuffle_hash"), ref_col).groupBy("word").agg(
-            F.sum(F.col("tf") * F.col("w")).alias("term_freq"), F.sum("w").alias("doc_freq"))
-        top = idf_weights(stats, total).orderBy(F.desc("term_freq"), "word").limit(vocab_size).select("word", "idf").toArrow()
-        terms = top["word"].to_pylist()                          # the vocabulary, as every fitted model holds it
-        vocabulary = CountVectorizerModel.from_vocabulary(terms or [""], inputCol=counter.getInputCol(), outputCol="tf")
-        weigh = ElementwiseProduct(inputCol="tf", outputCol="features", scalingVec=Vectors.dense(top["idf"].to_pylist() or [0.0]))
+        each = tokens.join(weight.hint("shuffle_hash"), ref_col).groupBy(ref_col).agg(          # texts that share a key are one
+            F.flatten(F.collect_list(counter.getInputCol())).alias("tokens"), F.first("w").alias("w"))
+        top = top_terms(idf_weights(vocabulary_counts(each.select("tokens", "w")), total), vocab_size).select("word", "idf").toArrow()
+        idf = dict(zip(top["word"].to_pylist(), top["idf"].to_pylist())) or {"": 0.0}     # the vocabulary, as every fitted model holds it
+        vocabulary = fit_terms(counter, refs.sparkSession.createDataFrame(pa.table({"word": pa.array(idf, pa.string())})))
+        weigh = ElementwiseProduct(inputCol="tf", outputCol="features", scalingVec=Vectors.dense([idf[w] for w in vocabulary.vocabulary]))
         indexer = StringIndexerModel.from_labels(labels, inputCol=label_col, outputCol="label")
         vectors = weigh.transform(vocabulary.transform(tokens)).select(ref_col, "features")
         data = indexer.transform(rows.where(F.col(label_col).isin(labels))).join(vectors, ref_col)
-        fit = data.where("part = 'train'").select("label", "features", "w").persist(StorageLevel.MEMORY_AND_DISK)
+        fit = data.where("part = 'train'").select("label", "features", "w")
+        # every pass adds one vector as long as the vocabulary per partition: not more of them than tasks at a time or
+        # than bound a partition's rows
+        fit = fit.coalesce(max(refs.sparkSession.sparkContext.defaultParallelism, in_train.count() // FIT_ROWS)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             model = LogisticRegression(featuresCol="features", labelCol="label", weightCol="w", maxIter=max_iter, **(lr or {})).fit(fit)
         finally:
