@@ -15,7 +15,7 @@ NAMES = sorted(oracle_sql())
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("events", "documents", "labels"):
+    for t in ("events", "documents", "labels", "embeddings", "benchmark"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF, t)}.parquet')")
     return c
 
