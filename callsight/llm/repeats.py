@@ -204,9 +204,27 @@ def _ordered(table: pa.Table):
     return table, ids.fill_null(0).to_numpy(zero_copy_only=False), known, data, off
 
 
+def whole_characters(kept: bytes, cuts: list[int]) -> bytes:
+    """``kept`` without the bytes of UTF-8 characters that a cut (a place in ``kept``) has split."""
+    out = []
+    for begin, end in zip([0, *cuts], [*cuts, len(kept)]):
+        if begin in cuts:                                              # a cut lies before this part
+            while begin < end and kept[begin] & 0xC0 == 0x80:
+                begin += 1
+        if end in cuts:                                                # and after it
+            lead = next((i for i in range(end - 1, max(end - 5, begin - 1), -1) if kept[i] & 0xC0 != 0x80), None)
+            if lead is not None and kept[lead] >= 0xC0 and end - lead < (2 if kept[lead] < 0xE0 else 3 if kept[lead] < 0xF0 else 4):
+                end = lead
+        out.append(kept[begin:end])
+    return b"".join(out)
+
+
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 50, anchor: int = 20,
-                   batch_bytes: int = 4 << 20, bucket_bytes: int = 16 << 20, dense: int = 100000, keep=None) -> DataFrame:
-    """``row`` (the kept columns), ``n_bytes``, ``kept`` (remaining bytes), ``spans`` (removed start, end)."""
+                   batch_bytes: int = 4 << 20, bucket_bytes: int = 16 << 20, dense: int = 100000, keep=None,
+                   characters: bool = False) -> DataFrame:
+    """``row`` (the kept columns), ``n_bytes``, ``kept`` (remaining bytes), ``spans`` (removed start, end).
+    With ``characters`` the bytes of UTF-8 characters that a span has split are not in ``kept`` either; this is done where
+    the spans are cut out, as a second Python function over the result would be a second worker beside each task."""
     left_width = size - anchor
     names = docs.columns if keep is None else keep
     text = F.coalesce(docs[f"`{text_col}`"].cast("binary"), F.lit(b""))
@@ -415,9 +433,15 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         spans = pa.ListArray.from_arrays(
             pa.array(np.searchsorted(of, np.arange(len(off))).astype(np.int32)),
             pa.StructArray.from_arrays([pa.array(begin - off[of]), pa.array(stop - off[of])], ["start", "end"]))
-        rest = np.concatenate([[0], np.cumsum(~gone)])[off]
+        before = np.concatenate([[0], np.cumsum(~gone)])           # kept bytes before each place
+        rest, cuts = before[off], before[begin]
+        del before
         kept = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(off) - 1, [None, pa.py_buffer(rest.astype(np.int64)),
                                                                                  pa.py_buffer(data[~gone])]).cast(pa.binary())
+        if characters and len(cuts):
+            ends = np.searchsorted(of, np.arange(len(off)))        # each row's cuts
+            kept = pa.array([whole_characters(k.as_py(), (cuts[a:z] - at).tolist()) if z > a else k.as_py()
+                             for k, at, a, z in zip(kept, rest, ends, ends[1:])], pa.binary())
         return pa.table([table.column("row"), pa.array(off[1:] - off[:-1]), kept, spans], ["row", "n_bytes", "kept", "spans"])
 
     sent = base.groupBy("g").applyInArrow(send, "b int, g int, n int, h binary, info binary")

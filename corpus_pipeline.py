@@ -9,13 +9,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from callsight.llm.packing import pack_documents
-from callsight.llm.repeats import remove_repeats
+from callsight.llm.repeats import remove_repeats, whole_characters  # noqa: F401 (the rule of the cuts, for callers)
 from callsight.llm.simhash import near_duplicates
 from callsight.llm.toxicity import score, train
 
@@ -42,40 +40,12 @@ def near_duplicate_documents(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.unionByName(docs.select(COLUMNS).where("doc_id is null"))
 
 
-def whole_characters(kept: bytes, cuts: list[int]) -> bytes:
-    """``kept`` without the bytes of UTF-8 characters that a cut (a place in ``kept``) has split."""
-    out = []
-    for begin, end in zip([0, *cuts], [*cuts, len(kept)]):
-        if begin in cuts:                                              # a cut lies before this part
-            while begin < end and kept[begin] & 0xC0 == 0x80:
-                begin += 1
-        if end in cuts:                                                # and after it
-            lead = next((i for i in range(end - 1, max(end - 5, begin - 1), -1) if kept[i] & 0xC0 != 0x80), None)
-            if lead is not None and kept[lead] >= 0xC0 and end - lead < (2 if kept[lead] < 0xE0 else 3 if kept[lead] < 0xF0 else 4):
-                end = lead
-        out.append(kept[begin:end])
-    return b"".join(out)
-
-
-def _mended(batches):
-    for b in batches:
-        texts = []
-        for kept, spans in zip(b.column("kept").to_pylist(), b.column("spans").to_pylist()):
-            gone, cuts = 0, []
-            for s in spans:
-                cuts.append(s["start"] - gone)
-                gone += s["end"] - s["start"]
-            texts.append(whole_characters(kept, cuts) if cuts else kept)
-        yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(texts, pa.binary())], ["row", "text"])
-
-
 def repeated_passages(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 50 bytes that a document with a smaller id holds are cut out; bytes of a character cut in
     part go with it, all others stay as they are.  ``n_chars`` follows; a NULL text stays NULL."""
     some = docs.select(COLUMNS).withColumn("has_text", F.col("text").isNotNull())
-    cut = remove_repeats(some, keep=["doc_id", "lang", "source", "has_text"]).select("row", "kept", "spans")
-    whole = cut.mapInArrow(_mended, T.StructType([cut.schema["row"], T.StructField("text", T.BinaryType())]))
-    out = whole.select("row.doc_id", F.when(F.col("row.has_text"), F.col("text").cast("string")).alias("text"), "row.lang", "row.source")
+    whole = remove_repeats(some, keep=["doc_id", "lang", "source", "has_text"], characters=True)
+    out = whole.select("row.doc_id", F.when(F.col("row.has_text"), F.col("kept").cast("string")).alias("text"), "row.lang", "row.source")
     return out.withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
 

@@ -500,6 +500,57 @@ def test_pipeline_keeps_shared_ids_and_replacement_characters(spark):
     assert (3, "é\ufffdé") in cut and (1, f"\ufffd{PASSAGE}") in cut
 
 
+def python_chains(df) -> list[str]:
+    """Python functions that run in one task above another one: no exchange stands between them."""
+    above, found = [], []
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        name = re.search(r"[A-Za-z]\w*", line)
+        if name is None:
+            continue
+        above = [(d, n) for d, n in above if d < name.start()]
+        since = []
+        for _, n in reversed(above):
+            if "Exchange" in n:
+                break
+            since.append(n)
+        if re.search("Arrow|Pandas|Python", name[0]) and any(re.search("Arrow|Pandas|Python", n) for n in since):
+            found.append(line)
+        above.append((name.start(), name[0]))
+    return found
+
+
+def test_pipeline_tasks_hold_one_python_worker(spark, tmp_path):
+    import corpus_pipeline as cp
+    rows = [(r[0], r[1], "en", "s", 0) for r in odd_rows()]
+    spark.createDataFrame([(r[0], 1, r[0] % 2) for r in rows if r[0] is not None], "doc_id long, quality int, toxic int").write.parquet(
+        f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    plain = repeats.remove_repeats(docs.withColumn("text", F.col("text").cast("binary")))
+    assert len(python_chains(plain.select("kept").mapInArrow(lambda bs: bs, "kept binary"))) == 1      # what is looked for
+    for name, stage in cp.STAGES:
+        assert python_chains(stage(spark, docs, str(tmp_path))) == [], name
+
+
+@pytest.mark.parametrize("batch", [300, 4 << 20])
+def test_repeats_with_whole_characters(spark, batch):
+    texts = [PASSAGE, f"é{PASSAGE}€", None, "", "ü" * 40, "x" + "ü" * 40, "ü" * 40 + "a€" + "ü" * 30, f"{PASSAGE}{'ñ' * 30}{PASSAGE}", "ñ" * 30 + "€"]
+    texts += [PASSAGE.encode()[3:].decode() + "\ufffd", "", f"é{PASSAGE}é", f"ĩ{PASSAGE}è", f"aĩ{PASSAGE}è and €{PASSAGE}"]
+    df = spark.createDataFrame([(None if i == 1 else i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    some = {"batch_bytes": batch, "bucket_bytes": batch, "keep": ["doc_id"]}
+    plain, whole = [repeats.remove_repeats(df, characters=c, **some).collect() for c in (False, True)]
+    want = []
+    for r in plain:
+        gone, cuts = 0, []
+        for s in r.spans:
+            cuts.append(s.start - gone)
+            gone += s.end - s.start
+        want.append((r.row.doc_id, r.n_bytes, repeats.whole_characters(bytes(r.kept), cuts), [tuple(s) for s in r.spans]))
+    got = [(r.row.doc_id, r.n_bytes, bytes(r.kept), [tuple(s) for s in r.spans]) for r in whole]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert any(bytes(p.kept) != w[2] for p, w in zip(plain, want))                                     # some character was split
+    assert all(r[2].decode() is not None for r in got)
+
+
 def test_pipeline_runs_whole(spark, tmp_path):
     import corpus_pipeline as cp
     ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 > 0]
