@@ -155,8 +155,9 @@ SELECT *, round(frequency / max(frequency) OVER (PARTITION BY agent_result), 9)
 @register("cloud_pairs")
 def q_cloud_pairs(spark, sf_dir):
     refs = contacts(spark, sf_dir, note_ref=True)
-    pairs = coll.pair_rows(refs, note_texts(spark, sf_dir, tx.clean_basic))
-    out = coll.cloud_pairs(pairs, sw.cloud_stopwords(), max_words=100)
+    classes = coll.class_values(refs)
+    pairs = coll.pair_rows(refs, note_texts(spark, sf_dir, tx.clean_basic), classes=classes)
+    out = coll.cloud_pairs(pairs, sw.cloud_stopwords(), max_words=100, classes=classes)
     return out.withColumn("weight", F.round("weight", 9))
 
 
