@@ -11,12 +11,12 @@ from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, ElementwiseProduct, StringIndexer, StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import stopwords as sw
@@ -26,7 +26,7 @@ from ..operators.evaluation import (
     confusion_matrix, metrics_from_confusion, split_column, split_sizes, split_train_test,
 )
 from ..operators.words import idf_weights, vocabulary_counts
-from ..sources.contacts import as_literals, materialize
+from ..sources.contacts import as_literals, materialize_files
 from ..sources.models import save_model
 from .features import text_feature_stages
 
@@ -47,7 +47,8 @@ def text_pipeline(label_col: str = "agent_result", max_iter: int = 20, ascii_tok
 
 # levels of the sums over tasks (vectors as long as the vocabulary): with three, few reach the driver from many tasks
 DEPTH = 3
-FIT_ROWS = 100000           # rows of a partition in the regression's passes
+TERM_BYTES = 12             # of a term of a text in the regression's blocks: its number and its weight
+FIT_BYTES = 128 << 20       # of a partition of these blocks
 
 
 def fit_terms(counter: CountVectorizer, terms: DataFrame) -> CountVectorizerModel:
@@ -122,8 +123,8 @@ def train_text_model_by_ref(refs: DataFrame, texts: DataFrame, label_col: str =
     """M18 where rows refer to shared texts by key: the same results as ``train_text_model`` over the rows with
     their texts, without repeating a text.
 
-    Rows are counted per (text, class, part) first.  The texts are dealt by key once, as text; all that follows finds
-    them, their tokens and their term counts where they are.  Vocabulary and
+    Rows are counted per (text, class, part) first and dealt to the texts by key, once; the tokens are kept with them
+    as files (:func:`dealt_tokens`), their vectors on disk, and nothing large in memory but the regression's own blocks.  Vocabulary and
     document frequencies are sums of a text's counts times its rows, the regression takes (text, class) rows with the
     count as ``weightCol``, and the confusion counts are sums of it.  Rows whose key is NULL or unknown refer to
     ``missing_ref``."""
@@ -133,43 +134,65 @@ def train_text_model_by_ref(refs: DataFrame, texts: DataFrame, label_col: str =
     rows = (rows.join(known, rows[ref_col] == known["_known"], "left")
             .select(F.coalesce("_known", F.lit(missing_ref).cast("long")).alias(ref_col), label_col, "part", "w")
             .groupBy(ref_col, label_col, "part").agg(F.sum("w").cast("double").alias("w")))
-    rows = materialize(rows)
+    rows = materialize_files(rows)
     *words, counter, _ = text_feature_stages("note_clean", ascii_tokens=ascii_tokens, vocab_size=vocab_size)
-    some = texts.select(ref_col, "note_clean").where(F.col("note_clean").isNotNull() & F.col(ref_col).isNotNull())
-    tokens = PipelineModel(words).transform(some.repartition(ref_col))
-    tokens = tokens.select(ref_col, counter.getInputCol()).persist(StorageLevel.MEMORY_AND_DISK)
+    tokens = dealt_tokens(rows, texts, words, ref_col, counter.getInputCol())
+    in_train = rows.where("part = 'train'")
+    labels = [r[label_col] for r in in_train.groupBy(label_col).agg(F.sum("w").alias("n"))
+              .orderBy(F.desc("n"), label_col).collect()]                                  # one row a class
+    total = in_train.select(F.sum("w")).scalar()
+
+    def of(part: str) -> Column:
+        return F.filter("_rows", lambda r: (r["part"] == part) & r[label_col].isin(labels))
+
+    weight = F.aggregate(of("train"), F.lit(0.0), lambda s, r: s + r["w"])
+    each = tokens.where("counted").select(F.col(counter.getInputCol()).alias("tokens"), weight.alias("w")).where("w > 0")
+    top = top_terms(idf_weights(vocabulary_counts(each), total), vocab_size).select("word", "idf").toArrow()
+    idf = dict(zip(top["word"].to_pylist(), top["idf"].to_pylist())) or {"": 0.0}     # the vocabulary, as every fitted model holds it
+    vocabulary = fit_terms(counter, refs.sparkSession.createDataFrame(pa.table({"word": pa.array(idf, pa.string())})))
+    weigh = ElementwiseProduct(inputCol="tf", outputCol="features", scalingVec=Vectors.dense([idf[w] for w in vocabulary.vocabulary]))
+    indexer = StringIndexerModel.from_labels(labels, inputCol=label_col, outputCol="label")
+
+    size = tokens.where("fitted").agg(F.coalesce(F.sum(F.col("n_tokens") * F.size(of("train"))), F.lit(0))).first()[0]
+    # the regression keeps its rows in blocks of its own, a partition's as one: these are bounded by the texts' length,
+    # not their number.  It plans its input several times, so the vectors wait on disk and not behind an exchange.
+    parts = max(refs.sparkSession.sparkContext.defaultParallelism, -(-size * TERM_BYTES // FIT_BYTES))
+    vectors = weigh.transform(vocabulary.transform(tokens.where("fitted"))).select(ref_col, "features", "_rows")
+    vectors = vectors.repartition(parts, ref_col).persist(StorageLevel.DISK_ONLY)
+
+    def data(part: str) -> DataFrame:
+        return indexer.transform(vectors.select("features", F.explode(of(part)).alias("_r")).select("features", "_r.*")).select("label", "features", "w")
+
     try:
-        in_train = rows.where("part = 'train'")
-        labels = [r[label_col] for r in in_train.groupBy(label_col).agg(F.sum("w").alias("n"))
-                  .orderBy(F.desc("n"), label_col).collect()]                                  # one row a class
-        total = in_train.select(F.sum("w")).scalar()
-        weight = in_train.groupBy(ref_col).agg(F.sum("w").alias("w"))
-        each = tokens.join(weight.hint("shuffle_hash"), ref_col).groupBy(ref_col).agg(          # texts that share a key are one
-            F.flatten(F.collect_list(counter.getInputCol())).alias("tokens"), F.first("w").alias("w"))
-        top = top_terms(idf_weights(vocabulary_counts(each.select("tokens", "w")), total), vocab_size).select("word", "idf").toArrow()
-        idf = dict(zip(top["word"].to_pylist(), top["idf"].to_pylist())) or {"": 0.0}     # the vocabulary, as every fitted model holds it
-        vocabulary = fit_terms(counter, refs.sparkSession.createDataFrame(pa.table({"word": pa.array(idf, pa.string())})))
-        weigh = ElementwiseProduct(inputCol="tf", outputCol="features", scalingVec=Vectors.dense([idf[w] for w in vocabulary.vocabulary]))
-        indexer = StringIndexerModel.from_labels(labels, inputCol=label_col, outputCol="label")
-        vectors = weigh.transform(vocabulary.transform(tokens)).select(ref_col, "features")
-        data = indexer.transform(rows.where(F.col(label_col).isin(labels))).join(vectors, ref_col)
-        fit = data.where("part = 'train'").select("label", "features", "w")
-        # every pass adds one vector as long as the vocabulary per partition: not more of them than tasks at a time or
-        # than bound a partition's rows
-        fit = fit.coalesce(max(refs.sparkSession.sparkContext.defaultParallelism, in_train.count() // FIT_ROWS)).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            model = LogisticRegression(featuresCol="features", labelCol="label", weightCol="w", maxIter=max_iter, **(lr or {})).fit(fit)
-        finally:
-            fit.unpersist()
-        scored = model.transform(data.where("part = 'test'")).select("label", "prediction", "w")
-        cm = as_literals(confusion_matrix(scored, weight="w"))
-        sizes = rows.groupBy(F.concat(F.lit("num_"), F.col("part")).alias("metric")).agg(F.sum("w").alias("value"))
-        metrics = as_literals(metrics_from_confusion(cm).unionByName(sizes))
+        model = LogisticRegression(featuresCol="features", labelCol="label", weightCol="w", maxIter=max_iter, **(lr or {})).fit(data("train"))
+        cm = as_literals(confusion_matrix(model.transform(data("test")).select("label", "prediction", "w"), weight="w"))
     finally:
-        tokens.unpersist()
+        vectors.unpersist()
+    sizes = rows.groupBy(F.concat(F.lit("num_"), F.col("part")).alias("metric")).agg(F.sum("w").alias("value"))
+    metrics = as_literals(metrics_from_confusion(cm).unionByName(sizes))
     return metrics, cm, PipelineModel([indexer, *words, vocabulary, weigh, model]), labels
 
 
+def dealt_tokens(rows: DataFrame, texts: DataFrame, words: Sequence[Transformer], ref_col: str, tokens_col: str) -> DataFrame:
+    """The texts that some of ``rows`` (key, class, part, w) refer to, as files: their tokens, ``n_tokens``, and ``_rows``,
+    a list of their (class, part, w).  Texts are shuffled once, as text.
+
+    Texts that share a key are one where documents are counted and many where rows are fitted: such a key's texts are
+    ``fitted`` each and ``counted`` as one more row with all their tokens; a text with a key of its own is both."""
+    lists = rows.groupBy(ref_col).agg(F.collect_list(F.struct(*[c for c in rows.columns if c != ref_col])).alias("_rows"))   # bound: two entries a class
+    some = texts.select(ref_col, "note_clean").where(F.col("note_clean").isNotNull() & F.col(ref_col).isNotNull())
+    some = some.join(lists.hint("shuffle_hash"), ref_col).groupBy(ref_col).agg(F.collect_list("note_clean").alias("_texts"), F.first("_rows").alias("_rows"))
+
+    def entry(text: Column, counted: bool, fitted: bool) -> Column:
+        return F.struct(text.alias("note_clean"), F.lit(counted).alias("counted"), F.lit(fitted).alias("fitted"))
+
+    shared = F.concat(F.transform("_texts", lambda t: entry(t, False, True)), F.array(entry(F.array_join("_texts", " "), True, False)))
+    each = F.when(F.size("_texts") == 1, F.array(entry(F.get("_texts", F.lit(0)), True, True))).otherwise(shared)
+    each = some.select(ref_col, "_rows", F.explode(each).alias("_t")).select(ref_col, "_rows", "_t.*")
+    out = PipelineModel(list(words)).transform(each).select(ref_col, "_rows", "counted", "fitted", tokens_col)
+    return materialize_files(out.withColumn("n_tokens", F.size(tokens_col)))
+
+
 def split_size_metrics(data: DataFrame, id_col: str) -> DataFrame:
     """A27 as metric rows ``num_train`` / ``num_test`` (one aggregate)."""
     return split_sizes(data, id_col).select(F.concat(F.lit("num_"), F.col("split")).alias("metric"),

@@ -118,3 +118,39 @@ def test_nfkd_cleaner_equals_unicodedata_without_python_workers(spark):
         assert r.c == re.sub("[^a-z0-9]+", " ", dec).strip()
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_training_by_reference_holds_nothing_large_in_memory(spark, monkeypatch):
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    from callsight.plans import text_model
+    from callsight.plans.features import text_feature_stages
+
+    texts = [(i, " ".join(["fibra", "movil", f"w{i % 9}"] * (1 + i % 3))) for i in range(40)] + [(3, "otra fibra"), (None, "nada"), (-1, "sin nota")]
+    refs = [(i, i % 44 if i % 7 else None, ["si", "no"][i % 3 == 0]) for i in range(600)]
+    t = spark.createDataFrame(texts, "note_ref long, note_clean string")
+    r = spark.createDataFrame(refs, "interaction_id long, note_ref long, agent_result string")
+    frame, levels, regression, partitions = type(t), [], text_model.LogisticRegression, []
+    persist, fit = frame.persist, regression.fit
+    monkeypatch.setattr(frame, "persist", lambda self, level=None: (levels.append(level), persist(self, level))[1])
+    monkeypatch.setattr(regression, "fit", lambda self, df, *a: (partitions.append(df.rdd.getNumPartitions()), fit(self, df, *a))[1])
+    monkeypatch.setattr(text_model, "FIT_BYTES", 256)           # by the length of the texts, so many partitions for as few rows
+    one = text_model.train_text_model_by_ref(r, t, max_iter=3)
+    assert levels and not any(x.useMemory for x in levels)
+    assert partitions[0] > spark.sparkContext.defaultParallelism
+    monkeypatch.undo()
+    two = text_model.train_text_model_by_ref(r, t, max_iter=3)
+    assert [sorted(map(str, x.collect())) for x in one[:2]] == [sorted(map(str, x.collect())) for x in two[:2]]
+
+    rows = spark.createDataFrame([(1, "si", "train", 2.0), (1, "no", "test", 1.0), (3, "si", "train", 5.0), (77, "si", "train", 1.0)],
+                                 "note_ref long, agent_result string, part string, w double")
+    *words, counter, _ = text_feature_stages("note_clean")
+    held = text_model.dealt_tokens(rows, t, words, "note_ref", counter.getInputCol())
+    assert "ExistingRDD" not in held._jdf.queryExecution().executedPlan().toString()
+    got = held.select("*", F.col(counter.getInputCol()).alias("k")).collect()
+    assert sorted((x.note_ref, x.counted, x.fitted, len(x._rows)) for x in got) == [(1, True, True, 2), (3, False, True, 1), (3, False, True, 1), (3, True, False, 1)]
+    assert all(x.n_tokens == len(x.k) > 0 for x in got)
+    shared = [x for x in got if x.note_ref == 3]
+    assert sorted(w for x in shared if x.fitted for w in x.k) == sorted(w for x in shared if x.counted for w in x.k)
