@@ -95,10 +95,10 @@ def q_recommend_actions_model(spark, sf_dir):
 
 @register("train_text_model_contacts")
 def q_train_text_model_contacts(spark, sf_dir):
-    """M18 on the contact table: the agent's verdict from the note."""
+    """M18 on the contact table: the agent's verdict from the note.  No query scores with this model: its metrics are kept."""
     key = ("text", sf_dir, "contacts", _stamp(spark, sf_dir, "documents", "events"))
     return fitted(spark, key, lambda: text_model.train_text_model_by_ref(
-        contacts(spark, sf_dir, note_ref=True), note_texts(spark, sf_dir, clean_basic)))[0]
+        contacts(spark, sf_dir, note_ref=True), note_texts(spark, sf_dir, clean_basic))[:2])[0]
 
 
 # ---- what the fitted queries read and return, without the fitted values (SQL oracle) ----
