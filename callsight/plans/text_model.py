@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
@@ -148,9 +150,11 @@ def train_text_model_by_ref(refs: DataFrame, texts: DataFrame, label_col: str =
     weight = F.aggregate(of("train"), F.lit(0.0), lambda s, r: s + r["w"])
     each = tokens.where("counted").select(F.col(counter.getInputCol()).alias("tokens"), weight.alias("w")).where("w > 0")
     top = top_terms(idf_weights(vocabulary_counts(each), total), vocab_size).select("word", "idf").toArrow()
-    idf = dict(zip(top["word"].to_pylist(), top["idf"].to_pylist())) or {"": 0.0}     # the vocabulary, as every fitted model holds it
-    vocabulary = fit_terms(counter, refs.sparkSession.createDataFrame(pa.table({"word": pa.array(idf, pa.string())})))
-    weigh = ElementwiseProduct(inputCol="tf", outputCol="features", scalingVec=Vectors.dense([idf[w] for w in vocabulary.vocabulary]))
+    # the vocabulary, as every fitted model holds it: columns, not values of Python
+    found, idf = (top["word"].cast(pa.string()).combine_chunks(), top["idf"].to_numpy()) if top.num_rows else (pa.array([""]), np.zeros(1))
+    vocabulary = fit_terms(counter, refs.sparkSession.createDataFrame(pa.table({"word": found})))
+    place = pc.index_in(pa.array(vocabulary.vocabulary, pa.string()), value_set=found).to_numpy(zero_copy_only=False)
+    weigh = ElementwiseProduct(inputCol="tf", outputCol="features", scalingVec=Vectors.dense(idf[place]))
     indexer = StringIndexerModel.from_labels(labels, inputCol=label_col, outputCol="label")
 
     size = tokens.where("fitted").agg(F.coalesce(F.sum(F.col("n_tokens") * F.size(of("train"))), F.lit(0))).first()[0]
